@@ -1,0 +1,256 @@
+"""The warehouse's jobs: dumps to month sets, month sets to facts, dimensions."""
+
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tallyhouse.functions import month_key
+from tallyhouse.operators import (
+    calendar_keys, complete_days, complete_months, dim_date_between, dim_time, gate_days,
+    gate_months, hourly_of_tally, ledger_rows, length_violations, pending, pk_violations,
+    rule_counts, tally, with_broken_rules, with_fact_id,
+)
+from tallyhouse.plans.audit import RunAudit, counted
+from tallyhouse.plans.warehouse import Warehouse
+from tallyhouse.schemas import (
+    COMPANY_PAGES, DIM_DATE, DIM_DATE_END, DIM_DATE_START, DIM_DATE_TEXT_LIMITS, DIM_TIME,
+    FACT_COLUMNS, LEDGER, LOAD_COLUMNS,
+)
+from tallyhouse.sinks import (
+    append_jdbc, append_ledger, replace_dimension, write_daily, write_fact, write_hourly,
+    write_monthly, write_tally,
+)
+from tallyhouse.sources import (
+    audit_dumps, hours_between, list_dumps, read_daily, read_dumps, read_hourly, read_ledger,
+    read_monthly, read_tally,
+)
+
+
+class ConstraintError(ValueError):
+    """Rows break a constraint of the warehouse."""
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
+def _ledger(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
+    if _exists(spark, warehouse.ledger):
+        return read_ledger(spark, warehouse.ledger)
+    return spark.createDataFrame([], LEDGER)
+
+
+def convert(
+    spark: SparkSession, lines: DataFrame, warehouse: Warehouse, batch_id: str,
+    pages: Sequence[str] = COMPANY_PAGES, files: DataFrame | None = None,
+    audit: RunAudit | None = None,
+) -> None:
+    """Dump lines to hourly sets, for the days that have all 24 dumps.
+
+    One pass over the lines writes their tallies, from which the hourly sets,
+    the rejects and the ledger are all taken. `files` lists the dumps present
+    (file_name); by default they are the ones lines came from, so a dump
+    without a single line counts as missing.
+    """
+    counted_tally, seen = counted(tally(lines, pages), "tally")
+    write_tally(counted_tally, warehouse.tally, batch_id)
+    tallies = read_tally(spark, warehouse.tally).where(F.col("batch_id") == batch_id)
+
+    present = (files if files is not None else tallies).select("file_name").distinct()
+    complete = complete_days(present)
+    hourly, hourly_seen = counted(gate_days(hourly_of_tally(tallies), complete), "hourly")
+    write_hourly(hourly, warehouse.hourly)
+
+    converted = gate_days(_with_file_date(present), complete)
+    append_ledger(ledger_rows(converted, "hourly", batch_id), warehouse.ledger)
+    if audit:
+        audit.record("tally", "lines tallied", rows=seen.get["rows"])
+        audit.record("hourly", "hourly sets written", rows=hourly_seen.get["rows"])
+
+
+def _with_file_date(files: DataFrame) -> DataFrame:
+    from tallyhouse.functions import file_date_of
+
+    return files.withColumn("file_date", file_date_of(F.col("file_name")))
+
+
+def combine_days(
+    spark: SparkSession, warehouse: Warehouse, batch_id: str | None = None,
+    audit: RunAudit | None = None,
+) -> None:
+    """Hourly sets to day sets, gated again on what was really converted."""
+    done = _ledger(spark, warehouse).where(F.col("stage") == "hourly")
+    hourly = read_hourly(spark, warehouse.hourly)
+    if batch_id is not None:
+        done = done.where(F.col("batch_id") == batch_id)
+    day_sets, seen = counted(gate_days(hourly, complete_days(done)), "daily")
+    write_daily(day_sets, warehouse.daily)
+    if audit:
+        audit.record("daily", "day sets written", rows=seen.get["rows"])
+
+
+def combine_months(
+    spark: SparkSession, warehouse: Warehouse, batch_id: str | None = None,
+    audit: RunAudit | None = None,
+) -> None:
+    """Day sets to month sets, for the months with all their days.
+
+    Only months touched by `batch_id` are written when it is given.
+    """
+    done = _ledger(spark, warehouse).where(F.col("stage") == "hourly")
+    complete = complete_months(complete_days(done))
+    if batch_id is not None:
+        touched = _with_file_date(done.where(F.col("batch_id") == batch_id)).select(
+            month_key(F.col("file_date")).alias("file_month")
+        ).distinct()
+        complete = complete.join(touched, "file_month", "left_semi")
+    keyed = calendar_keys(gate_months(read_daily(spark, warehouse.daily), complete))
+    month_sets, seen = counted(keyed, "monthly")
+    write_monthly(month_sets, warehouse.monthly)
+    if audit:
+        audit.record("monthly", "month sets written", rows=seen.get["rows"])
+
+
+def to_months(
+    spark: SparkSession, lines: DataFrame, warehouse: Warehouse, batch_id: str,
+    pages: Sequence[str] = COMPANY_PAGES, files: DataFrame | None = None,
+    audit: RunAudit | None = None,
+) -> DataFrame:
+    """Dump lines to hourly, day and month sets; returns the month sets."""
+    convert(spark, lines, warehouse, batch_id, pages, files, audit)
+    combine_days(spark, warehouse, batch_id, audit)
+    combine_months(spark, warehouse, batch_id, audit)
+    return read_monthly(spark, warehouse.monthly)
+
+
+def ingest_folder(
+    spark: SparkSession, folder: str, warehouse: Warehouse, batch_id: str,
+    pages: Sequence[str] = COMPANY_PAGES, start: str | None = None, end: str | None = None,
+    check: bool = False, audit: RunAudit | None = None,
+) -> int:
+    """Convert the dumps of a folder that are not in the ledger yet.
+
+    Only days with all 24 dumps are read. `start` and `end` (ISO dates, both
+    included) narrow the file dates. With `check`, dumps that do not decompress
+    are found first and their days left out; without it such a dump fails the
+    job. Returns how many dumps were converted.
+
+    The driver holds the paths of the dumps to read, 24 a day, as any file scan
+    does; never their content.
+    """
+    found = _with_file_date(list_dumps(spark, folder)).where(F.col("file_date").isNotNull())
+    if start:
+        found = found.where(F.col("file_date") >= F.lit(start).cast("date"))
+    if end:
+        found = found.where(F.col("file_date") <= F.lit(end).cast("date"))
+    waiting = pending(found, _ledger(spark, warehouse), "hourly")
+    ready = gate_days(waiting, complete_days(waiting))
+    paths = [row.path for row in ready.select("path").toLocalIterator()]
+    if check and paths:
+        verdicts = audit_dumps(spark, paths, deep=True)
+        sound = verdicts.where(F.col("verdict").isin("ok", "empty"))
+        bad = [(row.file_name, row.path, row.verdict)
+               for row in verdicts.where(~F.col("verdict").isin("ok", "empty")).toLocalIterator()]
+        if bad and audit:
+            for name, _, verdict in bad:
+                audit.record("check", f"{name} is {verdict}")
+        sound = _with_file_date(sound)
+        ready = gate_days(sound, complete_days(sound))
+        broken = {path for _, path, _ in bad}
+        days_left = {row.path for row in ready.select("path").toLocalIterator()} if bad else set(paths)
+        paths = [path for path in paths if path in days_left and path not in broken]
+    if not paths:
+        return 0
+    files = spark.createDataFrame([(path.rsplit("/", 1)[-1],) for path in paths], "file_name string")
+    to_months(spark, read_dumps(spark, paths), warehouse, batch_id, pages, files, audit)
+    return len(paths)
+
+
+def build_dimensions(
+    spark: SparkSession, warehouse: Warehouse,
+    start: str = DIM_DATE_START, end: str = DIM_DATE_END,
+) -> None:
+    """Build, check and replace dim_date and dim_time."""
+    dates = dim_date_between(spark, start, end)
+    times = dim_time(hours_between(spark))
+    broken = {
+        "dim_date.date_id": pk_violations(dates, ["date_id"]),
+        "dim_time.time_id": pk_violations(times, ["time_id"]),
+        "dim_date text": length_violations(dates, DIM_DATE_TEXT_LIMITS),
+    }
+    for what, rows in broken.items():
+        if not rows.isEmpty():
+            raise ConstraintError(f"{what}: constraint broken")
+    replace_dimension(dates, warehouse.dim_date)
+    replace_dimension(times, warehouse.dim_time)
+
+
+def checked_months(
+    spark: SparkSession, monthly: DataFrame, dim_date: DataFrame, dim_time: DataFrame,
+) -> DataFrame:
+    """Month sets with `load_month` and the constraints each row breaks."""
+    rows = monthly.select(*LOAD_COLUMNS, F.col("file_month").alias("load_month"))
+    return with_broken_rules(rows, dim_date, dim_time)
+
+
+def load_fact(
+    spark: SparkSession, monthly: DataFrame, fact_path: str,
+    dim_date: DataFrame, dim_time: DataFrame, refused_path: str | None = None,
+    audit: RunAudit | None = None,
+) -> None:
+    """Month sets to the partitioned fact table.
+
+    Rows that break a constraint stop the load before anything is written, as
+    they would in a database; with `refused_path` they are kept there instead
+    and the rest is loaded.
+    """
+    checked = checked_months(spark, monthly, dim_date, dim_time)
+    counts = {row["rule"]: row["rows"] for row in rule_counts(checked).collect()}
+    if counts and refused_path is None:
+        raise ConstraintError(f"rows breaking constraints: {counts}")
+    if counts:
+        refused = checked.where(F.col("broken_rules") != "")
+        refused.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "load_month"
+        ).parquet(refused_path)
+    good = checked.where(F.col("broken_rules") == "").drop("broken_rules")
+    fact, seen = counted(with_fact_id(good), "fact")
+    write_fact(fact, fact_path)
+    if audit:
+        audit.record("fact", "facts loaded", rows=seen.get["rows"])
+
+
+def load_months(
+    spark: SparkSession, warehouse: Warehouse, batch_id: str, reload: Sequence[str] = (),
+    quarantine: bool = False, audit: RunAudit | None = None,
+) -> None:
+    """Load the month sets not loaded yet, and those named in `reload` (yyyy-MM)."""
+    monthly = read_monthly(spark, warehouse.monthly)
+    months = monthly.select(F.col("file_month").alias("file_name")).distinct()
+    waiting = pending(months, _ledger(spark, warehouse), "fact")
+    if reload:
+        waiting = waiting.union(months.where(F.col("file_name").isin(*reload))).distinct()
+    names = [row.file_name for row in waiting.collect()]
+    if not names:
+        return
+    load_fact(
+        spark, monthly.where(F.col("file_month").isin(*names)), warehouse.fact,
+        spark.read.schema(DIM_DATE).parquet(warehouse.dim_date),
+        spark.read.schema(DIM_TIME).parquet(warehouse.dim_time),
+        warehouse.refused if quarantine else None, audit,
+    )
+    loaded = spark.createDataFrame([(name,) for name in names], "file_name string")
+    append_ledger(ledger_rows(loaded, "fact", batch_id), warehouse.ledger)
+
+
+def load_jdbc(
+    fact: DataFrame, url: str, table: str = "fact_pageviews", *,
+    writers: int | None = None, properties: Mapping[str, str] | None = None,
+) -> None:
+    """Append loaded facts to a database table, ordered for its partitions."""
+    append_jdbc(
+        fact.select(*FACT_COLUMNS).hint("rebalance", "year", "month")
+        .sortWithinPartitions("date_id", "time_id"),
+        url, table, writers=writers, properties=properties,
+    )
