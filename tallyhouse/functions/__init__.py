@@ -1,13 +1,14 @@
 from tallyhouse.functions.calendar import (
-    as_date_id, calendar_day, days_in_month, hour_of_day, month_key, sunday_week, time_of_hour, weekend,
+    as_date_id, calendar_day, days_in_month, month_key, sunday_week, time_of_hour, weekend,
 )
 from tallyhouse.functions.names import (
-    collection_date, collection_time, dump_name, file_date_of, file_time_of, path_dump_name,
+    clock_text, collection_date, collection_time, dump_name, file_clock_of, file_date_of,
+    path_dump_name,
 )
 from tallyhouse.functions.text import field, fields, view_count
 
 __all__ = [
-    "as_date_id", "calendar_day", "collection_date", "collection_time", "days_in_month", "dump_name",
-    "field", "fields", "file_date_of", "file_time_of", "hour_of_day", "month_key",
-    "path_dump_name", "sunday_week", "time_of_hour", "view_count", "weekend",
+    "as_date_id", "calendar_day", "clock_text", "collection_date", "collection_time",
+    "days_in_month", "dump_name", "field", "fields", "file_clock_of", "file_date_of",
+    "month_key", "path_dump_name", "sunday_week", "time_of_hour", "view_count", "weekend",
 ]

@@ -18,11 +18,7 @@ def days_in_month(day: Column) -> Column:
 
 def month_key(day: Column) -> Column:
     """`yyyy-MM` of a date."""
-    return F.date_format(day, "yyyy-MM")
-
-
-def hour_of_day(file_time: Column) -> Column:
-    return F.substring(file_time, 1, 2).cast("int")
+    return F.substring(day.cast("string"), 1, 7)
 
 
 def sunday_week(day: Column) -> Column:

@@ -1,15 +1,24 @@
-"""What a dump's file name says about its rows."""
+"""What a dump's file name says about its rows.
+
+These expressions run on lines, so they cut the name at its fixed positions and
+cast, rather than use a pattern and a date formatter.
+"""
 
 from pyspark.sql import Column, functions as F
 
-from tallyhouse.schemas import DUMP_NAME
+# --- fixed values: pageviews-YYYYMMDD-HHMMSS.gz -------------------------------
+NAME_LENGTH = 28
+DATE_AT, DATE_LENGTH = 11, 8
+TIME_AT, TIME_LENGTH = 20, 6
+DIGITS = "0123456789"
+# ------------------------------------------------------------------------------
 
 
 def dump_name(day: Column, hour: Column) -> Column:
     """Name of the hourly dump of a date."""
     return F.concat(
-        F.lit("pageviews-"), F.date_format(day, "yyyyMMdd"),
-        F.format_string("-%02d0000.gz", hour),
+        F.lit("pageviews-"), F.replace(day.cast("string"), F.lit("-"), F.lit("")),
+        F.lit("-"), F.lpad(hour.cast("string"), 2, "0"), F.lit("0000.gz"),
     )
 
 
@@ -24,25 +33,54 @@ def path_dump_name(path: Column) -> Column:
     return F.when(landed == "", plain).otherwise(landed)
 
 
+def _date_text(name: Column) -> Column:
+    return F.substring(name, DATE_AT, DATE_LENGTH)
+
+
+def _time_text(name: Column) -> Column:
+    return F.substring(name, TIME_AT, TIME_LENGTH)
+
+
+def _is_dump_name(name: Column) -> Column:
+    digits = F.concat(_date_text(name), _time_text(name))
+    return (
+        (F.length(name) == NAME_LENGTH)
+        & name.startswith("pageviews-")
+        & (F.substring(name, DATE_AT + DATE_LENGTH, 1) == "-")
+        & name.endswith(".gz")
+        & (F.translate(digits, DIGITS, "") == "")
+    )
+
+
 def file_date_of(name: Column) -> Column:
     """Date in the name; NULL for another name pattern or an impossible date."""
-    return F.try_to_date(F.regexp_extract(F.trim(name), DUMP_NAME, 1), "yyyyMMdd")
+    text = _date_text(name)
+    iso = F.concat(
+        F.substring(text, 1, 4), F.lit("-"), F.substring(text, 5, 2), F.lit("-"),
+        F.substring(text, 7, 2),
+    )
+    return F.when(_is_dump_name(name), iso.try_cast("date"))
 
 
-def file_time_of(name: Column) -> Column:
-    """`HHmmss` in the name; NULL for another name pattern."""
-    return F.nullif(F.regexp_extract(F.trim(name), DUMP_NAME, 2), F.lit(""))
+def file_clock_of(name: Column) -> Column:
+    """Time in the name as the number HHmmss; NULL for another name pattern."""
+    return F.when(_is_dump_name(name), _time_text(name).cast("int"))
+
+
+def clock_text(clock: Column) -> Column:
+    """`HHmmss` of such a number."""
+    return F.lpad(clock.cast("string"), TIME_LENGTH, "0")
 
 
 def collection_date(file_date: Column, file_time: Column) -> Column:
     """`yyyy-MM-dd` the views belong to: a midnight dump closes the day before."""
-    midnight = file_time == "000000"
-    return F.when(midnight, F.date_sub(file_date, 1)).otherwise(file_date).cast("string")
+    midnight = (file_time == "000000").cast("int")
+    return F.date_sub(file_date, midnight).cast("string")
 
 
 def collection_time(file_time: Column) -> Column:
     """`HHmmss` as `HH:mm:ss`."""
-    return F.concat_ws(
-        ":", F.substring(file_time, 1, 2), F.substring(file_time, 3, 2),
+    return F.concat(
+        F.substring(file_time, 1, 2), F.lit(":"), F.substring(file_time, 3, 2), F.lit(":"),
         F.substring(file_time, 5, 2),
     )

@@ -2,9 +2,8 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyhouse.functions import (
-    days_in_month, file_date_of, file_time_of, hour_of_day, month_key,
-)
+from tallyhouse.functions import days_in_month, month_key
+from tallyhouse.operators.parse import dumps_of
 from tallyhouse.schemas import HOURS_PER_DAY
 
 
@@ -19,16 +18,11 @@ def complete_days(files: DataFrame) -> DataFrame:
     OR-ed into one bitmap per date, which is a single aggregate with one small
     row per date and task, where a distinct count would shuffle twice.
     """
-    name = F.col("file_name")
-    dumps = files.select("file_name").distinct().select(
-        file_date_of(name).alias("file_date"), file_time_of(name).alias("file_time")
-    )
-    on_the_hour = F.col("file_time").endswith("0000")
-    hour = hour_of_day(F.col("file_time"))
-    seen = F.bit_or(F.when(on_the_hour & (hour < HOURS_PER_DAY), _bit(hour)))
+    hour = F.substring("file_time", 1, 2).cast("int")
+    on_the_hour = F.col("file_time").endswith("0000") & (hour < HOURS_PER_DAY)
+    seen = F.bit_or(F.when(on_the_hour, _bit(hour)))
     return (
-        dumps.where("file_date IS NOT NULL AND file_time IS NOT NULL")
-        .groupBy("file_date")
+        dumps_of(files).groupBy("file_date")
         .agg(F.bit_count(seen).alias("hours"), F.count("*").alias("files"))
         .where((F.col("hours") == HOURS_PER_DAY) & (F.col("files") == HOURS_PER_DAY))
         .select("file_date")

@@ -5,7 +5,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tallyhouse.functions import file_date_of
-from tallyhouse.operators.parse import line_outcome, split_lines, stamp
+from tallyhouse.operators.parse import (
+    aggregate_by_dump, line_outcome, split_lines, with_collection,
+)
 from tallyhouse.schemas import FILE_KEYS, HOURLY
 
 HOURLY_COLUMNS = [*HOURLY.names, *FILE_KEYS.names]
@@ -14,14 +16,14 @@ HOURLY_COLUMNS = [*HOURLY.names, *FILE_KEYS.names]
 def hourly_pageviews(parsed: DataFrame) -> DataFrame:
     """Sum of views per (dump, domain, page), for all dumps at once.
 
-    Groups on the file name and parses it afterwards, once per sum rather than
-    once per line. A group without any valid count keeps a NULL sum; dumps with
-    another name pattern give no rows.
+    A group without any valid count keeps a NULL sum; dumps with another name
+    pattern give no rows. Collection date and time follow from the file's, so
+    they are added to the sums and not to the lines.
     """
-    sums = parsed.groupBy("file_name", "domain", "pagename").agg(
-        F.sum("pageview").alias("sumpageviewcount")
+    sums = aggregate_by_dump(
+        parsed, "domain", "pagename", sumpageviewcount=F.sum("pageview")
     )
-    return stamp(sums).where(F.col("file_date").isNotNull()).select(*HOURLY_COLUMNS)
+    return with_collection(sums).select(*HOURLY_COLUMNS)
 
 
 def tally(lines: DataFrame, pages: Sequence[str]) -> DataFrame:
@@ -55,11 +57,11 @@ def tally(lines: DataFrame, pages: Sequence[str]) -> DataFrame:
 def hourly_of_tally(tallies: DataFrame) -> DataFrame:
     """Hourly sums from tallies. The parts of a dump that were tallied in
     different batches are added up here, so the cut into batches is free."""
-    kept = tallies.where((F.col("outcome") == "kept") & F.col("file_date").isNotNull())
-    sums = kept.groupBy("file_name", "domain", "pagename").agg(
-        F.sum("sumpageviewcount").alias("sumpageviewcount")
+    sums = aggregate_by_dump(
+        tallies.where("outcome = 'kept'").drop("file_date"), "domain", "pagename",
+        sumpageviewcount=F.sum("sumpageviewcount"),
     )
-    return stamp(sums).where(F.col("file_date").isNotNull()).select(*HOURLY_COLUMNS)
+    return with_collection(sums).select(*HOURLY_COLUMNS)
 
 
 def rejects_of_tally(tallies: DataFrame) -> DataFrame:

@@ -5,7 +5,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyhouse.functions import (
-    collection_date, collection_time, field, fields, file_date_of, file_time_of, view_count,
+    clock_text, collection_date, collection_time, field, fields, file_clock_of, file_date_of,
+    view_count,
 )
 
 # A page list over this many rows is joined without a broadcast.
@@ -46,23 +47,52 @@ def keep_listed_pages(parsed: DataFrame, pages: DataFrame) -> DataFrame:
     return parsed.join(listed, "pagename", "left_semi")
 
 
+def with_file_keys(rows: DataFrame) -> DataFrame:
+    """Add file_date and file_time from file_name; file_date is NULL where the
+    name is not a dump's."""
+    name = F.col("file_name")
+    return rows.withColumns({
+        "file_date": file_date_of(name), "file_time": clock_text(file_clock_of(name)),
+    })
+
+
+def with_collection(rows: DataFrame) -> DataFrame:
+    """Add date_collection and time_collection from file_date and file_time."""
+    return rows.withColumns({
+        "date_collection": collection_date(F.col("file_date"), F.col("file_time")),
+        "time_collection": collection_time(F.col("file_time")),
+    })
+
+
 def stamp(rows: DataFrame) -> DataFrame:
-    """Add file_date, file_time, date_collection and time_collection from file_name.
+    """Both of the above."""
+    return with_collection(with_file_keys(rows))
+
+
+def aggregate_by_dump(rows: DataFrame, *keys: str, **aggregates: Column) -> DataFrame:
+    """Aggregate by dump and further keys, with file_date and file_time.
 
-    All four are NULL where the name is not a dump's.
+    The two come out as aggregates of themselves. A filter on them, or on any
+    key made from them, then stays above the aggregate, on few rows, where the
+    optimizer would else move it below and work it out for every line. Both are
+    numbers inside, so the hash aggregate stays. Names of no dump give no rows.
     """
-    day, time = F.col("file_date"), F.col("file_time")
-    named = rows.withColumns({
-        "file_date": file_date_of(F.col("file_name")),
-        "file_time": file_time_of(F.col("file_name")),
-    })
-    valid = day.isNotNull() & time.isNotNull()
-    return named.withColumns({
-        "file_date": F.when(valid, day),
-        "file_time": F.when(valid, time),
-        "date_collection": F.when(valid, collection_date(day, time)),
-        "time_collection": F.when(valid, collection_time(time)),
-    })
+    name = F.col("file_name")
+    keyed = rows.withColumns({"dump_date": file_date_of(name), "dump_clock": file_clock_of(name)})
+    found = keyed.groupBy("dump_date", "dump_clock", *keys).agg(
+        F.max("dump_date").alias("file_date"), F.max("dump_clock").alias("clock"),
+        *[value.alias(alias) for alias, value in aggregates.items()],
+    )
+    return (
+        found.where(F.col("file_date").isNotNull())
+        .withColumn("file_time", clock_text(F.col("clock")))
+        .drop("dump_date", "dump_clock", "clock")
+    )
+
+
+def dumps_of(lines: DataFrame) -> DataFrame:
+    """The dumps that rows with a file_name come from, as (file_name, file_date, file_time)."""
+    return aggregate_by_dump(lines, "file_name").select("file_name", "file_date", "file_time")
 
 
 def line_outcome(pageview: Column, field_count: Column) -> Column:
@@ -72,8 +102,7 @@ def line_outcome(pageview: Column, field_count: Column) -> Column:
 
 def with_reject_reason(parsed: DataFrame) -> DataFrame:
     """Add `reason`: bad_file_name, short_line, bad_count, or NULL for a good line."""
-    name = F.col("file_name")
-    bad_name = file_date_of(name).isNull() | file_time_of(name).isNull()
+    bad_name = file_date_of(F.col("file_name")).isNull()
     return parsed.withColumn(
         "reason",
         F.when(bad_name, "bad_file_name").otherwise(line_outcome(F.col("pageview"), F.col("fields"))),

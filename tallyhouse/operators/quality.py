@@ -80,6 +80,5 @@ def with_broken_rules(rows: DataFrame, dim_date: DataFrame, dim_time: DataFrame)
 def rule_counts(checked: DataFrame) -> DataFrame:
     """Rows per broken rule, from with_broken_rules."""
     broken = checked.where(F.col("broken_rules") != "")
-    return broken.groupBy(F.explode(F.split("broken_rules", ",")).alias("rule")).agg(
-        F.count("*").alias("rows")
-    )
+    rules = broken.select(F.explode(F.split("broken_rules", ",")).alias("rule"))
+    return rules.groupBy("rule").agg(F.count("*").alias("rows"))

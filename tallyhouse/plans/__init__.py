@@ -1,10 +1,12 @@
 from tallyhouse.plans.audit import RunAudit, log_lines
 from tallyhouse.plans.pipelines import (
-    ConstraintError, build_dimensions, convert, ingest_folder, load_fact, load_jdbc, to_months,
+    ConstraintError, build_dimensions, combine_days, combine_months, convert, ingest_folder,
+    ingest_stream, load_fact, load_jdbc, load_months, to_months,
 )
 from tallyhouse.plans.warehouse import Warehouse
 
 __all__ = [
-    "ConstraintError", "RunAudit", "Warehouse", "build_dimensions", "convert",
-    "ingest_folder", "load_fact", "load_jdbc", "log_lines", "to_months",
+    "ConstraintError", "RunAudit", "Warehouse", "build_dimensions", "combine_days",
+    "combine_months", "convert", "ingest_folder", "ingest_stream", "load_fact", "load_jdbc",
+    "load_months", "log_lines", "to_months",
 ]

@@ -2,28 +2,29 @@
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from tallyhouse.functions import month_key
+from tallyhouse.functions import file_date_of, month_key
 from tallyhouse.operators import (
     calendar_keys, complete_days, complete_months, dim_date_between, dim_time, gate_days,
     gate_months, hourly_of_tally, ledger_rows, length_violations, pending, pk_violations,
     rule_counts, tally, with_broken_rules, with_fact_id,
 )
-from tallyhouse.plans.audit import RunAudit, counted
+from tallyhouse.plans.audit import RunAudit
 from tallyhouse.plans.warehouse import Warehouse
 from tallyhouse.schemas import (
     COMPANY_PAGES, DIM_DATE, DIM_DATE_END, DIM_DATE_START, DIM_DATE_TEXT_LIMITS, DIM_TIME,
     FACT_COLUMNS, LEDGER, LOAD_COLUMNS,
 )
 from tallyhouse.sinks import (
-    append_jdbc, append_ledger, replace_dimension, write_daily, write_fact, write_hourly,
-    write_monthly, write_tally,
+    append_jdbc, append_ledger, replace_dimension, write_daily, write_fact, write_monthly,
+    write_tally,
 )
 from tallyhouse.sources import (
-    audit_dumps, hours_between, list_dumps, read_daily, read_dumps, read_hourly, read_ledger,
-    read_monthly, read_tally,
+    audit_dumps, hours_between, list_dumps, read_daily, read_dumps, read_ledger, read_monthly,
+    read_tally,
 )
+from tallyhouse.streaming import ingest_available
 
 
 class ConstraintError(ValueError):
@@ -44,70 +45,65 @@ def _ledger(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
 def convert(
     spark: SparkSession, lines: DataFrame, warehouse: Warehouse, batch_id: str,
     pages: Sequence[str] = COMPANY_PAGES, files: DataFrame | None = None,
-    audit: RunAudit | None = None,
-) -> None:
-    """Dump lines to hourly sets, for the days that have all 24 dumps.
+    audit: RunAudit | None = None, tasks: int | None = None,
+) -> DataFrame:
+    """Dump lines to the hourly sums of one batch; returns the batch's tallies.
 
-    One pass over the lines writes their tallies, from which the hourly sets,
-    the rejects and the ledger are all taken. `files` lists the dumps present
-    (file_name); by default they are the ones lines came from, so a dump
-    without a single line counts as missing.
+    The lines are read once: their tallies hold the hourly sums, the rejects and
+    the names of all dumps. The ledger takes the dumps of days that have all 24;
+    the others count as not converted. `files` lists the dumps present
+    (file_name); by default they are the ones lines came from, so a dump without
+    a single line counts as missing.
     """
-    counted_tally, seen = counted(tally(lines, pages), "tally")
-    write_tally(counted_tally, warehouse.tally, batch_id)
+    seen = Observation()
+    write_tally(tally(lines, pages), warehouse.tally, batch_id, tasks, seen)
     tallies = read_tally(spark, warehouse.tally).where(F.col("batch_id") == batch_id)
-
-    present = (files if files is not None else tallies).select("file_name").distinct()
-    complete = complete_days(present)
-    hourly, hourly_seen = counted(gate_days(hourly_of_tally(tallies), complete), "hourly")
-    write_hourly(hourly, warehouse.hourly)
-
-    converted = gate_days(_with_file_date(present), complete)
+    present = _with_file_date((files if files is not None else tallies).select("file_name"))
+    converted = gate_days(present, complete_days(present))
     append_ledger(ledger_rows(converted, "hourly", batch_id), warehouse.ledger)
     if audit:
-        audit.record("tally", "lines tallied", rows=seen.get["rows"])
-        audit.record("hourly", "hourly sets written", rows=hourly_seen.get["rows"])
+        audit.record("hourly", "lines tallied by hour", rows=seen.get["rows"])
+    return tallies
 
 
 def _with_file_date(files: DataFrame) -> DataFrame:
-    from tallyhouse.functions import file_date_of
-
     return files.withColumn("file_date", file_date_of(F.col("file_name")))
 
 
 def combine_days(
-    spark: SparkSession, warehouse: Warehouse, batch_id: str | None = None,
-    audit: RunAudit | None = None,
+    spark: SparkSession, warehouse: Warehouse, tallies: DataFrame, files: DataFrame,
+    batch_id: str, audit: RunAudit | None = None, tasks: int | None = None,
 ) -> None:
-    """Hourly sets to day sets, gated again on what was really converted."""
-    done = _ledger(spark, warehouse).where(F.col("stage") == "hourly")
-    hourly = read_hourly(spark, warehouse.hourly)
-    if batch_id is not None:
-        done = done.where(F.col("batch_id") == batch_id)
-    day_sets, seen = counted(gate_days(hourly, complete_days(done)), "daily")
-    write_daily(day_sets, warehouse.daily)
+    """Hourly sums to day sets, for the days of which `files` has all dumps.
+
+    The gate comes before the sums: it filters on the folders' file_date, so
+    other days are not even read.
+    """
+    days = complete_days(files)
+    seen = Observation()
+    write_daily(hourly_of_tally(gate_days(tallies, days)), warehouse.daily, tasks, seen)
+    done = days.select(F.col("file_date").cast("string").alias("file_name"))
+    append_ledger(ledger_rows(done, "daily", batch_id), warehouse.ledger)
     if audit:
         audit.record("daily", "day sets written", rows=seen.get["rows"])
 
 
 def combine_months(
-    spark: SparkSession, warehouse: Warehouse, batch_id: str | None = None,
-    audit: RunAudit | None = None,
+    spark: SparkSession, warehouse: Warehouse, batch_id: str, audit: RunAudit | None = None,
+    tasks: int | None = None,
 ) -> None:
-    """Day sets to month sets, for the months with all their days.
-
-    Only months touched by `batch_id` are written when it is given.
-    """
-    done = _ledger(spark, warehouse).where(F.col("stage") == "hourly")
-    complete = complete_months(complete_days(done))
-    if batch_id is not None:
-        touched = _with_file_date(done.where(F.col("batch_id") == batch_id)).select(
-            month_key(F.col("file_date")).alias("file_month")
-        ).distinct()
-        complete = complete.join(touched, "file_month", "left_semi")
-    keyed = calendar_keys(gate_months(read_daily(spark, warehouse.daily), complete))
-    month_sets, seen = counted(keyed, "monthly")
-    write_monthly(month_sets, warehouse.monthly)
+    """Day sets to month sets, for the months the batch has brought days of and
+    that now have all their days."""
+    days = _ledger(spark, warehouse).where(F.col("stage") == "daily").select(
+        F.col("file_name").cast("date").alias("file_date"), "batch_id"
+    )
+    touched = days.where(F.col("batch_id") == batch_id).select(
+        month_key(F.col("file_date")).alias("file_month")
+    )
+    months = complete_months(days).join(touched.distinct(), "file_month", "left_semi")
+    keyed = calendar_keys(gate_months(read_daily(spark, warehouse.daily), months))
+    seen = Observation()
+    write_monthly(keyed, warehouse.monthly, tasks, seen)
     if audit:
         audit.record("monthly", "month sets written", rows=seen.get["rows"])
 
@@ -115,11 +111,35 @@ def combine_months(
 def to_months(
     spark: SparkSession, lines: DataFrame, warehouse: Warehouse, batch_id: str,
     pages: Sequence[str] = COMPANY_PAGES, files: DataFrame | None = None,
-    audit: RunAudit | None = None,
+    audit: RunAudit | None = None, tasks: int | None = None,
+) -> DataFrame:
+    """Dump lines to hourly sums, day and month sets; returns the month sets.
+
+    The day gate is asked again after the conversion, of the ledger. `tasks`
+    spreads the writes, see tallyhouse.sinks.tables.
+    """
+    tallies = convert(spark, lines, warehouse, batch_id, pages, files, audit, tasks)
+    converted = _ledger(spark, warehouse).where(
+        (F.col("stage") == "hourly") & (F.col("batch_id") == batch_id)
+    )
+    combine_days(spark, warehouse, tallies, converted, batch_id, audit, tasks)
+    combine_months(spark, warehouse, batch_id, audit, tasks)
+    return read_monthly(spark, warehouse.monthly)
+
+
+def ingest_stream(
+    spark: SparkSession, lines: DataFrame, warehouse: Warehouse, batch_id: str,
+    pages: Sequence[str] = COMPANY_PAGES, audit: RunAudit | None = None,
 ) -> DataFrame:
-    """Dump lines to hourly, day and month sets; returns the month sets."""
-    convert(spark, lines, warehouse, batch_id, pages, files, audit)
-    combine_days(spark, warehouse, batch_id, audit)
+    """to_months for a stream of dumps: tallies what is new, then combines the
+    days that have become complete with it."""
+    ingest_available(lines, warehouse.tally, warehouse.stream_checkpoint, pages)
+    tallies = read_tally(spark, warehouse.tally)
+    days = F.col("file_date").cast("string").alias("file_name")
+    seen = tallies.where(F.col("file_date").isNotNull()).select(days, "file_date").distinct()
+    waiting = pending(seen, _ledger(spark, warehouse), "daily").select("file_date")
+    fresh = gate_days(tallies, waiting)
+    combine_days(spark, warehouse, fresh, fresh, batch_id, audit)
     combine_months(spark, warehouse, batch_id, audit)
     return read_monthly(spark, warehouse.monthly)
 
@@ -197,7 +217,7 @@ def checked_months(
 def load_fact(
     spark: SparkSession, monthly: DataFrame, fact_path: str,
     dim_date: DataFrame, dim_time: DataFrame, refused_path: str | None = None,
-    audit: RunAudit | None = None,
+    audit: RunAudit | None = None, tasks: int | None = None,
 ) -> None:
     """Month sets to the partitioned fact table.
 
@@ -215,8 +235,8 @@ def load_fact(
             "load_month"
         ).parquet(refused_path)
     good = checked.where(F.col("broken_rules") == "").drop("broken_rules")
-    fact, seen = counted(with_fact_id(good), "fact")
-    write_fact(fact, fact_path)
+    seen = Observation()
+    write_fact(with_fact_id(good), fact_path, tasks, seen)
     if audit:
         audit.record("fact", "facts loaded", rows=seen.get["rows"])
 

@@ -5,7 +5,6 @@ from pyspark.sql import types as T
 # --- fixed values -----------------------------------------------------------
 COMPANY_PAGES = ["Google", "Facebook", "Amazon", "Microsoft", "Apple", "Walmart"]
 DUMP_BASE_URL = "https://dumps.wikimedia.org/other/pageviews"
-DUMP_NAME = r"^pageviews-(\d{8})-(\d{6})\.gz$"
 HOURS_PER_DAY = 24
 DIM_DATE_START, DIM_DATE_END = "2015-01-01", "2025-12-31"
 FIRST_PARTITION_YEAR, LAST_PARTITION_YEAR = 2015, 2030

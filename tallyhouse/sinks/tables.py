@@ -4,59 +4,83 @@ Each write replaces exactly the partitions its rows belong to, so repeating a
 stage, or running it again after a failure, changes nothing. The rows of a
 partition are brought together by a rebalance first: about one file per
 partition, several where adaptive execution finds it too big for one task.
+
+Where partitions are many and small, a write costs per file and not per byte.
+`tasks` then spreads it over that many ranges of rows instead of rebalancing by
+size. A range may end inside a partition, so a hot one is cut as well. `seen`
+counts the rows while they are written, which saves a second scan.
 """
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, functions as F
 
 from tallyhouse.functions import month_key
 
 
+def _partition_writer(
+    rows: DataFrame, by: Sequence[str], order: Sequence[str] = (), tasks: int | None = None,
+    seen: Observation | None = None,
+) -> DataFrameWriter:
+    if tasks is None:
+        gathered = rows.hint("rebalance", *by)
+    else:
+        gathered = rows.repartitionByRange(tasks, *by, *order)
+    ordered = gathered.sortWithinPartitions(*by, *order)
+    if seen is not None:
+        # After the exchange: sampling the ranges runs what is before it twice.
+        ordered = ordered.observe(seen, F.count(F.lit(1)).alias("rows"))
+    return ordered.write.partitionBy(*by)
+
+
 def _replace_partitions(
-    rows: DataFrame, path: str, by: Sequence[str], order: Sequence[str] = ()
+    rows: DataFrame, path: str, by: Sequence[str], order: Sequence[str] = (),
+    tasks: int | None = None, seen: Observation | None = None,
 ) -> None:
     (
-        rows.hint("rebalance", *by)
-        .sortWithinPartitions(*by, *order)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by)
-        .parquet(path)
+        _partition_writer(rows, by, order, tasks, seen).mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").parquet(path)
     )
 
 
-def write_tally(tallies: DataFrame, path: str, batch_id: str) -> None:
+def write_tally(
+    tallies: DataFrame, path: str, batch_id: str, tasks: int | None = None,
+    seen: Observation | None = None,
+) -> None:
     """The tallies of one batch, replacing an earlier attempt at that batch."""
-    by = ["outcome", "file_date"]
-    (
-        tallies.hint("rebalance", *by)
-        .sortWithinPartitions(*by, "file_name", "domain", "pagename")
-        .write.mode("overwrite").partitionBy(*by).parquet(f"{path}/batch_id={batch_id}")
+    writer = _partition_writer(
+        tallies, ["outcome", "file_date"], ["file_name", "domain", "pagename", "line"], tasks, seen
     )
+    writer.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
-def write_hourly(hourly: DataFrame, path: str) -> None:
+def write_hourly(hourly: DataFrame, path: str, tasks: int | None = None) -> None:
     """Hourly sets, one partition per dump, sorted by domain and page."""
-    _replace_partitions(hourly, path, ["file_date", "file_time"], ["domain", "pagename"])
+    _replace_partitions(hourly, path, ["file_date", "file_time"], ["domain", "pagename"], tasks)
 
 
-def write_daily(hourly: DataFrame, path: str) -> None:
+def write_daily(
+    hourly: DataFrame, path: str, tasks: int | None = None, seen: Observation | None = None
+) -> None:
     """Day sets: the hourly rows of a file date as one partition."""
-    _replace_partitions(hourly, path, ["file_date"], ["file_time", "domain", "pagename"])
+    _replace_partitions(hourly, path, ["file_date"], ["file_time", "domain", "pagename"], tasks, seen)
 
 
-def write_monthly(keyed: DataFrame, path: str) -> None:
+def write_monthly(
+    keyed: DataFrame, path: str, tasks: int | None = None, seen: Observation | None = None
+) -> None:
     """Month sets: day sets with calendar keys, one partition per file month."""
     if "file_month" not in keyed.columns:
         keyed = keyed.withColumn("file_month", month_key(F.col("file_date")))
     _replace_partitions(
         keyed.drop("file_date", "file_time"), path, ["file_month"],
-        ["date_id", "time_id", "domain", "pagename"],
+        ["date_id", "time_id", "domain", "pagename"], tasks, seen,
     )
 
 
-def write_fact(fact: DataFrame, path: str) -> None:
+def write_fact(
+    fact: DataFrame, path: str, tasks: int | None = None, seen: Observation | None = None
+) -> None:
     """The fact by (load_month, year, month).
 
     A month set holds the last midnight of the month before. With load_month,
@@ -64,7 +88,8 @@ def write_fact(fact: DataFrame, path: str) -> None:
     rest of that earlier month alone.
     """
     _replace_partitions(
-        fact, path, ["load_month", "year", "month"], ["date_id", "time_id", "domain", "pagename"]
+        fact, path, ["load_month", "year", "month"],
+        ["date_id", "time_id", "domain", "pagename"], tasks, seen,
     )
 
 
@@ -78,13 +103,13 @@ def append_ledger(rows: DataFrame, path: str) -> None:
     _replace_partitions(rows, path, ["stage", "batch_id"])
 
 
-def land_dumps(lines: DataFrame, path: str, compression: str = "gzip") -> None:
+def land_dumps(
+    lines: DataFrame, path: str, compression: str = "gzip", tasks: int | None = None
+) -> None:
     """Stage (value, file_name) lines as gzip text, a folder per dump.
 
     A large dump becomes several files, which are then read in parallel.
     """
-    (
-        lines.select("value", "file_name").hint("rebalance", "file_name")
-        .write.mode("append").option("compression", compression)
-        .partitionBy("file_name").text(path)
-    )
+    rows = lines.select("value", "file_name")
+    writer = _partition_writer(rows, ["file_name"], ["value"] if tasks else [], tasks)
+    writer.mode("append").option("compression", compression).text(path)

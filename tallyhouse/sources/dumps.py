@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyhouse.functions import dump_name, file_date_of, file_time_of, path_dump_name
+from tallyhouse.functions import dump_name, file_date_of, path_dump_name
 from tallyhouse.schemas import DUMP_BASE_URL, HOURS_PER_DAY, RAW_LINE
 
 _CHUNK = 1 << 16
@@ -90,12 +90,11 @@ def audit_dumps(
         )
     else:
         found = found.withColumn("intact", F.lit(True)).drop("content")
-    named = file_date_of(F.col("file_name")).isNotNull() & file_time_of(F.col("file_name")).isNotNull()
     verdict = (
         F.when(F.col("length") == 0, "empty")
         .when(~F.col("is_gzip"), "not_gzip")
         .when(~F.col("intact"), "truncated")
-        .when(~named, "bad_name")
+        .when(file_date_of(F.col("file_name")).isNull(), "bad_name")
         .otherwise("ok")
     )
     return found.select("file_name", "path", "length", verdict.alias("verdict"))

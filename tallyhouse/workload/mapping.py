@@ -5,6 +5,8 @@ Whole tables, one line per row; nothing is sampled or left out.
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tallyhouse.functions import dump_name
+
 PAGES = ["page0", "page1", "page2", "page3", "page4", "page5"]
 
 
@@ -15,13 +17,6 @@ def _line(domain: Column, page_number: Column, views: Column) -> Column:
     )
 
 
-def _name(day: Column, hour: Column) -> Column:
-    return F.concat(
-        F.lit("pageviews-"), F.date_format(day, "yyyyMMdd"),
-        F.lit("-"), F.lpad(hour.cast("string"), 2, "0"), F.lit("0000.gz"),
-    )
-
-
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
@@ -40,7 +35,7 @@ def raw(spark: SparkSession, sf_dir: str, hour_shift: int = 0, domain: Column |
     """Events as lines of the dump of their hour: 30 days with all their hours."""
     return events(spark, sf_dir).select(
         event_line(domain).alias("value"),
-        _name(F.col("ts"), F.hour("ts") + hour_shift).alias("file_name"),
+        dump_name(F.col("ts").cast("date"), F.hour("ts") + hour_shift).alias("file_name"),
     )
 
 
@@ -54,7 +49,7 @@ def raw_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(event_line())
     )
     name = F.when(event % 83 == 0, "pageviews_20240101.gz").otherwise(
-        _name(F.col("ts"), F.hour("ts"))
+        dump_name(F.col("ts").cast("date"), F.hour("ts"))
     )
     return events(spark, sf_dir).select(value.alias("value"), name.alias("file_name"))
 
@@ -71,7 +66,7 @@ def raw_long(spark: SparkSession, sf_dir: str, years: int = 20) -> DataFrame:
     """Line items as lines of dumps over seven years, moved by whole years."""
     day = F.add_months(F.col("l_shipdate").cast("date"), 12 * years)
     return lineitem(spark, sf_dir).select(
-        _item_line().alias("value"), _name(day, _item_hour()).alias("file_name")
+        _item_line().alias("value"), dump_name(day, _item_hour()).alias("file_name")
     )
 
 
@@ -81,5 +76,5 @@ def raw_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = F.datediff(F.col("l_shipdate").cast("date"), F.lit("1995-01-01").cast("date"))
     day = F.date_add(F.lit("2015-01-01").cast("date"), F.floor(days / 30).cast("int"))
     return lineitem(spark, sf_dir).select(
-        _item_line().alias("value"), _name(day, _item_hour()).alias("file_name")
+        _item_line().alias("value"), dump_name(day, _item_hour()).alias("file_name")
     )

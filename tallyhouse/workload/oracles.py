@@ -1,9 +1,10 @@
 """The same queries as plain SQL over the given tables."""
 
-from tallyhouse.schemas import DIM_DATE_END, DIM_DATE_START, DUMP_BASE_URL, DUMP_NAME
+from tallyhouse.schemas import DIM_DATE_END, DIM_DATE_START, DUMP_BASE_URL
 from tallyhouse.workload.mapping import PAGES
 from tallyhouse.workload.queries import CUT
 
+DUMP_NAME = r"^pageviews-(\d{8})-(\d{6})\.gz$"
 PAGE_LIST = ", ".join(f"'{page}'" for page in PAGES)
 
 # --- dump lines -------------------------------------------------------------
@@ -213,9 +214,9 @@ from parsed""",
     "gz_deep_audit": f"with lines as ({RAW}) select distinct file_name, 'ok' as verdict from lines",
     "scan_hourly_schema": ALL_HOURLY,
     "scan_daily_schema": f"""
-with {hourly(RAW_LONG)}
+with {hourly(RAW_DENSE)}
 select {HOURLY_OUT}, file_date, file_time from hourly
-where fd between date '2018-01-01' and date '2018-06-30'""",
+where fd between date '2015-02-01' and date '2015-02-28'""",
     "scan_month_schema": f"with {keyed(RAW_LONG)} select {MONTH_OUT} from keyed",
     "date_spine": f"""
 with {parsed(RAW_LONG)} select strftime(d, '%Y-%m-%d') as date from ({DATA_DAYS})""",
@@ -345,11 +346,11 @@ tallied as (
            case when outcome = 'kept' then pagename end
     from (select *, case when pagename in ({PAGE_LIST}) then 'kept' else 'other' end as outcome
           from parsed))
-select 'tally' as stage, 'lines tallied' as message, count(*) as rows from tallied
-union all select 'hourly', 'hourly sets written', count(*) from gated_days
+select 'hourly' as stage, 'lines tallied by hour' as message, count(*) as rows from tallied
 union all select 'daily', 'day sets written', count(*) from gated_days
 union all select 'monthly', 'month sets written', count(*) from gated_months
-union all select 'fact', 'facts loaded', count(*) from gated_months""",
+union all select 'fact', 'facts loaded', count(*) from gated_months
+          where date_id >= 20150101""",
     "pipeline_to_month": f"""
 with {DENSE_MONTHS}
 select {MONTH_OUT} from keyed where file_month in (from complete_months)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from tallyhouse import operators as op
 from tallyhouse import sinks, sources
 from tallyhouse.functions import (
-    calendar_day, file_date_of, file_time_of, hour_of_day, month_key,
+    calendar_day, clock_text, file_clock_of, file_date_of, month_key,
 )
 from tallyhouse.plans import RunAudit, Warehouse, load_fact, to_months
 from tallyhouse.schemas import LOAD_COLUMNS
@@ -33,6 +33,11 @@ def shown(rows: DataFrame) -> DataFrame:
     ])
 
 
+def spread(spark: SparkSession) -> int:
+    """Tasks for a write of many small partitions: every core the session has."""
+    return spark.sparkContext.defaultParallelism
+
+
 def hourly_of(lines: DataFrame) -> DataFrame:
     return op.hourly_pageviews(op.keep_pages(op.split_lines(lines), PAGES))
 
@@ -45,46 +50,42 @@ def dump_names(lines: DataFrame) -> DataFrame:
     return lines.select("file_name").distinct()
 
 
-def with_file_date(files: DataFrame) -> DataFrame:
-    return files.withColumn("file_date", file_date_of(F.col("file_name")))
-
-
 def dims(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
     return op.dim_date_between(spark), op.dim_time(sources.hours_between(spark))
 
 
 def before_cut(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    day = file_date_of(F.col("file_name"))
-    return lines.where(day < F.lit(CUT).cast("date")), lines.where(day >= F.lit(CUT).cast("date"))
+    first_late = "pageviews-" + CUT.replace("-", "")
+    return lines.where(F.col("file_name") < first_late), lines.where(F.col("file_name") >= first_late)
 
 
 def data_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spine over the dates of the line items' dumps."""
-    day = file_date_of(F.col("file_name"))
+    dumps = op.dumps_of(raw_long(spark, sf_dir))
     return sources.date_spine(
-        raw_long(spark, sf_dir).agg(F.min(day).alias("start"), F.max(day).alias("end"))
+        dumps.agg(F.min("file_date").alias("start"), F.max("file_date").alias("end"))
     )
 
 
 def data_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hours the events' dumps have."""
-    hour = hour_of_day(file_time_of(F.col("file_name")))
-    return dump_names(raw(spark, sf_dir)).select(hour.alias("hour")).distinct()
+    hour = F.substring("file_time", 1, 2).cast("int")
+    return op.dumps_of(raw(spark, sf_dir)).select(hour.alias("hour")).distinct()
 
 
 # --- sources ----------------------------------------------------------------
 
 def scan_dump_text(spark, sf_dir):
     folder = scratch_folder(spark, "dumps")
-    sinks.land_dumps(raw(spark, sf_dir), folder)
+    sinks.land_dumps(raw(spark, sf_dir), folder, tasks=spread(spark))
     return sources.read_dumps(spark, folder, landed=True)
 
 
 def expected_hour_manifest(spark, sf_dir):
-    days = raw_long(spark, sf_dir).select(file_date_of(F.col("file_name")).alias("d")).distinct()
-    rebuilt = days.select(
-        calendar_day(F.year("d"), F.month("d"), F.dayofmonth("d")).alias("date")
-    )
+    days = op.dumps_of(raw_long(spark, sf_dir)).select("file_date").distinct()
+    rebuilt = days.select(calendar_day(
+        F.year("file_date"), F.month("file_date"), F.dayofmonth("file_date")
+    ).alias("date"))
     return shown(sources.expected_dumps(rebuilt))
 
 
@@ -97,34 +98,36 @@ def missing_hours(spark, sf_dir):
 def gz_magic_audit(spark, sf_dir):
     folder = scratch_folder(spark, "audit")
     early, late = before_cut(raw(spark, sf_dir))
-    sinks.land_dumps(early, folder)
-    sinks.land_dumps(late, folder, compression="none")
+    sinks.land_dumps(early, folder, tasks=spread(spark))
+    sinks.land_dumps(late, folder, compression="none", tasks=spread(spark))
     return sources.audit_dumps(spark, folder).select("file_name", "verdict").distinct()
 
 
 def gz_deep_audit(spark, sf_dir):
     folder = scratch_folder(spark, "audit")
-    sinks.land_dumps(raw(spark, sf_dir), folder)
+    sinks.land_dumps(raw(spark, sf_dir), folder, tasks=spread(spark))
     audited = sources.audit_dumps(spark, folder, deep=True)
     return audited.select("file_name", "verdict").distinct()
 
 
 def scan_hourly_schema(spark, sf_dir):
     folder = scratch_folder(spark, "hourly")
-    sinks.write_hourly(hourly_of(raw(spark, sf_dir)), folder)
+    sinks.write_hourly(hourly_of(raw(spark, sf_dir)), folder, spread(spark))
     return shown(sources.read_hourly(spark, folder))
 
 
 def scan_daily_schema(spark, sf_dir):
+    """The day sets of one month, found by folder."""
     folder = scratch_folder(spark, "daily")
-    sinks.write_daily(hourly_of(raw_long(spark, sf_dir)), folder)
-    first_half = F.col("file_date").between(F.lit("2018-01-01"), F.lit("2018-06-30"))
-    return shown(sources.read_daily(spark, folder).where(first_half))
+    sinks.write_daily(hourly_of(raw_dense(spark, sf_dir)), folder, spread(spark))
+    february = F.col("file_date").between("2015-02-01", "2015-02-28")
+    return shown(sources.read_daily(spark, folder).where(february))
 
 
 def scan_month_schema(spark, sf_dir):
     folder = scratch_folder(spark, "monthly")
-    sinks.write_monthly(op.calendar_keys(hourly_of(raw_long(spark, sf_dir))), folder)
+    keyed = op.calendar_keys(hourly_of(raw_long(spark, sf_dir)))
+    sinks.write_monthly(keyed, folder, spread(spark))
     return sources.read_monthly(spark, folder)
 
 
@@ -143,12 +146,12 @@ def write_hourly_roundtrip(spark, sf_dir):
     folder, ledger = scratch_folder(spark, "hourly"), scratch_folder(spark, "ledger")
     lines = raw(spark, sf_dir)
     early, _ = before_cut(lines)
-    sinks.write_hourly(hourly_of(early), folder)
+    sinks.write_hourly(hourly_of(early), folder, spread(spark))
     sinks.append_ledger(op.ledger_rows(early, "hourly", "1"), ledger)
     for batch in ("2", "3"):
         done = sources.read_ledger(spark, ledger)
         waiting = op.pending(lines, done, "hourly")
-        sinks.write_hourly(hourly_of(waiting), folder)
+        sinks.write_hourly(hourly_of(waiting), folder, spread(spark))
         sinks.append_ledger(op.ledger_rows(waiting, "hourly", batch), ledger)
     return shown(sources.read_hourly(spark, folder))
 
@@ -156,8 +159,8 @@ def write_hourly_roundtrip(spark, sf_dir):
 def write_daily_roundtrip(spark, sf_dir):
     folder = scratch_folder(spark, "daily")
     hourly = hourly_of(raw(spark, sf_dir))
-    sinks.write_daily(hourly, folder)
-    sinks.write_daily(hourly, folder)
+    sinks.write_daily(hourly, folder, spread(spark))
+    sinks.write_daily(hourly, folder, spread(spark))
     return shown(sources.read_daily(spark, folder))
 
 
@@ -188,15 +191,15 @@ def _long_fact(spark, sf_dir):
 
 def fact_partitioned_write(spark, sf_dir):
     folder = scratch_folder(spark, "fact")
-    sinks.write_fact(_long_fact(spark, sf_dir), folder)
+    sinks.write_fact(_long_fact(spark, sf_dir), folder, spread(spark))
     return sources.read_fact(spark, folder)
 
 
 def fact_reload_idempotent(spark, sf_dir):
     folder = scratch_folder(spark, "fact")
     fact = _long_fact(spark, sf_dir)
-    sinks.write_fact(fact, folder)
-    sinks.write_fact(fact.where(F.col("load_month").startswith("2018-")), folder)
+    sinks.write_fact(fact, folder, spread(spark))
+    sinks.write_fact(fact.where(F.col("load_month").startswith("2018-")), folder, spread(spark))
     return sources.read_fact(spark, folder)
 
 
@@ -243,7 +246,7 @@ def file_name_parse(spark, sf_dir):
     return dump_names(raw_dirty(spark, sf_dir)).select(
         "file_name",
         F.coalesce(file_date_of(name).cast("string"), F.lit("")).alias("file_date"),
-        F.coalesce(file_time_of(name), F.lit("")).alias("file_time"),
+        F.coalesce(clock_text(file_clock_of(name)), F.lit("")).alias("file_time"),
     )
 
 
@@ -265,7 +268,7 @@ def gate_day(spark, sf_dir):
 
 
 def _long_days(spark, sf_dir):
-    return with_file_date(dump_names(raw_long(spark, sf_dir)))
+    return op.dumps_of(raw_long(spark, sf_dir)).select("file_date").distinct()
 
 
 def complete_months(spark, sf_dir):
@@ -417,31 +420,35 @@ def incremental_ingest(spark, sf_dir):
     folder, tallies = scratch_folder(spark, "dumps"), scratch_folder(spark, "tally")
     checkpoint = scratch_folder(spark, "stream")
     for part in before_cut(raw(spark, sf_dir)):
-        sinks.land_dumps(part, folder)
+        sinks.land_dumps(part, folder, tasks=spread(spark))
         ingest_available(stream_dumps(spark, folder, landed=True), tallies, checkpoint, PAGES)
     ingest_available(stream_dumps(spark, folder, landed=True), tallies, checkpoint, PAGES)
     return shown(stream_hourly(spark, tallies))
 
 
 def run_audit(spark, sf_dir):
+    """The first midnight dump belongs to 2014, before dim_date: it is refused."""
     house = Warehouse(scratch_folder(spark, "warehouse"))
     audit = RunAudit(spark, house.audit)
-    monthly = to_months(spark, raw_dense(spark, sf_dir), house, "1", PAGES, audit=audit)
-    load_fact(spark, monthly, house.fact, *dims(spark), audit=audit)
+    monthly = to_months(
+        spark, raw_dense(spark, sf_dir), house, "1", PAGES, audit=audit, tasks=spread(spark)
+    )
+    load_fact(spark, monthly, house.fact, *dims(spark), house.refused, audit, spread(spark))
     return audit.read().select("stage", "message", F.col("metrics")["rows"].alias("rows"))
 
 
 def pipeline_to_month(spark, sf_dir):
     house = Warehouse(scratch_folder(spark, "warehouse"))
-    return to_months(spark, raw_dense(spark, sf_dir), house, "1", PAGES)
+    return to_months(spark, raw_dense(spark, sf_dir), house, "1", PAGES, tasks=spread(spark))
 
 
 def pipeline_load_fact(spark, sf_dir):
     house = Warehouse(scratch_folder(spark, "warehouse"))
     complete = op.complete_months(_long_days(spark, sf_dir))
     gated = op.gate_months(hourly_of(raw_long(spark, sf_dir)), complete)
-    sinks.write_monthly(op.calendar_keys(gated), house.monthly)
-    load_fact(spark, sources.read_monthly(spark, house.monthly), house.fact, *dims(spark))
+    sinks.write_monthly(op.calendar_keys(gated), house.monthly, spread(spark))
+    monthly = sources.read_monthly(spark, house.monthly)
+    load_fact(spark, monthly, house.fact, *dims(spark), tasks=spread(spark))
     return sources.read_fact(spark, house.fact)
 
 
