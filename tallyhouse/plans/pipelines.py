@@ -165,21 +165,16 @@ def ingest_folder(
     if end:
         found = found.where(F.col("file_date") <= F.lit(end).cast("date"))
     waiting = pending(found, _ledger(spark, warehouse), "hourly")
-    ready = gate_days(waiting, complete_days(waiting))
-    paths = [row.path for row in ready.select("path").toLocalIterator()]
+    paths = _paths_of_complete_days(waiting)
     if check and paths:
-        verdicts = audit_dumps(spark, paths, deep=True)
-        sound = verdicts.where(F.col("verdict").isin("ok", "empty"))
-        bad = [(row.file_name, row.path, row.verdict)
-               for row in verdicts.where(~F.col("verdict").isin("ok", "empty")).toLocalIterator()]
-        if bad and audit:
-            for name, _, verdict in bad:
+        verdicts = audit_dumps(spark, paths, deep=True).where("verdict <> 'ok'")
+        damaged = [(row.file_name, row.verdict) for row in verdicts.toLocalIterator()]
+        if damaged:
+            named = spark.createDataFrame(damaged, "file_name string, verdict string")
+            paths = _paths_of_complete_days(waiting.join(named, "file_name", "left_anti"))
+        if audit:
+            for name, verdict in damaged:
                 audit.record("check", f"{name} is {verdict}")
-        sound = _with_file_date(sound)
-        ready = gate_days(sound, complete_days(sound))
-        broken = {path for _, path, _ in bad}
-        days_left = {row.path for row in ready.select("path").toLocalIterator()} if bad else set(paths)
-        paths = [path for path in paths if path in days_left and path not in broken]
     if not paths:
         return 0
     files = spark.createDataFrame([(path.rsplit("/", 1)[-1],) for path in paths], "file_name string")
@@ -187,6 +182,11 @@ def ingest_folder(
     return len(paths)
 
 
+def _paths_of_complete_days(files: DataFrame) -> list[str]:
+    ready = gate_days(files, complete_days(files))
+    return [row.path for row in ready.select("path").toLocalIterator()]
+
+
 def build_dimensions(
     spark: SparkSession, warehouse: Warehouse,
     start: str = DIM_DATE_START, end: str = DIM_DATE_END,

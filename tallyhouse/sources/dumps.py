@@ -35,7 +35,8 @@ def read_dumps(
 
 
 def list_dumps(spark: SparkSession, path: str) -> DataFrame:
-    """Files under a folder as (file_name, path, length), without reading them."""
+    """Files under a folder as (file_name, path, length), without reading them.
+    Files of no bytes are not listed."""
     found = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     )
@@ -69,8 +70,9 @@ def _intact_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def audit_dumps(
     spark: SparkSession, paths: str | Sequence[str], *, deep: bool = False
 ) -> DataFrame:
-    """Verdict per file: ok, empty, not_gzip, truncated (with `deep`) or bad_name.
+    """Verdict per file: ok, not_gzip, truncated (with `deep`) or bad_name.
 
+    Spark's file sources pass over files of no bytes, so those count as missing.
     Reading the content loads whole files, so pass the suspect ones where the
     folder is large. `deep` decompresses each file in the task that read it, a
     chunk at a time.
@@ -91,8 +93,7 @@ def audit_dumps(
     else:
         found = found.withColumn("intact", F.lit(True)).drop("content")
     verdict = (
-        F.when(F.col("length") == 0, "empty")
-        .when(~F.col("is_gzip"), "not_gzip")
+        F.when(~F.col("is_gzip"), "not_gzip")
         .when(~F.col("intact"), "truncated")
         .when(file_date_of(F.col("file_name")).isNull(), "bad_name")
         .otherwise("ok")

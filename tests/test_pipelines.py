@@ -1,0 +1,246 @@
+import datetime
+
+import pytest
+from pyspark.sql import DataFrameWriter, functions as F
+
+from dumpfiles import write_day, write_dump
+from tallyhouse.operators import (
+    calendar_keys, dim_date_between, dim_time, pk_violations, with_broken_rules, with_fact_id,
+)
+from tallyhouse.plans import (
+    ConstraintError, RunAudit, Warehouse, build_dimensions, ingest_folder, ingest_stream,
+    load_fact, load_jdbc, load_months, log_lines,
+)
+from tallyhouse.schemas import FACT_COLUMNS, LOAD_COLUMNS
+from tallyhouse.sinks import write_fact
+from tallyhouse.sources import (
+    hours_between, read_daily, read_fact, read_ledger, read_monthly,
+)
+from tallyhouse.streaming import ingest_available, stream_dumps, stream_hourly
+
+
+def february(folder):
+    for day in range(1, 29):
+        write_day(folder, f"201502{day:02d}")
+
+
+@pytest.fixture(scope="module")
+def dumps(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("dumps")
+    february(folder)
+    write_day(folder, "20150301")
+    write_day(folder, "20150302", hours=range(23))
+    write_dump(folder, "pageviews-201503.gz", ["en Google 1000 0"])
+    return folder
+
+
+@pytest.fixture(scope="module")
+def house(spark, dumps, tmp_path_factory):
+    house = Warehouse(str(tmp_path_factory.mktemp("house")))
+    audit = RunAudit(spark, house.audit, "first")
+    assert ingest_folder(spark, str(dumps), house, "1", audit=audit) == 29 * 24
+    build_dimensions(spark, house)
+    load_months(spark, house, "1", audit=audit)
+    return house
+
+
+def test_days_and_months(spark, house):
+    days = read_daily(spark, house.daily).select("file_date").distinct().collect()
+    assert len(days) == 29
+    months = read_monthly(spark, house.monthly)
+    assert [r.file_month for r in months.select("file_month").distinct().collect()] == ["2015-02"]
+    assert months.count() == 28 * 24
+    assert months.where("year = 2015 AND month = 1").count() == 1  # the first midnight
+
+
+def test_fact(spark, house):
+    fact = read_fact(spark, house.fact)
+    assert fact.count() == 28 * 24
+    assert fact.agg(F.sum("sumpageviewcount")).first()[0] == 28 * sum(range(1, 25))
+    assert fact.select("fact_id").distinct().count() == 28 * 24
+    first = fact.where("date_id = 20150131").first()
+    assert (first.time_id, first.load_month, first.year, first.month) == (0, "2015-02", 2015, 1)
+
+
+def test_nothing_new_means_nothing_done(spark, house, dumps):
+    before = sorted(map(tuple, read_fact(spark, house.fact).collect()))
+    assert ingest_folder(spark, str(dumps), house, "2") == 0
+    load_months(spark, house, "2")
+    load_months(spark, house, "3", reload=["2015-02"])
+    assert sorted(map(tuple, read_fact(spark, house.fact).collect())) == before
+
+
+def test_ledger_and_audit(spark, house):
+    ledger = read_ledger(spark, house.ledger).where("batch_id = '1'")
+    counts = {r.stage: r["count"] for r in ledger.groupBy("stage").count().collect()}
+    assert counts == {"hourly": 29 * 24, "daily": 29, "fact": 1}
+    audit = RunAudit(spark, house.audit, "first").read()
+    metrics = {r.stage: r.metrics["rows"] for r in audit.collect()}
+    assert metrics == {"hourly": 29 * 48, "daily": 29 * 24, "monthly": 28 * 24, "fact": 28 * 24}
+    assert log_lines(audit).where(r"value rlike '^\\d{4}-\\d\\d-\\d\\d \\d\\d:\\d\\d:\\d\\d : .+'").count() == 4
+
+
+def test_damaged_dump_leaves_out_its_day(spark, tmp_path):
+    folder = tmp_path / "dumps"
+    folder.mkdir()
+    write_day(folder, "20150901")
+    write_day(folder, "20150902")
+    damaged = folder / "pageviews-20150902-050000.gz"
+    damaged.write_bytes(damaged.read_bytes()[:-6])
+    house = Warehouse(str(tmp_path / "house"))
+    audit = RunAudit(spark, house.audit)
+    assert ingest_folder(spark, str(folder), house, "1", check=True, audit=audit) == 24
+    days = read_daily(spark, house.daily).select("file_date").distinct().collect()
+    assert [r.file_date for r in days] == [datetime.date(2015, 9, 1)]
+    assert "truncated" in audit.read().where("stage = 'check'").first().message
+    write_day(folder, "20150902")
+    assert ingest_folder(spark, str(folder), house, "2", check=True) == 24
+    assert read_daily(spark, house.daily).select("file_date").distinct().count() == 2
+
+
+def test_date_range(spark, dumps, tmp_path):
+    house = Warehouse(str(tmp_path / "house"))
+    assert ingest_folder(spark, str(dumps), house, "1", start="2015-02-03", end="2015-02-04") == 48
+
+
+def test_stream_in_several_runs_equals_batch(spark, house, tmp_path):
+    folder = tmp_path / "dumps"
+    folder.mkdir()
+    streamed = Warehouse(str(tmp_path / "house"))
+
+    def run(batch):
+        lines = stream_dumps(spark, str(folder), files_per_batch=300)
+        return ingest_stream(spark, lines, streamed, batch)
+
+    write_day(folder, "20150201", hours=range(5))
+    assert run("1").count() == 0
+    february(folder)
+    months = run("2")
+    want = sorted(map(tuple, read_monthly(spark, house.monthly).collect()))
+    assert sorted(map(tuple, months.collect())) == want
+    assert sorted(map(tuple, run("3").collect())) == want
+    assert stream_hourly(spark, streamed.tally, "2015-02-03", "2015-02-04").count() == 48
+
+
+def test_archived_dumps_are_not_counted_twice(spark, tmp_path):
+    folder, archive = tmp_path / "in", tmp_path / "archive"
+    folder.mkdir()
+    tallies, checkpoint = str(tmp_path / "tally"), str(tmp_path / "checkpoint")
+    for day in ("20150901", "20150902", "20150903"):
+        write_day(folder, day, hours=range(2))
+        lines = stream_dumps(spark, str(folder), archive=str(archive))
+        ingest_available(lines, tallies, checkpoint)
+    rows = stream_hourly(spark, tallies).collect()
+    assert len(rows) == 6 and sum(r.sumpageviewcount for r in rows) == 9
+
+
+def month_rows(spark, *rows):
+    hourly = spark.createDataFrame(
+        rows, "domain string, pagename string, sumpageviewcount long, date_collection string, "
+        "time_collection string, file_month string",
+    )
+    return calendar_keys(hourly)
+
+
+GOOD = ("en", "Google", 5, "2015-09-01", "03:00:00", "2015-09")
+BAD = [
+    ("e" * 31, "Google", 5, "2015-09-01", "03:00:00", "2015-09"),
+    ("en", "Google", None, "2015-09-01", "04:00:00", "2015-09"),
+    ("en", "Google", 5, "2026-09-01", "05:00:00", "2026-09"),
+    ("en", "Google", 5, "2031-01-01", "05:00:00", "2031-01"),
+    ("en", "Google", 5, "2015-09-01", "24:00:00", "2015-09"),
+    (None, "Google", 5, "2014-12-31", "00:00:00", "2015-01"),
+]
+
+
+@pytest.fixture(scope="module")
+def dims(spark):
+    return dim_date_between(spark), dim_time(hours_between(spark))
+
+
+def test_rules(spark, dims):
+    rows = month_rows(spark, GOOD, *BAD).select(*LOAD_COLUMNS)
+    checked = with_broken_rules(rows, *dims).collect()
+    assert sorted(r.broken_rules for r in checked) == sorted([
+        "", "length", "not_null", "fk_date", "partition_range,fk_date", "fk_time",
+        "not_null,partition_range,fk_date",
+    ])
+
+
+def test_bad_rows_stop_the_load(spark, dims, tmp_path):
+    path = str(tmp_path / "fact")
+    with pytest.raises(ConstraintError, match="fk_date"):
+        load_fact(spark, month_rows(spark, GOOD, *BAD), path, *dims)
+    assert not (tmp_path / "fact").exists()
+
+
+def test_bad_rows_set_aside(spark, dims, tmp_path):
+    fact, refused = str(tmp_path / "fact"), str(tmp_path / "refused")
+    load_fact(spark, month_rows(spark, GOOD, *BAD), fact, *dims, refused)
+    assert read_fact(spark, fact).count() == 1
+    assert spark.read.parquet(refused).count() == len(BAD)
+
+
+def test_hot_hour_is_numbered_in_slices(spark):
+    """One hour holds all rows: ids stay unique, and stay the same on reordered input."""
+    hot = spark.range(20_000).select(
+        F.lit(20150901).alias("date_id"), F.lit(3).alias("time_id"),
+        F.concat(F.lit("site"), F.col("id")).alias("domain"), F.lit("Google").alias("pagename"),
+    )
+    numbered = with_fact_id(hot)
+    assert numbered.select("fact_id").distinct().count() == 20_000
+    shuffled = with_fact_id(hot.repartition(7, "domain").orderBy(F.desc("domain")))
+    assert numbered.exceptAll(shuffled).isEmpty()
+    assert pk_violations(numbered, ["fact_id"]).isEmpty()
+
+
+def test_full_slice_fails_rather_than_repeats_a_number(spark, monkeypatch):
+    monkeypatch.setattr("tallyhouse.operators.keys.ROWS_PER_SLICE", 2)
+    rows = spark.range(5_000).select(
+        F.lit(20150901).alias("date_id"), F.lit(3).alias("time_id"),
+        F.col("id").cast("string").alias("domain"), F.lit("p").alias("pagename"),
+    )
+    with pytest.raises(Exception, match="facts in one slice"):
+        with_fact_id(rows).collect()
+
+
+def test_reload_of_a_month_keeps_its_neighbours_midnight(spark, dims, tmp_path):
+    path = str(tmp_path / "fact")
+    def load(*rows):
+        load_fact(spark, month_rows(spark, *rows), path, *dims)
+    september = ("en", "Google", 1, "2015-08-31", "00:00:00", "2015-09")
+    august = ("en", "Google", 2, "2015-08-31", "01:00:00", "2015-08")
+    load(september, GOOD)
+    load(august)
+    load(august)
+    assert read_fact(spark, path).count() == 3
+    assert read_fact(spark, path).where("year = 2015 AND month = 8").count() == 2
+
+
+def test_jdbc_append(spark, house, monkeypatch):
+    """What is handed to the writer; no database is started."""
+    calls = []
+    def record(self, url, table, mode=None, properties=None):
+        calls.append((self._df.columns, url, table, mode, properties))
+    monkeypatch.setattr(DataFrameWriter, "jdbc", record)
+    load_jdbc(
+        read_fact(spark, house.fact), "jdbc:postgresql://host/db", writers=4,
+        properties={"user": "loader"},
+    )
+    assert calls == [(
+        FACT_COLUMNS, "jdbc:postgresql://host/db", "fact_pageviews", "append",
+        {"batchsize": "10000", "user": "loader", "numPartitions": "4"},
+    )]
+
+
+def test_write_in_ranges_cuts_a_hot_partition(spark, tmp_path):
+    hot = spark.range(10_000).select(
+        F.col("id").alias("fact_id"), F.lit(20150901).alias("date_id"), F.lit(3).alias("time_id"),
+        F.concat(F.lit("site"), F.col("id")).alias("domain"), F.lit("p").alias("pagename"),
+        F.lit(1).cast("long").alias("sumpageviewcount"), F.lit("2015-09").alias("load_month"),
+        F.lit(2015).alias("year"), F.lit(9).alias("month"),
+    )
+    write_fact(hot, str(tmp_path / "fact"), tasks=4)
+    files = list((tmp_path / "fact" / "load_month=2015-09").rglob("*.parquet"))
+    assert len(files) == 4
+    assert read_fact(spark, str(tmp_path / "fact")).count() == 10_000
