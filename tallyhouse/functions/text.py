@@ -3,9 +3,15 @@
 from pyspark.sql import Column, functions as F
 
 
+USED_FIELDS = 3  # domain, page, views
+
+
 def fields(line: Column) -> Column:
-    """Split on single spaces; two spaces in a row give an empty field."""
-    return F.split(line, " ")
+    """Split on single spaces; two spaces in a row give an empty field.
+
+    What follows the used fields stays in one piece, as nothing reads it.
+    """
+    return F.split(line, " ", USED_FIELDS + 1)
 
 
 def field(parts: Column, position: int) -> Column:

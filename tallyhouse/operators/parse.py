@@ -8,6 +8,7 @@ from tallyhouse.functions import (
     clock_text, collection_date, collection_time, field, fields, file_clock_of, file_date_of,
     view_count,
 )
+from tallyhouse.functions.text import USED_FIELDS
 
 # A page list over this many rows is joined without a broadcast.
 MAX_BROADCAST_PAGES = 1_000_000
@@ -17,7 +18,7 @@ def split_lines(lines: DataFrame) -> DataFrame:
     """(value, file_name) to (file_name, value, domain, pagename, pageview, fields).
 
     Missing fields and counts that are no number give NULL. `fields` is how
-    many fields the line has.
+    many fields the line has, counted up to four.
     """
     parts = F.col("parts")
     return lines.select("file_name", "value", fields(F.col("value")).alias("parts")).select(
@@ -97,7 +98,7 @@ def dumps_of(lines: DataFrame) -> DataFrame:
 
 def line_outcome(pageview: Column, field_count: Column) -> Column:
     """short_line, bad_count, or NULL for a well-formed line."""
-    return F.when(field_count < 3, "short_line").when(pageview.isNull(), "bad_count")
+    return F.when(field_count < USED_FIELDS, "short_line").when(pageview.isNull(), "bad_count")
 
 
 def with_reject_reason(parsed: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tallyhouse.functions import file_date_of, month_key
@@ -31,15 +32,14 @@ class ConstraintError(ValueError):
     """Rows break a constraint of the warehouse."""
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
-
-
 def _ledger(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
-    if _exists(spark, warehouse.ledger):
+    """The ledger, empty before the first batch."""
+    try:
         return read_ledger(spark, warehouse.ledger)
-    return spark.createDataFrame([], LEDGER)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LEDGER)
 
 
 def convert(
