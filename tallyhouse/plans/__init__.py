@@ -1,5 +1,5 @@
 from tallyhouse.plans.audit import RunAudit, log_lines
-from tallyhouse.plans.pipelines import (
+from tallyhouse.plans.jobs import (
     ConstraintError, build_dimensions, combine_days, combine_months, convert, ingest_folder,
     ingest_stream, load_fact, load_jdbc, load_months, to_months,
 )

@@ -214,9 +214,8 @@ from parsed""",
     "gz_deep_audit": f"with lines as ({RAW}) select distinct file_name, 'ok' as verdict from lines",
     "scan_hourly_schema": ALL_HOURLY,
     "scan_daily_schema": f"""
-with {hourly(RAW_DENSE)}
-select {HOURLY_OUT}, file_date, file_time from hourly
-where fd between date '2015-02-01' and date '2015-02-28'""",
+with {keyed(RAW_DENSE)}
+select {HOURLY_OUT}, file_date, file_time, file_month from keyed""",
     "scan_month_schema": f"with {keyed(RAW_LONG)} select {MONTH_OUT} from keyed",
     "date_spine": f"""
 with {parsed(RAW_LONG)} select strftime(d, '%Y-%m-%d') as date from ({DATA_DAYS})""",
@@ -351,11 +350,11 @@ union all select 'daily', 'day sets written', count(*) from gated_days
 union all select 'monthly', 'month sets written', count(*) from gated_months
 union all select 'fact', 'facts loaded', count(*) from gated_months
           where date_id >= 20150101""",
-    "pipeline_to_month": f"""
+    "dumps_to_months": f"""
 with {DENSE_MONTHS}
 select {MONTH_OUT} from keyed where file_month in (from complete_months)
 and fd in (from complete_days)""",
-    "pipeline_load_fact": f"""
+    "months_to_fact": f"""
 with {LONG_MONTHS},
 gated as (select * from keyed where file_month in (from complete_months)),
 {fact_ids("gated", LOADED)} select * from fact""",

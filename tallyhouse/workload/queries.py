@@ -117,11 +117,10 @@ def scan_hourly_schema(spark, sf_dir):
 
 
 def scan_daily_schema(spark, sf_dir):
-    """The day sets of one month, found by folder."""
     folder = scratch_folder(spark, "daily")
     sinks.write_daily(hourly_of(raw_dense(spark, sf_dir)), folder, spread(spark))
-    february = F.col("file_date").between("2015-02-01", "2015-02-28")
-    return shown(sources.read_daily(spark, folder).where(february))
+    daily = sources.read_daily(spark, folder)
+    return shown(daily.withColumn("file_month", month_key(F.col("file_date"))))
 
 
 def scan_month_schema(spark, sf_dir):
@@ -413,7 +412,7 @@ def line_tally(spark, sf_dir):
     )
 
 
-# --- streaming, audit, pipelines --------------------------------------------
+# --- streaming, audit, jobs --------------------------------------------
 
 def incremental_ingest(spark, sf_dir):
     """Early dumps land and are ingested, then the late ones; a last run finds none."""
@@ -437,12 +436,12 @@ def run_audit(spark, sf_dir):
     return audit.read().select("stage", "message", F.col("metrics")["rows"].alias("rows"))
 
 
-def pipeline_to_month(spark, sf_dir):
+def dumps_to_months(spark, sf_dir):
     house = Warehouse(scratch_folder(spark, "warehouse"))
     return to_months(spark, raw_dense(spark, sf_dir), house, "1", PAGES, tasks=spread(spark))
 
 
-def pipeline_load_fact(spark, sf_dir):
+def months_to_fact(spark, sf_dir):
     house = Warehouse(scratch_folder(spark, "warehouse"))
     complete = op.complete_months(_long_days(spark, sf_dir))
     gated = op.gate_months(hourly_of(raw_long(spark, sf_dir)), complete)
@@ -467,6 +466,6 @@ QUERIES = {
         dim_date, dim_date_two_day_weekend, dim_time, not_null_violations, length_violations,
         partition_range_violations, pk_violations, fk_date_violations, fk_time_violations,
         broken_rules, line_rejects, line_tally, incremental_ingest, run_audit,
-        pipeline_to_month, pipeline_load_fact,
+        dumps_to_months, months_to_fact,
     )
 }

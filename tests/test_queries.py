@@ -8,6 +8,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 
+SQL_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "boolean": "BOOLEAN"}
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 TABLES = ["events", "lineitem", "customer"]
 
@@ -31,6 +32,8 @@ def test_query_equals_sql(spark, database, name):
     result = database.execute(oracle_sql()[name])
     columns = [column[0] for column in result.description]
     assert sorted(found.columns) == sorted(columns)
+    types = {column[0]: str(column[1]) for column in result.description}
+    assert {name: SQL_TYPES[kind] for name, kind in found.dtypes} == types
     want = Counter(result.fetchall())
     got = Counter(tuple(row) for row in found.select(*columns).collect())
     assert sum(want.values()) > 0
