@@ -49,7 +49,7 @@ def write_tally(
 ) -> None:
     """The tallies of one batch, replacing an earlier attempt at that batch."""
     writer = _partition_writer(
-        tallies, ["outcome", "file_date"], ["file_name", "domain", "pagename", "line"], tasks, seen
+        tallies, ["outcome"], ["file_date", "file_name", "domain", "pagename", "line"], tasks, seen
     )
     writer.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 

@@ -39,5 +39,6 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_tally(spark: SparkSession, path: str) -> DataFrame:
-    """Line tallies, partitioned by batch_id, outcome and file_date."""
+    """Line tallies, partitioned by batch_id and outcome, and sorted by file_date,
+    so that a filter on dates skips most row groups."""
     return spark.read.schema(TALLY).parquet(path)
