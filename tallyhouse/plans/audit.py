@@ -1,6 +1,7 @@
 """The run audit: an append-only table of what each stage did."""
 
 import uuid
+from collections.abc import Iterable
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -18,10 +19,16 @@ class RunAudit:
         self.run_id = run_id or uuid.uuid4().hex
 
     def record(self, stage: str, message: str, **metrics: int) -> None:
-        event = (datetime.now(timezone.utc), stage, message, metrics, self.run_id)
-        self.spark.createDataFrame([event], AUDIT).write.mode("append").partitionBy(
-            "run_id"
-        ).parquet(self.path)
+        self._append([(datetime.now(timezone.utc), stage, message, metrics, self.run_id)])
+
+    def record_each(self, stage: str, messages: Iterable[str]) -> None:
+        """Several events of a stage, written together."""
+        now = datetime.now(timezone.utc)
+        self._append([(now, stage, message, {}, self.run_id) for message in messages])
+
+    def _append(self, events: list[tuple]) -> None:
+        rows = self.spark.createDataFrame(events, AUDIT)
+        rows.write.mode("append").partitionBy("run_id").parquet(self.path)
 
     def read(self) -> DataFrame:
         """Events of this run."""

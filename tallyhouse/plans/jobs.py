@@ -172,9 +172,8 @@ def ingest_folder(
         if damaged:
             named = spark.createDataFrame(damaged, "file_name string, verdict string")
             paths = _paths_of_complete_days(waiting.join(named, "file_name", "left_anti"))
-        if audit:
-            for name, verdict in damaged:
-                audit.record("check", f"{name} is {verdict}")
+        if damaged and audit:
+            audit.record_each("check", [f"{name} is {verdict}" for name, verdict in damaged])
     if not paths:
         return 0
     files = spark.createDataFrame([(path.rsplit("/", 1)[-1],) for path in paths], "file_name string")
