@@ -5,11 +5,20 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyhouse.llm.common import table
+from tallyhouse.llm.common import table, written
+from tallyhouse.llm.decontam import contamination
 from tallyhouse.llm.langid import fit_profiles, guess_language, trained_rows
 from tallyhouse.llm.lines import dedup_lines
+from tallyhouse.llm.merkle import edited, leaves, likeness, printed, with_next
 from tallyhouse.llm.pieces import encode_decode
+from tallyhouse.llm.pii import KINDS, pseudonymize
+from tallyhouse.llm.secrets import BASE_KINDS, joined_spans, secret_spans
+from tallyhouse.llm.simhash import hex_print, near_groups
+from tallyhouse.llm.toxicity import fit_severity, graded, labelled_sample, severity_of
+from tallyhouse.llm.warc import derivatives
 
+#: A deployment passes its own; with this one results can be compared.
+PSEUDONYM_KEY = "pseudonyms of the registered query"
 PIECE_MODEL = "piece_bpe_32k.model"
 
 
@@ -17,6 +26,13 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def op1_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymize(_documents(spark, sf_dir), PSEUDONYM_KEY).select(
+        "doc_id", F.col("private").alias("text"),
+        *[F.coalesce(F.try_element_at("n_private", F.lit(kind)), F.lit(0)).cast("long").alias(f"n_{kind}") for kind in KINDS],
+    )
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(_documents(spark, sf_dir)).select(
         "doc_id", "deduped.n_lines", "deduped.n_dropped",
@@ -33,6 +49,13 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    sample = written(labelled_sample(docs, table(spark, sf_dir, "labels")).repartition(8), "labelled-sample")
+    model = fit_severity(*graded(sample))
+    return docs.select("doc_id", severity_of(F.col("text"), model).alias("of")).select("doc_id", "of.*")
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = encode_decode(F.col("text"), public_tokenizers.path(PIECE_MODEL))
     return _documents(spark, sf_dir).select("doc_id", coded.alias("coded")).select(
@@ -42,6 +65,49 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("spans", lambda s: s["kind"].isin(BASE_KINDS))
+    return secret_spans(_documents(spark, sf_dir)).select(
+        "doc_id", *[count(kind).alias(f"n_{kind}") for kind in BASE_KINDS],
+        F.sha2(joined_spans(base), 256).alias("base_sha256"), joined_spans(F.col("spans")).alias("spans"),
+    )
+
+
+def op7_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(_documents(spark, sf_dir)).select(
+        "doc_id", hex_print(F.col("fp")).alias("fingerprint"), "component_id"
+    )
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(_documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op9_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = F.array_join(F.transform("headers", lambda h: F.concat(h["name"], F.lit(": "), h["value"])), "\n")
+    return derivatives(table(spark, sf_dir, "pages")).withColumn("headers", lines)
+
+
+def op10_merkle_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = with_next(_documents(spark, sf_dir)).withColumn("edited", edited(F.col("text"), F.col("next_text")))
+    trees = rows.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        *[leaves(F.col(name)).alias(tree) for tree, name in (("own", "text"), ("changed", "edited"), ("following", "next_text"))],
+    )
+    return trees.select(
+        "doc_id", "n_chars", "edited_sha256", printed(F.col("own")).alias("fingerprint"),
+        printed(F.col("changed")).alias("edited_fingerprint"),
+        likeness(F.col("own"), F.col("changed")).alias("near_edited"),
+        likeness(F.col("own"), F.col("following")).alias("near_next"),
+    )
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_line_dedup, op3_language_id, op5_sentencepiece,
+    op1_pii_pseudonyms, op2_line_dedup, op3_language_id, op4_toxicity, op5_sentencepiece, op6_secret_scan,
+    op7_simhash_groups, op8_decontamination, op9_warc_derivatives, op10_merkle_fingerprint,
 )}
