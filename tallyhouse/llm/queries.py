@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyhouse.llm.common import table, written
@@ -10,16 +9,15 @@ from tallyhouse.llm.decontam import contamination
 from tallyhouse.llm.langid import fit_profiles, guess_language, trained_rows
 from tallyhouse.llm.lines import dedup_lines
 from tallyhouse.llm.merkle import edited, leaves, likeness, printed, with_next
-from tallyhouse.llm.pieces import encode_decode
 from tallyhouse.llm.pii import KINDS, pseudonymize
 from tallyhouse.llm.secrets import BASE_KINDS, joined_spans, secret_spans
 from tallyhouse.llm.simhash import hex_print, near_groups
-from tallyhouse.llm.toxicity import fit_severity, graded, labelled_sample, severity_of
+from tallyhouse.llm.stages import as_pieces
+from tallyhouse.llm.toxicity import PARTS, fit_severity, graded, labelled_sample, severity_of
 from tallyhouse.llm.warc import derivatives
 
 #: A deployment passes its own; with this one results can be compared.
 PSEUDONYM_KEY = "pseudonyms of the registered query"
-PIECE_MODEL = "piece_bpe_32k.model"
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,18 +49,13 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
-    sample = written(labelled_sample(docs, table(spark, sf_dir, "labels")).repartition(8), "labelled-sample")
+    sample = written(labelled_sample(docs, table(spark, sf_dir, "labels")).repartition(PARTS), "labelled-sample")
     model = fit_severity(*graded(sample))
     return docs.select("doc_id", severity_of(F.col("text"), model).alias("of")).select("doc_id", "of.*")
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = encode_decode(F.col("text"), public_tokenizers.path(PIECE_MODEL))
-    return _documents(spark, sf_dir).select("doc_id", coded.alias("coded")).select(
-        "doc_id", F.size("coded.ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("coded.ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2(F.col("coded.decoded"), 256).alias("decoded_sha256"),
-    )
+    return as_pieces(spark, _documents(spark, sf_dir), sf_dir).drop("ids")
 
 
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,10 +43,12 @@ def _found(text: Column, pattern: str, search: str | None = None) -> Column:
 
     search, if given, is a quicker pattern without which nothing can match.
     """
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern)
-    pairs = F.transform(matches, lambda match, k: F.struct(F.length(F.get(gaps, k)).alias("gap"), match.alias("match")))
-    return F.when(text.rlike(search or pattern), pairs)
+    pairs = F.zip_with(
+        F.split(text, pattern), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+        lambda gap, match: F.struct(F.length(gap).alias("gap"), match.alias("match")),
+    )
+    # After the last match comes one more gap.
+    return F.when(text.rlike(search or pattern), F.filter(pairs, lambda pair: pair["match"].isNotNull()))
 
 
 def _holds(kind: str, match: Column) -> Column:

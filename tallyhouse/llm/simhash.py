@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyhouse.llm.common import as_bytes, written
+from tallyhouse.llm.common import as_bytes, identified, written
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -281,15 +281,15 @@ def components(links: DataFrame) -> DataFrame:
 def near_groups(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS
 ) -> DataFrame:
-    """(doc_id, fp, component_id), a row for each document.
+    """(doc_id, version, fp, component_id), a row for each document.
 
-    fp is the fingerprint as a long. Fingerprints that differ in at most max_bits
+    version is a hash of the text, as in common.identified; fp is the fingerprint as a long. Fingerprints that differ in at most max_bits
     bits are linked; component_id is the smallest doc_id that links reach, the
     document's own included. Texts without words are linked like any others. Rows
     without doc_id belong to groups but name none: a group of nothing else has a
     null component_id. Repeated rows stay.
     """
-    rows = written(docs.select(F.col(doc_id).alias("doc_id"), simhash(F.col(text), shingle).alias("fp")), "prints")
+    rows = written(identified(docs, doc_id, text).select("doc_id", "version", simhash(F.col("text"), shingle).alias("fp")), "prints")
     prints = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "different-prints")
     roots = components(near_links(prints, max_bits))
     linked = prints.join(roots, prints["fp"] == roots["node"]).select("fp", "root", "first_id")
@@ -298,7 +298,7 @@ def near_groups(
     named = prints.join(grouped, "fp", "left").select(
         "fp", F.when(F.col("smallest").isNotNull(), F.col("smallest")).otherwise(F.col("first_id")).alias("component_id")
     )
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    return rows.join(named, "fp").select("doc_id", "version", "fp", "component_id")
 
 
 def hex_print(fp: Column) -> Column:

@@ -19,18 +19,22 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallyhouse.llm.common import written
 
 #: The model is fitted on about so many documents with and without the label, chosen
-#: by a hash of their ids; a word is a feature if at least MIN_DOCS of these have it,
-#: and of those the FEATURES most frequent ones.
+#: by a hash of their ids. A word is a feature if at least MIN_DOCS of these have it
+#: and its share of the documents with the label is APART standard errors or more
+#: from its share of the others; at most FEATURES, the ones furthest apart.
 LABEL_DOCS = 3000
-MIN_DOCS = 8
+MIN_DOCS = 4
+APART = 4.0
 FEATURES = 20_000
 #: Beginnings of words that are features, by length.
 STEMS = (4, 6)
-#: Words of the label: so many times likelier with it than without.
+#: Features that tell of the label are so many times likelier with it than without.
 TELLING = 10
 #: Of the fit: rounds at most, weight of the squared weights, rounds remembered.
-ROUNDS = 30
-PENALTY = 3e-3
+ROUNDS = 60
+#: Parts of the sample, each summed by a task in every round.
+PARTS = 8
+PENALTY = 1e-3
 MEMORY = 7
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -98,32 +102,30 @@ def labelled_sample(
 def graded(sample: DataFrame, min_docs: int = MIN_DOCS, features: int = FEATURES) -> tuple[DataFrame, list[str]]:
     """(grade, text) of a labelled sample, and the features to fit on.
 
-    Grade 0 is without the label. Labelled texts have grade 1 or 2: 2 where more of
-    the text's words tell of the label than in half of the labelled texts. A word
-    tells of it if it is TELLING times likelier in texts that have it.
+    Grade 0 is without the label. Labelled texts have grade 1, or 2 where they have
+    more different telling features than half of the labelled texts. A feature tells
+    of the label if it is TELLING times likelier in texts that have it.
     """
+    sizes = {row["label"]: row["n"] for row in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    n0, n1 = max(1, sizes.get(0, 0)), max(1, sizes.get(1, 0))
+    all_of = (F.col("without") + F.col("having")) / (n0 + n1)
+    error = F.sqrt(F.greatest(all_of * (1 - all_of), F.lit(1e-12)) * (1 / n0 + 1 / n1))
     counts = (
         sample.mapInArrow(_documents_with, "feature string, without long, having long").groupBy("feature")
         .agg(F.sum("without").alias("without"), F.sum("having").alias("having"))
         .where(F.col("without") + F.col("having") >= min_docs)
-        .orderBy(F.desc(F.col("without") + F.col("having")), "feature").limit(features)
+        .withColumn("apart", F.abs(F.col("having") / n1 - F.col("without") / n0) / error)
+        .where(F.col("apart") >= APART).orderBy(F.desc("apart"), "feature").limit(features)
     ).collect()
-    sizes = {row["label"]: row["n"] for row in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    n0, n1 = max(1, sizes.get(0, 0)), max(1, sizes.get(1, 0))
     telling = frozenset(
         row["feature"] for row in counts
-        if row["having"] / n1 >= TELLING * (row["without"] + 0.5) / n0 and not row["feature"].endswith("-")
+        if row["having"] / n1 >= TELLING * (row["without"] + 0.5) / n0
     )
 
-    def share(texts: pa.Array) -> pa.Array:
-        """Telling words in a hundred different words."""
-        out = []
-        for text in texts:
-            words = set(_WORD.findall((text.as_py() or "").lower()))
-            out.append(100 * len(words & telling) / max(1, len(words)))
-        return pa.array(out, pa.float64())
+    def told(texts: pa.Array) -> pa.Array:
+        return pa.array([len(features_of(text.as_py()) & telling) for text in texts], pa.int64())
 
-    rows = sample.withColumn("told", F.arrow_udf(share, "double").asNondeterministic()("text"))
+    rows = sample.withColumn("told", F.arrow_udf(told, "long").asNondeterministic()("text"))
     middle = rows.where("label = 1").agg(F.median("told")).first()[0] or 0.0
     grade = F.col("label") + ((F.col("label") == 1) & (F.col("told") > middle)).cast("int")
     return rows.select(grade.alias("grade"), "text"), [row["feature"] for row in counts]
@@ -176,35 +178,43 @@ def _thresholds(free: np.ndarray) -> np.ndarray:
     return np.cumsum(np.concatenate([free[:1], np.exp(free[1:])]))
 
 
-def minimum(loss, start: np.ndarray, rounds: int) -> np.ndarray:
-    """A minimum by limited-memory BFGS; loss gives the value and the slope at a place."""
+def minimum(loss, start: np.ndarray, scale: np.ndarray, rounds: int, flat: float = 1e-3) -> np.ndarray:
+    """A minimum by limited-memory BFGS; loss gives the value and the slope at a place.
+
+    scale says how far each parameter should move for its slope, all others alike.
+    It ends where no slope is over `flat`, or after so many rounds.
+    """
     x, (value, slope) = start, loss(start)
     steps: list[tuple[np.ndarray, np.ndarray]] = []
     for _ in range(rounds):
+        if np.abs(slope).max() < flat:
+            break
         way, used = slope.copy(), []
         for s, y in reversed(steps):
             used.append((s @ way) / (s @ y))
             way -= used[-1] * y
+        way *= scale
         if steps:
             s, y = steps[-1]
-            way *= (s @ y) / (y @ y)
+            way *= (s @ y) / (y @ (scale * y))
         for (s, y), a in zip(steps, reversed(used)):
             way += s * (a - (y @ way) / (s @ y))
-        size = 1.0 if steps else 1.0 / max(1e-12, np.abs(slope).max())
-        for _ in range(8):
+        # No parameter moves by more than one at a time.
+        size = min(1.0, 1.0 / max(1e-12, np.abs(way).max()))
+        for _ in range(6):
             tried = x - size * way
             new_value, new_slope = loss(tried)
             if new_value <= value - 1e-4 * size * (slope @ way):
                 break
-            size /= 3
+            size /= 4
         else:
-            return x
-        done = value - new_value < 1e-5 * max(1e-12, value)
-        if (tried - x) @ (new_slope - slope) > 1e-12:
+            if not steps:
+                return x
+            steps = []
+            continue
+        if (tried - x) @ (new_slope - slope) > 1e-10:
             steps = [*steps, (tried - x, new_slope - slope)][-MEMORY:]
         x, value, slope = tried, new_value, new_slope
-        if done:
-            break
     return x
 
 
@@ -214,14 +224,14 @@ def fit_severity(
 ) -> Severity:
     """The model, from a bounded sample of rows with a text and a grade 0, 1, ...
 
-    Each grade weighs the same. In each round tasks sum slopes over their rows; the
-    driver holds one number for each feature. Without two grades the model finds
-    everything clean.
+    Each grade weighs the same. In each round tasks sum slopes over their rows, and
+    the driver, which holds one number for each feature, adds these up. Without two
+    grades the model finds everything clean.
     """
     found = F.arrow_udf(_indexed({f: k for k, f in enumerate(features)}), "array<int>")
     points = written(
         rows.select(F.col(grade).cast("int").alias("grade"), F.col(text).alias("text")).where("grade >= 0")
-        .select("grade", found("text").alias("found")).repartition(8), "severity-points",
+        .select("grade", found("text").alias("found")).repartition(PARTS), "severity-points",
     )
     counts = {r["grade"]: r["n"] for r in points.groupBy("grade").agg(F.count("*").alias("n")).collect()}
     top = max(counts, default=0)
@@ -234,10 +244,10 @@ def fit_severity(
 
     def loss(x: np.ndarray) -> tuple[float, np.ndarray]:
         weights, free = x[:len(features)], x[len(features):]
-        sums = weighted.mapInArrow(_slopes(weights, _thresholds(free)), "place int, amount double")
+        # At most as many rows as parts times parameters.
+        sums = weighted.mapInArrow(_slopes(weights, _thresholds(free)), "place int, amount double").toArrow()
         total = np.zeros(len(x) + 1)
-        for row in sums.groupBy("place").agg(F.sum("amount").alias("amount")).collect():
-            total[row["place"]] = row["amount"]
+        np.add.at(total, sums.column("place").to_numpy(), sums.column("amount").to_numpy())
         slope, value = total[:-1], float(total[-1])
         # Each free number moves its own threshold and all after it.
         from_here = np.cumsum(slope[len(features):][::-1])[::-1]
@@ -245,7 +255,13 @@ def fit_severity(
         slope[:len(features)] += penalty * weights
         return value + penalty / 2 * float(weights @ weights), slope
 
-    found_at = minimum(loss, np.concatenate([np.zeros(len(features)), [0.0], np.zeros(top - 1)]), rounds)
+    # A feature's curvature is at most a quarter of the weight of the rows that have it.
+    scale = np.full(len(features) + top, 4.0)
+    scale[:len(features)] = 1 / penalty
+    held = weighted.select("share", F.explode("found").alias("place")).groupBy("place").agg(F.sum("share").alias("s"))
+    for row in held.collect():
+        scale[row["place"]] = 1 / (row["s"] / 4 + penalty)
+    found_at = minimum(loss, np.zeros(len(features) + top), scale, rounds)
     return Severity(
         {f: k for k, f in enumerate(features)}, found_at[:len(features)], _thresholds(found_at[len(features):])
     )

@@ -1,0 +1,75 @@
+import hashlib
+import re
+
+from tallyhouse.llm import warc
+
+PAGE = """<!DOCTYPE html><HTML lang="en"><head><title>A &amp; B</title><style>p{x}</style><script>var t="</p>";</script></head>
+<body><!-- no --><h1>Head &lt;1&gt;</h1><p>One <b>two</b>
+three<br>four&nbsp;five</p><ul><li><a href="/x?a=1&amp;b=2">link</a><li><A HREF='y'>two</A></ul><script>late()</script></body></html>"""
+
+
+def pages(spark, rows):
+    return spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'x' as block", "'y' as headers")
+
+
+def fields(row):
+    return {h["name"]: h["value"] for h in row["headers"]}
+
+
+def test_text_and_fields_of_a_page():
+    assert warc.plain_text(PAGE) == "Head <1>\nOne two three\nfour five\nlink\ntwo"
+    assert warc.page_fields(PAGE) == [("title", "A & B"), ("language", "en"), ("outlink", "/x?a=1&b=2"), ("outlink", "y")]
+    assert warc.plain_text("") == "" and warc.plain_text("<p") == "" and warc.plain_text("a < b") == "a < b"
+    assert warc.plain_text("<script>never closed") == "" and warc.plain_text("x<!-- never closed") == "x"
+
+
+def test_records_refer_to_their_response(spark):
+    rows = warc.derivatives(pages(spark, [(1, "http://a/", PAGE), (1, "http://a/", PAGE), (2, "http://b/", "<p>x")])).collect()
+    assert len(rows) == 6 and len({r["record_id"] for r in rows}) == 4
+    for row in rows:
+        head = fields(row)
+        assert head["WARC-Refers-To"] == row["refers_to"] == warc.response_id(row["page_id"], head["WARC-Target-URI"])
+        assert head["WARC-Record-ID"] == row["record_id"] and re.fullmatch(r"<urn:uuid:[0-9a-f-]{36}>", row["record_id"])
+        block = row["block"].encode()
+        assert head["Content-Length"] == str(len(block))
+        assert head["WARC-Block-Digest"] == "sha256:" + hashlib.sha256(block).hexdigest()
+    one = {r["warc_type"]: r for r in rows if r["page_id"] == 1}
+    assert one["conversion"]["block"] == warc.plain_text(PAGE)
+    assert fields(one["conversion"])["WARC-Source-Payload-Digest"] == "sha256:" + hashlib.sha256(PAGE.encode()).hexdigest()
+    told = one["metadata"]["block"]
+    assert f"text-record: {one['conversion']['record_id']}\r\n" in told and "title: A & B\r\n" in told
+    assert fields(one["conversion"])["WARC-Block-Digest"] in told
+
+
+def test_ids_dates_and_headers_of_the_source_are_kept(spark):
+    rows = pages(spark, [(1, "http://a/", "x")]).selectExpr(
+        "*", "'<urn:uuid:1>' as id", "'2024-05-06T07:08:09Z' as at", "map('Server', 'a\r\nb', 'ETag', '7') as sent"
+    )
+    metadata, conversion = warc.derivatives(rows, record_id="id", date="at", headers="sent").collect()
+    for row in (metadata, conversion):
+        assert row["refers_to"] == "<urn:uuid:1>"
+        assert fields(row)["WARC-Date"] == fields(row)["WARC-Refers-To-Date"] == "2024-05-06T07:08:09Z"
+    assert "source-server: a b\r\n" in metadata["block"] and "source-etag: 7\r\n" in metadata["block"]
+
+
+def test_edges(spark):
+    rows = [(None, None, None), (1, None, ""), (2, "u\r\nX: y", "<" * 1000), (3, "http://c/", "<p>" + "long text " * 100_000)]
+    found = warc.derivatives(pages(spark, rows)).collect()
+    assert len(found) == 8
+    assert all("\n" not in h["value"] and "\r" not in h["value"] for r in found for h in r["headers"])
+    assert warc.derivatives(pages(spark, [])).count() == 0
+
+
+def test_files_hold_whole_records(spark, tmp_path):
+    records = warc.derivatives(pages(spark, [(n, f"http://{n}/", PAGE) for n in range(5)]))
+    warc.write_warc(records, str(tmp_path / "out"))
+    data = b"".join(p.read_bytes() for p in sorted((tmp_path / "out").glob("part-*")))
+    seen = 0
+    while data:
+        head, _, rest = data.partition(b"\r\n\r\n")
+        lines = head.decode().split("\r\n")
+        assert lines[0] == "WARC/1.1"
+        length = int(dict(line.split(": ", 1) for line in lines[1:])["Content-Length"])
+        assert rest[length:length + 4] == b"\r\n\r\n"
+        data, seen = rest[length + 4:], seen + 1
+    assert seen == 10
