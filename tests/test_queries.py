@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tallyhouse.workload.oracles import ORACLES
+from tallyhouse.workload.queries import QUERIES
 
 SQL_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "boolean": "BOOLEAN"}
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
@@ -23,10 +25,11 @@ def database():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, database, name):
     found = queries()[name](spark, SF_DIR)
     result = database.execute(oracle_sql()[name])
