@@ -3,23 +3,29 @@
     dims    build dim_date and dim_time
     ingest  convert the complete days of a dump folder, up to month sets
     stream  the same with a file stream that remembers what it has seen
+    hours   write hourly sets, a folder for each dump, from what was ingested
     load    load new month sets into the fact table
-    append  append loaded months to a database over JDBC
+    append  append months to a database over JDBC that were not appended yet
     audit   verdict for every dump file of a folder
+    rejects malformed lines by dump, and how often each occurs
     report  views by any attributes of fact and dimensions
+
+audit, rejects and report print all their rows, tab-separated, or write them with
+--out; --limit prints only so many.
 """
 
 import argparse
 
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyhouse.operators import views_by
 from tallyhouse.plans import (
-    RunAudit, Warehouse, build_dimensions, ingest_folder, ingest_stream, load_jdbc, load_months,
+    RunAudit, Warehouse, append_months, build_dimensions, ingest_folder, ingest_stream,
+    load_months, write_hours,
 )
 from tallyhouse.schemas import COMPANY_PAGES, DIM_DATE, DIM_DATE_END, DIM_DATE_START, DIM_TIME
 from tallyhouse.session import local_session
-from tallyhouse.sources import audit_dumps, read_fact
+from tallyhouse.sources import audit_dumps, read_fact, read_rejects
 from tallyhouse.streaming import stream_dumps
 
 
@@ -28,7 +34,7 @@ def arguments() -> argparse.Namespace:
         prog="tallyhouse", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter
     )
     parser.add_argument("command", choices=[
-        "dims", "ingest", "stream", "load", "append", "audit", "report",
+        "dims", "ingest", "stream", "hours", "load", "append", "audit", "rejects", "report",
     ])
     parser.add_argument("--warehouse", required=True, help="folder of the warehouse tables")
     parser.add_argument("--dumps", help="folder of pageviews-….gz files")
@@ -41,10 +47,22 @@ def arguments() -> argparse.Namespace:
     parser.add_argument("--by", nargs="+", default=["day_name"])
     parser.add_argument("--url", help="JDBC URL")
     parser.add_argument("--table", default="fact_pageviews")
+    parser.add_argument("--out", help="folder to write a result to, as tab-separated text")
+    parser.add_argument("--limit", type=int, help="print only so many rows")
     parser.add_argument("--local", action="store_true", help="run on this machine")
     return parser.parse_args()
 
 
+def show(rows: DataFrame, out: str | None, limit: int | None) -> None:
+    """All rows, in order: to a folder, or printed as they come."""
+    if out:
+        rows.write.mode("overwrite").option("header", True).option("sep", "\t").csv(out)
+        return
+    print("\t".join(rows.columns))
+    for row in (rows if limit is None else rows.limit(limit)).toLocalIterator():
+        print("\t".join("" if value is None else str(value) for value in row))
+
+
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     house = Warehouse(args.warehouse)
     audit = RunAudit(spark, house.audit)
@@ -58,27 +76,35 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         print(f"{count} dumps converted")
     elif args.command == "stream":
         ingest_stream(spark, stream_dumps(spark, args.dumps), house, audit.run_id, args.pages, audit)
+    elif args.command == "hours":
+        write_hours(spark, house, args.start, args.end)
     elif args.command == "load":
         load_months(spark, house, audit.run_id, args.months, args.quarantine, audit)
     elif args.command == "append":
-        fact = read_fact(spark, house.fact)
-        if args.months:
-            fact = fact.where(F.col("load_month").isin(*args.months))
-        load_jdbc(fact, args.url, args.table)
+        months = append_months(spark, house, audit.run_id, args.url, args.table, args.months, audit)
+        print(f"{len(months)} months appended")
     elif args.command == "audit":
-        audit_dumps(spark, args.dumps, deep=args.check).orderBy("file_name").show(truncate=False)
+        show(audit_dumps(spark, args.dumps, deep=args.check).orderBy("file_name", "path"), args.out, args.limit)
+    elif args.command == "rejects":
+        found = read_rejects(spark, house.rejects).groupBy("file_name", "reason", "line").agg(F.sum("lines").alias("lines"))
+        show(found.orderBy("file_name", "reason", "line"), args.out, args.limit)
     else:
-        views_by(
+        found = views_by(
             read_fact(spark, house.fact),
             spark.read.schema(DIM_DATE).parquet(house.dim_date),
             spark.read.schema(DIM_TIME).parquet(house.dim_time), *args.by,
-        ).orderBy(*args.by).show(truncate=False)
+        )
+        show(found.orderBy(*args.by), args.out, args.limit)
 
 
-if __name__ == "__main__":
-    parsed = arguments()
-    session = local_session() if parsed.local else SparkSession.builder.getOrCreate()
+def main() -> None:
+    args = arguments()
+    session = local_session() if args.local else SparkSession.builder.getOrCreate()
     try:
-        run(session, parsed)
+        run(session, args)
     finally:
         session.stop()
+
+
+if __name__ == "__main__":
+    main()

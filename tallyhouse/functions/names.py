@@ -33,6 +33,12 @@ def path_dump_name(path: Column) -> Column:
     return F.when(landed == "", plain).otherwise(landed)
 
 
+def path_place(path: Column) -> Column:
+    """Where a dump lies: the path of a plain one, the folder of a landed one's parts."""
+    folder = F.regexp_extract(path, r"^(.*/file_name=[^/]+)/[^/]+$", 1)
+    return F.when(folder == "", path).otherwise(folder)
+
+
 def _date_text(name: Column) -> Column:
     return F.substring(name, DATE_AT, DATE_LENGTH)
 

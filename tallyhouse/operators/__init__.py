@@ -3,8 +3,8 @@ from tallyhouse.operators.gates import (
     complete_days, complete_months, gate_days, gate_months, hour_violations,
 )
 from tallyhouse.operators.hourly import (
-    combine, hourly_of_tally, hourly_pageviews, ordered_hours, rejects_of_tally, row_counts,
-    tally,
+    combine, hourly_of_tally, hourly_pageviews, new_dumps, no_lines, ordered_hours,
+    rejects_of_tally, row_counts, tally,
 )
 from tallyhouse.operators.keys import calendar_keys, load_frame, with_fact_id
 from tallyhouse.operators.ledger import ledger_rows, pending
@@ -14,7 +14,7 @@ from tallyhouse.operators.parse import (
 )
 from tallyhouse.operators.quality import (
     fk_violations, length_violations, not_null_violations, partition_range_violations,
-    pk_violations, rule_counts, with_broken_rules,
+    pk_violations, rule_counts, with_broken_rules, with_repeated_keys,
 )
 from tallyhouse.operators.star import star_join, views_by
 
@@ -22,9 +22,9 @@ __all__ = [
     "calendar_keys", "combine", "complete_days", "complete_months", "dim_date",
     "dim_date_between", "dim_time", "dumps_of", "fk_violations", "gate_days", "gate_months",
     "hour_violations", "hourly_of_tally", "hourly_pageviews", "keep_listed_pages",
-    "keep_pages", "ledger_rows", "length_violations", "line_rejects", "load_frame",
-    "not_null_violations", "ordered_hours", "partition_range_violations", "pending",
+    "keep_pages", "ledger_rows", "length_violations", "line_rejects", "load_frame", "new_dumps",
+    "no_lines", "not_null_violations", "ordered_hours", "partition_range_violations", "pending",
     "pk_violations", "rejects_of_tally", "row_counts", "rule_counts", "split_lines", "stamp",
     "star_join", "tally", "views_by", "well_formed", "with_broken_rules", "with_fact_id",
-    "with_reject_reason",
+    "with_reject_reason", "with_repeated_keys",
 ]

@@ -4,7 +4,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tallyhouse.functions import file_date_of
+from tallyhouse.functions import file_date_of, month_key
 from tallyhouse.operators.parse import (
     aggregate_by_dump, line_outcome, split_lines, with_collection,
 )
@@ -37,20 +37,52 @@ def tally(lines: DataFrame, pages: Sequence[str]) -> DataFrame:
     """
     page, views = F.col("pagename"), F.col("pageview")
     malformed = line_outcome(views, F.col("fields"))
-    rows = split_lines(lines).withColumn(
+    place = F.col("place") if "place" in lines.columns else F.lit("")
+    rows = split_lines(lines, place.alias("place")).withColumn(
         "outcome",
         F.coalesce(malformed, F.when(page.isin(*pages), "kept").otherwise("other")),
     )
     kept, other = F.col("outcome") == "kept", F.col("outcome") == "other"
     return (
         rows.groupBy(
-            "file_name", "outcome",
+            "file_name", "place", "outcome",
             F.when(kept, F.col("domain")).alias("domain"),
             F.when(kept, page).alias("pagename"),
             F.when(~kept & ~other, F.col("value")).alias("line"),
         )
         .agg(F.sum(F.when(kept, views)).alias("sumpageviewcount"), F.count("*").alias("lines"))
         .withColumn("file_date", file_date_of(F.col("file_name")))
+        .withColumn("file_month", month_key(F.col("file_date")))
+    )
+
+
+def no_lines(files: DataFrame) -> DataFrame:
+    """Tallies of dumps (file_name) that have not a single line."""
+    text = F.lit(None).cast("string")
+    return files.select(
+        "file_name", F.lit("").alias("place"), F.lit("other").alias("outcome"), text.alias("domain"),
+        text.alias("pagename"), text.alias("line"), F.lit(None).cast("bigint").alias("sumpageviewcount"),
+        F.lit(0).cast("bigint").alias("lines"), file_date_of(F.col("file_name")).alias("file_date"),
+    ).withColumn("file_month", month_key(F.col("file_date")))
+
+
+def new_dumps(tallies: DataFrame, known: DataFrame, owner: str) -> DataFrame:
+    """The tallies of dumps that are not in the known ones yet.
+
+    A dump may come in parts, in several batches of one owner (a stream), as long
+    as they lie in one place. What another owner has tallied, or the same one from
+    another place, is a copy; of copies in these tallies the first place counts.
+    """
+    first = tallies.groupBy("file_name").agg(F.min("place").alias("place"))
+    mine = F.col("batch_id").startswith(owner)
+    taken = known.where(~mine).select("file_name").distinct()
+    begun = known.where(mine).select(
+        F.col("file_name").alias("begun_name"), F.col("place").alias("begun_place")
+    ).distinct()
+    return (
+        tallies.join(first, ["file_name", "place"], "left_semi")
+        .join(taken, "file_name", "left_anti")
+        .join(begun, (F.col("file_name") == F.col("begun_name")) & (F.col("place") != F.col("begun_place")), "left_anti")
     )
 
 
@@ -58,7 +90,8 @@ def hourly_of_tally(tallies: DataFrame) -> DataFrame:
     """Hourly sums from tallies. The parts of a dump that were tallied in
     different batches are added up here, so the cut into batches is free."""
     sums = aggregate_by_dump(
-        tallies.where("outcome = 'kept'").drop("file_date"), "domain", "pagename",
+        tallies.where("outcome = 'kept'").select("file_name", "domain", "pagename", "sumpageviewcount"),
+        "domain", "pagename",
         sumpageviewcount=F.sum("sumpageviewcount"),
     )
     return with_collection(sums).select(*HOURLY_COLUMNS)

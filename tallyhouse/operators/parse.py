@@ -10,19 +10,18 @@ from tallyhouse.functions import (
 )
 from tallyhouse.functions.text import USED_FIELDS
 
-# A page list over this many rows is joined without a broadcast.
-MAX_BROADCAST_PAGES = 1_000_000
 
-
-def split_lines(lines: DataFrame) -> DataFrame:
-    """(value, file_name) to (file_name, value, domain, pagename, pageview, fields).
+def split_lines(lines: DataFrame, *carried: Column) -> DataFrame:
+    """(value, file_name) to (file_name, value, domain, pagename, pageview, fields),
+    and what is carried along.
 
     Missing fields and counts that are no number give NULL. `fields` is how
     many fields the line has, counted up to four.
     """
     parts = F.col("parts")
-    return lines.select("file_name", "value", fields(F.col("value")).alias("parts")).select(
-        "file_name", "value",
+    cut = lines.select("file_name", "value", fields(F.col("value")).alias("parts"), *carried)
+    return cut.select(
+        "file_name", "value", *cut.columns[3:],
         field(parts, 0).alias("domain"),
         field(parts, 1).alias("pagename"),
         view_count(field(parts, 2)).alias("pageview"),
@@ -38,14 +37,11 @@ def keep_pages(parsed: DataFrame, pages: Sequence[str]) -> DataFrame:
 def keep_listed_pages(parsed: DataFrame, pages: DataFrame) -> DataFrame:
     """keep_pages for a list that is itself a table with a `pagename` column.
 
-    The list is broadcast once a count shows that it is small. A longer one
-    becomes a shuffled semi-join; there, sum the views first and filter after,
-    since the page is a grouping key and only sums are shuffled then.
+    Adaptive execution chooses the join by the list's size. With a list too long
+    to broadcast, sum the views first and filter after, since the page is a
+    grouping key and only sums are shuffled then.
     """
-    listed = pages.select("pagename").distinct()
-    if listed.limit(MAX_BROADCAST_PAGES + 1).count() <= MAX_BROADCAST_PAGES:
-        listed = F.broadcast(listed)
-    return parsed.join(listed, "pagename", "left_semi")
+    return parsed.join(pages.select("pagename").distinct(), "pagename", "left_semi")
 
 
 def with_file_keys(rows: DataFrame) -> DataFrame:
@@ -73,27 +69,19 @@ def stamp(rows: DataFrame) -> DataFrame:
 def aggregate_by_dump(rows: DataFrame, *keys: str, **aggregates: Column) -> DataFrame:
     """Aggregate by dump and further keys, with file_date and file_time.
 
-    The two come out as aggregates of themselves. A filter on them, or on any
-    key made from them, then stays above the aggregate, on few rows, where the
-    optimizer would else move it below and work it out for every line. Both are
-    numbers inside, so the hash aggregate stays. Names of no dump give no rows.
+    Rows are grouped by the dump's name and the two are worked out from it after,
+    so a filter on either passes the aggregate and is asked before anything is
+    summed or shuffled. Names of no dump give no rows.
     """
-    name = F.col("file_name")
-    keyed = rows.withColumns({"dump_date": file_date_of(name), "dump_clock": file_clock_of(name)})
-    found = keyed.groupBy("dump_date", "dump_clock", *keys).agg(
-        F.max("dump_date").alias("file_date"), F.max("dump_clock").alias("clock"),
-        *[value.alias(alias) for alias, value in aggregates.items()],
-    )
-    return (
-        found.where(F.col("file_date").isNotNull())
-        .withColumn("file_time", clock_text(F.col("clock")))
-        .drop("dump_date", "dump_clock", "clock")
+    found = rows.groupBy("file_name", *keys).agg(
+        *[value.alias(alias) for alias, value in aggregates.items()] or [F.count(F.lit(1)).alias("rows_seen")]
     )
+    return with_file_keys(found).where(F.col("file_date").isNotNull())
 
 
 def dumps_of(lines: DataFrame) -> DataFrame:
     """The dumps that rows with a file_name come from, as (file_name, file_date, file_time)."""
-    return aggregate_by_dump(lines, "file_name").select("file_name", "file_date", "file_time")
+    return aggregate_by_dump(lines).select("file_name", "file_date", "file_time")
 
 
 def line_outcome(pageview: Column, field_count: Column) -> Column:

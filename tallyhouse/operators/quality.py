@@ -2,7 +2,7 @@
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyhouse.schemas import (
     FACT_TEXT_LIMITS, FIRST_PARTITION_YEAR, LAST_PARTITION_YEAR, LOAD_COLUMNS,
@@ -42,17 +42,15 @@ def pk_violations(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def fk_violations(rows: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is not in the dimension.
-
-    A dimension is at most as long as a date spine can be, so it is broadcast.
-    """
-    return rows.join(F.broadcast(dimension.select(key)), key, "left_anti")
+    """Rows whose key is not in the dimension."""
+    return rows.join(dimension.select(key), key, "left_anti")
 
 
 def with_broken_rules(rows: DataFrame, dim_date: DataFrame, dim_time: DataFrame) -> DataFrame:
     """Add `broken_rules`, the constraints each load row breaks ('' for none).
 
-    All rules in one pass: both dimensions are broadcast, nothing is shuffled.
+    All rules that a row can break by itself, in one pass; with_repeated_keys
+    adds the one about several rows.
     """
     dates = dim_date.select("date_id", F.lit(True).alias("known_date"))
     times = dim_time.select("time_id", F.lit(True).alias("known_time"))
@@ -71,12 +69,24 @@ def with_broken_rules(rows: DataFrame, dim_date: DataFrame, dim_time: DataFrame)
     }
     broken = F.concat_ws(",", *[F.when(test, F.lit(rule)) for rule, test in rules.items()])
     return (
-        rows.join(F.broadcast(dates), "date_id", "left")
-        .join(F.broadcast(times), "time_id", "left")
+        rows.join(dates, "date_id", "left").join(times, "time_id", "left")
         .select(*[F.col(c) for c in rows.columns], broken.alias("broken_rules"))
     )
 
 
+def with_repeated_keys(checked: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add `primary_key` to the broken rules of all rows that share a key.
+
+    Keys are as good as random, so the window's shuffle is even; the rows of a
+    key stay together only as many as there are copies.
+    """
+    copies = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    rules = F.concat_ws(
+        ",", F.when(F.col("broken_rules") != "", F.col("broken_rules")), F.when(copies > 1, F.lit("primary_key"))
+    )
+    return checked.withColumn("broken_rules", rules)
+
+
 def rule_counts(checked: DataFrame) -> DataFrame:
     """Rows per broken rule, from with_broken_rules."""
     broken = checked.where(F.col("broken_rules") != "")

@@ -1,129 +1,129 @@
-"""The warehouse's jobs: dumps to month sets, month sets to facts, dimensions."""
+"""The warehouse's jobs: dumps to month sets, month sets to facts, dimensions.
 
+A stage's work is what the stage before has and its ledger lacks, and the ledger is
+written last. So a job that was stopped goes on where it was, whatever its batch id,
+and one that runs again finds nothing to do.
+"""
+
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tallyhouse.functions import file_date_of, month_key
 from tallyhouse.operators import (
     calendar_keys, complete_days, complete_months, dim_date_between, dim_time, gate_days,
     gate_months, hourly_of_tally, ledger_rows, length_violations, pending, pk_violations,
-    rule_counts, tally, with_broken_rules, with_fact_id,
+    rule_counts, tally, with_broken_rules, with_fact_id, with_repeated_keys,
 )
 from tallyhouse.plans.audit import RunAudit
 from tallyhouse.plans.warehouse import Warehouse
 from tallyhouse.schemas import (
     COMPANY_PAGES, DIM_DATE, DIM_DATE_END, DIM_DATE_START, DIM_DATE_TEXT_LIMITS, DIM_TIME,
-    FACT_COLUMNS, LEDGER, LOAD_COLUMNS,
+    FACT_COLUMNS, LOAD_COLUMNS,
 )
+from tallyhouse.session import scratch_folder
 from tallyhouse.sinks import (
-    append_jdbc, append_ledger, replace_dimension, write_daily, write_fact, write_monthly,
-    write_tally,
+    append_jdbc, append_ledger, observed, replace_dimension, write_daily, write_fact,
+    write_hourly, write_monthly, write_refused,
 )
 from tallyhouse.sources import (
-    audit_dumps, hours_between, list_dumps, read_daily, read_dumps, read_ledger, read_monthly,
-    read_tally,
+    audit_dumps, hours_between, list_dumps, one_place_each, read_daily, read_dumps, read_fact,
+    read_ledger, read_monthly, read_tally,
 )
-from tallyhouse.streaming import ingest_available
+from tallyhouse.streaming import ingest_available, stream_hourly, tally_new
 
 
 class ConstraintError(ValueError):
     """Rows break a constraint of the warehouse."""
 
 
-def _ledger(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
-    """The ledger, empty before the first batch."""
-    try:
-        return read_ledger(spark, warehouse.ledger)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], LEDGER)
+def _staged(rows: DataFrame, purpose: str) -> DataFrame:
+    """The rows, written to scratch and read from there."""
+    folder = scratch_folder(rows.sparkSession, purpose)
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
+def _noted(spark: SparkSession, warehouse: Warehouse, stage: str) -> DataFrame:
+    return read_ledger(spark, warehouse.ledger).where(F.col("stage") == stage).select("file_name")
+
+
+def _names(rows: DataFrame, column: str) -> list[str]:
+    """Values of a column of days or months, in order: as many as the calendar has."""
+    return sorted(row[column] for row in rows.select(column).distinct().collect())
 
 
 def convert(
     spark: SparkSession, lines: DataFrame, warehouse: Warehouse, batch_id: str,
     pages: Sequence[str] = COMPANY_PAGES, files: DataFrame | None = None,
-    audit: RunAudit | None = None, tasks: int | None = None,
-) -> DataFrame:
-    """Dump lines to the hourly sums of one batch; returns the batch's tallies.
+    audit: RunAudit | None = None,
+) -> None:
+    """Dump lines to tallies: hourly sums, rejects, and the names of all dumps.
 
-    The lines are read once: their tallies hold the hourly sums, the rejects and
-    the names of all dumps. The ledger takes the dumps of days that have all 24;
-    the others count as not converted. `files` lists the dumps present
-    (file_name); by default they are the ones lines came from, so a dump without
-    a single line counts as missing.
+    The lines are read once. Dumps that are in the tally already are left out.
+    `files` lists the dumps present (file_name), so that one without a single line
+    is noted too. Each call writes a part of its own, so a batch id may be used
+    again.
     """
-    seen = Observation()
-    write_tally(tally(lines, pages), warehouse.tally, batch_id, tasks, seen)
-    tallies = read_tally(spark, warehouse.tally).where(F.col("batch_id") == batch_id)
-    present = _with_file_date((files if files is not None else tallies).select("file_name"))
-    converted = gate_days(present, complete_days(present))
-    append_ledger(ledger_rows(converted, "hourly", batch_id), warehouse.ledger)
+    seen, attempt = Observation(), f"{batch_id}-{uuid.uuid4().hex}"
+    tally_new(spark, tally(lines, pages), warehouse.tally, attempt, attempt, warehouse.rejects, seen, files)
     if audit:
-        audit.record("hourly", "lines tallied by hour", rows=seen.get["rows"])
-    return tallies
+        audit.record("hourly", "lines tallied by hour", rows=observed(seen)["rows"])
 
 
-def _with_file_date(files: DataFrame) -> DataFrame:
-    return files.withColumn("file_date", file_date_of(F.col("file_name")))
+def _open_tallies(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
+    """Tallies of well-named dumps, without the months that are done: their folders
+    are not read."""
+    done = _names(_noted(spark, warehouse, "monthly"), "file_name")
+    return read_tally(spark, warehouse.tally).where(~F.col("file_month").isin(done))
 
 
 def combine_days(
-    spark: SparkSession, warehouse: Warehouse, tallies: DataFrame, files: DataFrame,
-    batch_id: str, audit: RunAudit | None = None, tasks: int | None = None,
+    spark: SparkSession, warehouse: Warehouse, batch_id: str, audit: RunAudit | None = None
 ) -> None:
-    """Hourly sums to day sets, for the days of which `files` has all dumps.
-
-    The gate comes before the sums: it filters on the folders' file_date, so
-    other days are not even read.
-    """
-    days = complete_days(files)
+    """Tallies to day sets, for the days that have all their dumps and are in no
+    ledger. The gate is asked of the dumps that were tallied, after they were."""
+    tallies = _open_tallies(spark, warehouse)
+    files = _staged(tallies.select("file_name", "file_date").distinct(), "tallied")
+    done = _noted(spark, warehouse, "daily").select(F.col("file_name").cast("date").alias("file_date"))
+    days = _staged(complete_days(files).join(done, "file_date", "left_anti"), "days")
+    months = _names(days.select(month_key(F.col("file_date")).alias("file_month")), "file_month")
     seen = Observation()
-    write_daily(hourly_of_tally(gate_days(tallies, days)), warehouse.daily, tasks, seen)
-    done = days.select(F.col("file_date").cast("string").alias("file_name"))
-    append_ledger(ledger_rows(done, "daily", batch_id), warehouse.ledger)
+    waiting = gate_days(tallies.where(F.col("file_month").isin(months)), days)
+    write_daily(hourly_of_tally(waiting), warehouse.daily, seen, days)
+    append_ledger(ledger_rows(gate_days(files, days), "hourly", batch_id), warehouse.ledger)
+    named = days.select(F.col("file_date").cast("string").alias("file_name"))
+    append_ledger(ledger_rows(named, "daily", batch_id), warehouse.ledger)
     if audit:
-        audit.record("daily", "day sets written", rows=seen.get["rows"])
+        audit.record("daily", "day sets written", rows=observed(seen)["rows"])
 
 
 def combine_months(
-    spark: SparkSession, warehouse: Warehouse, batch_id: str, audit: RunAudit | None = None,
-    tasks: int | None = None,
+    spark: SparkSession, warehouse: Warehouse, batch_id: str, audit: RunAudit | None = None
 ) -> None:
-    """Day sets to month sets, for the months the batch has brought days of and
-    that now have all their days."""
-    days = _ledger(spark, warehouse).where(F.col("stage") == "daily").select(
-        F.col("file_name").cast("date").alias("file_date"), "batch_id"
-    )
-    touched = days.where(F.col("batch_id") == batch_id).select(
-        month_key(F.col("file_date")).alias("file_month")
-    )
-    months = complete_months(days).join(touched.distinct(), "file_month", "left_semi")
+    """Day sets to month sets, for the months that have all their days and are in no
+    ledger."""
+    days = _noted(spark, warehouse, "daily").select(F.col("file_name").cast("date").alias("file_date"))
+    done = _noted(spark, warehouse, "monthly").select(F.col("file_name").alias("file_month"))
+    months = _staged(complete_months(days).join(done, "file_month", "left_anti"), "months")
     keyed = calendar_keys(gate_months(read_daily(spark, warehouse.daily), months))
     seen = Observation()
-    write_monthly(keyed, warehouse.monthly, tasks, seen)
+    write_monthly(keyed, warehouse.monthly, seen, months)
+    append_ledger(ledger_rows(months.select(F.col("file_month").alias("file_name")), "monthly", batch_id), warehouse.ledger)
     if audit:
-        audit.record("monthly", "month sets written", rows=seen.get["rows"])
+        audit.record("monthly", "month sets written", rows=observed(seen)["rows"])
 
 
 def to_months(
     spark: SparkSession, lines: DataFrame, warehouse: Warehouse, batch_id: str,
     pages: Sequence[str] = COMPANY_PAGES, files: DataFrame | None = None,
-    audit: RunAudit | None = None, tasks: int | None = None,
+    audit: RunAudit | None = None,
 ) -> DataFrame:
-    """Dump lines to hourly sums, day and month sets; returns the month sets.
-
-    The day gate is asked again after the conversion, of the ledger. `tasks`
-    spreads the writes, see tallyhouse.sinks.tables.
-    """
-    tallies = convert(spark, lines, warehouse, batch_id, pages, files, audit, tasks)
-    converted = _ledger(spark, warehouse).where(
-        (F.col("stage") == "hourly") & (F.col("batch_id") == batch_id)
-    )
-    combine_days(spark, warehouse, tallies, converted, batch_id, audit, tasks)
-    combine_months(spark, warehouse, batch_id, audit, tasks)
+    """Dump lines to hourly sums, day and month sets; returns the month sets."""
+    convert(spark, lines, warehouse, batch_id, pages, files, audit)
+    combine_days(spark, warehouse, batch_id, audit)
+    combine_months(spark, warehouse, batch_id, audit)
     return read_monthly(spark, warehouse.monthly)
 
 
@@ -133,13 +133,8 @@ def ingest_stream(
 ) -> DataFrame:
     """to_months for a stream of dumps: tallies what is new, then combines the
     days that have become complete with it."""
-    ingest_available(lines, warehouse.tally, warehouse.stream_checkpoint, pages)
-    tallies = read_tally(spark, warehouse.tally)
-    days = F.col("file_date").cast("string").alias("file_name")
-    seen = tallies.where(F.col("file_date").isNotNull()).select(days, "file_date").distinct()
-    waiting = pending(seen, _ledger(spark, warehouse), "daily").select("file_date")
-    fresh = gate_days(tallies, waiting)
-    combine_days(spark, warehouse, fresh, fresh, batch_id, audit)
+    ingest_available(lines, warehouse.tally, warehouse.stream_checkpoint, pages, warehouse.rejects)
+    combine_days(spark, warehouse, batch_id, audit)
     combine_months(spark, warehouse, batch_id, audit)
     return read_monthly(spark, warehouse.monthly)
 
@@ -149,41 +144,67 @@ def ingest_folder(
     pages: Sequence[str] = COMPANY_PAGES, start: str | None = None, end: str | None = None,
     check: bool = False, audit: RunAudit | None = None,
 ) -> int:
-    """Convert the dumps of a folder that are not in the ledger yet.
+    """Convert the dumps of a folder, and all below it, that are not tallied yet.
 
-    Only days with all 24 dumps are read. `start` and `end` (ISO dates, both
-    included) narrow the file dates. With `check`, dumps that do not decompress
-    are found first and their days left out; without it such a dump fails the
-    job. Returns how many dumps were converted.
+    Only days with all 24 dumps are read; dumps that are tallied already count for
+    their day. A dump that lies there twice is read from one place, and the audit
+    tells of the other. `start` and `end` (ISO dates, both included) narrow the file
+    dates. With `check`, dumps that do not decompress are found first and their days
+    left out; without it such a dump fails the job. Returns how many dumps were
+    converted.
 
-    The driver holds the paths of the dumps to read, 24 a day, as any file scan
-    does; never their content.
+    Dumps are converted a month at a time, so the driver holds the paths of one
+    month, and a stopped job keeps the months it has finished.
     """
-    found = _with_file_date(list_dumps(spark, folder)).where(F.col("file_date").isNotNull())
+    found = list_dumps(spark, folder).withColumn("file_date", file_date_of(F.col("file_name")))
+    found = found.where(F.col("file_date").isNotNull())
     if start:
         found = found.where(F.col("file_date") >= F.lit(start).cast("date"))
     if end:
         found = found.where(F.col("file_date") <= F.lit(end).cast("date"))
-    waiting = pending(found, _ledger(spark, warehouse), "hourly")
-    paths = _paths_of_complete_days(waiting)
-    if check and paths:
-        verdicts = audit_dumps(spark, paths, deep=True).where("verdict <> 'ok'")
-        damaged = [(row.file_name, row.verdict) for row in verdicts.toLocalIterator()]
-        if damaged:
-            named = spark.createDataFrame(damaged, "file_name string, verdict string")
-            paths = _paths_of_complete_days(waiting.join(named, "file_name", "left_anti"))
-        if damaged and audit:
-            audit.record_each("check", [f"{name} is {verdict}" for name, verdict in damaged])
-    if not paths:
-        return 0
-    files = spark.createDataFrame([(path.rsplit("/", 1)[-1],) for path in paths], "file_name string")
-    to_months(spark, read_dumps(spark, paths), warehouse, batch_id, pages, files, audit)
-    return len(paths)
-
-
-def _paths_of_complete_days(files: DataFrame) -> list[str]:
-    ready = gate_days(files, complete_days(files))
-    return [row.path for row in ready.select("path").toLocalIterator()]
+    found = _staged(found.withColumn("file_month", month_key(F.col("file_date"))), "dumps-found")
+    places = one_place_each(found)
+    if audit:
+        copies = found.join(places, ["file_name", "place"], "left_anti").select("file_name", "place").distinct()
+        named = [f"{row.file_name} lies also at {row.place}" for row in copies.toLocalIterator()]
+        if named:
+            audit.record_each("copies", named)
+    tallied = _staged(
+        read_tally(spark, warehouse.tally).where("file_date is not null").select("file_name").distinct(), "tallied"
+    )
+    waiting = places.join(tallied, "file_name", "left_anti")
+    converted = 0
+    for month in _names(waiting, "file_month"):
+        own = waiting.where(F.col("file_month") == month)
+        paths = _paths_of_complete_days(own, tallied)
+        if check and paths:
+            verdicts = audit_dumps(spark, paths, deep=True).where("verdict not in ('ok', 'unchecked')")
+            damaged = [(row.file_name, row.verdict) for row in verdicts.collect()]
+            if damaged:
+                bad = spark.createDataFrame(damaged, "file_name string, verdict string")
+                paths = _paths_of_complete_days(own.join(bad, "file_name", "left_anti"), tallied)
+                if audit:
+                    audit.record_each("check", [f"{name} is {verdict}" for name, verdict in damaged])
+        if paths:
+            files = own.where(F.col("path").isin(paths)).select("file_name").distinct()
+            convert(spark, read_dumps(spark, paths), warehouse, batch_id, pages, files, audit)
+            converted += files.count()
+    combine_days(spark, warehouse, batch_id, audit)
+    combine_months(spark, warehouse, batch_id, audit)
+    return converted
+
+
+def _paths_of_complete_days(files: DataFrame, tallied: DataFrame) -> list[str]:
+    """Paths of a month's files whose days are complete with what is tallied."""
+    ready = gate_days(files, complete_days(files.select("file_name").union(tallied)))
+    return [row.path for row in ready.select("path").collect()]
+
+
+def write_hours(
+    spark: SparkSession, warehouse: Warehouse, start: str | None = None, end: str | None = None
+) -> None:
+    """Hourly sets, a folder for each dump, from the tallies of these dates."""
+    write_hourly(stream_hourly(spark, warehouse.tally, start, end), warehouse.hourly)
 
 
 def build_dimensions(
@@ -208,36 +229,40 @@ def build_dimensions(
 def checked_months(
     spark: SparkSession, monthly: DataFrame, dim_date: DataFrame, dim_time: DataFrame,
 ) -> DataFrame:
-    """Month sets with `load_month` and the constraints each row breaks."""
+    """Month sets with `load_month`, fact_id and the constraints each row breaks."""
     rows = monthly.select(*LOAD_COLUMNS, F.col("file_month").alias("load_month"))
-    return with_broken_rules(rows, dim_date, dim_time)
+    checked = with_broken_rules(with_fact_id(rows), dim_date, dim_time)
+    return with_repeated_keys(checked, ["fact_id", "year", "month"])
 
 
 def load_fact(
     spark: SparkSession, monthly: DataFrame, fact_path: str,
     dim_date: DataFrame, dim_time: DataFrame, refused_path: str | None = None,
-    audit: RunAudit | None = None, tasks: int | None = None,
+    audit: RunAudit | None = None, months: Sequence[str] | None = None,
 ) -> None:
     """Month sets to the partitioned fact table.
 
-    Rows that break a constraint stop the load before anything is written, as
-    they would in a database; with `refused_path` they are kept there instead
-    and the rest is loaded.
+    Rows that break a constraint, the primary key's included, stop the load before
+    anything is written, as they would in a database; with `refused_path` they are
+    kept there instead and the rest is loaded. Each of the `months` (yyyy-MM, by
+    default those that have rows) is replaced whole, in both tables.
+
+    The rows are checked once and written to scratch; what follows reads that.
     """
-    checked = checked_months(spark, monthly, dim_date, dim_time)
+    checked = _staged(checked_months(spark, monthly, dim_date, dim_time), "checked-facts")
     counts = {row["rule"]: row["rows"] for row in rule_counts(checked).collect()}
     if counts and refused_path is None:
         raise ConstraintError(f"rows breaking constraints: {counts}")
-    if counts:
-        refused = checked.where(F.col("broken_rules") != "")
-        refused.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            "load_month"
-        ).parquet(refused_path)
+    if months is None:
+        months = _names(checked.where("load_month is not null"), "load_month")
+    owned = spark.createDataFrame([(month,) for month in months], "load_month string")
+    if refused_path is not None:
+        write_refused(checked.where(F.col("broken_rules") != ""), refused_path, owned)
     good = checked.where(F.col("broken_rules") == "").drop("broken_rules")
     seen = Observation()
-    write_fact(with_fact_id(good), fact_path, tasks, seen)
+    write_fact(good, fact_path, seen, owned)
     if audit:
-        audit.record("fact", "facts loaded", rows=seen.get["rows"])
+        audit.record("fact", "facts loaded", rows=observed(seen)["rows"])
 
 
 def load_months(
@@ -246,18 +271,18 @@ def load_months(
 ) -> None:
     """Load the month sets not loaded yet, and those named in `reload` (yyyy-MM)."""
     monthly = read_monthly(spark, warehouse.monthly)
-    months = monthly.select(F.col("file_month").alias("file_name")).distinct()
-    waiting = pending(months, _ledger(spark, warehouse), "fact")
+    made = _noted(spark, warehouse, "monthly").union(monthly.select(F.col("file_month").alias("file_name"))).distinct()
+    waiting = pending(made, read_ledger(spark, warehouse.ledger), "fact")
     if reload:
-        waiting = waiting.union(months.where(F.col("file_name").isin(*reload))).distinct()
-    names = [row.file_name for row in waiting.collect()]
+        waiting = waiting.union(made.where(F.col("file_name").isin(*reload))).distinct()
+    names = _names(waiting, "file_name")
     if not names:
         return
     load_fact(
         spark, monthly.where(F.col("file_month").isin(*names)), warehouse.fact,
         spark.read.schema(DIM_DATE).parquet(warehouse.dim_date),
         spark.read.schema(DIM_TIME).parquet(warehouse.dim_time),
-        warehouse.refused if quarantine else None, audit,
+        warehouse.refused if quarantine else None, audit, names,
     )
     loaded = spark.createDataFrame([(name,) for name in names], "file_name string")
     append_ledger(ledger_rows(loaded, "fact", batch_id), warehouse.ledger)
@@ -273,3 +298,23 @@ def load_jdbc(
         .sortWithinPartitions("date_id", "time_id"),
         url, table, writers=writers, properties=properties,
     )
+
+
+def append_months(
+    spark: SparkSession, warehouse: Warehouse, batch_id: str, url: str, table: str = "fact_pageviews",
+    months: Sequence[str] = (), audit: RunAudit | None = None,
+) -> list[str]:
+    """Append the loaded months that were not appended yet, or just the named ones,
+    to a database; returns them. The ledger notes them when the append is done."""
+    loaded = _noted(spark, warehouse, "fact")
+    if months:
+        names = _names(loaded.where(F.col("file_name").isin(*months)), "file_name")
+    else:
+        names = _names(pending(loaded, read_ledger(spark, warehouse.ledger), "append"), "file_name")
+    if names:
+        load_jdbc(read_fact(spark, warehouse.fact).where(F.col("load_month").isin(*names)), url, table)
+        done = spark.createDataFrame([(name,) for name in names], "file_name string")
+        append_ledger(ledger_rows(done, "append", batch_id), warehouse.ledger)
+        if audit:
+            audit.record_each("append", [f"{name} appended to {table}" for name in names])
+    return names

@@ -30,6 +30,10 @@ class Warehouse:
     def fact(self) -> str:
         return self._table("fact_pageviews")
 
+    @property
+    def rejects(self) -> str:
+        return self._table("rejected_lines")
+
     @property
     def refused(self) -> str:
         return self._table("refused_rows")

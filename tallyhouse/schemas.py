@@ -29,9 +29,11 @@ HOURLY = T.StructType([
 ])
 
 # What became of the lines of a dump. One row per (domain, page) kept, per
-# distinct malformed line, and per dump for all the lines of other pages.
+# distinct malformed line, and per dump for all the lines of other pages. place is
+# where the dump lay, so that a copy from elsewhere is known as one.
 TALLY = T.StructType([
     T.StructField("file_name", T.StringType()),
+    T.StructField("place", T.StringType()),
     T.StructField("domain", T.StringType()),
     T.StructField("pagename", T.StringType()),
     T.StructField("line", T.StringType()),
@@ -39,9 +41,19 @@ TALLY = T.StructType([
     T.StructField("lines", T.LongType()),
     T.StructField("file_date", T.DateType()),
     T.StructField("batch_id", T.StringType()),
+    T.StructField("file_month", T.StringType()),
     T.StructField("outcome", T.StringType()),
 ])
 
+# Malformed lines of a dump, and how often each occurs.
+REJECTS = T.StructType([
+    T.StructField("file_name", T.StringType()),
+    T.StructField("reason", T.StringType()),
+    T.StructField("line", T.StringType()),
+    T.StructField("lines", T.LongType()),
+    T.StructField("batch_id", T.StringType()),
+])
+
 # The date and time in the dump's name. They differ from the collection date
 # for midnight dumps, and group the files into days and months.
 FILE_KEYS = T.StructType([

@@ -1,10 +1,10 @@
 from tallyhouse.sinks.jdbc import append_jdbc
 from tallyhouse.sinks.tables import (
-    append_ledger, land_dumps, replace_dimension, write_daily, write_fact, write_hourly,
-    write_monthly, write_tally,
+    append_ledger, land_dumps, observed, replace_dimension, write_daily, write_fact, write_hourly,
+    write_monthly, write_refused, write_rejects, write_tally,
 )
 
 __all__ = [
-    "append_jdbc", "append_ledger", "land_dumps", "replace_dimension", "write_daily",
-    "write_fact", "write_hourly", "write_monthly", "write_tally",
+    "append_jdbc", "append_ledger", "land_dumps", "observed", "replace_dimension", "write_daily",
+    "write_fact", "write_hourly", "write_monthly", "write_refused", "write_rejects", "write_tally",
 ]

@@ -14,8 +14,8 @@ def append_jdbc(
     """Append fact rows over JDBC in batches of 10,000, by at most `writers` connections.
 
     Every task commits for itself, so a failed job may leave part of its rows.
-    The fact_id of a row never changes: with the table's primary key on
-    (fact_id, year, month) a second load of a row is refused, not doubled.
+    The fact_id of a row is made from the row alone: with the table's primary key
+    on (fact_id, year, month) a second load of a row is refused, not doubled.
     """
     options = {"batchsize": str(JDBC_BATCH_ROWS), **(properties or {})}
     if writers is not None:

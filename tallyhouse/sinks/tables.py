@@ -1,115 +1,148 @@
 """Writers of the warehouse tables.
 
-Each write replaces exactly the partitions its rows belong to, so repeating a
-stage, or running it again after a failure, changes nothing. The rows of a
-partition are brought together by a rebalance first: about one file per
-partition, several where adaptive execution finds it too big for one task.
-
-Where partitions are many and small, a write costs per file and not per byte.
-`tasks` then spreads it over that many ranges of rows instead of rebalancing by
-size. A range may end inside a partition, so a hot one is cut as well. `seen`
-counts the rows while they are written, which saves a second scan.
+The rows of a partition are brought together by a rebalance: about one file per
+partition, several where adaptive execution finds it too big for one task. A write
+replaces the partitions its rows belong to, and, told which values of the first
+key it owns, also removes what earlier writes left under them and this one has
+no rows for. So repeating a stage, or running it again after a failure, changes
+nothing. `seen` counts the rows while they are written.
 """
 
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, functions as F
 
 from tallyhouse.functions import month_key
 
 
-def _partition_writer(
-    rows: DataFrame, by: Sequence[str], order: Sequence[str] = (), tasks: int | None = None,
-    seen: Observation | None = None,
-) -> DataFrameWriter:
-    if tasks is None:
-        gathered = rows.hint("rebalance", *by)
-    else:
-        gathered = rows.repartitionByRange(tasks, *by, *order)
-    ordered = gathered.sortWithinPartitions(*by, *order)
-    if seen is not None:
-        # After the exchange: sampling the ranges runs what is before it twice.
-        ordered = ordered.observe(seen, F.count(F.lit(1)).alias("rows"))
-    return ordered.write.partitionBy(*by)
+def observed(seen: Observation) -> dict:
+    """What a write has counted. Where the optimizer finds that there is nothing to
+    write, it takes the counting out as well, and there is no row to get."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return {"rows": 0, "folders": []}
+
+
+def _partition_writer(rows: DataFrame, by: Sequence[str], order: Sequence[str] = ()) -> DataFrameWriter:
+    return rows.hint("rebalance", *by).sortWithinPartitions(*by, *order).write.partitionBy(*by)
+
+
+def _folder(by: Sequence[str]):
+    """Path of a row's partition below its table."""
+    return F.concat_ws("/", *[F.concat(F.lit(f"{key}="), F.col(key).cast("string")) for key in by])
+
+
+def _folders(owned: DataFrame, path: str, by: Sequence[str]) -> set[str]:
+    """Partitions that hold rows under the owned values of the first key."""
+    schema = ", ".join(f"{key} string" for key in by)
+    try:
+        table = owned.sparkSession.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return set()
+    mine = owned.select(F.col(by[0]).cast("string").alias(by[0])).distinct()
+    found = table.join(mine, by[0], "left_semi").select(_folder(by).alias("folder")).distinct()
+    return {row["folder"] for row in found.collect()}
 
 
 def _replace_partitions(
     rows: DataFrame, path: str, by: Sequence[str], order: Sequence[str] = (),
-    tasks: int | None = None, seen: Observation | None = None,
+    seen: Observation | None = None, owned: DataFrame | None = None,
 ) -> None:
-    (
-        _partition_writer(rows, by, order, tasks, seen).mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").parquet(path)
-    )
+    before = _folders(owned, path, by) if owned is not None else set()
+    seen = seen or Observation()
+    counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set(_folder(by)).alias("folders"))
+    writer = _partition_writer(counted, by, order).mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    if before:
+        for folder in sorted(before - set(observed(seen)["folders"])):
+            rows.sparkSession.range(0).write.mode("overwrite").parquet(f"{path}/{folder}")
 
 
 def write_tally(
-    tallies: DataFrame, path: str, batch_id: str, tasks: int | None = None,
-    seen: Observation | None = None,
+    tallies: DataFrame, path: str, batch_id: str, seen: Observation | None = None
 ) -> None:
     """The tallies of one batch, replacing an earlier attempt at that batch."""
-    writer = _partition_writer(
-        tallies, ["outcome"], ["file_date", "file_name", "domain", "pagename", "line"], tasks, seen
+    if seen is not None:
+        tallies = tallies.observe(seen, F.count(F.lit(1)).alias("rows"))
+    gathered = tallies.hint("rebalance", "file_month", "outcome", "file_date")
+    ordered = gathered.sortWithinPartitions(
+        "file_month", "outcome", "file_date", "file_name", "domain", "pagename", "line"
     )
-    writer.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    ordered.write.partitionBy("file_month", "outcome").mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
+def write_rejects(rejects: DataFrame, path: str, batch_id: str) -> None:
+    """The malformed lines of one batch, replacing an earlier attempt at that batch."""
+    ordered = rejects.hint("rebalance").sortWithinPartitions("file_name", "reason", "line")
+    ordered.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
-def write_hourly(hourly: DataFrame, path: str, tasks: int | None = None) -> None:
+def write_hourly(hourly: DataFrame, path: str) -> None:
     """Hourly sets, one partition per dump, sorted by domain and page."""
-    _replace_partitions(hourly, path, ["file_date", "file_time"], ["domain", "pagename"], tasks)
+    _replace_partitions(hourly, path, ["file_date", "file_time"], ["domain", "pagename"])
 
 
 def write_daily(
-    hourly: DataFrame, path: str, tasks: int | None = None, seen: Observation | None = None
+    hourly: DataFrame, path: str, seen: Observation | None = None, days: DataFrame | None = None
 ) -> None:
-    """Day sets: the hourly rows of a file date as one partition."""
-    _replace_partitions(hourly, path, ["file_date"], ["file_time", "domain", "pagename"], tasks, seen)
+    """Day sets: the hourly rows of a file date as one partition. `days` (file_date)
+    are replaced whole, also where they have no rows now."""
+    _replace_partitions(hourly, path, ["file_date"], ["file_time", "domain", "pagename"], seen, days)
 
 
 def write_monthly(
-    keyed: DataFrame, path: str, tasks: int | None = None, seen: Observation | None = None
+    keyed: DataFrame, path: str, seen: Observation | None = None, months: DataFrame | None = None
 ) -> None:
     """Month sets: day sets with calendar keys, one partition per file month."""
     if "file_month" not in keyed.columns:
         keyed = keyed.withColumn("file_month", month_key(F.col("file_date")))
     _replace_partitions(
         keyed.drop("file_date", "file_time"), path, ["file_month"],
-        ["date_id", "time_id", "domain", "pagename"], tasks, seen,
+        ["date_id", "time_id", "domain", "pagename"], seen, months,
     )
 
 
 def write_fact(
-    fact: DataFrame, path: str, tasks: int | None = None, seen: Observation | None = None
+    fact: DataFrame, path: str, seen: Observation | None = None, months: DataFrame | None = None
 ) -> None:
     """The fact by (load_month, year, month).
 
     A month set holds the last midnight of the month before. With load_month,
     the month set a row came from, as first key, replacing a month leaves the
-    rest of that earlier month alone.
+    rest of that earlier month alone. `months` (load_month) are replaced whole.
     """
     _replace_partitions(
-        fact, path, ["load_month", "year", "month"],
-        ["date_id", "time_id", "domain", "pagename"], tasks, seen,
+        fact, path, ["load_month", "year", "month"], ["date_id", "time_id", "domain", "pagename"],
+        seen, months,
     )
 
 
+def write_refused(refused: DataFrame, path: str, months: DataFrame) -> None:
+    """Rows a load refused, by load_month; `months` are replaced whole, so a clean
+    load removes what an earlier one refused."""
+    _replace_partitions(refused, path, ["load_month"], ["date_id", "time_id"], owned=months)
+
+
 def replace_dimension(dimension: DataFrame, path: str) -> None:
     """Replace a whole dimension table."""
     dimension.write.mode("overwrite").parquet(path)
 
 
 def append_ledger(rows: DataFrame, path: str) -> None:
-    """Add the files of a (stage, batch), replacing an earlier attempt at it."""
-    _replace_partitions(rows, path, ["stage", "batch_id"])
+    """Add the files of a (stage, batch). Nothing is taken out of a ledger, and what
+    is noted again is one row when read."""
+    _partition_writer(rows, ["stage", "batch_id"]).mode("append").parquet(path)
 
 
-def land_dumps(
-    lines: DataFrame, path: str, compression: str = "gzip", tasks: int | None = None
-) -> None:
+def land_dumps(lines: DataFrame, path: str, compression: str = "gzip") -> None:
     """Stage (value, file_name) lines as gzip text, a folder per dump.
 
     A large dump becomes several files, which are then read in parallel.
     """
-    rows = lines.select("value", "file_name")
-    writer = _partition_writer(rows, ["file_name"], ["value"] if tasks else [], tasks)
+    writer = _partition_writer(lines.select("value", "file_name"), ["file_name"])
     writer.mode("append").option("compression", compression).text(path)

@@ -6,22 +6,23 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyhouse.functions import dump_name, file_date_of, path_dump_name
-from tallyhouse.schemas import DUMP_BASE_URL, HOURS_PER_DAY, RAW_LINE
+from tallyhouse.functions import dump_name, file_date_of, path_dump_name, path_place
+from tallyhouse.schemas import DUMP_BASE_URL, HOURS_PER_DAY
 
 _CHUNK = 1 << 16
+# Longer files are not loaded for a check, since a file is one value there.
+LONGEST_CHECKED = 1 << 30
 
 
 def read_dumps(
-    spark: SparkSession, paths: str | Sequence[str], *,
-    landed: bool = False, skip_corrupt: bool = False,
+    spark: SparkSession, paths: str | Sequence[str], *, skip_corrupt: bool = False
 ) -> DataFrame:
     """Lines of all dumps in one scan, as (value, file_name).
 
-    `paths` is a folder of `pageviews-….gz` files, a glob, or a list of files.
-    With `landed` it is a folder written by `land_dumps`, where a dump may be
-    cut into several gzip parts and so be read by several tasks; a plain gzip
-    file is always read by one.
+    `paths` is a folder, a glob, or a list of files. Folders are read with all
+    below them. A dump is one `pageviews-….gz`, which one task reads, or the
+    parts that `land_dumps` wrote, which several can. A dump that lies there
+    twice is read twice; list_dumps tells.
 
     A dump that is no gzip or is cut short fails the scan. `skip_corrupt` reads
     on, but keeps the lines before the damage, so use it only together with
@@ -29,18 +30,29 @@ def read_dumps(
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     reader = spark.read.option("ignoreCorruptFiles", skip_corrupt).option("pathGlobFilter", "*.gz")
-    if landed:
-        return reader.schema(RAW_LINE).text(paths)
-    return reader.text(paths).select("value", F.col("_metadata.file_name").alias("file_name"))
+    lines = reader.option("recursiveFileLookup", True).text(paths)
+    return lines.select("value", path_dump_name(F.col("_metadata.file_path")).alias("file_name"))
 
 
 def list_dumps(spark: SparkSession, path: str) -> DataFrame:
-    """Files under a folder as (file_name, path, length), without reading them.
-    Files of no bytes are not listed."""
+    """Files under a folder as (file_name, path, place, length), without reading them.
+
+    place is where the whole dump lies: its path, or the folder of its parts.
+    Files of no bytes are not listed.
+    """
     found = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+        spark.read.format("binaryFile").option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.gz").load(path)
     )
-    return found.select(path_dump_name(F.col("path")).alias("file_name"), "path", "length")
+    return found.select(
+        path_dump_name(F.col("path")).alias("file_name"), "path", path_place(F.col("path")).alias("place"), "length"
+    )
+
+
+def one_place_each(files: DataFrame) -> DataFrame:
+    """Of each dump the files in one place, the first by name; copies elsewhere go."""
+    first = files.groupBy("file_name").agg(F.min("place").alias("place"))
+    return files.join(first, ["file_name", "place"], "left_semi")
 
 
 def _gzip_intact(content: bytes) -> bool:
@@ -70,7 +82,8 @@ def _intact_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def audit_dumps(
     spark: SparkSession, paths: str | Sequence[str], *, deep: bool = False
 ) -> DataFrame:
-    """Verdict per file: ok, not_gzip, truncated (with `deep`) or bad_name.
+    """Verdict per file: ok, not_gzip, truncated (with `deep`), bad_name, or unchecked
+    for one over LONGEST_CHECKED, which a check would have to hold in memory.
 
     Spark's file sources pass over files of no bytes, so those count as missing.
     Reading the content loads whole files, so pass the suspect ones where the
@@ -78,12 +91,13 @@ def audit_dumps(
     chunk at a time.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    found = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
-        .select(
-            path_dump_name(F.col("path")).alias("file_name"), "path", "length", "content",
-            (F.hex(F.substring("content", 1, 2)) == "1F8B").alias("is_gzip"),
-        )
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+    name = path_dump_name(F.col("path")).alias("file_name")
+    long = listed.where(F.col("length") > LONGEST_CHECKED).select(
+        name, "path", "length", F.lit("unchecked").alias("verdict")
+    )
+    found = listed.where(F.col("length") <= LONGEST_CHECKED).select(
+        name, "path", "length", "content", (F.hex(F.substring("content", 1, 2)) == "1F8B").alias("is_gzip"),
     )
     if deep:
         found = found.mapInPandas(
@@ -98,7 +112,7 @@ def audit_dumps(
         .when(file_date_of(F.col("file_name")).isNull(), "bad_name")
         .otherwise("ok")
     )
-    return found.select("file_name", "path", "length", verdict.alias("verdict"))
+    return found.select("file_name", "path", "length", verdict.alias("verdict")).union(long)
 
 
 def expected_dumps(days: DataFrame, base_url: str = DUMP_BASE_URL) -> DataFrame:
@@ -118,5 +132,5 @@ def expected_dumps(days: DataFrame, base_url: str = DUMP_BASE_URL) -> DataFrame:
 
 
 def missing_dumps(expected: DataFrame, seen: DataFrame) -> DataFrame:
-    """Expected dumps without a file."""
-    return expected.join(seen.select("file_name"), "file_name", "left_anti")
+    """Expected dumps without a file; `seen` may name a dump many times, as lines do."""
+    return expected.join(seen.select("file_name").distinct(), "file_name", "left_anti")

@@ -5,11 +5,6 @@ from pyspark.sql import types as T
 
 from tallyhouse.schemas import HOURS_PER_DAY
 
-# Longer spans are refused at run time (the whole nanosecond calendar,
-# 1677-2262, is 214 thousand days). This bounds every spine, and with it every
-# dim_date that a join broadcasts.
-MAX_SPINE_DAYS = 250_000
-
 
 def date_bounds(spark: SparkSession, start: str, end: str) -> DataFrame:
     """One row (start, end) from two ISO dates, for date_spine."""
@@ -22,18 +17,15 @@ def date_spine(bounds: DataFrame) -> DataFrame:
     """Every date from start to end, both included; none when end < start.
 
     `bounds` is a one-row frame, so the range may come from an aggregate over
-    the data without passing through the driver.
+    the data without passing through the driver. Years are made first and dealt
+    out; the days of each year are made where it is.
     """
-    days = F.datediff("end", "start")
-    every_day = F.sequence("start", "end", F.expr("interval 1 day"))
-    too_long = F.raise_error(F.format_string(
-        "date spine of %d days is over the limit of " + str(MAX_SPINE_DAYS), days
-    )).cast("array<date>")
-    return bounds.select(F.explode(
-        F.when(days < 0, F.array().cast("array<date>"))
-        .when(days >= MAX_SPINE_DAYS, too_long)
-        .otherwise(every_day)
-    ).alias("date"))
+    years = bounds.where("start <= end").select(
+        "start", "end", F.explode(F.sequence(F.year("start"), F.year("end"))).alias("year")
+    ).repartition(bounds.sparkSession.sparkContext.defaultParallelism, "year")
+    first = F.greatest("start", F.make_date("year", F.lit(1), F.lit(1)))
+    last = F.least("end", F.make_date("year", F.lit(12), F.lit(31)))
+    return years.select(F.explode(F.sequence(first, last, F.expr("interval 1 day"))).alias("date"))
 
 
 def hours_between(spark: SparkSession, first: int = 0, last: int = HOURS_PER_DAY - 1) -> DataFrame:

@@ -4,10 +4,11 @@ The partition columns are part of the schema, so no read infers types, and a
 filter on them prunes folders.
 """
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tallyhouse.schemas import FACT, FILE_KEYS, HOURLY, LEDGER, MONTHLY, TALLY
+from tallyhouse.schemas import FACT, FILE_KEYS, HOURLY, LEDGER, MONTHLY, REJECTS, TALLY
 
 FILE_MONTH = T.StructField("file_month", T.StringType())
 
@@ -20,12 +21,12 @@ def read_hourly(spark: SparkSession, path: str) -> DataFrame:
 def read_daily(spark: SparkSession, path: str) -> DataFrame:
     """Day sets, partitioned by file_date."""
     schema = T.StructType([*HOURLY.fields, FILE_KEYS["file_time"], FILE_KEYS["file_date"]])
-    return spark.read.schema(schema).parquet(path)
+    return _or_empty(spark, schema, path)
 
 
 def read_monthly(spark: SparkSession, path: str, schema: T.StructType = MONTHLY) -> DataFrame:
     """Month sets, partitioned by file_month. Columns the files lack are NULL."""
-    return spark.read.schema(T.StructType([*schema.fields, FILE_MONTH])).parquet(path)
+    return _or_empty(spark, T.StructType([*schema.fields, FILE_MONTH]), path)
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
@@ -33,12 +34,28 @@ def read_fact(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FACT).parquet(path)
 
 
+def _or_empty(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
+    """The table, empty before its first write."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """Ledger of processed files, partitioned by stage and batch_id."""
-    return spark.read.schema(LEDGER).parquet(path)
+    """Ledger of processed files, partitioned by stage and batch_id. A file that an
+    attempt at a batch has noted again is one row."""
+    return _or_empty(spark, LEDGER, path).distinct()
 
 
 def read_tally(spark: SparkSession, path: str) -> DataFrame:
-    """Line tallies, partitioned by batch_id and outcome, and sorted by file_date,
-    so that a filter on dates skips most row groups."""
-    return spark.read.schema(TALLY).parquet(path)
+    """Line tallies, partitioned by batch_id, file_month and outcome: a filter on
+    months prunes folders."""
+    return _or_empty(spark, TALLY, path)
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """Malformed lines, partitioned by batch_id."""
+    return _or_empty(spark, REJECTS, path)

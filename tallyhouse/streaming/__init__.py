@@ -1,3 +1,3 @@
-from tallyhouse.streaming.ingest import ingest_available, stream_dumps, stream_hourly
+from tallyhouse.streaming.ingest import ingest_available, stream_dumps, stream_hourly, tally_new
 
-__all__ = ["ingest_available", "stream_dumps", "stream_hourly"]
+__all__ = ["ingest_available", "stream_dumps", "stream_hourly", "tally_new"]

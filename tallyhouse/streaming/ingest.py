@@ -2,44 +2,77 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from tallyhouse.operators import hourly_of_tally, tally
-from tallyhouse.schemas import COMPANY_PAGES, RAW_LINE
-from tallyhouse.sinks import write_tally
+from tallyhouse.functions import month_key, path_dump_name, path_place
+from tallyhouse.operators import hourly_of_tally, new_dumps, no_lines, rejects_of_tally, tally
+from tallyhouse.schemas import COMPANY_PAGES
+from tallyhouse.session import scratch_folder
+from tallyhouse.sinks import write_rejects, write_tally
 from tallyhouse.sources import read_tally
 
 
 def stream_dumps(
-    spark: SparkSession, folder: str, *, landed: bool = False,
-    files_per_batch: int | None = None, archive: str | None = None,
+    spark: SparkSession, folder: str, *, files_per_batch: int | None = None, archive: str | None = None
 ) -> DataFrame:
-    """Lines of the dumps in a folder as a stream of (value, file_name).
+    """Lines of the dumps in a folder, and all below it, as a stream of
+    (value, file_name, place). Plain and landed dumps may lie side by side.
 
     With `archive`, finished dumps move there during a later run; the last batch
     of a run stays in the folder till then, so a file's presence says nothing.
     """
-    reader = spark.readStream.format("text").option("pathGlobFilter", "*.gz")
+    reader = spark.readStream.format("text").option("pathGlobFilter", "*.gz").option("recursiveFileLookup", True)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if archive is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    if landed:
-        return reader.schema(RAW_LINE).load(folder)
-    return reader.load(folder).select("value", F.col("_metadata.file_name").alias("file_name"))
+    path = F.col("_metadata.file_path")
+    return reader.load(folder).select(
+        "value", path_dump_name(path).alias("file_name"), path_place(path).alias("place")
+    )
+
+
+def tally_new(
+    spark: SparkSession, sums: DataFrame, tally_path: str, batch_id: str, owner: str,
+    rejects_path: str | None = None, seen: Observation | None = None, files: DataFrame | None = None,
+) -> None:
+    """Write tallies as one batch, without the dumps that are in the table already.
+
+    The sums are written to scratch first, as they are looked at twice. Only the
+    months they belong to are read from the table. Of `files` (file_name) those
+    without any line are noted as well.
+    """
+    folder = scratch_folder(spark, "sums")
+    sums.write.parquet(folder)
+    sums = spark.read.schema(sums.schema).parquet(folder)
+    if files is not None:
+        sums = sums.unionByName(no_lines(files.join(sums, "file_name", "left_anti")))
+    months = [row["file_month"] for row in sums.select("file_month").distinct().collect()]
+    known = read_tally(spark, tally_path).where(
+        F.col("file_month").isin([m for m in months if m]) | F.col("file_month").isNull()
+    ).where(F.col("batch_id") != batch_id)
+    fresh = new_dumps(sums, known, owner)
+    write_tally(fresh, tally_path, batch_id, seen)
+    if rejects_path:
+        written = read_tally(spark, tally_path).where(F.col("batch_id") == batch_id)
+        write_rejects(rejects_of_tally(written), rejects_path, batch_id)
 
 
 def ingest_available(
     lines: DataFrame, tally_path: str, checkpoint: str, pages: Sequence[str] = COMPANY_PAGES,
+    rejects_path: str | None = None,
 ) -> None:
     """Tally all dumps that are new since the checkpoint, then stop.
 
-    The checkpoint is the ledger. Each micro-batch owns the folder of its
-    number, so one that is repeated after a failure replaces its own output and
-    nothing is counted twice.
+    Each micro-batch owns the folder of its number in its stream, whose id lies in
+    the checkpoint, so one that is repeated after a failure replaces its own output
+    and nothing is counted twice; nor are dumps that another stream or a job over
+    a folder has tallied before.
     """
-    def tally_batch(batch: DataFrame, batch_number: int) -> None:
-        write_tally(tally(batch, pages), tally_path, str(batch_number))
+    def tally_batch(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        owner = f"stream-{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}-"
+        tally_new(spark, tally(batch, pages), tally_path, f"{owner}{number}", owner, rejects_path)
 
     query = (
         lines.writeStream.foreachBatch(tally_batch)
@@ -52,10 +85,13 @@ def ingest_available(
 def stream_hourly(
     spark: SparkSession, tally_path: str, start: str | None = None, end: str | None = None
 ) -> DataFrame:
-    """Hourly sums of everything ingested; file dates prune the folders read."""
+    """Hourly sums of everything ingested; the months of the dates prune the folders read."""
     tallies = read_tally(spark, tally_path)
+    day, month = F.col("file_date"), F.col("file_month")
     if start:
-        tallies = tallies.where(F.col("file_date") >= F.lit(start).cast("date"))
+        first = F.lit(start).cast("date")
+        tallies = tallies.where((day >= first) & (month >= month_key(first)))
     if end:
-        tallies = tallies.where(F.col("file_date") <= F.lit(end).cast("date"))
+        last = F.lit(end).cast("date")
+        tallies = tallies.where((day <= last) & (month <= month_key(last)))
     return hourly_of_tally(tallies)

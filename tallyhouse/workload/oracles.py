@@ -101,18 +101,15 @@ LOAD_OUT = "date_id, time_id, domain, pagename, sumpageviewcount, year, month"
 MONTH_OUT = f"{HOURLY_OUT}, date_id, time_id, year, month, file_month"
 
 
+FACT_ID = (
+    "(cast(date_id % 100 * 32 + time_id as bigint) << 52)"
+    " + cast(('0x' || md5(concat_ws(' ', domain, pagename))[1:13]) as bigint)"
+)
+
+
 def fact_ids(source: str, carry: str = "") -> str:
-    piece = "cast(('0x' || md5(domain || ' ' || pagename)[1:6]) as integer) % 1000"
     return f"""
-sliced as (select *, {piece} as slice from {source}),
-numbered as (
-    select *, row_number() over (
-        partition by date_id, time_id, slice order by domain, pagename) as n
-    from sliced),
-fact as (
-    select ((cast(date_id as bigint) * 100 + time_id) * 1000 + slice) * 1000000 + n as fact_id,
-           {LOAD_OUT}{carry}
-    from numbered)"""
+fact as (select {FACT_ID} as fact_id, {LOAD_OUT}{carry} from {source})"""
 
 
 LOADED = ", file_month as load_month"
@@ -186,7 +183,12 @@ DENSE_MONTHS = f"""{keyed(RAW_DENSE)}, {COMPLETE_DAYS},
 LONG_MONTHS = f"""{keyed(RAW_LONG)},
 {COMPLETE_MONTHS.format(days="parsed")}"""
 
-NULL_NAMES = "'sumpageviewcount'"
+COLUMNS = LOAD_OUT.split(", ")
+NULLED = ", ".join(f"case when time_id % 8 <> {n} then {name} end as {name}" for n, name in enumerate(COLUMNS))
+NULL_NAMES = "concat_ws(',', " + ", ".join(f"case when {name} is null then '{name}' end" for name in COLUMNS) + ")"
+NULLS_SHOWN = ", ".join(
+    f"coalesce({name}, {chr(39) * 2 if name in ('domain', 'pagename') else -1}) as {name}" for name in COLUMNS
+)
 
 RULES_YEARS = 28
 
@@ -195,6 +197,10 @@ def data_days_dim(weekend: str = "isodow(d) = 7") -> str:
     return f"with {parsed(RAW_LONG)}, {dim_date(DATA_DAYS, weekend)}"
 
 
+DENSE_OUT = f"""
+with {DENSE_MONTHS}
+select {MONTH_OUT} from keyed where file_month in (from complete_months)
+and fd in (from complete_days)"""
 ALL_HOURLY = f"with {hourly(RAW)} select {HOURLY_OUT}, file_date, file_time from hourly"
 ALL_FACT = f"""with {keyed(RAW_LONG)}, {fact_ids("keyed", LOADED)} select * from fact"""
 
@@ -211,7 +217,10 @@ where file_name not in (select file_name from lines)""",
 with {parsed(RAW)}
 select distinct file_name, case when fd < date '{CUT}' then 'ok' else 'not_gzip' end as verdict
 from parsed""",
-    "gz_deep_audit": f"with lines as ({RAW}) select distinct file_name, 'ok' as verdict from lines",
+    "gz_deep_audit": f"""
+with {parsed(RAW)}
+select distinct file_name, case when fd < date '{CUT}' then 'ok' else 'truncated' end as verdict
+from parsed""",
     "scan_hourly_schema": ALL_HOURLY,
     "scan_daily_schema": f"""
 with {keyed(RAW_DENSE)}
@@ -226,6 +235,8 @@ with {parsed(RAW_LONG)} select strftime(d, '%Y-%m-%d') as date from ({DATA_DAYS}
     "dim_replace_roundtrip": f"{data_days_dim()} select * from dim_date",
     "fact_partitioned_write": ALL_FACT,
     "fact_reload_idempotent": ALL_FACT,
+    "fact_reload_shrunk": f"""with {keyed(RAW_LONG)}, {fact_ids("keyed", LOADED)}
+select * from fact where load_month not like '2018-%' or time_id > 0""",
     "processed_ledger": f"""
 with {parsed(RAW)},
 files as (select distinct file_name, fd < date '{CUT}' as early from parsed)
@@ -300,18 +311,35 @@ select distinct cast(hour(ts) as integer) as time_id,
        lpad(cast(hour(ts) as varchar), 2, '0') || ':00:00' as time_creation
 from events""",
     "not_null_violations": f"""
-with {keyed(RAW_DIRTY)}
-select date_id, time_id, domain, pagename, {NULL_NAMES} as null_columns
-from keyed where sumpageviewcount is null""",
+with {keyed(RAW_DIRTY)}, planted as (select {NULLED} from keyed)
+select {NULLS_SHOWN}, {NULL_NAMES} as null_columns from planted where {NULL_NAMES} <> ''""",
     "length_violations": f"""
-with {keyed(raw(value="repeat(event_type, 5) || substr(" + EVENT_VALUE + ", length(event_type) + 1)"))}
-select {LOAD_OUT}, 'domain' as long_columns from keyed where length(domain) > 30""",
+with {keyed(raw(value="repeat(event_type, 5) || substr(" + EVENT_VALUE + ", length(event_type) + 1)"))},
+longer as (select * replace (repeat(pagename, time_id % 8 + 1) as pagename) from keyed)
+select {LOAD_OUT}, concat_ws(',', case when length(domain) > 30 then 'domain' end,
+       case when length(pagename) > 30 then 'pagename' end) as long_columns
+from longer where length(domain) > 30 or length(pagename) > 30""",
+    "dim_text_violations": f"""
+{data_days_dim()}, longer as (
+    select date_id, repeat(month_name, quarter) as month_name, repeat(day_name, day % 2 + 1) as day_name from dim_date)
+select *, concat_ws(',', case when length(month_name) > 20 then 'month_name' end,
+       case when length(day_name) > 10 then 'day_name' end) as long_columns
+from longer where length(month_name) > 20 or length(day_name) > 10""",
     "partition_range_violations": f"""
 with {keyed(raw_long(32))}
 select {LOAD_OUT} from keyed where year not between 2015 and 2030""",
     "pk_violations": f"""
 with {keyed(RAW)}, {fact_ids("keyed")}
 select fact_id, year, month, cast(2 as bigint) as copies from fact where time_id = 0""",
+    "pk_natural_violations": f"""
+with {keyed(RAW)}
+select date_id, time_id, domain, pagename, cast(2 as bigint) as copies from keyed where time_id = 0""",
+    "pk_dim_violations": f"""
+{data_days_dim()}
+select 'dim_date' as dimension, date_id as key, cast(2 as bigint) as copies from dim_date where date_id % 7 = 0
+union all
+select 'dim_time', cast(h as integer), cast(2 as bigint)
+from (select distinct hour(ts) as h from events) where h % 7 = 0""",
     "fk_date_violations": f"""
 with {keyed(raw_long(RULES_YEARS))}, {dim_date(FIXED_DAYS)}
 select {LOAD_OUT} from keyed where date_id not in (select date_id from dim_date)""",
@@ -319,9 +347,24 @@ select {LOAD_OUT} from keyed where date_id not in (select date_id from dim_date)
 with {keyed(raw(hour_shift=10))}
 select {LOAD_OUT} from keyed where time_id > 23""",
     "broken_rules": f"""
-with {keyed(raw_long(RULES_YEARS))}, {dim_date(FIXED_DAYS)}
-select 'fk_date' as rule, count(*) as rows from keyed
-where date_id not in (select date_id from dim_date) having count(*) > 0""",
+with {keyed(RAW_LONG)}, {dim_date(FIXED_DAYS)},
+planted as (
+    select date_id + case when time_id = 4 then 300000 else 0 end as date_id,
+           time_id + case when time_id = 5 then 24 else 0 end as time_id,
+           case when time_id <> 1 then domain end as domain,
+           repeat(pagename, case when time_id = 2 then 8 else 1 end) as pagename, sumpageviewcount,
+           year + case when time_id = 3 then 100 else 0 end as year, month
+    from (from keyed union all from keyed where time_id = 6)),
+fact as (select *, {FACT_ID} as fact_id from planted),
+broken as (
+    select 'not_null' as rule from fact where {" or ".join(f"{name} is null" for name in COLUMNS)}
+    union all select 'length' from fact where length(domain) > 30 or length(pagename) > 30
+    union all select 'partition_range' from fact where not (year between 2015 and 2030 and month between 1 and 12)
+    union all select 'fk_date' from fact where date_id not in (select date_id from dim_date)
+    union all select 'fk_time' from fact where time_id not between 0 and 23
+    union all select 'primary_key' from (
+        select count(*) over (partition by fact_id, year, month) as copies from fact) where copies > 1)
+select rule, count(*) as rows from broken group by rule""",
     "line_rejects": f"""
 with {parsed(RAW_DIRTY)}
 select file_name, value, {REASON} as reason from parsed where {REASON} is not null""",
@@ -350,10 +393,9 @@ union all select 'daily', 'day sets written', count(*) from gated_days
 union all select 'monthly', 'month sets written', count(*) from gated_months
 union all select 'fact', 'facts loaded', count(*) from gated_months
           where date_id >= 20150101""",
-    "dumps_to_months": f"""
-with {DENSE_MONTHS}
-select {MONTH_OUT} from keyed where file_month in (from complete_months)
-and fd in (from complete_days)""",
+    "dumps_to_months": DENSE_OUT,
+    "ingest_twice_same_batch": DENSE_OUT,
+    "ingest_resumed": DENSE_OUT,
     "months_to_fact": f"""
 with {LONG_MONTHS},
 gated as (select * from keyed where file_month in (from complete_months)),

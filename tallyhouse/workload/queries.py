@@ -10,10 +10,10 @@ from pyspark.sql import types as T
 from tallyhouse import operators as op
 from tallyhouse import sinks, sources
 from tallyhouse.functions import (
-    calendar_day, clock_text, file_clock_of, file_date_of, month_key,
+    calendar_day, clock_text, file_clock_of, file_date_of, month_key, path_dump_name,
 )
-from tallyhouse.plans import RunAudit, Warehouse, load_fact, to_months
-from tallyhouse.schemas import LOAD_COLUMNS
+from tallyhouse.plans import RunAudit, Warehouse, combine_days, convert, load_fact, to_months
+from tallyhouse.schemas import DIM_DATE_TEXT_LIMITS, LOAD_COLUMNS
 from tallyhouse.session import scratch_folder
 from tallyhouse.streaming import ingest_available, stream_dumps, stream_hourly
 from tallyhouse.workload.mapping import (
@@ -33,11 +33,6 @@ def shown(rows: DataFrame) -> DataFrame:
     ])
 
 
-def spread(spark: SparkSession) -> int:
-    """Tasks for a write of many small partitions: every core the session has."""
-    return spark.sparkContext.defaultParallelism
-
-
 def hourly_of(lines: DataFrame) -> DataFrame:
     return op.hourly_pageviews(op.keep_pages(op.split_lines(lines), PAGES))
 
@@ -77,8 +72,8 @@ def data_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scan_dump_text(spark, sf_dir):
     folder = scratch_folder(spark, "dumps")
-    sinks.land_dumps(raw(spark, sf_dir), folder, tasks=spread(spark))
-    return sources.read_dumps(spark, folder, landed=True)
+    sinks.land_dumps(raw(spark, sf_dir), folder)
+    return sources.read_dumps(spark, folder)
 
 
 def expected_hour_manifest(spark, sf_dir):
@@ -98,27 +93,33 @@ def missing_hours(spark, sf_dir):
 def gz_magic_audit(spark, sf_dir):
     folder = scratch_folder(spark, "audit")
     early, late = before_cut(raw(spark, sf_dir))
-    sinks.land_dumps(early, folder, tasks=spread(spark))
-    sinks.land_dumps(late, folder, compression="none", tasks=spread(spark))
+    sinks.land_dumps(early, folder)
+    sinks.land_dumps(late, folder, compression="none")
     return sources.audit_dumps(spark, folder).select("file_name", "verdict").distinct()
 
 
 def gz_deep_audit(spark, sf_dir):
-    folder = scratch_folder(spark, "audit")
-    sinks.land_dumps(raw(spark, sf_dir), folder, tasks=spread(spark))
-    audited = sources.audit_dumps(spark, folder, deep=True)
-    return audited.select("file_name", "verdict").distinct()
+    """The late dumps are cut short: each part of theirs lacks its last six bytes."""
+    folder, whole = scratch_folder(spark, "audit"), scratch_folder(spark, "whole-dumps")
+    early, late = before_cut(raw(spark, sf_dir))
+    sinks.land_dumps(early, folder)
+    sinks.land_dumps(late, whole)
+    parts = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(whole)
+    cut = F.expr("substring(content, 1, cast(length as int) - 6)").cast("string")
+    short = parts.select(cut.alias("value"), path_dump_name(F.col("path")).alias("file_name"))
+    short.write.mode("append").partitionBy("file_name").text(folder)
+    return sources.audit_dumps(spark, folder, deep=True).select("file_name", "verdict").distinct()
 
 
 def scan_hourly_schema(spark, sf_dir):
     folder = scratch_folder(spark, "hourly")
-    sinks.write_hourly(hourly_of(raw(spark, sf_dir)), folder, spread(spark))
+    sinks.write_hourly(hourly_of(raw(spark, sf_dir)), folder)
     return shown(sources.read_hourly(spark, folder))
 
 
 def scan_daily_schema(spark, sf_dir):
     folder = scratch_folder(spark, "daily")
-    sinks.write_daily(hourly_of(raw_dense(spark, sf_dir)), folder, spread(spark))
+    sinks.write_daily(hourly_of(raw_dense(spark, sf_dir)), folder)
     daily = sources.read_daily(spark, folder)
     return shown(daily.withColumn("file_month", month_key(F.col("file_date"))))
 
@@ -126,7 +127,7 @@ def scan_daily_schema(spark, sf_dir):
 def scan_month_schema(spark, sf_dir):
     folder = scratch_folder(spark, "monthly")
     keyed = op.calendar_keys(hourly_of(raw_long(spark, sf_dir)))
-    sinks.write_monthly(keyed, folder, spread(spark))
+    sinks.write_monthly(keyed, folder)
     return sources.read_monthly(spark, folder)
 
 
@@ -145,12 +146,12 @@ def write_hourly_roundtrip(spark, sf_dir):
     folder, ledger = scratch_folder(spark, "hourly"), scratch_folder(spark, "ledger")
     lines = raw(spark, sf_dir)
     early, _ = before_cut(lines)
-    sinks.write_hourly(hourly_of(early), folder, spread(spark))
+    sinks.write_hourly(hourly_of(early), folder)
     sinks.append_ledger(op.ledger_rows(early, "hourly", "1"), ledger)
     for batch in ("2", "3"):
         done = sources.read_ledger(spark, ledger)
-        waiting = op.pending(lines, done, "hourly")
-        sinks.write_hourly(hourly_of(waiting), folder, spread(spark))
+        waiting = op.pending(dump_names(lines), done, "hourly")
+        sinks.write_hourly(hourly_of(lines.join(waiting, "file_name", "left_semi")), folder)
         sinks.append_ledger(op.ledger_rows(waiting, "hourly", batch), ledger)
     return shown(sources.read_hourly(spark, folder))
 
@@ -158,8 +159,8 @@ def write_hourly_roundtrip(spark, sf_dir):
 def write_daily_roundtrip(spark, sf_dir):
     folder = scratch_folder(spark, "daily")
     hourly = hourly_of(raw(spark, sf_dir))
-    sinks.write_daily(hourly, folder, spread(spark))
-    sinks.write_daily(hourly, folder, spread(spark))
+    sinks.write_daily(hourly, folder)
+    sinks.write_daily(hourly, folder)
     return shown(sources.read_daily(spark, folder))
 
 
@@ -190,15 +191,26 @@ def _long_fact(spark, sf_dir):
 
 def fact_partitioned_write(spark, sf_dir):
     folder = scratch_folder(spark, "fact")
-    sinks.write_fact(_long_fact(spark, sf_dir), folder, spread(spark))
+    sinks.write_fact(_long_fact(spark, sf_dir), folder)
     return sources.read_fact(spark, folder)
 
 
 def fact_reload_idempotent(spark, sf_dir):
     folder = scratch_folder(spark, "fact")
     fact = _long_fact(spark, sf_dir)
-    sinks.write_fact(fact, folder, spread(spark))
-    sinks.write_fact(fact.where(F.col("load_month").startswith("2018-")), folder, spread(spark))
+    sinks.write_fact(fact, folder)
+    sinks.write_fact(fact.where(F.col("load_month").startswith("2018-")), folder)
+    return sources.read_fact(spark, folder)
+
+
+def fact_reload_shrunk(spark, sf_dir):
+    """Months of 2018 loaded again without their midnights: what was there goes."""
+    folder = scratch_folder(spark, "fact")
+    fact = _long_fact(spark, sf_dir)
+    of_2018 = F.col("load_month").startswith("2018-")
+    months = fact.where(of_2018).select("load_month").distinct()
+    sinks.write_fact(fact, folder)
+    sinks.write_fact(fact.where(of_2018 & (F.col("time_id") > 0)), folder, months=months)
     return sources.read_fact(spark, folder)
 
 
@@ -360,14 +372,31 @@ def dim_time(spark, sf_dir):
 # --- constraints ------------------------------------------------------------
 
 def not_null_violations(spark, sf_dir):
-    """Groups with malformed counts only."""
-    broken = op.not_null_violations(fact_of(raw_dirty(spark, sf_dir)))
-    return broken.select("date_id", "time_id", "domain", "pagename", "null_columns")
+    """Groups with malformed counts only, and each column set NULL at some hours."""
+    hour = F.col("time_id") % 8
+    planted = fact_of(raw_dirty(spark, sf_dir)).select(*[
+        F.when(hour != n, F.col(name)).alias(name) for n, name in enumerate(LOAD_COLUMNS)
+    ])
+    broken = op.not_null_violations(planted)
+    return broken.select(
+        *[F.coalesce(name, F.lit("" if kind == "string" else -1)).alias(name) for name, kind in planted.dtypes],
+        "null_columns",
+    )
 
 
 def length_violations(spark, sf_dir):
-    """Domains made longer by repeating them, some over the limit."""
-    return op.length_violations(fact_of(raw(spark, sf_dir, domain=F.repeat("event_type", F.lit(5)))))
+    """Domains and pages made longer by repeating them, some over the limit."""
+    fact = fact_of(raw(spark, sf_dir, domain=F.repeat("event_type", F.lit(5))))
+    return op.length_violations(fact.withColumn("pagename", F.repeat("pagename", F.col("time_id") % 8 + 1)))
+
+
+def dim_text_violations(spark, sf_dir):
+    """Names of months and days repeated, some over the limits of dim_date."""
+    dates = op.dim_date(data_days(spark, sf_dir)).withColumns({
+        "month_name": F.repeat("month_name", F.col("quarter")), "day_name": F.repeat("day_name", F.col("day") % 2 + 1),
+    })
+    broken = op.length_violations(dates, DIM_DATE_TEXT_LIMITS)
+    return broken.select("date_id", "month_name", "day_name", "long_columns")
 
 
 def partition_range_violations(spark, sf_dir):
@@ -381,6 +410,21 @@ def pk_violations(spark, sf_dir):
     return op.pk_violations(fact.union(fact.where("time_id = 0")), ["fact_id", "year", "month"])
 
 
+def pk_natural_violations(spark, sf_dir):
+    """The key that fact_id is made from, over the same rows."""
+    fact = fact_of(raw(spark, sf_dir))
+    return op.pk_violations(fact.union(fact.where("time_id = 0")), ["date_id", "time_id", "domain", "pagename"])
+
+
+def pk_dim_violations(spark, sf_dir):
+    """Both dimensions and, once more, part of their rows."""
+    dates = op.dim_date(data_days(spark, sf_dir)).select(F.col("date_id").alias("key"))
+    times = op.dim_time(data_hours(spark, sf_dir)).select(F.col("time_id").alias("key"))
+    twice = [(name, rows.union(rows.where("key % 7 = 0"))) for name, rows in (("dim_date", dates), ("dim_time", times))]
+    found = [op.pk_violations(rows, ["key"]).select(F.lit(name).alias("dimension"), "key", "copies") for name, rows in twice]
+    return found[0].union(found[1])
+
+
 def fk_date_violations(spark, sf_dir):
     """Line items moved to 2023-2029: dim_date ends with 2025."""
     fact = fact_of(raw_long(spark, sf_dir, years=28))
@@ -394,9 +438,18 @@ def fk_time_violations(spark, sf_dir):
 
 
 def broken_rules(spark, sf_dir):
-    """All constraints at once, over the long-dated line items."""
-    checked = op.with_broken_rules(fact_of(raw_long(spark, sf_dir, years=28)), *dims(spark))
-    return op.rule_counts(checked)
+    """All constraints at once, each planted at an hour of the day."""
+    hour = F.col("time_id")
+    fact = fact_of(raw_long(spark, sf_dir))
+    planted = fact.union(fact.where(hour == 6)).select(
+        F.when(hour == 4, F.col("date_id") + 300_000).otherwise(F.col("date_id")).alias("date_id"),
+        F.when(hour == 5, hour + 24).otherwise(hour).alias("time_id"),
+        F.when(hour != 1, F.col("domain")).alias("domain"),
+        F.when(hour == 2, F.repeat("pagename", F.lit(8))).otherwise(F.col("pagename")).alias("pagename"),
+        "sumpageviewcount", F.when(hour == 3, F.col("year") + 100).otherwise(F.col("year")).alias("year"), "month",
+    )
+    checked = op.with_broken_rules(op.with_fact_id(planted), *dims(spark))
+    return op.rule_counts(op.with_repeated_keys(checked, ["fact_id", "year", "month"]))
 
 
 def line_rejects(spark, sf_dir):
@@ -419,9 +472,9 @@ def incremental_ingest(spark, sf_dir):
     folder, tallies = scratch_folder(spark, "dumps"), scratch_folder(spark, "tally")
     checkpoint = scratch_folder(spark, "stream")
     for part in before_cut(raw(spark, sf_dir)):
-        sinks.land_dumps(part, folder, tasks=spread(spark))
-        ingest_available(stream_dumps(spark, folder, landed=True), tallies, checkpoint, PAGES)
-    ingest_available(stream_dumps(spark, folder, landed=True), tallies, checkpoint, PAGES)
+        sinks.land_dumps(part, folder)
+        ingest_available(stream_dumps(spark, folder), tallies, checkpoint, PAGES)
+    ingest_available(stream_dumps(spark, folder), tallies, checkpoint, PAGES)
     return shown(stream_hourly(spark, tallies))
 
 
@@ -429,25 +482,41 @@ def run_audit(spark, sf_dir):
     """The first midnight dump belongs to 2014, before dim_date: it is refused."""
     house = Warehouse(scratch_folder(spark, "warehouse"))
     audit = RunAudit(spark, house.audit)
-    monthly = to_months(
-        spark, raw_dense(spark, sf_dir), house, "1", PAGES, audit=audit, tasks=spread(spark)
-    )
-    load_fact(spark, monthly, house.fact, *dims(spark), house.refused, audit, spread(spark))
+    monthly = to_months(spark, raw_dense(spark, sf_dir), house, "1", PAGES, audit=audit)
+    load_fact(spark, monthly, house.fact, *dims(spark), house.refused, audit)
     return audit.read().select("stage", "message", F.col("metrics")["rows"].alias("rows"))
 
 
 def dumps_to_months(spark, sf_dir):
     house = Warehouse(scratch_folder(spark, "warehouse"))
-    return to_months(spark, raw_dense(spark, sf_dir), house, "1", PAGES, tasks=spread(spark))
+    return to_months(spark, raw_dense(spark, sf_dir), house, "1", PAGES)
+
+
+def ingest_twice_same_batch(spark, sf_dir):
+    """First some dumps, then all of them under the same batch id."""
+    house = Warehouse(scratch_folder(spark, "warehouse"))
+    lines = raw_dense(spark, sf_dir)
+    to_months(spark, lines.where(F.col("file_name") < "pageviews-20150120"), house, "1", PAGES)
+    return to_months(spark, lines, house, "1", PAGES)
+
+
+def ingest_resumed(spark, sf_dir):
+    """One run stops after the conversion, the next after the days; a third goes on."""
+    house = Warehouse(scratch_folder(spark, "warehouse"))
+    lines = raw_dense(spark, sf_dir)
+    convert(spark, lines.where(F.col("file_name") < "pageviews-20150120"), house, "1", PAGES)
+    convert(spark, lines, house, "2", PAGES)
+    combine_days(spark, house, "2")
+    return to_months(spark, lines, house, "3", PAGES)
 
 
 def months_to_fact(spark, sf_dir):
     house = Warehouse(scratch_folder(spark, "warehouse"))
     complete = op.complete_months(_long_days(spark, sf_dir))
     gated = op.gate_months(hourly_of(raw_long(spark, sf_dir)), complete)
-    sinks.write_monthly(op.calendar_keys(gated), house.monthly, spread(spark))
+    sinks.write_monthly(op.calendar_keys(gated), house.monthly)
     monthly = sources.read_monthly(spark, house.monthly)
-    load_fact(spark, monthly, house.fact, *dims(spark), tasks=spread(spark))
+    load_fact(spark, monthly, house.fact, *dims(spark))
     return sources.read_fact(spark, house.fact)
 
 
@@ -457,15 +526,15 @@ QUERIES = {
         scan_dump_text, expected_hour_manifest, missing_hours, gz_magic_audit, gz_deep_audit,
         scan_hourly_schema, scan_daily_schema, scan_month_schema, date_spine, hour_spine,
         write_hourly_roundtrip, write_daily_roundtrip, write_month_roundtrip,
-        dim_replace_roundtrip, fact_partitioned_write, fact_reload_idempotent,
+        dim_replace_roundtrip, fact_partitioned_write, fact_reload_idempotent, fact_reload_shrunk,
         processed_ledger, parse_lines, page_filter, page_filter_semi, collection_stamp,
         file_name_parse, calendar_keys, load_frame, complete_days, gate_day, complete_months,
         gate_month, hour_domain_check, pending_files, star_join, hourly_pageviews,
         hourly_pageviews_long, day_row_counts, views_by_weekday, views_by_month,
         views_by_hour, fact_surrogate_key, hourly_sorted, combine_day, combine_month,
-        dim_date, dim_date_two_day_weekend, dim_time, not_null_violations, length_violations,
-        partition_range_violations, pk_violations, fk_date_violations, fk_time_violations,
+        dim_date, dim_date_two_day_weekend, dim_time, not_null_violations, length_violations, dim_text_violations,
+        partition_range_violations, pk_violations, pk_natural_violations, pk_dim_violations, fk_date_violations, fk_time_violations,
         broken_rules, line_rejects, line_tally, incremental_ingest, run_audit,
-        dumps_to_months, months_to_fact,
+        dumps_to_months, ingest_twice_same_batch, ingest_resumed, months_to_fact,
     )
 }

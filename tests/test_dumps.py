@@ -10,7 +10,7 @@ from tallyhouse.operators import (
 )
 from tallyhouse.schemas import COMPANY_PAGES
 from tallyhouse.sinks import land_dumps, write_tally
-from tallyhouse.sources import audit_dumps, list_dumps, read_dumps, read_tally
+from tallyhouse.sources import audit_dumps, list_dumps, one_place_each, read_dumps, read_tally
 
 GOLDEN = {
     ("2015-09-01", "000000", "2015-08-31", "de", "Apple", 7),
@@ -53,13 +53,11 @@ def test_golden_hours_without_malformed_lines(spark, golden):
     }
 
 
-def test_page_list_as_table(spark, golden, monkeypatch):
+def test_page_list_as_table(spark, golden):
     parsed = split_lines(read_dumps(spark, str(golden)))
     pages = spark.createDataFrame([(p,) for p in COMPANY_PAGES + COMPANY_PAGES], "pagename string")
     want = sorted(map(tuple, keep_pages(parsed, COMPANY_PAGES).select("value").collect()))
     assert sorted(map(tuple, keep_listed_pages(parsed, pages).select("value").collect())) == want
-    monkeypatch.setattr("tallyhouse.operators.parse.MAX_BROADCAST_PAGES", 2)
-    assert sorted(map(tuple, keep_listed_pages(parsed, pages).select("value").collect())) == want
 
 
 def test_tally_conserves_lines_and_sums(spark, golden):
@@ -83,8 +81,8 @@ def test_dump_cut_over_batches_and_files(spark, golden, tmp_path):
     """Landed dumps, and tallies of parts of dumps, give the same sums."""
     lines = read_dumps(spark, str(golden))
     landed = str(tmp_path / "landed")
-    land_dumps(lines, landed, tasks=3)
-    again = read_dumps(spark, landed, landed=True)
+    land_dumps(lines, landed)
+    again = read_dumps(spark, landed)
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, lines.collect()))
     store = str(tmp_path / "tally")
     first = F.col("value").endswith("5 0") | F.col("value").endswith("3 0")
@@ -94,7 +92,7 @@ def test_dump_cut_over_batches_and_files(spark, golden, tmp_path):
     assert sums(hourly_of_tally(read_tally(spark, store))) == GOLDEN
 
 
-def test_audit(spark, golden):
+def test_audit(spark, golden, monkeypatch):
     (golden / "pageviews-20150901-020000.gz").write_bytes(b"<html>not found</html>")
     (golden / "pageviews-20150901-030000.gz").write_bytes(b"")
     whole = gzip.compress(b"en Google 1 0\n" * 5000)
@@ -102,6 +100,9 @@ def test_audit(spark, golden):
     (golden / "pageviews-20150901-050000.gz").write_bytes(whole + whole)  # two members
     write_dump(golden, "pageviews_20150901.gz", ["en Google 1 0"])
     assert list_dumps(spark, str(golden)).count() == 6  # all but the empty one
+    monkeypatch.setattr("tallyhouse.sources.dumps.LONGEST_CHECKED", 10)
+    assert {r.verdict for r in audit_dumps(spark, str(golden), deep=True).collect()} == {"unchecked"}
+    monkeypatch.undo()
     verdicts = {
         r.file_name: r.verdict for r in audit_dumps(spark, str(golden), deep=True).collect()
     }
@@ -158,3 +159,16 @@ def test_month_gate(spark, first, days, complete):
 def test_write_day_fixture(spark, tmp_path):
     write_day(tmp_path, "20150901")
     assert read_dumps(spark, str(tmp_path)).count() == 48
+
+
+def test_folders_below_and_copies(spark, golden):
+    (golden / "2015" / "deep").mkdir(parents=True)
+    write_dump(golden / "2015" / "deep", "pageviews-20150901-020000.gz", ["en Google 1 0"])
+    write_dump(golden / "2015" / "deep", "pageviews-20150901-010000.gz", ["en Google 1 0"])
+    names = [r.file_name for r in read_dumps(spark, str(golden)).select("file_name").distinct().collect()]
+    assert sorted(names) == [f"pageviews-20150901-0{h}0000.gz" for h in range(3)]
+    files = list_dumps(spark, str(golden))
+    kept = one_place_each(files).collect()
+    assert (files.count(), len(kept)) == (4, 3)
+    again = {r.path for r in kept if r.file_name.endswith("-010000.gz")}
+    assert again == {min(r.path for r in files.collect() if r.file_name.endswith("-010000.gz"))}

@@ -5,16 +5,18 @@ from pyspark.sql import DataFrameWriter, functions as F
 
 from dumpfiles import write_day, write_dump
 from tallyhouse.operators import (
-    calendar_keys, dim_date_between, dim_time, pk_violations, with_broken_rules, with_fact_id,
+    calendar_keys, dim_date_between, dim_time, hourly_pageviews, load_frame, ordered_hours,
+    pk_violations, split_lines, with_broken_rules, with_fact_id,
 )
 from tallyhouse.plans import (
-    ConstraintError, RunAudit, Warehouse, build_dimensions, ingest_folder, ingest_stream,
-    load_fact, load_jdbc, load_months, log_lines,
+    ConstraintError, RunAudit, Warehouse, append_months, build_dimensions, combine_days, convert,
+    ingest_folder, ingest_stream, load_fact, load_jdbc, load_months, log_lines, to_months, write_hours,
 )
 from tallyhouse.schemas import FACT_COLUMNS, LOAD_COLUMNS
-from tallyhouse.sinks import write_fact
+from tallyhouse.sinks import land_dumps
 from tallyhouse.sources import (
-    hours_between, read_daily, read_fact, read_ledger, read_monthly,
+    hours_between, read_daily, read_dumps, read_fact, read_hourly, read_ledger, read_monthly, read_rejects,
+    read_tally,
 )
 from tallyhouse.streaming import ingest_available, stream_dumps, stream_hourly
 
@@ -73,11 +75,14 @@ def test_nothing_new_means_nothing_done(spark, house, dumps):
 def test_ledger_and_audit(spark, house):
     ledger = read_ledger(spark, house.ledger).where("batch_id = '1'")
     counts = {r.stage: r["count"] for r in ledger.groupBy("stage").count().collect()}
-    assert counts == {"hourly": 29 * 24, "daily": 29, "fact": 1}
+    assert counts == {"hourly": 29 * 24, "daily": 29, "monthly": 1, "fact": 1}
     audit = RunAudit(spark, house.audit, "first").read()
-    metrics = {r.stage: r.metrics["rows"] for r in audit.collect()}
+    metrics = {}
+    for row in audit.collect():
+        metrics[row.stage] = metrics.get(row.stage, 0) + row.metrics["rows"]
     assert metrics == {"hourly": 29 * 48, "daily": 29 * 24, "monthly": 28 * 24, "fact": 28 * 24}
-    assert log_lines(audit).where(r"value rlike '^\\d{4}-\\d\\d-\\d\\d \\d\\d:\\d\\d:\\d\\d : .+'").count() == 4
+    # The dumps of two months were tallied apart.
+    assert log_lines(audit).where(r"value rlike '^\\d{4}-\\d\\d-\\d\\d \\d\\d:\\d\\d:\\d\\d : .+'").count() == 5
 
 
 def test_damaged_dump_leaves_out_its_day(spark, tmp_path):
@@ -181,27 +186,32 @@ def test_bad_rows_set_aside(spark, dims, tmp_path):
     assert spark.read.parquet(refused).count() == len(BAD)
 
 
-def test_hot_hour_is_numbered_in_slices(spark):
-    """One hour holds all rows: ids stay unique, and stay the same on reordered input."""
+def test_key_depends_on_its_row_alone(spark):
+    """One hour holds all rows: other rows, and their order, change no id."""
     hot = spark.range(20_000).select(
         F.lit(20150901).alias("date_id"), F.lit(3).alias("time_id"),
         F.concat(F.lit("site"), F.col("id")).alias("domain"), F.lit("Google").alias("pagename"),
     )
     numbered = with_fact_id(hot)
     assert numbered.select("fact_id").distinct().count() == 20_000
-    shuffled = with_fact_id(hot.repartition(7, "domain").orderBy(F.desc("domain")))
-    assert numbered.exceptAll(shuffled).isEmpty()
+    assert numbered.where("fact_id < 0").isEmpty()
+    more = with_fact_id(hot.union(hot.select("date_id", "time_id", F.lit("aaa"), "pagename").limit(1)).repartition(7))
+    assert numbered.exceptAll(more).isEmpty() and more.count() == 20_001
     assert pk_violations(numbered, ["fact_id"]).isEmpty()
 
 
-def test_full_slice_fails_rather_than_repeats_a_number(spark, monkeypatch):
-    monkeypatch.setattr("tallyhouse.operators.keys.ROWS_PER_SLICE", 2)
-    rows = spark.range(5_000).select(
-        F.lit(20150901).alias("date_id"), F.lit(3).alias("time_id"),
-        F.col("id").cast("string").alias("domain"), F.lit("p").alias("pagename"),
-    )
-    with pytest.raises(Exception, match="facts in one slice"):
-        with_fact_id(rows).collect()
+def test_two_rows_of_one_key_are_both_refused(spark, dims, tmp_path, monkeypatch):
+    fact, refused = str(tmp_path / "fact"), str(tmp_path / "refused")
+    twice = month_rows(spark, GOOD, GOOD, (*GOOD[:3], "2015-09-02", *GOOD[4:]))
+    with pytest.raises(ConstraintError, match="primary_key"):
+        load_fact(spark, twice, fact, *dims)
+    load_fact(spark, twice, fact, *dims, refused)
+    assert read_fact(spark, fact).count() == 1
+    assert [r.broken_rules for r in spark.read.parquet(refused).collect()] == ["primary_key"] * 2
+    # Two pages of an hour whose hashes are the same: with no digits, all are.
+    monkeypatch.setattr("tallyhouse.operators.keys.HASH_DIGITS", 0)
+    with pytest.raises(ConstraintError, match="primary_key"):
+        load_fact(spark, month_rows(spark, GOOD, ("de", *GOOD[1:])), fact, *dims)
 
 
 def test_reload_of_a_month_keeps_its_neighbours_midnight(spark, dims, tmp_path):
@@ -233,14 +243,193 @@ def test_jdbc_append(spark, house, monkeypatch):
     )]
 
 
-def test_write_in_ranges_cuts_a_hot_partition(spark, tmp_path):
-    hot = spark.range(10_000).select(
-        F.col("id").alias("fact_id"), F.lit(20150901).alias("date_id"), F.lit(3).alias("time_id"),
-        F.concat(F.lit("site"), F.col("id")).alias("domain"), F.lit("p").alias("pagename"),
-        F.lit(1).cast("long").alias("sumpageviewcount"), F.lit("2015-09").alias("load_month"),
-        F.lit(2015).alias("year"), F.lit(9).alias("month"),
+def months_of(spark, house):
+    return sorted(map(tuple, read_monthly(spark, house.monthly).collect()))
+
+
+def test_one_batch_id_for_two_runs(spark, house, dumps, tmp_path):
+    again = Warehouse(str(tmp_path / "house"))
+    assert ingest_folder(spark, str(dumps), again, "2015-02", end="2015-02-26") == 26 * 24
+    assert ingest_folder(spark, str(dumps), again, "2015-02", start="2015-02-27", end="2015-02-28") == 48
+    assert months_of(spark, again) == months_of(spark, house)
+    counts = {r.stage: r["count"] for r in read_ledger(spark, again.ledger).groupBy("stage").count().collect()}
+    assert counts == {"hourly": 28 * 24, "daily": 28, "monthly": 1}
+
+
+@pytest.mark.parametrize("stop", ["write_daily", "write_monthly", "append_ledger"])
+def test_a_stopped_run_is_finished_by_the_next(spark, house, dumps, tmp_path, monkeypatch, stop):
+    again = Warehouse(str(tmp_path / "house"))
+
+    def fail(*_, **__):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(f"tallyhouse.plans.jobs.{stop}", fail)
+        with pytest.raises(RuntimeError, match="stopped"):
+            ingest_folder(spark, str(dumps), again, "1")
+    assert ingest_folder(spark, str(dumps), again, "2") == 0
+    assert months_of(spark, again) == months_of(spark, house)
+
+
+def test_stopped_between_two_months_of_dumps(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "dumps"
+    folder.mkdir()
+    write_day(folder, "20150131")
+    write_day(folder, "20150201")
+    again = Warehouse(str(tmp_path / "house"))
+    calls = []
+
+    def once(*args, **options):
+        if calls:
+            raise RuntimeError("stopped")
+        calls.append(1)
+        return convert(*args, **options)
+
+    with monkeypatch.context() as patch:
+        patch.setattr("tallyhouse.plans.jobs.convert", once)
+        with pytest.raises(RuntimeError, match="stopped"):
+            ingest_folder(spark, str(folder), again, "1")
+    assert ingest_folder(spark, str(folder), again, "1") == 24
+    assert read_daily(spark, again.daily).count() == 48
+
+
+def test_stream_and_folder_in_one_warehouse(spark, tmp_path):
+    folder = tmp_path / "dumps"
+    folder.mkdir()
+    both = Warehouse(str(tmp_path / "house"))
+    write_day(folder, "20150901")
+    write_day(folder, "20150902", hours=range(5))
+    ingest_stream(spark, stream_dumps(spark, str(folder)), both, "0")
+    write_day(folder, "20150902", hours=range(5, 24))
+    write_day(folder, "20150903")
+    # Five dumps of the second are tallied already and count for their day.
+    assert ingest_folder(spark, str(folder), both, "0") == 19 + 24
+    ingest_stream(spark, stream_dumps(spark, str(folder)), both, "1")
+    # The same, had the checkpoint been lost.
+    lost = Warehouse(str(tmp_path / "house"))
+    ingest_available(stream_dumps(spark, str(folder)), lost.tally, str(tmp_path / "other-checkpoint"))
+    rows = stream_hourly(spark, both.tally).collect()
+    assert len(rows) == 72 and sum(r.sumpageviewcount for r in rows) == 3 * 300
+    days = read_daily(spark, both.daily)
+    assert days.count() == 72 and days.agg(F.sum("sumpageviewcount")).first()[0] == 900
+
+
+@pytest.mark.parametrize("streamed", [False, True])
+def test_a_dump_in_two_places_counts_once(spark, tmp_path, streamed):
+    folder = tmp_path / "dumps"
+    for below in ("2015/2015-09", "copies"):
+        (folder / below).mkdir(parents=True)
+        write_day(folder / below, "20150901")
+    house = Warehouse(str(tmp_path / "house"))
+    audit = RunAudit(spark, house.audit)
+    if streamed:
+        for run in ("1", "2"):
+            ingest_stream(spark, stream_dumps(spark, str(folder), files_per_batch=30), house, run)
+    else:
+        assert ingest_folder(spark, str(folder), house, "1", audit=audit) == 24
+        assert audit.read().where("stage = 'copies'").count() == 24
+    days = read_daily(spark, house.daily)
+    assert days.count() == 24 and days.agg(F.sum("sumpageviewcount")).first()[0] == 300
+
+
+@pytest.mark.parametrize("streamed", [False, True])
+def test_landed_dumps(spark, tmp_path, streamed):
+    folder, landed = tmp_path / "dumps", str(tmp_path / "landed")
+    folder.mkdir()
+    write_day(folder, "20150901")
+    lines = read_dumps(spark, str(folder))
+    # Two writes: each dump lies in two parts.
+    google = F.col("value").contains("Google")
+    land_dumps(lines.where(google), landed)
+    land_dumps(lines.where(~google), landed)
+    house = Warehouse(str(tmp_path / "house"))
+    if streamed:
+        ingest_stream(spark, stream_dumps(spark, landed, files_per_batch=20), house, "1")
+    else:
+        assert ingest_folder(spark, landed, house, "1", check=True) == 24
+    days = read_daily(spark, house.daily)
+    assert days.count() == 24 and days.agg(F.sum("sumpageviewcount")).first()[0] == 300
+    assert read_tally(spark, house.tally).agg(F.sum("lines")).first()[0] == 48
+
+
+def test_empty_folder_is_no_error(spark, tmp_path):
+    (tmp_path / "dumps").mkdir()
+    house = Warehouse(str(tmp_path / "house"))
+    assert ingest_folder(spark, str(tmp_path / "dumps"), house, "1") == 0
+    assert ingest_stream(spark, stream_dumps(spark, str(tmp_path / "dumps")), house, "1").count() == 0
+
+
+def test_a_dump_without_lines_is_noted(spark, tmp_path):
+    folder = tmp_path / "dumps"
+    folder.mkdir()
+    write_day(folder, "20150901", hours=range(23))
+    write_dump(folder, "pageviews-20150901-230000.gz", [])
+    house = Warehouse(str(tmp_path / "house"))
+    assert ingest_folder(spark, str(folder), house, "1") == 24
+    assert read_daily(spark, house.daily).count() == 23
+    assert ingest_folder(spark, str(folder), house, "2") == 0
+
+
+def test_rejects_and_hours(spark, tmp_path):
+    folder = tmp_path / "dumps"
+    folder.mkdir()
+    write_day(folder, "20150901", hours=range(23))
+    write_dump(folder, "pageviews-20150901-230000.gz", ["en Google x 0", "short Google", "short Google", "en Google 7 0"])
+    house = Warehouse(str(tmp_path / "house"))
+    ingest_folder(spark, str(folder), house, "1")
+    rejects = {(r.reason, r.line, r.lines) for r in read_rejects(spark, house.rejects).collect()}
+    assert rejects == {("bad_count", "en Google x 0", 1), ("short_line", "short Google", 2)}
+    write_hours(spark, house, "2015-09-01", "2015-09-01")
+    hours = read_hourly(spark, house.hourly)
+    assert hours.count() == 24 and hours.where("file_time = '230000'").first().sumpageviewcount == 7
+
+
+def test_reload_with_fewer_rows_equals_a_fresh_load(spark, dims, tmp_path):
+    midnight = ("en", "Google", 1, "2015-08-31", "00:00:00", "2015-09")
+    bad = ("e" * 31, "Google", 5, "2015-09-01", "03:00:00", "2015-09")
+    fact, refused = str(tmp_path / "fact"), str(tmp_path / "refused")
+    load_fact(spark, month_rows(spark, midnight, GOOD, bad), fact, *dims, refused)
+    assert read_fact(spark, fact).count() == 2 and spark.read.parquet(refused).count() == 1
+    load_fact(spark, month_rows(spark, GOOD), fact, *dims, refused)
+    assert [r.date_id for r in read_fact(spark, fact).collect()] == [20150901]
+    load_fact(spark, month_rows(spark, GOOD).limit(0), fact, *dims, refused, months=["2015-09"])
+    assert read_fact(spark, fact).count() == 0
+    assert spark.read.schema("load_month string, date_id int").parquet(refused).count() == 0
+
+
+def test_append_is_noted(spark, house, monkeypatch):
+    calls = []
+    monkeypatch.setattr(DataFrameWriter, "jdbc", lambda self, *a, **b: calls.append(self._df.count()))
+    assert append_months(spark, house, "1", "jdbc:x") == ["2015-02"]
+    assert append_months(spark, house, "2", "jdbc:x") == []
+    assert append_months(spark, house, "3", "jdbc:x", months=["2015-02", "2015-03"]) == ["2015-02"]
+    assert calls == [28 * 24] * 2
+
+
+def test_filters_reach_the_folders_and_pass_the_sum(spark, house, dumps):
+    """What is asked of dates is asked of the folders, and before anything is summed."""
+    plan = stream_hourly(spark, house.tally, "2015-02-03", "2015-02-04")._jdf.queryExecution().executedPlan().toString()
+    assert "file_month" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    hourly = hourly_pageviews(split_lines(read_dumps(spark, str(dumps)))).where("file_date = '2015-02-03'")
+    steps = hourly._jdf.queryExecution().optimizedPlan().toString().split("Aggregate")
+    assert len(steps) == 2 and "2015-02-03" in steps[1] and "2015-02-03" not in steps[0]
+
+
+def test_order_in_files(spark, tmp_path):
+    """Sorted sets are sorted in each partition that a task writes."""
+    hourly = spark.range(3000).select(
+        F.concat(F.lit("site"), F.col("id") * 7 % 100).alias("domain"), F.concat(F.lit("page"), F.col("id") % 13).alias("pagename"),
+        F.col("id").alias("sumpageviewcount"), F.lit("2015-09-01").alias("date_collection"),
+        F.concat(F.lpad((F.col("id") % 24).cast("string"), 2, "0"), F.lit(":00:00")).alias("time_collection"),
+        F.lit("2015-09-01").cast("date").alias("file_date"), F.concat(F.lpad((F.col("id") % 24).cast("string"), 2, "0"), F.lit("0000")).alias("file_time"),
     )
-    write_fact(hot, str(tmp_path / "fact"), tasks=4)
-    files = list((tmp_path / "fact" / "load_month=2015-09").rglob("*.parquet"))
-    assert len(files) == 4
-    assert read_fact(spark, str(tmp_path / "fact")).count() == 10_000
+    def in_order(rows, keys):
+        parts = rows.withColumn("part", F.spark_partition_id()).collect()
+        last = {}
+        for row in parts:
+            key = tuple(row[k] for k in keys)
+            assert last.get(row.part, key) <= key
+            last[row.part] = key
+        return len(parts)
+    assert in_order(ordered_hours(hourly), ["file_date", "file_time", "domain", "pagename"]) == 3000
+    assert in_order(load_frame(calendar_keys(hourly)), ["date_id", "time_id"]) == 3000
