@@ -108,10 +108,11 @@ def repeated_lines(
     sent = docs.sparkSession.sparkContext.broadcast(twice)
     schema = f"key string, doc_id {dict(source.dtypes)['doc_id']}, version long"
     suspects = written(source.mapInArrow(_suspects(sent, min_chars), schema), "suspect-lines")
-    decided = (
+    # Written, so that the join reads plain shuffles and splits a line that many share.
+    decided = written(
         suspects.groupBy("key")
         .agg(F.count_distinct("doc_id").alias("n_docs"), F.max("doc_id").alias("keeper"))
-        .where(F.col("n_docs") >= min_docs).select("key", "keeper")
+        .where(F.col("n_docs") >= min_docs).select("key", "keeper"), "repeated-lines",
     )
     return (
         suspects.join(decided, "key").where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
