@@ -295,9 +295,10 @@ def near_groups(
     linked = prints.join(roots, prints["fp"] == roots["node"]).select("fp", "root", "first_id")
     smallest = linked.groupBy("root").agg(F.min("first_id").alias("smallest"))
     grouped = linked.join(smallest, "root").select("fp", "smallest")
-    named = prints.join(grouped, "fp", "left").select(
-        "fp", F.when(F.col("smallest").isNotNull(), F.col("smallest")).otherwise(F.col("first_id")).alias("component_id")
-    )
+    # Written, so that the join reads plain shuffles and splits a hot fingerprint.
+    named = written(prints.join(grouped, "fp", "left").select(
+        "fp", F.coalesce("smallest", "first_id").alias("component_id")
+    ), "named-prints")
     return rows.join(named, "fp").select("doc_id", "version", "fp", "component_id")
 
 
