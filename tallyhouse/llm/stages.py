@@ -61,6 +61,8 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     kept = docs.join(
         gone, docs["doc_id"].eqNullSafe(gone["gone_id"]) & (F.xxhash64(docs["text"]) == gone["gone_version"]), "left_anti"
     )
+    if repeated.isEmpty():
+        return kept
     again = repeated.select(F.col("doc_id").alias("repeated_id"))
     once = kept.join(again, kept["doc_id"] == again["repeated_id"], "left_anti")
     several = kept.join(again, kept["doc_id"] == again["repeated_id"], "left_semi").dropDuplicates(["doc_id"])
