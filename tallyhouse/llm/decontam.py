@@ -28,7 +28,7 @@ GRAM = 5
 #: more training fingerprints through, which costs shuffle only.
 FILTER_BITS = 1 << 24
 #: Hashes of words that a worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 
 # UTF-8 bytes of words, after A-Z are lowered: digits, a-z and all that is not ASCII.
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")

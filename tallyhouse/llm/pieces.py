@@ -25,7 +25,7 @@ from sentencepiece import sentencepiece_model_pb2 as model_format
 BLANK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Parts of texts that a worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 
 _LETTER = r"[^\W\d_]"
 _WORD = r" +[^ ]*"
