@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 ROUNDS = 10
 
-EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"
+EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.){1,20}[A-Za-z]{2,}"
 IBAN = r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 IPV4 = r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9])(?!\.[0-9])"
 DATE = "|".join([r"[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9])", *(
