@@ -140,16 +140,22 @@ def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", resul
     bins = max(1, -(-count // BIN_ROWS))
     step = ((high - low) / bins if count else 0) or 1.0
     place = F.floor((F.col("doc_id").cast("double") - F.lit(low or 0.0)) / F.lit(step)).cast("long")
+    # The hash is asked for a bin only where there are rows without id. A bin is never
+    # null; without the last value Spark would think so and filter one of the two
+    # reads of the texts' shuffle, which could then not share it.
     unnamed = F.lit(-1) - F.floor(
         (F.lit(0.5) - F.col("version") / F.lit(2.0 ** 64)) * F.lit(max(1, -(-missing // BIN_ROWS)))
     ).cast("long")
-    placed = docs.select(
+    rows = docs.select(
         F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"),
-    ).withColumn("version", F.xxhash64("text")).withColumn("bin", F.coalesce(place, unnamed)).repartition("bin")
+    ).withColumn("version", F.xxhash64("text")).withColumn(
+        "bin", F.coalesce(place, *([unnamed] if missing else []), F.lit(0))
+    )
+    placed = rows.repartition("bin")
     order = Window.partitionBy("bin").orderBy(F.desc_nulls_last("doc_id"), F.desc("version"))
     following = placed.withColumn("inner", F.lead("text").over(order)).withColumn("nth", F.row_number().over(order))
     firsts = following.where("nth = 1").select(F.col("bin").alias("next_bin"), F.col("text").alias("first_text"))
-    after = _next_bins(placed.select("bin").distinct()).join(firsts, "next_bin").select(
+    after = _next_bins(rows.select("bin").distinct()).join(firsts, "next_bin").select(
         F.col("bin").alias("last_bin"), "first_text"
     )
     joined = following.join(after, (F.col("bin") == F.col("last_bin")) & F.col("inner").isNull(), "left")
