@@ -1,11 +1,11 @@
 """Document fingerprints as Merkle trees, in DataFrame functions only.
 
 A text is a tree: sections (ended by a blank line) of paragraphs (ended by a
-newline) of sentences (ended by a full stop, a question or an exclamation mark and
-a space). No character is left out, so the pieces joined are the text. A sentence's
-digest is that of its text, any other node's that of its children's digests, so
-two roots are equal if the texts are, and where they differ, so do the nodes on the
-way down to the edit.
+newline) of runs, which are up to RUN_WORDS words of a sentence (ended by a full
+stop, a question or an exclamation mark and a space). No character is left out, so
+the runs joined are the text. A run's digest is that of its text, any other node's
+that of its children's digests, so two roots are equal if the texts are, and where
+they differ, so do the nodes on the way down to the edit.
 """
 
 from __future__ import annotations
@@ -15,7 +15,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 SECTION_END = r"(?<=\n\n)(?=[^\n])"
 PARAGRAPH_END = r"(?s)(?<=\n)(?=.)"
 SENTENCE_END = r"(?s)(?<=[.!?] )(?=.)"
-#: Hex digits of a sentence's digest in a printed fingerprint.
+RUN_WORDS = 4
+#: Words with the spaces after them, or spaces at the begin; an empty text is one run.
+RUN = rf"(?:[^ ]+ *){{1,{RUN_WORDS}}}| +|^$"
+#: Hex digits of a run's digest in a printed fingerprint.
 LEAF_DIGITS = 8
 #: Documents that are put in order together, on average.
 BIN_ROWS = 256
@@ -23,9 +26,12 @@ WIDE = 4096
 
 
 def leaves(text: Column) -> Column:
-    """Digests of sentences in paragraphs in sections; a null text is an empty one."""
-    sentences = lambda part: F.transform(F.split(part, SENTENCE_END), lambda s: F.md5(s))
-    paragraphs = lambda part: F.transform(F.split(part, PARAGRAPH_END), sentences)
+    """Digests of runs in paragraphs in sections; a null text is an empty one."""
+    in_sentence = lambda part: F.regexp_extract_all(part, F.lit(RUN), F.lit(0))
+    runs = lambda part: F.transform(
+        F.flatten(F.transform(F.split(part, SENTENCE_END), in_sentence)), lambda run: F.md5(run)
+    )
+    paragraphs = lambda part: F.transform(F.split(part, PARAGRAPH_END), runs)
     return F.transform(F.split(F.coalesce(text, F.lit("")), SECTION_END), paragraphs)
 
 
@@ -43,7 +49,7 @@ def root(tree: Column) -> Column:
 
 
 def printed(tree: Column) -> Column:
-    """The fingerprint as text: root, and after a colon the sentences, shortened,
+    """The fingerprint as text: root, and after a colon the runs' digests, shortened,
     with "." after a paragraph and "/" after a section."""
     short = lambda s: F.substring(s, 1, LEAF_DIGITS)
     paragraph = lambda p: F.concat(F.array_join(F.transform(p, short), ""), F.lit("."))
@@ -52,47 +58,47 @@ def printed(tree: Column) -> Column:
 
 
 def likeness(one: Column, other: Column) -> Column:
-    """How much two trees share, from 0 to 1: twice the number of different
-    sentences that both have, over the sum of each one's."""
+    """How much two trees share, from 0 to 1: twice the number of different runs that
+    both have, over the sum of each one's."""
     a, b = (F.array_distinct(F.flatten(F.flatten(tree))) for tree in (one, other))
     return 2 * F.size(F.array_intersect(a, b)) / (F.size(a) + F.size(b))
 
 
 def merkle_nodes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, section, paragraph, sentence, digest): the nodes of each document's tree.
+    """(doc_id, section, paragraph, run, digest): the nodes of each document's tree.
 
     Places count from 0; they are null for levels below the node, so the root has
-    none. A null text has the tree of an empty one, a single empty sentence. Rows
-    with the same id give nodes each.
+    none. A null text has the tree of an empty one, a single empty run. Rows with
+    the same id give nodes each.
     """
     trees = docs.select(F.col(doc_id).alias("doc_id"), leaves(F.col(text)).alias("tree"))
     none = F.lit(None).cast("int")
     sections = trees.select("doc_id", F.posexplode("tree").alias("section", "below"))
     paragraphs = sections.select("doc_id", "section", F.posexplode("below").alias("paragraph", "below"))
-    sentences = paragraphs.select("doc_id", "section", "paragraph", F.posexplode("below").alias("sentence", "digest"))
+    runs = paragraphs.select("doc_id", "section", "paragraph", F.posexplode("below").alias("run", "digest"))
     at = lambda name, known: F.col(name) if known else none.alias(name)
     levels = [
         (trees, 0, root(F.col("tree"))), (sections, 1, _section(F.col("below"))),
-        (paragraphs, 2, _paragraph(F.col("below"))), (sentences, 3, F.col("digest")),
+        (paragraphs, 2, _paragraph(F.col("below"))), (runs, 3, F.col("digest")),
     ]
     parts = [
         rows.select(
-            "doc_id", at("section", n > 0), at("paragraph", n > 1), at("sentence", n > 2), digest.alias("digest")
+            "doc_id", at("section", n > 0), at("paragraph", n > 1), at("run", n > 2), digest.alias("digest")
         ) for rows, n, digest in levels
     ]
     return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
 
 
 def edits(one: Column, other: Column) -> Column:
-    """Where two trees (of leaves()) differ: array of (section, paragraph, sentence).
+    """Where two trees (of leaves()) differ: array of (section, paragraph, run).
 
     Equal branches are passed over whole. A place is null below a branch that only
     one of the trees has.
     """
     place = lambda s, p, k: F.struct(
-        F.lit(s).cast("int").alias("section"), F.lit(p).cast("int").alias("paragraph"), F.lit(k).cast("int").alias("sentence")
+        F.lit(s).cast("int").alias("section"), F.lit(p).cast("int").alias("paragraph"), F.lit(k).cast("int").alias("run")
     )
-    empty = F.array().cast("array<struct<section:int,paragraph:int,sentence:int>>")
+    empty = F.array().cast("array<struct<section:int,paragraph:int,run:int>>")
 
     def differing(a: Column, b: Column, below) -> Column:
         """below(place, child of a, child of b) for the children that differ."""

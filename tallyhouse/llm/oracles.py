@@ -64,10 +64,11 @@ def _cut(text: str, ends: str, mark: int) -> str:
 
 
 def _tree(text: str) -> str:
-    """Digests of sentences of paragraphs of sections, as nested lists."""
+    """Digests of runs in paragraphs in sections, as nested lists."""
     sentences, paragraphs, sections = _cut("p", "[.!?] ", 1), _cut("s", r"\n", 2), _cut(text, r"\n\n+", 3)
+    runs = f"flatten(list_transform({sentences}, lambda t: regexp_extract_all(t, '(?:[^ ]+ *){{1,4}}| +|^$')))"
     return f"""list_transform({sections}, lambda s: list_transform({paragraphs},
-               lambda p: list_transform({sentences}, lambda x: md5(x))))"""
+               lambda p: list_transform({runs}, lambda x: md5(x))))"""
 
 
 def _printed(tree: str) -> str:

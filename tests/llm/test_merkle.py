@@ -52,7 +52,7 @@ def test_nodes_and_edits_lead_to_the_change(spark):
     nodes = merkle.merkle_nodes(rows).collect()
     count = lambda doc: sum(n["doc_id"] == doc for n in nodes)
     assert (count(1), count(2), count(3)) == (13, 15, 4)
-    digests = {(n["doc_id"], n["section"], n["paragraph"], n["sentence"]): n["digest"] for n in nodes}
+    digests = {(n["doc_id"], n["section"], n["paragraph"], n["run"]): n["digest"] for n in nodes}
     assert digests[1, 0, 0, 0] == digests[2, 0, 0, 0] and digests[1, 0, 1, None] == digests[2, 0, 1, None]
     assert digests[1, 0, 0, None] != digests[2, 0, 0, None] and digests[1, None, None, None] != digests[2, None, None, None]
     pair = spark.createDataFrame([(one, other), (one, one), ("", "x")], "a string, b string").select(
