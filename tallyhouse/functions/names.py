@@ -8,6 +8,7 @@ from pyspark.sql import Column, functions as F
 
 # --- fixed values: pageviews-YYYYMMDD-HHMMSS.gz -------------------------------
 NAME_LENGTH = 28
+DUMP_PREFIX = "pageviews-"
 DATE_AT, DATE_LENGTH = 11, 8
 TIME_AT, TIME_LENGTH = 20, 6
 DIGITS = "0123456789"
@@ -17,7 +18,7 @@ DIGITS = "0123456789"
 def dump_name(day: Column, hour: Column) -> Column:
     """Name of the hourly dump of a date."""
     return F.concat(
-        F.lit("pageviews-"), F.replace(day.cast("string"), F.lit("-"), F.lit("")),
+        F.lit(DUMP_PREFIX), F.replace(day.cast("string"), F.lit("-"), F.lit("")),
         F.lit("-"), F.lpad(hour.cast("string"), 2, "0"), F.lit("0000.gz"),
     )
 
@@ -51,7 +52,7 @@ def _is_dump_name(name: Column) -> Column:
     digits = F.concat(_date_text(name), _time_text(name))
     return (
         (F.length(name) == NAME_LENGTH)
-        & name.startswith("pageviews-")
+        & name.startswith(DUMP_PREFIX)
         & (F.substring(name, DATE_AT + DATE_LENGTH, 1) == "-")
         & name.endswith(".gz")
         & (F.translate(digits, DIGITS, "") == "")

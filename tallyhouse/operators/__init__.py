@@ -9,7 +9,7 @@ from tallyhouse.operators.hourly import (
 from tallyhouse.operators.keys import calendar_keys, load_frame, with_fact_id
 from tallyhouse.operators.ledger import ledger_rows, pending
 from tallyhouse.operators.parse import (
-    dumps_of, keep_listed_pages, keep_pages, line_rejects, split_lines, stamp, well_formed,
+    between_dates, dumps_of, keep_listed_pages, keep_pages, line_rejects, split_lines, stamp, well_formed,
     with_reject_reason,
 )
 from tallyhouse.operators.quality import (
@@ -19,7 +19,7 @@ from tallyhouse.operators.quality import (
 from tallyhouse.operators.star import star_join, views_by
 
 __all__ = [
-    "calendar_keys", "combine", "complete_days", "complete_months", "dim_date",
+    "between_dates", "calendar_keys", "combine", "complete_days", "complete_months", "dim_date",
     "dim_date_between", "dim_time", "dumps_of", "fk_violations", "gate_days", "gate_months",
     "hour_violations", "hourly_of_tally", "hourly_pageviews", "keep_listed_pages",
     "keep_pages", "ledger_rows", "length_violations", "line_rejects", "load_frame", "new_dumps",

@@ -85,16 +85,18 @@ def combine_days(
     """Tallies to day sets, for the days that have all their dumps and are in no
     ledger. The gate is asked of the dumps that were tallied, after they were."""
     tallies = _open_tallies(spark, warehouse)
-    files = _staged(tallies.select("file_name", "file_date").distinct(), "tallied")
+    files = tallies.select("file_name", "file_date").distinct()
     done = _noted(spark, warehouse, "daily").select(F.col("file_name").cast("date").alias("file_date"))
-    days = _staged(complete_days(files).join(done, "file_date", "left_anti"), "days")
-    months = _names(days.select(month_key(F.col("file_date")).alias("file_month")), "file_month")
+    found = _names(complete_days(files).join(done, "file_date", "left_anti"), "file_date")
+    days = spark.createDataFrame([(day,) for day in found], "file_date date")
+    months = sorted({day.strftime("%Y-%m") for day in found})
     seen = Observation()
     waiting = gate_days(tallies.where(F.col("file_month").isin(months)), days)
     write_daily(hourly_of_tally(waiting), warehouse.daily, seen, days)
-    append_ledger(ledger_rows(gate_days(files, days), "hourly", batch_id), warehouse.ledger)
+    hours = gate_days(files, days)
     named = days.select(F.col("file_date").cast("string").alias("file_name"))
-    append_ledger(ledger_rows(named, "daily", batch_id), warehouse.ledger)
+    noted = ledger_rows(hours, "hourly", batch_id).union(ledger_rows(named, "daily", batch_id))
+    append_ledger(noted, warehouse.ledger)
     if audit:
         audit.record("daily", "day sets written", rows=observed(seen)["rows"])
 
@@ -106,7 +108,8 @@ def combine_months(
     ledger."""
     days = _noted(spark, warehouse, "daily").select(F.col("file_name").cast("date").alias("file_date"))
     done = _noted(spark, warehouse, "monthly").select(F.col("file_name").alias("file_month"))
-    months = _staged(complete_months(days).join(done, "file_month", "left_anti"), "months")
+    found = _names(complete_months(days).join(done, "file_month", "left_anti"), "file_month")
+    months = spark.createDataFrame([(month,) for month in found], "file_month string")
     keyed = calendar_keys(gate_months(read_daily(spark, warehouse.daily), months))
     seen = Observation()
     write_monthly(keyed, warehouse.monthly, seen, months)

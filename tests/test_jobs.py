@@ -5,7 +5,7 @@ from pyspark.sql import DataFrameWriter, functions as F
 
 from dumpfiles import write_day, write_dump
 from tallyhouse.operators import (
-    calendar_keys, dim_date_between, dim_time, hourly_pageviews, load_frame, ordered_hours,
+    between_dates, calendar_keys, dim_date_between, dim_time, hourly_pageviews, load_frame, ordered_hours,
     pk_violations, split_lines, with_broken_rules, with_fact_id,
 )
 from tallyhouse.plans import (
@@ -410,9 +410,12 @@ def test_filters_reach_the_folders_and_pass_the_sum(spark, house, dumps):
     """What is asked of dates is asked of the folders, and before anything is summed."""
     plan = stream_hourly(spark, house.tally, "2015-02-03", "2015-02-04")._jdf.queryExecution().executedPlan().toString()
     assert "file_month" in plan.split("PartitionFilters: [")[1].split("]")[0]
-    hourly = hourly_pageviews(split_lines(read_dumps(spark, str(dumps)))).where("file_date = '2015-02-03'")
+    lines = split_lines(read_dumps(spark, str(dumps)))
+    hourly = hourly_pageviews(between_dates(lines, "2015-02-03", "2015-02-04"))
     steps = hourly._jdf.queryExecution().optimizedPlan().toString().split("Aggregate")
-    assert len(steps) == 2 and "2015-02-03" in steps[1] and "2015-02-03" not in steps[0]
+    assert len(steps) == 2 and "20150203" in steps[1] and "20150203" not in steps[0]
+    days = hourly.groupBy("file_date").count().collect()
+    assert {(str(r.file_date), r["count"]) for r in days} == {("2015-02-03", 48), ("2015-02-04", 48)}
 
 
 def test_order_in_files(spark, tmp_path):
