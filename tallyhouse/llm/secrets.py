@@ -37,18 +37,15 @@ ROLES = {"access": "identifier", "client": "identifier", "assign": "secret", "he
 COMPLEMENTS = {"client": [["secret"]], "blob": [["identifier"], ["endpoint"]], "endpoint": [["identifier", "secret"]]}
 
 
-def _found(text: Column, pattern: str, search: str | None = None) -> Column:
+def _found(text: Column, pattern: str) -> Column:
     """Matches of a pattern, in order: array of (gap, match), gap being how many
-    code points lie between the match and the one before. Null without matches.
-
-    search, if given, is a quicker pattern without which nothing can match.
-    """
+    code points lie between the match and the one before. Null without matches."""
     pairs = F.zip_with(
         F.split(text, pattern), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
         lambda gap, match: F.struct(F.length(gap).alias("gap"), match.alias("match")),
     )
     # After the last match comes one more gap.
-    return F.when(text.rlike(search or pattern), F.filter(pairs, lambda pair: pair["match"].isNotNull()))
+    return F.when(text.rlike(pattern), F.filter(pairs, lambda pair: pair["match"].isNotNull()))
 
 
 def _holds(kind: str, match: Column) -> Column:
