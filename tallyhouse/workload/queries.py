@@ -17,7 +17,7 @@ from tallyhouse.schemas import DIM_DATE_TEXT_LIMITS, LOAD_COLUMNS
 from tallyhouse.session import scratch_folder
 from tallyhouse.streaming import ingest_available, stream_dumps, stream_hourly
 from tallyhouse.workload.mapping import (
-    PAGES, events, lineitem, raw, raw_dense, raw_dirty, raw_long,
+    PAGES, raw, raw_dense, raw_dirty, raw_long,
 )
 
 # Round trips write the dumps before this date first and the others later.

@@ -9,8 +9,8 @@ from tallyhouse.operators import (
     pk_violations, split_lines, with_broken_rules, with_fact_id,
 )
 from tallyhouse.plans import (
-    ConstraintError, RunAudit, Warehouse, append_months, build_dimensions, combine_days, convert,
-    ingest_folder, ingest_stream, load_fact, load_jdbc, load_months, log_lines, to_months, write_hours,
+    ConstraintError, RunAudit, Warehouse, append_months, build_dimensions, convert,
+    ingest_folder, ingest_stream, load_fact, load_jdbc, load_months, log_lines, write_hours,
 )
 from tallyhouse.schemas import FACT_COLUMNS, LOAD_COLUMNS
 from tallyhouse.sinks import land_dumps
