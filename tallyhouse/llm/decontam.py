@@ -186,9 +186,9 @@ def contamination(
     docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
     item_text: str = "text", window: int = WINDOW, gram: int = GRAM, filter_bits: int = FILTER_BITS,
 ) -> DataFrame:
-    """(doc_id, n_words, spans, n_hit, items), a row for each document.
+    """(doc_id, version, n_words, spans, n_hit, items), a row for each document.
 
-    Words are runs of ASCII letters and digits and of all that is not ASCII, A-Z in
+    version is a hash of the text, as in common.identified. Words are runs of ASCII letters and digits and of all that is not ASCII, A-Z in
     lower case. A window is `window` consecutive words of an item; an item of fewer
     words, but at least one, is one window. spans are ranges of words [start, end)
     in which windows occur, n_hit is the number of words in them, and items are the
@@ -228,6 +228,6 @@ def contamination(
     )
     none = F.array().cast("array<string>")
     return joined.select(
-        "doc_id", "n_words", "spans", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+        "doc_id", "version", "n_words", "spans", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", none).alias("items"),
     )

@@ -70,11 +70,13 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no window of a benchmark item occurs; rows with one doc_id
-    go together."""
+    """Documents in which no window of a benchmark item occurs. Each text is decided
+    by itself, also where others have its doc_id or none has one."""
     found = contamination(docs, table(spark, sf_dir, "benchmark")).where("n_hit > 0")
-    hit = found.select(F.col("doc_id").alias("hit_id")).distinct()
-    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["hit_id"]), "left_anti")
+    hit = found.select(F.col("doc_id").alias("hit_id"), F.col("version").alias("hit_version")).distinct()
+    return docs.join(
+        hit, docs["doc_id"].eqNullSafe(hit["hit_id"]) & (F.xxhash64(docs["text"]) == hit["hit_version"]), "left_anti"
+    )
 
 
 def as_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

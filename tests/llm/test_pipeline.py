@@ -74,3 +74,10 @@ def test_benchmark_stage_drops_what_is_hit(spark, benchmark):
     planted = [(50, "Before. " + benchmark[0][1] + " After.", "en"), (51, "clean words only", "en"), (None, None, "en")]
     left = texts(stages.without_benchmark(spark, documents(spark, planted), SF_DIR))
     assert left == sorted([(51, "clean words only"), (None, None)], key=repr)
+
+
+def test_benchmark_stage_decides_texts_with_one_id_or_none_by_themselves(spark, benchmark):
+    hit, clean = "Before. " + benchmark[0][1] + " After.", [(None, "clean words only"), (None, "more of them"), (60, "clean too")]
+    planted = [(None, hit, "en"), (60, hit, "en"), *((i, t, "en") for i, t in clean)]
+    left = texts(stages.without_benchmark(spark, documents(spark, planted), SF_DIR))
+    assert left == sorted(clean, key=repr)
