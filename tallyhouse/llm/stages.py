@@ -11,24 +11,27 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyhouse.llm.common import free_name, table, written
 from tallyhouse.llm.decontam import contamination
-from tallyhouse.llm.langid import UNKNOWN, fit_profiles, guess_language, trained_rows
+from tallyhouse.llm.langid import fit_profiles, guess_language, least_scores, trained_rows
 from tallyhouse.llm.lines import dedup_lines
 from tallyhouse.llm.pieces import encode_decode
 from tallyhouse.llm.simhash import near_groups
 
 PIECE_MODEL = "piece_bpe_32k.model"
-#: A text this unlike every learned language is in none of them: hardly any of its
-#: n-grams are in a profile.
-LEAST_SCORE = 0.1
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages that the labelled ones teach. Those without
-    a letter, or like no language, go; so do null and empty texts."""
-    profiles = fit_profiles(docs.where(trained_rows(docs)))
+    a letter go, so do null and empty texts, and those less like their nearest
+    language than its labelled documents are, by far."""
+    trained = docs.where(trained_rows(docs))
+    profiles = fit_profiles(trained)
+    least = least_scores(trained, profiles)
     guess = free_name(docs, "guess")
     marked = docs.withColumn(guess, guess_language(F.col("text"), profiles))
-    return marked.where((F.col(guess)["lang"] != UNKNOWN) & (F.col(guess)["score"] >= LEAST_SCORE)).drop(guess)
+    known = F.lit(False)
+    for lang, score in least.items():
+        known = known | ((F.col(guess)["lang"] == lang) & (F.col(guess)["score"] >= score))
+    return marked.where(known).drop(guess)
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

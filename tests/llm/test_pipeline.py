@@ -1,5 +1,8 @@
 """Each stage, and the whole pipeline, against plain Python."""
 
+import random
+import string
+
 import duckdb
 import public_tokenizers
 import pytest
@@ -49,6 +52,19 @@ def test_language_stage_rejects_texts_without_letters(spark):
     assert left == sorted(((i, t) for i, t, _ in EDGES if any(map(str.isalpha, t or ""))), key=repr)
 
 
+def test_language_stage_rejects_what_no_label_teaches(spark):
+    rng = random.Random(3)
+    words = lambda n: ["".join(rng.choices(string.ascii_lowercase, k=rng.randint(2, 9))) for _ in range(n)]
+    finnish = "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, "
+    polish = "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem "
+    junk = [finnish + "ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.", polish, " ".join(words(300)), "".join(words(200))]
+    clean = duckdb.sql("select doc_id, text, lang from '/root/testdata/sf0.01/documents.parquet'").fetchall()
+    clean = [row for row in clean if any(map(str.isalpha, row[1] or ""))]
+    planted = [*clean, *((10**9 + n, text, None) for n, text in enumerate(junk))]
+    left = texts(stages.known_language(spark, documents(spark, planted), SF_DIR))
+    assert left == sorted(((i, t) for i, t, _ in clean), key=repr)
+
+
 def test_line_stage_changes_texts_and_their_length(spark):
     rows = stages.without_repeated_lines(spark, documents(spark), SF_DIR).collect()
     want = sorted(((i, kept) for i, _, _, kept in deduped([(i, t) for i, t, _ in EDGES])), key=repr)
