@@ -27,10 +27,22 @@ CARD = r"[0-9]{13,19}(?![0-9])|(?:[0-9]{4}[\x20-]){3}[0-9]{4}(?![0-9])|[0-9]{4}[
 
 #: In the order in which they are tried at a place of the text.
 KINDS = {"email": EMAIL, "iban": IBAN, "ip": IPV4, "date": DATE, "ssn": SSN, "card": CARD, "phone": PHONE}
-ANY = r"(?<![A-Za-z0-9@._%+-])(?:" + "|".join(f"(?:{p})" for p in KINDS.values()) + ")"
+_FORMS = "|".join(f"(?:{p})" for p in KINDS.values())
+_GROUPS = r"(?:[0-9]{4}[\x20-]){3}[0-9]{4}(?![0-9])"
+#: Every place where a value may begin, of no length; what has its form is group 1. A
+#: card number in groups may also follow four digits and a dash.
+BEGIN = rf"(?:(?<![A-Za-z0-9@._%+-])|(?<=(?<![A-Za-z0-9])[0-9]{{4}}-)(?={_GROUPS}))(?=({_FORMS}))"
 #: Without a digit or an at sign nothing can match.
 QUICK = "[0-9@]"
 
+#: Characters of an IBAN by country, as registered.
+IBAN_CHARS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH CR HR LI LV",
+    22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
 #: Dates from FIRST_DAY on, SIDE * SIDE days (to November 2154), are permuted among
 #: themselves; others are no one's dates and stay.
 FIRST_DAY = "1800-01-01"
@@ -187,6 +199,22 @@ def _iban_valid(value: Column) -> Column:
     )
 
 
+def _iban_alone(value: Column) -> Column:
+    """The IBAN that a match begins with, without the words after it: the one of its
+    country's length, else the longest that passes the check, else the match."""
+    words = F.split(value, " ")
+    begins = F.transform(F.sequence(F.lit(1), F.size(words)), lambda k: F.array_join(F.slice(words, 1, k), " "))
+    length = F.create_map(*[
+        F.lit(part) for chars, countries in IBAN_CHARS.items() for country in countries.split() for part in (country, chars)
+    ])
+    right = lambda v: F.length(F.replace(v, F.lit(" "), F.lit(""))) == F.try_element_at(length, F.substring(v, 1, 2))
+    valid = F.filter(begins, _iban_valid)
+    # The valid ones are worked out once, in an array of their own.
+    return F.when(value.rlike(f"^(?:{IBAN})$") & value.contains(" "), F.transform(F.array(valid), lambda v: F.coalesce(
+        F.get(F.filter(v, right), F.lit(0)), F.try_element_at(v, F.lit(-1)), value
+    ))[0]).otherwise(value)
+
+
 def _phone(value: Column, key: Column) -> Column:
     """The last ten digits change; what stands before them, a country's number, stays."""
     digits = _digits(value)
@@ -258,6 +286,22 @@ def pseudonym(value: Column, kind: Column, key: Column) -> Column:
     return out.otherwise(value)
 
 
+def _reached(matches: Column) -> Column:
+    """For each match how many characters from its begin on are of one before it that
+    counts. A match counts if it is valid and begins in no other that counts."""
+    step = lambda before, m: F.greatest(
+        F.when(before > 0, before).otherwise(m["chars"]) - m["room"], F.lit(0)
+    )
+    begin = F.struct(F.array().cast("array<int>").alias("all"), F.lit(0).alias("now"))
+    one_by_one = F.aggregate(matches, begin, lambda at, m: F.struct(
+        F.concat(at["all"], F.array(at["now"])).alias("all"), step(at["now"], m).alias("now")
+    ), lambda at: at["all"])
+    # Hardly any text has a match that reaches into the next one.
+    return F.when(F.exists(matches, lambda m: m["chars"] > m["room"]), one_by_one).otherwise(
+        F.transform(matches, lambda m: F.lit(0))
+    )
+
+
 def pseudonymize(
     docs: DataFrame, key: str, text: str = "text", result: str = "private", counts: str = "n_private"
 ) -> DataFrame:
@@ -267,28 +311,45 @@ def pseudonymize(
     Values are found leftmost, longest as their patterns say, not inside longer
     runs of letters and digits. One that has a form but fails its check (a card
     number's last digit, an IBAN's rest, an address's octets, a calendar's date)
-    stays as it is. A null text stays null, with an empty map; columns that have
-    the names of the results are replaced.
+    stays as it is, and values that begin inside it are found. An IBAN ends where its
+    country's do, or is the longest that passes. A null text stays null, with an empty
+    map; columns that have the names of the results are replaced.
     """
     secret = F.lit(key)
     source = F.col(text)
-    found = F.when(source.rlike(QUICK), F.regexp_extract_all(source, F.lit(ANY), F.lit(0)))
     rows = docs.drop(result, counts)
-    at, gaps = "pii_matches", "pii_gaps"
-    while at in rows.columns or gaps in rows.columns:
-        at, gaps = at + "_", gaps + "_"
-    listed = rows.withColumn(at, found).withColumns({
-        gaps: F.when(F.size(at) > 0, F.split(source, ANY)),
-        at: F.transform(F.col(at), lambda value: F.struct(value.alias("value"), kind_of(value).alias("kind"))),
-    })
-    replaced = listed.withColumn(at, F.transform(F.col(at), lambda m: F.struct(
-        m["kind"].alias("kind"), pseudonym(m["value"], m["kind"], secret).alias("value")
+    at, parts = "pii_matches", "pii_parts"
+    while at in rows.columns or parts in rows.columns:
+        at, parts = at + "_", parts + "_"
+    found = F.when(source.rlike(QUICK), F.regexp_extract_all(source, F.lit(BEGIN), F.lit(1)))
+    # The text is cut before each place where a value may begin; a part without a
+    # place comes first, an empty one where the text begins with a place.
+    cut = F.split(source, BEGIN)
+    listed = rows.withColumn(at, found).withColumn(parts, F.when(F.size(at) > 0, F.transform(
+        F.array(cut), lambda c: F.when(F.size(c) > F.size(at), c).otherwise(F.concat(F.array(F.lit("")), c))
+    )[0]))
+    checked = listed.withColumn(at, F.transform(F.transform(F.col(at), _iban_alone), lambda value: F.struct(
+        value.alias("value"), kind_of(value).alias("kind")
+    )))
+    chars = lambda m: F.when(m["kind"].isNull(), 0).otherwise(F.length(m["value"]))
+    sized = checked.withColumn(at, F.zip_with(F.col(at), F.slice(parts, F.lit(2), F.size(at)), lambda m, part: F.struct(
+        m["value"].alias("value"), m["kind"].alias("kind"), chars(m).alias("chars"), part.alias("part"), F.length(part).alias("room")
+    )))
+    chosen = sized.withColumn(at, F.zip_with(F.col(at), _reached(F.col(at)), lambda m, reached: F.struct(
+        m["value"].alias("value"), F.when(reached == 0, m["kind"]).alias("kind"), m["part"].alias("part"),
+        F.when(reached == 0, m["chars"]).otherwise(reached).alias("gone"),
+    )))
+    replaced = chosen.withColumn(at, F.transform(F.col(at), lambda m: F.struct(
+        m["kind"].alias("kind"), F.concat(
+            F.when(m["kind"].isNull(), "").otherwise(pseudonym(m["value"], m["kind"], secret)),
+            F.substring(m["part"], m["gone"] + 1, F.length(m["part"])),
+        ).alias("text"),
     )))
-    pieces = F.zip_with(F.col(gaps), F.col(at), lambda gap, match: F.concat(gap, F.coalesce(match["value"], F.lit(""))))
+    whole = F.concat(F.get(F.col(parts), F.lit(0)), F.array_join(F.transform(F.col(at), lambda m: m["text"]), ""))
     kinds = F.array_compact(F.transform(F.coalesce(at, F.array().cast(replaced.schema[at].dataType)), lambda m: m["kind"]))
     tally = F.map_from_entries(F.transform(F.array_distinct(kinds), lambda kind: F.struct(
         kind.alias("key"), F.size(F.filter(kinds, lambda k: k == kind)).cast("long").alias("value")
     )))
     return replaced.select(
-        *rows.columns, F.when(F.col(gaps).isNotNull(), F.array_join(pieces, "")).otherwise(source).alias(result), tally.alias(counts)
+        *rows.columns, F.when(F.col(parts).isNotNull(), whole).otherwise(source).alias(result), tally.alias(counts)
     )

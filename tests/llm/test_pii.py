@@ -83,6 +83,30 @@ def test_what_fails_its_check_stays(spark):
     assert private(spark, wrong) == [(text, {}) for text in wrong]
 
 
+def test_values_beside_other_words_and_in_what_fails_its_check(spark):
+    grouped = " ".join(CARD[k:k + 4] for k in range(0, 16, 4))
+    cases = [
+        ("", "BE68 5390 0754 7034", " BIC GKCCBEBB", "iban"), ("", "ES9121000418450200051332", " EUR 500", "iban"),
+        ("to ", "AT611904300234573201", " AND", "iban"), ("", "BE68 5390 0754 7034", " 1234 ABCDEFGHI", "iban"),
+        ("AB13 ", "BE68 5390 0754 7034", "", "iban"), ("order 1234 ", grouped, ".", "card"), ("AB12 ", grouped, "", "card"),
+        ("no 1234-", grouped.replace(" ", "-"), "", "card"), ("\U0001f600 2023-02-29 1234 5678 ", grouped, " 1234", "card"),
+    ]
+    got = private(spark, [before + value + after for before, value, after, _ in cases])
+    for (before, value, after, kind), (new, counts) in zip(cases, got):
+        assert counts == {kind: 1} and new.startswith(before) and new.endswith(after), (value, new)
+        changed = new[len(before):len(new) - len(after)]
+        assert changed != value and len(changed) == len(value) and FORMS[kind](changed), (value, new)
+
+
+def test_a_value_that_begins_in_another_one_is_part_of_it(spark):
+    cards = [with_check(f"4111111111111{n:02}") for n in range(100)]
+    first = next(c for c in cards if any(luhn(c[4:] + f"{n:04}") for n in range(10000)))
+    last = next(f"{n:04}" for n in range(10000) if luhn(first[4:] + f"{n:04}"))
+    grouped = " ".join(first[k:k + 4] for k in range(0, 16, 4))
+    (alone, _), (both, counts) = private(spark, [grouped, f"{grouped} {last} and {CARD}"])
+    assert counts == {"card": 2} and both.startswith(f"{alone} {last} and ")
+
+
 def test_edges(spark):
     docs = documents(spark)
     rows = pii.pseudonymize(docs, "k")
