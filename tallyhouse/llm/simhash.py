@@ -281,25 +281,26 @@ def components(links: DataFrame) -> DataFrame:
 def near_groups(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS
 ) -> DataFrame:
-    """(doc_id, version, fp, component_id), a row for each document.
+    """(doc_id, version, fp, root, component_id), a row for each document.
 
     version is a hash of the text, as in common.identified; fp is the fingerprint as a long. Fingerprints that differ in at most max_bits
     bits are linked; component_id is the smallest doc_id that links reach, the
     document's own included. Texts without words are linked like any others. Rows
     without doc_id belong to groups but name none: a group of nothing else has a
-    null component_id. Repeated rows stay.
+    null component_id. root is the group's smallest fingerprint, which names it in any
+    case. Repeated rows stay.
     """
     rows = written(identified(docs, doc_id, text).select("doc_id", "version", simhash(F.col("text"), shingle).alias("fp")), "prints")
     prints = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "different-prints")
     roots = components(near_links(prints, max_bits))
     linked = prints.join(roots, prints["fp"] == roots["node"]).select("fp", "root", "first_id")
     smallest = linked.groupBy("root").agg(F.min("first_id").alias("smallest"))
-    grouped = linked.join(smallest, "root").select("fp", "smallest")
+    grouped = linked.join(smallest, "root").select("fp", "root", "smallest")
     # Written, so that the join reads plain shuffles and splits a hot fingerprint.
     named = written(prints.join(grouped, "fp", "left").select(
-        "fp", F.coalesce("smallest", "first_id").alias("component_id")
+        "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("smallest", "first_id").alias("component_id")
     ), "named-prints")
-    return rows.join(named, "fp").select("doc_id", "version", "fp", "component_id")
+    return rows.join(named, "fp").select("doc_id", "version", "fp", "root", "component_id")
 
 
 def hex_print(fp: Column) -> Column:

@@ -48,28 +48,35 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Of each SimHash group the document with the smallest doc_id.
 
     A row that is repeated stays once; of different texts with this one id, the one
-    with the smallest hash stays. Rows without doc_id go if their group has an id;
-    a group without any stays whole, as nothing tells its documents apart.
+    with the smallest hash stays. Rows without doc_id go if their group has an id; of
+    a group without any, the text with the smallest hash stays, once.
     """
     marked = near_groups(docs).withColumn("stays", F.coalesce(F.col("component_id") == F.col("doc_id"), F.col("component_id").isNull()))
-    rows = written(marked.select("doc_id", "version", "stays"), "near-decisions")
+    rows = written(marked.select("doc_id", "version", "root", "stays"), "near-decisions")
     repeated = written(
         rows.where("stays and doc_id is not null").groupBy("doc_id")
         .agg(F.min("version").alias("first"), F.count("*").alias("n")).where("n > 1"), "repeated-ids",
     )
     others = rows.where("stays").join(repeated, "doc_id").where("version <> first")
-    gone = rows.where("not stays").union(others.select("doc_id", "version", "stays")).select(
-        F.col("doc_id").alias("gone_id"), F.col("version").alias("gone_version")
-    ).distinct()
+    unnamed = written(
+        rows.where("stays and doc_id is null").groupBy("root", "doc_id", "version").agg(F.count("*").alias("n")), "unnamed-texts"
+    )
+    firsts = written(unnamed.groupBy("root").agg(F.min(F.struct("version", "n")).alias("of")).select("of.*"), "unnamed-firsts")
+    gone = rows.where("not stays").select("doc_id", "version").union(others.select("doc_id", "version")).union(
+        unnamed.join(firsts, "version", "left_anti").select("doc_id", "version")
+    ).select(F.col("doc_id").alias("gone_id"), F.col("version").alias("gone_version")).distinct()
     kept = docs.join(
         gone, docs["doc_id"].eqNullSafe(gone["gone_id"]) & (F.xxhash64(docs["text"]) == gone["gone_version"]), "left_anti"
     )
-    if repeated.isEmpty():
+    again = written(repeated.select(F.col("doc_id").alias("repeated_id"), F.col("first").alias("repeated_version")).union(
+        firsts.where("n > 1").select(F.lit(None).cast(docs.schema["doc_id"].dataType), "version")
+    ), "repeated-rows")
+    if again.isEmpty():
         return kept
-    again = repeated.select(F.col("doc_id").alias("repeated_id"))
-    once = kept.join(again, kept["doc_id"] == again["repeated_id"], "left_anti")
-    several = kept.join(again, kept["doc_id"] == again["repeated_id"], "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(several)
+    same = kept["doc_id"].eqNullSafe(again["repeated_id"]) & (F.xxhash64(kept["text"]) == again["repeated_version"])
+    version = free_name(docs, "version")
+    several = kept.join(again, same, "left_semi").withColumn(version, F.xxhash64("text"))
+    return kept.join(again, same, "left_anti").unionByName(several.dropDuplicates(["doc_id", version]).drop(version))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

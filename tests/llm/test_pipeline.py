@@ -7,7 +7,8 @@ import duckdb
 import public_tokenizers
 import pytest
 import sentencepiece
-from brute import EDGES, contaminated, deduped, documents, near, sha
+import xxhash
+from brute import EDGES, contaminated, deduped, documents, fingerprint, near, sha
 
 import corpus_pipeline
 from tallyhouse.llm import stages
@@ -86,6 +87,17 @@ def test_group_stage_with_one_id_for_two_texts(spark):
     assert [i for i, _ in left] == [1, 2]
 
 
+def test_group_stage_keeps_one_text_of_a_group_without_id(spark):
+    near_text = " ".join(f"word{n}" for n in range(400))
+    group = {near_text, near_text + " end"}
+    assert (fingerprint(near_text) ^ fingerprint(near_text + " end")).bit_count() <= 4
+    rows = [*((None, t, "en") for t in [*group, *group, "quite another text of words", "a third text, unlike"]), (5, "with an id, its own", "en")]
+    left = texts(stages.one_of_each_group(spark, documents(spark, rows), SF_DIR))
+    signed = lambda t: xxhash.xxh64_intdigest(t.encode(), 42) - (1 << 64 if xxhash.xxh64_intdigest(t.encode(), 42) >> 63 else 0)
+    want = [(None, min(group, key=signed)), (None, "quite another text of words"), (None, "a third text, unlike"), (5, "with an id, its own")]
+    assert left == sorted(want, key=repr)
+
+
 def test_benchmark_stage_drops_what_is_hit(spark, benchmark):
     planted = [(50, "Before. " + benchmark[0][1] + " After.", "en"), (51, "clean words only", "en"), (None, None, "en")]
     left = texts(stages.without_benchmark(spark, documents(spark, planted), SF_DIR))
