@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: N-grams in a profile.
 PROFILE = 300
-#: The model is fitted on about so many documents of each language, chosen by a
-#: hash of the text.
+#: The model is fitted on about so many different texts of each language, chosen by
+#: a hash of the text.
 TRAIN_DOCS = 2000
 UNKNOWN = "und"
 #: A text is in none of the languages if its score is under LEAST_SHARE of the one that
@@ -118,21 +118,23 @@ def fit_profiles(
 ) -> Profiles:
     """Profiles from labelled documents; rows without language are left out.
 
-    Of each language about train_docs documents are used, chosen by a hash of their
-    text, whole. The driver gets one number for each language and the finished
-    profiles. Without labelled rows every guess is `und`.
+    Of each language about train_docs different texts are used, chosen by their hash,
+    whole; repeats of a text count once. The driver gets one number for each language
+    and the finished profiles. Without labelled rows every guess is `und`.
     """
     labelled = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where("lang is not null")
+    labelled = labelled.withColumn("version", F.xxhash64("text"))
     shares = [
         (row["lang"], min(1.0, train_docs / row["n"]))
-        for row in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()
+        for row in labelled.select("lang", "version").distinct().groupBy("lang").agg(F.count("*").alias("n")).collect()
     ]
     if not shares:
         return Profiles([], np.zeros(0, np.int64), np.zeros((0, 0), np.int64), profile)
     share = F.create_map(*[F.lit(value) for pair in shares for value in pair])[F.col("lang")]
-    drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share * (1 << 20)
+    drawn = F.pmod("version", F.lit(1 << 20)) < share * (1 << 20)
+    different = labelled.where(drawn).dropDuplicates(["lang", "version"]).select("lang", "text")
     counts = (
-        labelled.where(drawn).mapInArrow(_counted, "lang string, gram long, n long")
+        different.mapInArrow(_counted, "lang string, gram long, n long")
         .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     )
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))

@@ -44,6 +44,15 @@ def test_profiles_are_the_most_frequent_grams_of_training(spark):
     assert sorted(r[0] for r in ranks.values() if r[0] >= 0) == [0, 1, 2, 3, 4]
 
 
+def test_repeats_of_a_text_count_once_in_training(spark):
+    rng = np.random.default_rng(4)
+    rows = [(n, " ".join("".join(rng.choice(list("abcdefgh"), 5)) for _ in range(30)), "x") for n in range(100)]
+    once = langid.fit_profiles(documents(spark, rows), train_docs=20)
+    for _, text, _ in rows[:2]:
+        again = langid.fit_profiles(documents(spark, [*rows, *[(7, text, "x")] * 300]), train_docs=20)
+        assert (again.grams == once.grams).all() and (again.ranks == once.ranks).all()
+
+
 def test_held_out_accuracy(spark):
     truth = dict(duckdb.sql(f"select doc_id, lang from '{DOCUMENTS}'").fetchall())
     rows = [r for r in QUERIES["op3_language_id"](spark, "/root/testdata/sf0.01").collect()]
