@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tallyhouse.llm.codes import vector_codes, with_label_error
 from tallyhouse.llm.common import table, written
 from tallyhouse.llm.decontam import contamination
 from tallyhouse.llm.langid import fit_profiles, guess_language, trained_rows
@@ -100,7 +101,15 @@ def op10_merkle_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes(table(spark, sf_dir, "embeddings"))
+    return with_label_error(coded).select(
+        "vec_id", "code", "error", "label_error", F.sha2(F.lit(books.text()), 256).alias("codebooks_sha256"), "evaluated"
+    )
+
+
 QUERIES = {f.__name__: f for f in (
     op1_pii_pseudonyms, op2_line_dedup, op3_language_id, op4_toxicity, op5_sentencepiece, op6_secret_scan,
     op7_simhash_groups, op8_decontamination, op9_warc_derivatives, op10_merkle_fingerprint,
+    op12_vector_codes,
 )}
