@@ -15,6 +15,7 @@ from tallyhouse.llm.secrets import BASE_KINDS, joined_spans, secret_spans
 from tallyhouse.llm.simhash import hex_print, near_groups
 from tallyhouse.llm.stages import as_pieces
 from tallyhouse.llm.toxicity import PARTS, fit_severity, graded, labelled_sample, severity_of
+from tallyhouse.llm.turns import damaged, digests, repair_conversations
 from tallyhouse.llm.warc import derivatives
 
 #: A deployment passes its own; with this one results can be compared.
@@ -101,6 +102,19 @@ def op10_merkle_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    original = table(spark, sf_dir, "conversations")
+    turns, counts = repair_conversations(damaged(original), copies="copies")
+    rows, audits = original.select("conv_id").distinct(), digests(turns)
+    for found in (counts, audits):
+        named = found.withColumnRenamed("conv_id", "found_id")
+        rows = rows.join(named, F.col("conv_id").eqNullSafe(F.col("found_id")), "left").drop("found_id")
+    return rows.select(
+        "conv_id", *[F.coalesce(name, F.lit(0)).cast("long").alias(name) for name in counts.columns if name != "conv_id"],
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, books = vector_codes(table(spark, sf_dir, "embeddings"))
     return with_label_error(coded).select(
@@ -111,5 +125,5 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_pii_pseudonyms, op2_line_dedup, op3_language_id, op4_toxicity, op5_sentencepiece, op6_secret_scan,
     op7_simhash_groups, op8_decontamination, op9_warc_derivatives, op10_merkle_fingerprint,
-    op12_vector_codes,
+    op11_conversation_repair, op12_vector_codes,
 )}
