@@ -13,6 +13,9 @@ simhash         SimHash groups by a binary trie self-join
 decontam        benchmark passages by winnowing
 warc            metadata and conversion records of responses
 merkle          document fingerprints as Merkle trees
+turns           repair of conversations by a chunked Viterbi search
+codes           codebooks for parts of vectors, trained with pivot bounds
+outliers        quality rules by robust covariances
 ==============  =============================================================
 
 Rules that hold for all of them. Columns are named by the caller and taken by

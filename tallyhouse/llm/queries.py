@@ -10,6 +10,7 @@ from tallyhouse.llm.decontam import contamination
 from tallyhouse.llm.langid import fit_profiles, guess_language, trained_rows
 from tallyhouse.llm.lines import dedup_lines
 from tallyhouse.llm.merkle import edited, leaves, likeness, printed, with_next
+from tallyhouse.llm.outliers import quality
 from tallyhouse.llm.pii import KINDS, pseudonymize
 from tallyhouse.llm.secrets import BASE_KINDS, joined_spans, secret_spans
 from tallyhouse.llm.simhash import hex_print, near_groups
@@ -122,8 +123,12 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(_documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_pii_pseudonyms, op2_line_dedup, op3_language_id, op4_toxicity, op5_sentencepiece, op6_secret_scan,
     op7_simhash_groups, op8_decontamination, op9_warc_derivatives, op10_merkle_fingerprint,
-    op11_conversation_repair, op12_vector_codes,
+    op11_conversation_repair, op12_vector_codes, op13_quality_outliers,
 )}

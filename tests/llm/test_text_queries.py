@@ -19,7 +19,7 @@ REPOSITORY = Path(__file__).parents[2]
 def test_all_are_registered():
     assert {*QUERIES, "pipeline"} <= set(queries())
     assert set(ORACLES) <= set(oracle_sql())
-    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 13))
+    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -39,7 +39,7 @@ def test_nothing_else_imports_the_subpackage():
     subprocess.run([sys.executable, "-c", code], cwd=REPOSITORY, check=True)
 
 
-@pytest.mark.parametrize("name", ["op1_pii_pseudonyms", "op6_secret_scan", "op10_merkle_fingerprint"])
+@pytest.mark.parametrize("name", ["op1_pii_pseudonyms", "op6_secret_scan", "op10_merkle_fingerprint", "op13_quality_outliers"])
 def test_native_queries_run_no_python(spark, name):
     plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
