@@ -18,14 +18,13 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyhouse.operators import views_by
 from tallyhouse.plans import (
     RunAudit, Warehouse, append_months, build_dimensions, ingest_folder, ingest_stream,
-    load_months, write_hours,
+    load_months, report, write_hours,
 )
-from tallyhouse.schemas import COMPANY_PAGES, DIM_DATE, DIM_DATE_END, DIM_DATE_START, DIM_TIME
+from tallyhouse.schemas import COMPANY_PAGES, DIM_DATE_END, DIM_DATE_START
 from tallyhouse.session import local_session
-from tallyhouse.sources import audit_dumps, read_fact, read_rejects
+from tallyhouse.sources import audit_dumps, read_rejects
 from tallyhouse.streaming import stream_dumps
 
 
@@ -86,14 +85,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.command == "audit":
         show(audit_dumps(spark, args.dumps, deep=args.check).orderBy("file_name", "path"), args.out, args.limit)
     elif args.command == "rejects":
-        found = read_rejects(spark, house.rejects).groupBy("file_name", "reason", "line").agg(F.sum("lines").alias("lines"))
+        found = read_rejects(spark, house.rejects, house.tally).groupBy("file_name", "reason", "line").agg(F.sum("lines").alias("lines"))
         show(found.orderBy("file_name", "reason", "line"), args.out, args.limit)
     else:
-        found = views_by(
-            read_fact(spark, house.fact),
-            spark.read.schema(DIM_DATE).parquet(house.dim_date),
-            spark.read.schema(DIM_TIME).parquet(house.dim_time), *args.by,
-        )
+        found = report(spark, house, *args.by)
         show(found.orderBy(*args.by), args.out, args.limit)
 
 

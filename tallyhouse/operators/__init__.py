@@ -13,18 +13,20 @@ from tallyhouse.operators.parse import (
     with_reject_reason,
 )
 from tallyhouse.operators.quality import (
-    fk_violations, length_violations, not_null_violations, partition_range_violations,
-    pk_violations, rule_counts, with_broken_rules, with_repeated_keys,
+    fk_violations, key_clashes, length_violations, not_null_violations, partition_range_violations,
+    pk_violations, repeated_keys, rule_counts, with_broken_rules, with_repeated_keys,
+)
+from tallyhouse.operators.star import (
+    grain_for, rollups_of, star_join, views_by, views_from_rollups,
 )
-from tallyhouse.operators.star import star_join, views_by
 
 __all__ = [
     "between_dates", "calendar_keys", "combine", "complete_days", "complete_months", "dim_date",
     "dim_date_between", "dim_time", "dumps_of", "fk_violations", "gate_days", "gate_months",
-    "hour_violations", "hourly_of_tally", "hourly_pageviews", "keep_listed_pages",
-    "keep_pages", "ledger_rows", "length_violations", "line_rejects", "load_frame", "new_dumps",
+    "grain_for", "hour_violations", "hourly_of_tally", "hourly_pageviews", "keep_listed_pages",
+    "keep_pages", "key_clashes", "ledger_rows", "length_violations", "line_rejects", "load_frame", "new_dumps",
     "no_lines", "not_null_violations", "ordered_hours", "partition_range_violations", "pending",
-    "pk_violations", "rejects_of_tally", "row_counts", "rule_counts", "split_lines", "stamp",
-    "star_join", "tally", "views_by", "well_formed", "with_broken_rules", "with_fact_id",
+    "pk_violations", "rejects_of_tally", "repeated_keys", "rollups_of", "row_counts", "rule_counts", "split_lines", "stamp",
+    "star_join", "tally", "views_by", "views_from_rollups", "well_formed", "with_broken_rules", "with_fact_id",
     "with_reject_reason", "with_repeated_keys",
 ]

@@ -2,7 +2,7 @@
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyhouse.schemas import (
     FACT_TEXT_LIMITS, FIRST_PARTITION_YEAR, LAST_PARTITION_YEAR, LOAD_COLUMNS,
@@ -74,17 +74,35 @@ def with_broken_rules(rows: DataFrame, dim_date: DataFrame, dim_time: DataFrame)
     )
 
 
-def with_repeated_keys(checked: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add `primary_key` to the broken rules of all rows that share a key.
+def repeated_keys(rows: DataFrame, keys: Sequence[str], loaded: DataFrame | None = None) -> DataFrame:
+    """Keys that several rows have, or a row and one that is `loaded` already.
 
-    Keys are as good as random, so the window's shuffle is even; the rows of a
-    key stay together only as many as there are copies.
+    Only keys are shuffled, after a partial count, so a key may have any number of rows.
     """
-    copies = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    rules = F.concat_ws(
-        ",", F.when(F.col("broken_rules") != "", F.col("broken_rules")), F.when(copies > 1, F.lit("primary_key"))
-    )
-    return checked.withColumn("broken_rules", rules)
+    mine = rows.select(*keys, F.lit(1).alias("mine"))
+    if loaded is not None:
+        mine = mine.unionByName(loaded.select(*keys, F.lit(0).alias("mine")))
+    counts = mine.groupBy(*keys).agg(F.count("*").alias("copies"), F.max("mine").alias("mine"))
+    return counts.where("copies > 1 and mine = 1").drop("mine")
+
+
+def with_repeated_keys(checked: DataFrame, repeated: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add `primary_key` to the broken rules of all rows whose key is in repeated_keys."""
+    names = {key: f"repeated_{key}" for key in keys}
+    few = repeated.select(*[F.col(key).alias(name) for key, name in names.items()], F.lit("primary_key").alias("repeated"))
+    same = F.lit(True)
+    for key, name in names.items():
+        same = same & F.col(key).eqNullSafe(F.col(name))
+    rules = F.concat_ws(",", F.when(F.col("broken_rules") != "", F.col("broken_rules")), F.col("repeated"))
+    return checked.join(few, same, "left").withColumn("broken_rules", rules).drop("repeated", *names.values())
+
+
+def key_clashes(rows: DataFrame, loaded: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys of `rows` that are loaded already, from another month set: (keys, load_month,
+    loaded_month), a row for each pair of month sets."""
+    mine = rows.select(*keys, "load_month").distinct()
+    theirs = loaded.select(*keys, F.col("load_month").alias("loaded_month")).distinct()
+    return mine.join(theirs, list(keys)).where("load_month <> loaded_month")
 
 
 def rule_counts(checked: DataFrame) -> DataFrame:

@@ -6,15 +6,16 @@ and one that runs again finds nothing to do.
 """
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tallyhouse.functions import file_date_of, month_key
 from tallyhouse.operators import (
     calendar_keys, complete_days, complete_months, dim_date_between, dim_time, gate_days,
-    gate_months, hourly_of_tally, ledger_rows, length_violations, pending, pk_violations,
-    rule_counts, tally, with_broken_rules, with_fact_id, with_repeated_keys,
+    gate_months, grain_for, hourly_of_tally, ledger_rows, length_violations, pending, pk_violations,
+    repeated_keys, rollups_of, rule_counts, tally, views_by, views_from_rollups, with_broken_rules,
+    with_fact_id, with_repeated_keys,
 )
 from tallyhouse.plans.audit import RunAudit
 from tallyhouse.plans.warehouse import Warehouse
@@ -22,25 +23,28 @@ from tallyhouse.schemas import (
     COMPANY_PAGES, DIM_DATE, DIM_DATE_END, DIM_DATE_START, DIM_DATE_TEXT_LIMITS, DIM_TIME,
     FACT_COLUMNS, LOAD_COLUMNS,
 )
-from tallyhouse.session import scratch_folder
+from tallyhouse.session import scratch_folders
 from tallyhouse.sinks import (
     append_jdbc, append_ledger, observed, replace_dimension, write_daily, write_fact,
-    write_hourly, write_monthly, write_refused,
+    write_hourly, write_monthly, write_refused, write_rollups,
 )
 from tallyhouse.sources import (
     audit_dumps, hours_between, list_dumps, one_place_each, read_daily, read_dumps, read_fact,
-    read_ledger, read_monthly, read_tally,
+    read_ledger, read_monthly, read_rollups, read_tally,
 )
 from tallyhouse.streaming import ingest_available, stream_hourly, tally_new
+from tallyhouse.versions import key_text, new_version, publish
 
 
 class ConstraintError(ValueError):
     """Rows break a constraint of the warehouse."""
 
 
-def _staged(rows: DataFrame, purpose: str) -> DataFrame:
-    """The rows, written to scratch and read from there."""
-    folder = scratch_folder(rows.sparkSession, purpose)
+FACT_KEY = ["fact_id", "year", "month"]
+
+
+def _staged(rows: DataFrame, folder: str) -> DataFrame:
+    """The rows, written to a folder and read from there."""
     rows.write.parquet(folder)
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
@@ -165,33 +169,34 @@ def ingest_folder(
         found = found.where(F.col("file_date") >= F.lit(start).cast("date"))
     if end:
         found = found.where(F.col("file_date") <= F.lit(end).cast("date"))
-    found = _staged(found.withColumn("file_month", month_key(F.col("file_date"))), "dumps-found")
-    places = one_place_each(found)
-    if audit:
-        copies = found.join(places, ["file_name", "place"], "left_anti").select("file_name", "place").distinct()
-        named = [f"{row.file_name} lies also at {row.place}" for row in copies.toLocalIterator()]
-        if named:
-            audit.record_each("copies", named)
-    tallied = _staged(
-        read_tally(spark, warehouse.tally).where("file_date is not null").select("file_name").distinct(), "tallied"
-    )
-    waiting = places.join(tallied, "file_name", "left_anti")
-    converted = 0
-    for month in _names(waiting, "file_month"):
-        own = waiting.where(F.col("file_month") == month)
-        paths = _paths_of_complete_days(own, tallied)
-        if check and paths:
-            verdicts = audit_dumps(spark, paths, deep=True).where("verdict not in ('ok', 'unchecked')")
-            damaged = [(row.file_name, row.verdict) for row in verdicts.collect()]
-            if damaged:
-                bad = spark.createDataFrame(damaged, "file_name string, verdict string")
-                paths = _paths_of_complete_days(own.join(bad, "file_name", "left_anti"), tallied)
-                if audit:
-                    audit.record_each("check", [f"{name} is {verdict}" for name, verdict in damaged])
-        if paths:
-            files = own.where(F.col("path").isin(paths)).select("file_name").distinct()
-            convert(spark, read_dumps(spark, paths), warehouse, batch_id, pages, files, audit)
-            converted += files.count()
+    with scratch_folders(spark) as scratch:
+        found = _staged(found.withColumn("file_month", month_key(F.col("file_date"))), scratch("dumps-found"))
+        places = one_place_each(found)
+        if audit:
+            copies = found.join(places, ["file_name", "place"], "left_anti").select("file_name", "place").distinct()
+            named = [f"{row.file_name} lies also at {row.place}" for row in copies.toLocalIterator()]
+            if named:
+                audit.record_each("copies", named)
+        tallied = _staged(
+            read_tally(spark, warehouse.tally).where("file_date is not null").select("file_name").distinct(), scratch("tallied")
+        )
+        waiting = places.join(tallied, "file_name", "left_anti")
+        converted = 0
+        for month in _names(waiting, "file_month"):
+            own = waiting.where(F.col("file_month") == month)
+            paths = _paths_of_complete_days(own, tallied)
+            if check and paths:
+                verdicts = audit_dumps(spark, paths, deep=True).where("verdict <> 'ok'")
+                damaged = [(row.file_name, row.verdict) for row in verdicts.collect()]
+                if damaged:
+                    bad = spark.createDataFrame(damaged, "file_name string, verdict string")
+                    paths = _paths_of_complete_days(own.join(bad, "file_name", "left_anti"), tallied)
+                    if audit:
+                        audit.record_each("check", [f"{name} is {verdict}" for name, verdict in damaged])
+            if paths:
+                files = own.where(F.col("path").isin(paths)).select("file_name").distinct()
+                convert(spark, read_dumps(spark, paths), warehouse, batch_id, pages, files, audit)
+                converted += files.count()
     combine_days(spark, warehouse, batch_id, audit)
     combine_months(spark, warehouse, batch_id, audit)
     return converted
@@ -229,43 +234,79 @@ def build_dimensions(
     replace_dimension(times, warehouse.dim_time)
 
 
+def _load_months(rows: DataFrame) -> list[str]:
+    return _names(rows.select(key_text("load_month").alias("load_month")), "load_month")
+
+
 def checked_months(
     spark: SparkSession, monthly: DataFrame, dim_date: DataFrame, dim_time: DataFrame,
+    scratch: Callable[[str], str], fact_path: str | None = None, months: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Month sets with `load_month`, fact_id and the constraints each row breaks."""
+    """Month sets with `load_month`, fact_id and the constraints each row breaks.
+
+    Keys have to be unique in these rows and in what is loaded at `fact_path` from other
+    months than `months`, which are replaced. Of that the partitions of these rows are
+    read, and of those the key. The rows are checked once and written to scratch.
+    """
     rows = monthly.select(*LOAD_COLUMNS, F.col("file_month").alias("load_month"))
-    checked = with_broken_rules(with_fact_id(rows), dim_date, dim_time)
-    return with_repeated_keys(checked, ["fact_id", "year", "month"])
+    checked = _staged(with_broken_rules(with_fact_id(rows), dim_date, dim_time), scratch("checked-facts"))
+    loaded = None
+    if fact_path is not None:
+        partitions = checked.select((F.col("year") * 100 + F.col("month")).alias("of")).distinct().collect()
+        own = _load_months(checked) if months is None else months
+        loaded = read_fact(spark, fact_path).where(~F.col("load_month").isin(own)).where(
+            (F.col("year") * 100 + F.col("month")).isin([row.of for row in partitions if row.of is not None])
+        )
+    repeated = _staged(repeated_keys(checked, FACT_KEY, loaded), scratch("repeated-keys"))
+    return with_repeated_keys(checked, repeated, FACT_KEY)
 
 
 def load_fact(
     spark: SparkSession, monthly: DataFrame, fact_path: str,
     dim_date: DataFrame, dim_time: DataFrame, refused_path: str | None = None,
     audit: RunAudit | None = None, months: Sequence[str] | None = None,
+    rollups_path: str | None = None,
 ) -> None:
     """Month sets to the partitioned fact table.
 
     Rows that break a constraint, the primary key's included, stop the load before
     anything is written, as they would in a database; with `refused_path` they are
     kept there instead and the rest is loaded. Each of the `months` (yyyy-MM, by
-    default those that have rows) is replaced whole, in both tables.
-
-    The rows are checked once and written to scratch; what follows reads that.
+    default those that have rows) is replaced whole, in all tables: facts, refused rows
+    and, with `rollups_path`, kept sums are one version, published at the end.
     """
-    checked = _staged(checked_months(spark, monthly, dim_date, dim_time), "checked-facts")
-    counts = {row["rule"]: row["rows"] for row in rule_counts(checked).collect()}
-    if counts and refused_path is None:
-        raise ConstraintError(f"rows breaking constraints: {counts}")
-    if months is None:
-        months = _names(checked.where("load_month is not null"), "load_month")
-    owned = spark.createDataFrame([(month,) for month in months], "load_month string")
-    if refused_path is not None:
-        write_refused(checked.where(F.col("broken_rules") != ""), refused_path, owned)
-    good = checked.where(F.col("broken_rules") == "").drop("broken_rules")
-    seen = Observation()
-    write_fact(good, fact_path, seen, owned)
-    if audit:
-        audit.record("fact", "facts loaded", rows=observed(seen)["rows"])
+    with scratch_folders(spark) as scratch:
+        checked = checked_months(spark, monthly, dim_date, dim_time, scratch, fact_path, months)
+        counts = {row["rule"]: row["rows"] for row in rule_counts(checked).collect()}
+        if counts and refused_path is None:
+            raise ConstraintError(f"rows breaking constraints: {counts}")
+        version = new_version()
+        if refused_path is not None:
+            write_refused(checked.where(F.col("broken_rules") != ""), refused_path, version)
+        good = checked.where(F.col("broken_rules") == "").drop("broken_rules")
+        seen = Observation()
+        write_fact(good, fact_path, seen, version=version)
+        if rollups_path is not None:
+            write_rollups(rollups_of(good), rollups_path, version)
+        publish(spark, fact_path, [*(months or []), *_load_months(checked)], version)
+        if audit:
+            audit.record("fact", "facts loaded", rows=observed(seen)["rows"])
+
+
+def report(
+    spark: SparkSession, warehouse: Warehouse, *attributes: str,
+    dim_date: DataFrame | None = None, dim_time: DataFrame | None = None,
+) -> DataFrame:
+    """Views by any attributes of fact and dimensions: from the kept sums where they
+    have them, from the fact where not. A part of a dimension asks for a part of the
+    months."""
+    if dim_date is None:
+        dim_date = spark.read.schema(DIM_DATE).parquet(warehouse.dim_date)
+    if dim_time is None:
+        dim_time = spark.read.schema(DIM_TIME).parquet(warehouse.dim_time)
+    if grain_for(attributes) is None:
+        return views_by(read_fact(spark, warehouse.fact), dim_date, dim_time, *attributes)
+    return views_from_rollups(read_rollups(spark, warehouse.rollups, warehouse.fact), dim_date, dim_time, *attributes)
 
 
 def load_months(
@@ -285,7 +326,7 @@ def load_months(
         spark, monthly.where(F.col("file_month").isin(*names)), warehouse.fact,
         spark.read.schema(DIM_DATE).parquet(warehouse.dim_date),
         spark.read.schema(DIM_TIME).parquet(warehouse.dim_time),
-        warehouse.refused if quarantine else None, audit, names,
+        warehouse.refused if quarantine else None, audit, names, warehouse.rollups,
     )
     loaded = spark.createDataFrame([(name,) for name in names], "file_name string")
     append_ledger(ledger_rows(loaded, "fact", batch_id), warehouse.ledger)

@@ -30,6 +30,10 @@ class Warehouse:
     def fact(self) -> str:
         return self._table("fact_pageviews")
 
+    @property
+    def rollups(self) -> str:
+        return self._table("fact_rollups")
+
     @property
     def rejects(self) -> str:
         return self._table("rejected_lines")

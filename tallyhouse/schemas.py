@@ -87,6 +87,22 @@ FACT = T.StructType([
     T.StructField("month", T.IntegerType()),
 ])
 
+# Rows a load has refused: what the fact would have, and why not.
+REFUSED = T.StructType([*FACT.fields, T.StructField("broken_rules", T.StringType())])
+
+# Sums of a load's facts, finer for some attributes and without the others.
+ROLLUPS = T.StructType([
+    T.StructField("date_id", T.IntegerType()),
+    T.StructField("time_id", T.IntegerType()),
+    T.StructField("domain", T.StringType()),
+    T.StructField("pagename", T.StringType()),
+    T.StructField("sumpageviewcount", T.LongType()),
+    T.StructField("year", T.IntegerType()),
+    T.StructField("month", T.IntegerType()),
+    T.StructField("load_month", T.StringType()),
+    T.StructField("grain", T.StringType()),
+])
+
 DIM_DATE = T.StructType([
     T.StructField("date_id", T.IntegerType()),
     T.StructField("date", T.DateType()),

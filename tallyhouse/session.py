@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -35,3 +37,25 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="tallyhouse-")
     return f"{shared.rstrip('/')}/tallyhouse-{purpose}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder in whatever store it lies; one that is not there is no error."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch_folders(spark: SparkSession) -> Iterator[Callable[[str], str]]:
+    """scratch_folder for a job that is done with its scratch tables when it ends."""
+    made = []
+
+    def scratch(purpose: str) -> str:
+        made.append(scratch_folder(spark, purpose))
+        return made[-1]
+
+    try:
+        yield scratch
+    finally:
+        for folder in made:
+            remove_folder(spark, folder)

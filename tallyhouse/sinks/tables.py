@@ -1,20 +1,22 @@
 """Writers of the warehouse tables.
 
 The rows of a partition are brought together by a rebalance: about one file per
-partition, several where adaptive execution finds it too big for one task. A write
-replaces the partitions its rows belong to, and, told which values of the first
-key it owns, also removes what earlier writes left under them and this one has
-no rows for. So repeating a stage, or running it again after a failure, changes
-nothing. `seen` counts the rows while they are written.
+partition, several where adaptive execution finds it too big for one task. Tallies, day
+and month sets and facts are written as a version of their own and published when all
+is there (see tallyhouse.versions): a write replaces the keys its rows belong to, and
+those it is told it owns. So repeating a stage, or running it again after a failure,
+changes nothing, and a stop at any point leaves readers what they had. A function
+that is given a version leaves the publishing to its caller. `seen` counts the rows
+while they are written.
 """
 
 from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, functions as F
 
 from tallyhouse.functions import month_key
+from tallyhouse.versions import key_text, new_version, publish
 
 
 def observed(seen: Observation) -> dict:
@@ -23,48 +25,30 @@ def observed(seen: Observation) -> dict:
     try:
         return seen.get
     except Py4JJavaError:
-        return {"rows": 0, "folders": []}
+        return {"rows": 0, "keys": []}
 
 
 def _partition_writer(rows: DataFrame, by: Sequence[str], order: Sequence[str] = ()) -> DataFrameWriter:
     return rows.hint("rebalance", *by).sortWithinPartitions(*by, *order).write.partitionBy(*by)
 
 
-def _folder(by: Sequence[str]):
-    """Path of a row's partition below its table."""
-    return F.concat_ws("/", *[F.concat(F.lit(f"{key}="), F.col(key).cast("string")) for key in by])
-
-
-def _folders(owned: DataFrame, path: str, by: Sequence[str]) -> set[str]:
-    """Partitions that hold rows under the owned values of the first key."""
-    schema = ", ".join(f"{key} string" for key in by)
-    try:
-        table = owned.sparkSession.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return set()
-    mine = owned.select(F.col(by[0]).cast("string").alias(by[0])).distinct()
-    found = table.join(mine, by[0], "left_semi").select(_folder(by).alias("folder")).distinct()
-    return {row["folder"] for row in found.collect()}
-
-
-def _replace_partitions(
+def _write_version(
     rows: DataFrame, path: str, by: Sequence[str], order: Sequence[str] = (),
-    seen: Observation | None = None, owned: DataFrame | None = None,
+    seen: Observation | None = None, owned: DataFrame | None = None, version: str | None = None,
 ) -> None:
-    before = _folders(owned, path, by) if owned is not None else set()
-    seen = seen or Observation()
-    counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set(_folder(by)).alias("folders"))
-    writer = _partition_writer(counted, by, order).mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
-    if before:
-        for folder in sorted(before - set(observed(seen)["folders"])):
-            rows.sparkSession.range(0).write.mode("overwrite").parquet(f"{path}/{folder}")
+    """Rows as a version of their keys, by[0]; published unless the caller names it."""
+    seen, own = seen or Observation(), version or new_version()
+    counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set(key_text(by[0])).alias("keys"))
+    gathered = counted.hint("rebalance", *by).withColumn("version", F.lit(own))
+    folders = [by[0], "version", *by[1:]]
+    gathered.sortWithinPartitions(*folders, *order).write.partitionBy(*folders).mode("append").parquet(path)
+    if version is None:
+        mine = [row["key"] for row in owned.select(key_text(by[0]).alias("key")).distinct().collect()] if owned is not None else []
+        publish(rows.sparkSession, path, [*observed(seen)["keys"], *mine], own)
 
 
 def write_tally(
-    tallies: DataFrame, path: str, batch_id: str, seen: Observation | None = None
+    tallies: DataFrame, path: str, batch_id: str, seen: Observation | None = None, version: str | None = None
 ) -> None:
     """The tallies of one batch, replacing an earlier attempt at that batch."""
     if seen is not None:
@@ -73,18 +57,24 @@ def write_tally(
     ordered = gathered.sortWithinPartitions(
         "file_month", "outcome", "file_date", "file_name", "domain", "pagename", "line"
     )
-    ordered.write.partitionBy("file_month", "outcome").mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    own = version or new_version()
+    ordered.write.partitionBy("file_month", "outcome").parquet(f"{path}/batch_id={batch_id}/version={own}")
+    if version is None:
+        publish(tallies.sparkSession, path, [batch_id], own)
 
 
-def write_rejects(rejects: DataFrame, path: str, batch_id: str) -> None:
-    """The malformed lines of one batch, replacing an earlier attempt at that batch."""
+def write_rejects(rejects: DataFrame, path: str, batch_id: str, version: str) -> None:
+    """The malformed lines of one batch. They are read when the tally of that version
+    is published, so a batch has both or neither."""
     ordered = rejects.hint("rebalance").sortWithinPartitions("file_name", "reason", "line")
-    ordered.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    ordered.write.parquet(f"{path}/batch_id={batch_id}/version={version}")
 
 
 def write_hourly(hourly: DataFrame, path: str) -> None:
-    """Hourly sets, one partition per dump, sorted by domain and page."""
-    _replace_partitions(hourly, path, ["file_date", "file_time"], ["domain", "pagename"])
+    """Hourly sets, one partition per dump, sorted by domain and page. A dump's
+    partition is replaced by Spark itself, folder by folder."""
+    writer = _partition_writer(hourly, ["file_date", "file_time"], ["domain", "pagename"]).mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def write_daily(
@@ -92,7 +82,7 @@ def write_daily(
 ) -> None:
     """Day sets: the hourly rows of a file date as one partition. `days` (file_date)
     are replaced whole, also where they have no rows now."""
-    _replace_partitions(hourly, path, ["file_date"], ["file_time", "domain", "pagename"], seen, days)
+    _write_version(hourly, path, ["file_date"], ["file_time", "domain", "pagename"], seen, days)
 
 
 def write_monthly(
@@ -101,14 +91,15 @@ def write_monthly(
     """Month sets: day sets with calendar keys, one partition per file month."""
     if "file_month" not in keyed.columns:
         keyed = keyed.withColumn("file_month", month_key(F.col("file_date")))
-    _replace_partitions(
+    _write_version(
         keyed.drop("file_date", "file_time"), path, ["file_month"],
         ["date_id", "time_id", "domain", "pagename"], seen, months,
     )
 
 
 def write_fact(
-    fact: DataFrame, path: str, seen: Observation | None = None, months: DataFrame | None = None
+    fact: DataFrame, path: str, seen: Observation | None = None, months: DataFrame | None = None,
+    version: str | None = None,
 ) -> None:
     """The fact by (load_month, year, month).
 
@@ -116,16 +107,21 @@ def write_fact(
     the month set a row came from, as first key, replacing a month leaves the
     rest of that earlier month alone. `months` (load_month) are replaced whole.
     """
-    _replace_partitions(
+    _write_version(
         fact, path, ["load_month", "year", "month"], ["date_id", "time_id", "domain", "pagename"],
-        seen, months,
+        seen, months, version,
     )
 
 
-def write_refused(refused: DataFrame, path: str, months: DataFrame) -> None:
-    """Rows a load refused, by load_month; `months` are replaced whole, so a clean
-    load removes what an earlier one refused."""
-    _replace_partitions(refused, path, ["load_month"], ["date_id", "time_id"], owned=months)
+def write_refused(refused: DataFrame, path: str, version: str) -> None:
+    """Rows a load refused, by load_month. They are read when the fact of that version is
+    published, so a clean load removes what an earlier one refused."""
+    _write_version(refused, path, ["load_month"], ["date_id", "time_id"], version=version)
+
+
+def write_rollups(rollups: DataFrame, path: str, version: str) -> None:
+    """Kept sums of a load's facts, by load_month, read with the fact of that version."""
+    _write_version(rollups, path, ["load_month", "grain"], ["date_id"], version=version)
 
 
 def replace_dimension(dimension: DataFrame, path: str) -> None:

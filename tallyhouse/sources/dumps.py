@@ -1,17 +1,19 @@
 """Hourly dump files: reading, listing, and checking what is there."""
 
+import re
 import zlib
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyhouse.functions import dump_name, file_date_of, path_dump_name, path_place
 from tallyhouse.schemas import DUMP_BASE_URL, HOURS_PER_DAY
 
-_CHUNK = 1 << 16
-# Longer files are not loaded for a check, since a file is one value there.
-LONGEST_CHECKED = 1 << 30
+# Bytes that a check holds of a file at once.
+CHUNK = 1 << 20
 
 
 def read_dumps(
@@ -55,64 +57,60 @@ def one_place_each(files: DataFrame) -> DataFrame:
     return files.join(first, ["file_name", "place"], "left_semi")
 
 
-def _gzip_intact(content: bytes) -> bool:
+def _gzip_intact(first: bytes, rest: pa.NativeFile) -> bool:
     """Whether every gzip member decompresses to its end and checksum."""
-    member = zlib.decompressobj(wbits=31)
+    member, piece = zlib.decompressobj(wbits=31), first
     try:
-        for at in range(0, len(content), _CHUNK):
-            piece = content[at:at + _CHUNK]
+        while piece:
             while piece:
                 if member.eof:
                     member = zlib.decompressobj(wbits=31)
-                member.decompress(piece)
-                piece = member.unused_data
+                # What a chunk decompresses to may be long; it is dropped in pieces.
+                member.decompress(piece, CHUNK)
+                piece = member.unused_data if member.eof else member.unconsumed_tail
+            piece = rest.read(CHUNK)
     except zlib.error:
         return False
     return member.eof
 
 
-def _intact_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        yield pd.DataFrame({
-            "file_name": batch["file_name"], "path": batch["path"], "length": batch["length"],
-            "is_gzip": batch["is_gzip"], "intact": batch["content"].map(_gzip_intact),
-        })
+def _checked(path: str, deep: bool) -> tuple[bool, bool]:
+    """Whether a file begins as gzip does, and whether it is intact, read in chunks."""
+    # Hadoop shows a local path as file:/…, which is short for file:///….
+    system, place = fs.FileSystem.from_uri(re.sub("^file:/(?!/)", "file:///", path))
+    with system.open_input_stream(place, compression=None) as file:
+        first = file.read(CHUNK if deep else 2)
+        is_gzip = first[:2] == b"\x1f\x8b"
+        return is_gzip, not deep or (is_gzip and _gzip_intact(first, file))
 
 
 def audit_dumps(
     spark: SparkSession, paths: str | Sequence[str], *, deep: bool = False
 ) -> DataFrame:
-    """Verdict per file: ok, not_gzip, truncated (with `deep`), bad_name, or unchecked
-    for one over LONGEST_CHECKED, which a check would have to hold in memory.
+    """Verdict per file: ok, not_gzip, truncated (with `deep`) or bad_name.
 
-    Spark's file sources pass over files of no bytes, so those count as missing.
-    Reading the content loads whole files, so pass the suspect ones where the
-    folder is large. `deep` decompresses each file in the task that read it, a
-    chunk at a time.
+    Spark lists the files, and a task that gets a path reads it as a stream: its first
+    two bytes, or with `deep` all of it, a chunk at a time, so a file may have any
+    length. Tasks get files of about the same total length. Executors have to reach the
+    files by Arrow's file systems (local, HDFS, S3, GCS). Spark's file sources pass over
+    files of no bytes, so those count as missing.
     """
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [_checked(path, deep) for path in batch["path"]]
+            yield batch.assign(is_gzip=[gzip for gzip, _ in found], intact=[intact for _, intact in found])
+
     paths = [paths] if isinstance(paths, str) else list(paths)
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
-    name = path_dump_name(F.col("path")).alias("file_name")
-    long = listed.where(F.col("length") > LONGEST_CHECKED).select(
-        name, "path", "length", F.lit("unchecked").alias("verdict")
-    )
-    found = listed.where(F.col("length") <= LONGEST_CHECKED).select(
-        name, "path", "length", "content", (F.hex(F.substring("content", 1, 2)) == "1F8B").alias("is_gzip"),
-    )
-    if deep:
-        found = found.mapInPandas(
-            _intact_batches,
-            "file_name string, path string, length long, is_gzip boolean, intact boolean",
-        )
-    else:
-        found = found.withColumn("intact", F.lit(True)).drop("content")
+    files = listed.select(path_dump_name(F.col("path")).alias("file_name"), "path", "length")
+    found = files.mapInPandas(check, "file_name string, path string, length long, is_gzip boolean, intact boolean")
     verdict = (
         F.when(~F.col("is_gzip"), "not_gzip")
         .when(~F.col("intact"), "truncated")
         .when(file_date_of(F.col("file_name")).isNull(), "bad_name")
         .otherwise("ok")
     )
-    return found.select("file_name", "path", "length", verdict.alias("verdict")).union(long)
+    return found.select("file_name", "path", "length", verdict.alias("verdict"))
 
 
 def expected_dumps(days: DataFrame, base_url: str = DUMP_BASE_URL) -> DataFrame:

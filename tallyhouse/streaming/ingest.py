@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tallyhouse.functions import month_key, path_dump_name, path_place
 from tallyhouse.operators import hourly_of_tally, new_dumps, no_lines, rejects_of_tally, tally
-from tallyhouse.schemas import COMPANY_PAGES
-from tallyhouse.session import scratch_folder
+from tallyhouse.schemas import COMPANY_PAGES, TALLY
+from tallyhouse.session import scratch_folders
 from tallyhouse.sinks import write_rejects, write_tally
 from tallyhouse.sources import read_tally
+from tallyhouse.versions import new_version, publish
 
 
 def stream_dumps(
@@ -38,24 +39,27 @@ def tally_new(
 ) -> None:
     """Write tallies as one batch, without the dumps that are in the table already.
 
-    The sums are written to scratch first, as they are looked at twice. Only the
-    months they belong to are read from the table. Of `files` (file_name) those
-    without any line are noted as well.
+    Tallies and rejects are written under one version and published together at the
+    end: a batch that was stopped before has neither, and is done again. The sums are
+    written to scratch first, as they are looked at twice, and read from there in the
+    session `spark`. Only the months they belong to are read from the table. Of `files`
+    (file_name) those without any line are noted as well.
     """
-    folder = scratch_folder(spark, "sums")
-    sums.write.parquet(folder)
-    sums = spark.read.schema(sums.schema).parquet(folder)
-    if files is not None:
-        sums = sums.unionByName(no_lines(files.join(sums, "file_name", "left_anti")))
-    months = [row["file_month"] for row in sums.select("file_month").distinct().collect()]
-    known = read_tally(spark, tally_path).where(
-        F.col("file_month").isin([m for m in months if m]) | F.col("file_month").isNull()
-    ).where(F.col("batch_id") != batch_id)
-    fresh = new_dumps(sums, known, owner)
-    write_tally(fresh, tally_path, batch_id, seen)
-    if rejects_path:
-        written = read_tally(spark, tally_path).where(F.col("batch_id") == batch_id)
-        write_rejects(rejects_of_tally(written), rejects_path, batch_id)
+    with scratch_folders(spark) as scratch:
+        folder, version = scratch("sums"), new_version()
+        sums.write.parquet(folder)
+        sums = spark.read.schema(sums.schema).parquet(folder)
+        if files is not None:
+            sums = sums.unionByName(no_lines(files.join(sums, "file_name", "left_anti")))
+        months = [row["file_month"] for row in sums.select("file_month").distinct().collect()]
+        known = read_tally(spark, tally_path).where(
+            F.col("file_month").isin([m for m in months if m]) | F.col("file_month").isNull()
+        ).where(F.col("batch_id") != batch_id)
+        write_tally(new_dumps(sums, known, owner), tally_path, batch_id, seen, version)
+        if rejects_path:
+            written = spark.read.schema(TALLY).parquet(f"{tally_path}/batch_id={batch_id}/version={version}")
+            write_rejects(rejects_of_tally(written), rejects_path, batch_id, version)
+        publish(spark, tally_path, [batch_id], version)
 
 
 def ingest_available(
@@ -68,9 +72,15 @@ def ingest_available(
     the checkpoint, so one that is repeated after a failure replaces its own output
     and nothing is counted twice; nor are dumps that another stream or a job over
     a folder has tallied before.
+
+    Spark turns adaptive execution off in the session it gives to a micro-batch. The
+    lines are summed there; what follows reads the sums in the caller's session, where
+    adaptive execution cuts a day that is too big for one task, and joins small tables
+    without a shuffle.
     """
+    spark = lines.sparkSession
+
     def tally_batch(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
         owner = f"stream-{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}-"
         tally_new(spark, tally(batch, pages), tally_path, f"{owner}{number}", owner, rejects_path)
 

@@ -164,6 +164,12 @@ def views_by(lines: str, keys: str) -> str:
 select {keys}, cast(sum(sumpageviewcount) as bigint) as views from star group by {keys}"""
 
 
+def kept_views(keys: str) -> str:
+    kept = STAR.replace("from keyed k", "from (from keyed where file_month not like '2018-%' or time_id > 0) k")
+    return f"""with {keyed(RAW_LONG)}, {kept}
+select {keys}, cast(sum(sumpageviewcount) as bigint) as views from star group by {keys}"""
+
+
 MANIFEST = f"""
 manifest as (
     select strftime(d, '%Y-%m-%d') as file_date, cast(h as integer) as hour,
@@ -237,6 +243,14 @@ with {parsed(RAW_LONG)} select strftime(d, '%Y-%m-%d') as date from ({DATA_DAYS}
     "fact_reload_idempotent": ALL_FACT,
     "fact_reload_shrunk": f"""with {keyed(RAW_LONG)}, {fact_ids("keyed", LOADED)}
 select * from fact where load_month not like '2018-%' or time_id > 0""",
+    "pk_load_violations": f"""with {keyed(RAW_LONG)}, {fact_ids("keyed", LOADED)}
+select fact_id, year, month, '2018-03' as load_month, load_month as loaded_month from fact
+where load_month = '2018-02' and time_id = 3""",
+    "fact_load_refused": f"""with {keyed(RAW_LONG)}, {fact_ids("keyed", LOADED)}
+select *, '' as broken_rules from fact
+union all by name
+select * replace ('2018-03' as load_month), 'primary_key' as broken_rules from fact
+where load_month = '2018-02' and time_id = 3""",
     "processed_ledger": f"""
 with {parsed(RAW)},
 files as (select distinct file_name, fd < date '{CUT}' as early from parsed)
@@ -295,6 +309,11 @@ with {hourly(RAW_LONG)} select file_date, count(*) as rows from hourly group by
     "views_by_weekday": views_by(RAW, "day_name, is_weekend"),
     "views_by_month": views_by(RAW_LONG, "year, quarter, month, month_name"),
     "views_by_hour": views_by(RAW_LONG, "time_id, time_creation, domain"),
+    "views_of_quarter": f"""with {keyed(RAW_LONG)}, {STAR}
+select year, month_name, pagename, cast(sum(sumpageviewcount) as bigint) as views
+from star where quarter = 2 group by all""",
+    "kept_views_by_weekday": kept_views("day_name, is_weekend"),
+    "kept_views_by_page": kept_views("year, month, pagename"),
     "fact_surrogate_key": f"""
 with {keyed(RAW_LONG)}, {fact_ids("keyed")} select * from fact""",
     "hourly_sorted": ALL_HOURLY,

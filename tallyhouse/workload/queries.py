@@ -12,8 +12,10 @@ from tallyhouse import sinks, sources
 from tallyhouse.functions import (
     calendar_day, clock_text, file_clock_of, file_date_of, month_key, path_dump_name,
 )
-from tallyhouse.plans import RunAudit, Warehouse, combine_days, convert, load_fact, to_months
-from tallyhouse.schemas import DIM_DATE_TEXT_LIMITS, LOAD_COLUMNS
+from tallyhouse.plans import (
+    RunAudit, Warehouse, combine_days, convert, load_fact, report, to_months,
+)
+from tallyhouse.schemas import DIM_DATE, DIM_DATE_TEXT_LIMITS, LOAD_COLUMNS
 from tallyhouse.session import scratch_folder
 from tallyhouse.streaming import ingest_available, stream_dumps, stream_hourly
 from tallyhouse.workload.mapping import (
@@ -335,6 +337,39 @@ def views_by_hour(spark, sf_dir):
     )
 
 
+def views_of_quarter(spark, sf_dir):
+    """Second quarters from the written fact: a condition on dim_date alone."""
+    folder, dates = scratch_folder(spark, "fact"), scratch_folder(spark, "dim-date")
+    sinks.write_fact(_long_fact(spark, sf_dir), folder)
+    dim_date, dim_time = dims(spark)
+    sinks.replace_dimension(dim_date, dates)
+    second = spark.read.schema(DIM_DATE).parquet(dates).where("quarter = 2")
+    return op.views_by(sources.read_fact(spark, folder), second, dim_time, "year", "month_name", "pagename")
+
+
+def _kept_sums(spark, sf_dir):
+    """All months loaded, and those of 2018 again without their midnights."""
+    house, monthly = Warehouse(scratch_folder(spark, "warehouse")), _monthly(spark, sf_dir)
+    of_2018 = F.col("file_month").startswith("2018-")
+    load_fact(spark, monthly, house.fact, *dims(spark), rollups_path=house.rollups)
+    load_fact(
+        spark, monthly.where(of_2018 & (F.col("time_id") > 0)), house.fact, *dims(spark), rollups_path=house.rollups
+    )
+    return house
+
+
+def kept_views_by_weekday(spark, sf_dir):
+    """A report from kept sums, after a reload that shrinks months."""
+    dim_date, dim_time = dims(spark)
+    return report(spark, _kept_sums(spark, sf_dir), "day_name", "is_weekend", dim_date=dim_date, dim_time=dim_time)
+
+
+def kept_views_by_page(spark, sf_dir):
+    """The same by month and page, from the sums that have pages."""
+    dim_date, dim_time = dims(spark)
+    return report(spark, _kept_sums(spark, sf_dir), "year", "month", "pagename", dim_date=dim_date, dim_time=dim_time)
+
+
 def fact_surrogate_key(spark, sf_dir):
     return op.with_fact_id(fact_of(raw_long(spark, sf_dir)))
 
@@ -448,8 +483,38 @@ def broken_rules(spark, sf_dir):
         F.when(hour == 2, F.repeat("pagename", F.lit(8))).otherwise(F.col("pagename")).alias("pagename"),
         "sumpageviewcount", F.when(hour == 3, F.col("year") + 100).otherwise(F.col("year")).alias("year"), "month",
     )
-    checked = op.with_broken_rules(op.with_fact_id(planted), *dims(spark))
-    return op.rule_counts(op.with_repeated_keys(checked, ["fact_id", "year", "month"]))
+    folder, keys = scratch_folder(spark, "checked-facts"), ["fact_id", "year", "month"]
+    op.with_broken_rules(op.with_fact_id(planted), *dims(spark)).write.parquet(folder)
+    checked = spark.read.parquet(folder)
+    return op.rule_counts(op.with_repeated_keys(checked, op.repeated_keys(checked, keys), keys))
+
+
+def _monthly(spark, sf_dir):
+    """Month sets of the line items, by the month of their dumps."""
+    keyed = op.calendar_keys(hourly_of(raw_long(spark, sf_dir)))
+    return keyed.select(*LOAD_COLUMNS, month_key(F.col("file_date")).alias("file_month"))
+
+
+def pk_load_violations(spark, sf_dir):
+    """The months before 2018-03 are loaded, then the others; among these are some rows
+    of 2018-02 once more. Their keys are reported with both months."""
+    folder, monthly = scratch_folder(spark, "fact"), _monthly(spark, sf_dir)
+    load_fact(spark, monthly.where("file_month < '2018-03'"), folder, *dims(spark))
+    planted = monthly.where("file_month = '2018-02' and time_id = 3").withColumn("file_month", F.lit("2018-03"))
+    later = monthly.where("file_month >= '2018-03'").unionByName(planted)
+    rows = op.with_fact_id(later.select(*LOAD_COLUMNS, F.col("file_month").alias("load_month")))
+    return op.key_clashes(rows, sources.read_fact(spark, folder), ["fact_id", "year", "month"])
+
+
+def fact_load_refused(spark, sf_dir):
+    """The same rows through the load: the planted ones are refused, the others are in."""
+    house, monthly = Warehouse(scratch_folder(spark, "warehouse")), _monthly(spark, sf_dir)
+    load_fact(spark, monthly.where("file_month < '2018-03'"), house.fact, *dims(spark))
+    planted = monthly.where("file_month = '2018-02' and time_id = 3").withColumn("file_month", F.lit("2018-03"))
+    later = monthly.where("file_month >= '2018-03'").unionByName(planted)
+    load_fact(spark, later, house.fact, *dims(spark), house.refused)
+    refused = sources.read_refused(spark, house.refused, house.fact)
+    return sources.read_fact(spark, house.fact).withColumn("broken_rules", F.lit("")).unionByName(refused)
 
 
 def line_rejects(spark, sf_dir):
@@ -531,9 +596,10 @@ QUERIES = {
         file_name_parse, calendar_keys, load_frame, complete_days, gate_day, complete_months,
         gate_month, hour_domain_check, pending_files, star_join, hourly_pageviews,
         hourly_pageviews_long, day_row_counts, views_by_weekday, views_by_month,
-        views_by_hour, fact_surrogate_key, hourly_sorted, combine_day, combine_month,
+        views_by_hour, views_of_quarter, kept_views_by_weekday, kept_views_by_page, fact_surrogate_key, hourly_sorted, combine_day, combine_month,
         dim_date, dim_date_two_day_weekend, dim_time, not_null_violations, length_violations, dim_text_violations,
-        partition_range_violations, pk_violations, pk_natural_violations, pk_dim_violations, fk_date_violations, fk_time_violations,
+        partition_range_violations, pk_violations, pk_natural_violations, pk_dim_violations,
+        pk_load_violations, fact_load_refused, fk_date_violations, fk_time_violations,
         broken_rules, line_rejects, line_tally, incremental_ingest, run_audit,
         dumps_to_months, ingest_twice_same_batch, ingest_resumed, months_to_fact,
     )

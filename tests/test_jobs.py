@@ -15,7 +15,8 @@ from tallyhouse.plans import (
 from tallyhouse.schemas import FACT_COLUMNS, LOAD_COLUMNS
 from tallyhouse.sinks import land_dumps
 from tallyhouse.sources import (
-    hours_between, read_daily, read_dumps, read_fact, read_hourly, read_ledger, read_monthly, read_rejects,
+    hours_between, read_daily, read_dumps, read_fact, read_hourly, read_ledger, read_monthly, read_refused,
+    read_rejects, read_rollups,
     read_tally,
 )
 from tallyhouse.streaming import ingest_available, stream_dumps, stream_hourly
@@ -183,7 +184,7 @@ def test_bad_rows_set_aside(spark, dims, tmp_path):
     fact, refused = str(tmp_path / "fact"), str(tmp_path / "refused")
     load_fact(spark, month_rows(spark, GOOD, *BAD), fact, *dims, refused)
     assert read_fact(spark, fact).count() == 1
-    assert spark.read.parquet(refused).count() == len(BAD)
+    assert read_refused(spark, refused, fact).count() == len(BAD)
 
 
 def test_key_depends_on_its_row_alone(spark):
@@ -207,7 +208,7 @@ def test_two_rows_of_one_key_are_both_refused(spark, dims, tmp_path, monkeypatch
         load_fact(spark, twice, fact, *dims)
     load_fact(spark, twice, fact, *dims, refused)
     assert read_fact(spark, fact).count() == 1
-    assert [r.broken_rules for r in spark.read.parquet(refused).collect()] == ["primary_key"] * 2
+    assert [r.broken_rules for r in read_refused(spark, refused, fact).collect()] == ["primary_key"] * 2
     # Two pages of an hour whose hashes are the same: with no digits, all are.
     monkeypatch.setattr("tallyhouse.operators.keys.HASH_DIGITS", 0)
     with pytest.raises(ConstraintError, match="primary_key"):
@@ -377,7 +378,7 @@ def test_rejects_and_hours(spark, tmp_path):
     write_dump(folder, "pageviews-20150901-230000.gz", ["en Google x 0", "short Google", "short Google", "en Google 7 0"])
     house = Warehouse(str(tmp_path / "house"))
     ingest_folder(spark, str(folder), house, "1")
-    rejects = {(r.reason, r.line, r.lines) for r in read_rejects(spark, house.rejects).collect()}
+    rejects = {(r.reason, r.line, r.lines) for r in read_rejects(spark, house.rejects, house.tally).collect()}
     assert rejects == {("bad_count", "en Google x 0", 1), ("short_line", "short Google", 2)}
     write_hours(spark, house, "2015-09-01", "2015-09-01")
     hours = read_hourly(spark, house.hourly)
@@ -389,12 +390,12 @@ def test_reload_with_fewer_rows_equals_a_fresh_load(spark, dims, tmp_path):
     bad = ("e" * 31, "Google", 5, "2015-09-01", "03:00:00", "2015-09")
     fact, refused = str(tmp_path / "fact"), str(tmp_path / "refused")
     load_fact(spark, month_rows(spark, midnight, GOOD, bad), fact, *dims, refused)
-    assert read_fact(spark, fact).count() == 2 and spark.read.parquet(refused).count() == 1
+    assert read_fact(spark, fact).count() == 2 and read_refused(spark, refused, fact).count() == 1
     load_fact(spark, month_rows(spark, GOOD), fact, *dims, refused)
     assert [r.date_id for r in read_fact(spark, fact).collect()] == [20150901]
     load_fact(spark, month_rows(spark, GOOD).limit(0), fact, *dims, refused, months=["2015-09"])
     assert read_fact(spark, fact).count() == 0
-    assert spark.read.schema("load_month string, date_id int").parquet(refused).count() == 0
+    assert read_refused(spark, refused, fact).count() == 0
 
 
 def test_append_is_noted(spark, house, monkeypatch):
