@@ -234,31 +234,31 @@ def build_dimensions(
     replace_dimension(times, warehouse.dim_time)
 
 
-def _load_months(rows: DataFrame) -> list[str]:
-    return _names(rows.select(key_text("load_month").alias("load_month")), "load_month")
-
-
 def checked_months(
     spark: SparkSession, monthly: DataFrame, dim_date: DataFrame, dim_time: DataFrame,
-    scratch: Callable[[str], str], fact_path: str | None = None, months: Sequence[str] | None = None,
-) -> DataFrame:
-    """Month sets with `load_month`, fact_id and the constraints each row breaks.
+    scratch: Callable[[str], str], fact_path: str, months: Sequence[str] | None = None,
+) -> tuple[DataFrame, dict[str, int], list[str]]:
+    """Month sets with `load_month`, fact_id and the constraints each row breaks; the
+    rows that break each; and the months that have rows or are in `months`.
 
     Keys have to be unique in these rows and in what is loaded at `fact_path` from other
-    months than `months`, which are replaced. Of that the partitions of these rows are
-    read, and of those the key. The rows are checked once and written to scratch.
+    months, as these are replaced. Of that the partitions of these rows are read, and of
+    those the key. The rows are checked once and written to scratch.
     """
     rows = monthly.select(*LOAD_COLUMNS, F.col("file_month").alias("load_month"))
     checked = _staged(with_broken_rules(with_fact_id(rows), dim_date, dim_time), scratch("checked-facts"))
-    loaded = None
-    if fact_path is not None:
-        partitions = checked.select((F.col("year") * 100 + F.col("month")).alias("of")).distinct().collect()
-        own = _load_months(checked) if months is None else months
-        loaded = read_fact(spark, fact_path).where(~F.col("load_month").isin(own)).where(
-            (F.col("year") * 100 + F.col("month")).isin([row.of for row in partitions if row.of is not None])
-        )
+    partition = F.col("year") * 100 + F.col("month")
+    found = checked.agg(
+        F.collect_set(key_text("load_month")).alias("months"), F.collect_set(partition).alias("partitions"),
+        F.count_if(F.col("broken_rules") != "").alias("broken"),
+    ).first()
+    owned = sorted({*(months or []), *found.months})
+    loaded = read_fact(spark, fact_path).where(~F.col("load_month").isin(owned)).where(partition.isin(found.partitions))
     repeated = _staged(repeated_keys(checked, FACT_KEY, loaded), scratch("repeated-keys"))
-    return with_repeated_keys(checked, repeated, FACT_KEY)
+    if found.broken == 0 and repeated.isEmpty():
+        return checked, {}, owned
+    checked = with_repeated_keys(checked, repeated, FACT_KEY)
+    return checked, {row["rule"]: row["rows"] for row in rule_counts(checked).collect()}, owned
 
 
 def load_fact(
@@ -276,8 +276,7 @@ def load_fact(
     and, with `rollups_path`, kept sums are one version, published at the end.
     """
     with scratch_folders(spark) as scratch:
-        checked = checked_months(spark, monthly, dim_date, dim_time, scratch, fact_path, months)
-        counts = {row["rule"]: row["rows"] for row in rule_counts(checked).collect()}
+        checked, counts, owned = checked_months(spark, monthly, dim_date, dim_time, scratch, fact_path, months)
         if counts and refused_path is None:
             raise ConstraintError(f"rows breaking constraints: {counts}")
         version = new_version()
@@ -288,7 +287,7 @@ def load_fact(
         write_fact(good, fact_path, seen, version=version)
         if rollups_path is not None:
             write_rollups(rollups_of(good), rollups_path, version)
-        publish(spark, fact_path, [*(months or []), *_load_months(checked)], version)
+        publish(spark, fact_path, owned, version)
         if audit:
             audit.record("fact", "facts loaded", rows=observed(seen)["rows"])
 
@@ -297,16 +296,19 @@ def report(
     spark: SparkSession, warehouse: Warehouse, *attributes: str,
     dim_date: DataFrame | None = None, dim_time: DataFrame | None = None,
 ) -> DataFrame:
-    """Views by any attributes of fact and dimensions: from the kept sums where they
-    have them, from the fact where not. A part of a dimension asks for a part of the
-    months."""
+    """Views by any attributes of fact and dimensions, from the kept sums if these have
+    them. The fact is asked where not, and for months that were loaded without sums. A
+    part of a dimension asks for a part of the months."""
     if dim_date is None:
         dim_date = spark.read.schema(DIM_DATE).parquet(warehouse.dim_date)
     if dim_time is None:
         dim_time = spark.read.schema(DIM_TIME).parquet(warehouse.dim_time)
+    fact = read_fact(spark, warehouse.fact)
     if grain_for(attributes) is None:
-        return views_by(read_fact(spark, warehouse.fact), dim_date, dim_time, *attributes)
-    return views_from_rollups(read_rollups(spark, warehouse.rollups, warehouse.fact), dim_date, dim_time, *attributes)
+        return views_by(fact, dim_date, dim_time, *attributes)
+    kept = read_rollups(spark, warehouse.rollups, warehouse.fact)
+    others = fact.where(~F.col("load_month").isin(_names(kept, "load_month")))
+    return views_from_rollups(kept.unionByName(rollups_of(others)), dim_date, dim_time, *attributes)
 
 
 def load_months(

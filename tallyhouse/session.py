@@ -21,6 +21,9 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "tal
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # Else Spark lists hundreds of folders by as many tasks, which on one machine
+        # takes longer than to list them.
+        .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", "16")
         .getOrCreate()
     )
 
@@ -39,10 +42,21 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared.rstrip('/')}/tallyhouse-{purpose}-{uuid.uuid4().hex}"
 
 
-def remove_folder(spark: SparkSession, folder: str) -> None:
-    """Delete a folder in whatever store it lies; one that is not there is no error."""
+def _in_store(spark: SparkSession, folder: str):
+    """Hadoop's file system and path of a folder, in whatever store it lies."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def folder_exists(spark: SparkSession, folder: str) -> bool:
+    store, path = _in_store(spark, folder)
+    return store.exists(path)
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder; one that is not there is no error."""
+    store, path = _in_store(spark, folder)
+    store.delete(path, True)
 
 
 @contextmanager

@@ -10,15 +10,20 @@ that is given a version leaves the publishing to its caller. `seen` counts the r
 while they are written.
 """
 
+from collections import Counter
 from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, DataFrameWriter, Observation, functions as F
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, Row, functions as F
 
 from tallyhouse.functions import month_key
 from tallyhouse.versions import key_text, new_version, publish
 
 
+# Rows of a tally's file.
+FILE_ROWS = 500_000
+
+
 def observed(seen: Observation) -> dict:
     """What a write has counted. Where the optimizer finds that there is nothing to
     write, it takes the counting out as well, and there is no row to get."""
@@ -47,13 +52,45 @@ def _write_version(
         publish(rows.sparkSession, path, [*observed(seen)["keys"], *mine], own)
 
 
+def tally_sizes(tallies: DataFrame) -> list[Row]:
+    """(file_month, outcome, file_date, rows) of tallies: a few rows a day."""
+    return tallies.groupBy("file_month", "outcome", "file_date").agg(F.count("*").alias("rows")).collect()
+
+
+def _in_files(tallies: DataFrame, sizes: Sequence[Row]) -> DataFrame:
+    """Tallies dealt to tasks so that a folder's files have about FILE_ROWS rows each.
+
+    A day gets as many places in its folder as it has rows, days one after the other,
+    and a row one of its day's by a hash. A file holds FILE_ROWS places, so small days
+    share one and a day that is too big for one task is cut, without adaptive execution.
+    """
+    placed, taken = [], Counter()
+    for row in sorted(sizes, key=lambda r: (str(r.file_month), r.outcome, str(r.file_date))):
+        folder = (row.file_month, row.outcome)
+        placed.append((*folder, row.file_date, taken[folder], row.rows))
+        taken[folder] += row.rows
+    days = tallies.sparkSession.createDataFrame(placed, "m string, o string, d date, before long, own long")
+    day = F.col("file_month").eqNullSafe(F.col("m")) & (F.col("outcome") == F.col("o")) & F.col("file_date").eqNullSafe(F.col("d"))
+    place = F.col("before") + F.pmod(F.xxhash64("file_name", "domain", "pagename", "line"), F.col("own"))
+    # The days of a batch, as the calendar has them, are few enough to send to all tasks.
+    rows = tallies.join(F.broadcast(days), day).withColumn("file", F.floor(place / FILE_ROWS))
+    files = sum(-(-rows // FILE_ROWS) for rows in taken.values())
+    return rows.repartition(max(1, files), "file_month", "outcome", "file").drop("m", "o", "d", "before", "own", "file")
+
+
 def write_tally(
-    tallies: DataFrame, path: str, batch_id: str, seen: Observation | None = None, version: str | None = None
+    tallies: DataFrame, path: str, batch_id: str, seen: Observation | None = None, version: str | None = None,
+    sizes: Sequence[Row] | None = None,
 ) -> None:
-    """The tallies of one batch, replacing an earlier attempt at that batch."""
+    """The tallies of one batch, replacing an earlier attempt at that batch. With `sizes`,
+    the tally_sizes of these rows or of more, files are cut by them; otherwise adaptive
+    execution cuts what is too big."""
     if seen is not None:
         tallies = tallies.observe(seen, F.count(F.lit(1)).alias("rows"))
-    gathered = tallies.hint("rebalance", "file_month", "outcome", "file_date")
+    if sizes is None:
+        gathered = tallies.hint("rebalance", "file_month", "outcome", "file_date")
+    else:
+        gathered = _in_files(tallies, sizes)
     ordered = gathered.sortWithinPartitions(
         "file_month", "outcome", "file_date", "file_name", "domain", "pagename", "line"
     )

@@ -5,13 +5,13 @@ filter on them prunes folders. Of tables with versions the published ones are re
 (see tallyhouse.versions).
 """
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tallyhouse.schemas import (
     FACT, FILE_KEYS, HOURLY, LEDGER, MONTHLY, REFUSED, REJECTS, ROLLUPS, TALLY,
 )
+from tallyhouse.session import folder_exists
 from tallyhouse.versions import VERSION, published
 
 FILE_MONTH = T.StructField("file_month", T.StringType())
@@ -57,12 +57,9 @@ def _published(
 
 def _or_empty(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
     """The table, empty before its first write."""
-    try:
+    if folder_exists(spark, path):
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    return spark.createDataFrame([], schema)
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:

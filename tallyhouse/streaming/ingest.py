@@ -8,7 +8,7 @@ from tallyhouse.functions import month_key, path_dump_name, path_place
 from tallyhouse.operators import hourly_of_tally, new_dumps, no_lines, rejects_of_tally, tally
 from tallyhouse.schemas import COMPANY_PAGES, TALLY
 from tallyhouse.session import scratch_folders
-from tallyhouse.sinks import write_rejects, write_tally
+from tallyhouse.sinks import tally_sizes, write_rejects, write_tally
 from tallyhouse.sources import read_tally
 from tallyhouse.versions import new_version, publish
 
@@ -51,11 +51,12 @@ def tally_new(
         sums = spark.read.schema(sums.schema).parquet(folder)
         if files is not None:
             sums = sums.unionByName(no_lines(files.join(sums, "file_name", "left_anti")))
-        months = [row["file_month"] for row in sums.select("file_month").distinct().collect()]
+        sizes = tally_sizes(sums)
+        months = {row["file_month"] for row in sizes}
         known = read_tally(spark, tally_path).where(
             F.col("file_month").isin([m for m in months if m]) | F.col("file_month").isNull()
         ).where(F.col("batch_id") != batch_id)
-        write_tally(new_dumps(sums, known, owner), tally_path, batch_id, seen, version)
+        write_tally(new_dumps(sums, known, owner), tally_path, batch_id, seen, version, sizes)
         if rejects_path:
             written = spark.read.schema(TALLY).parquet(f"{tally_path}/batch_id={batch_id}/version={version}")
             write_rejects(rejects_of_tally(written), rejects_path, batch_id, version)
@@ -74,9 +75,8 @@ def ingest_available(
     a folder has tallied before.
 
     Spark turns adaptive execution off in the session it gives to a micro-batch. The
-    lines are summed there; what follows reads the sums in the caller's session, where
-    adaptive execution cuts a day that is too big for one task, and joins small tables
-    without a shuffle.
+    lines are summed there, and what follows reads the sums in the caller's session, where
+    small tables are joined without a shuffle. Files are cut by the sizes of the days.
     """
     spark = lines.sparkSession
 

@@ -13,10 +13,11 @@ Keys are days, months or batches: as many as the calendar or the runs have.
 import uuid
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from tallyhouse.session import folder_exists
+
 # Spark passes over names that begin with an underscore when it lists a table.
 LIST = "_versions"
 VERSIONS = T.StructType([
@@ -37,12 +38,8 @@ def key_text(key: str) -> Column:
 
 
 def _listed(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(VERSIONS).parquet(f"{path}/{LIST}")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+    there = f"{path}/{LIST}"
+    return spark.read.schema(VERSIONS).parquet(there) if folder_exists(spark, there) else None
 
 
 def published_versions(spark: SparkSession, path: str) -> dict[str, str]:
@@ -69,7 +66,9 @@ def publish(spark: SparkSession, path: str, keys: Iterable[str], version: str) -
 def published(rows: DataFrame, path: str, key: str) -> DataFrame:
     """Of a table with its column `version` the rows to read, by the list at `path`.
 
-    The condition is on folders only, so others are not opened.
+    The condition is on folders only, so others are not opened. A table without a list
+    was written before there were versions: its rows, which have none, are read.
     """
-    live = [f"{value}/{version}" for value, version in published_versions(rows.sparkSession, path).items()]
-    return rows.where(F.concat(key_text(key), F.lit("/"), F.col("version")).isin(live)).drop("version")
+    versions = published_versions(rows.sparkSession, path)
+    live = F.concat(key_text(key), F.lit("/"), F.col("version")).isin([f"{k}/{v}" for k, v in versions.items()])
+    return rows.where(live if versions else F.col("version").isNull()).drop("version")

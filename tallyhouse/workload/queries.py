@@ -566,9 +566,11 @@ def ingest_twice_same_batch(spark, sf_dir):
 
 
 def ingest_resumed(spark, sf_dir):
-    """One run stops after the conversion, the next after the days; a third goes on."""
+    """One run stops before its rejects are written, one after the conversion, the next
+    after the days; the last goes on."""
     house = Warehouse(scratch_folder(spark, "warehouse"))
     lines = raw_dense(spark, sf_dir)
+    sinks.write_tally(op.tally(lines, PAGES), house.tally, "0", version="stopped")
     convert(spark, lines.where(F.col("file_name") < "pageviews-20150120"), house, "1", PAGES)
     convert(spark, lines, house, "2", PAGES)
     combine_days(spark, house, "2")

@@ -6,14 +6,14 @@ from pyspark.sql import DataFrameWriter, functions as F
 from dumpfiles import write_day, write_dump
 from tallyhouse.operators import (
     between_dates, calendar_keys, dim_date_between, dim_time, hourly_pageviews, load_frame, ordered_hours,
-    pk_violations, split_lines, with_broken_rules, with_fact_id,
+    pk_violations, split_lines, views_by, with_broken_rules, with_fact_id,
 )
 from tallyhouse.plans import (
     ConstraintError, RunAudit, Warehouse, append_months, build_dimensions, convert,
-    ingest_folder, ingest_stream, load_fact, load_jdbc, load_months, log_lines, write_hours,
+    ingest_folder, ingest_stream, load_fact, load_jdbc, load_months, log_lines, report, write_hours,
 )
 from tallyhouse.schemas import FACT_COLUMNS, LOAD_COLUMNS
-from tallyhouse.sinks import land_dumps
+from tallyhouse.sinks import land_dumps, write_daily, write_monthly
 from tallyhouse.sources import (
     hours_between, read_daily, read_dumps, read_fact, read_hourly, read_ledger, read_monthly, read_refused,
     read_rejects, read_rollups,
@@ -437,3 +437,163 @@ def test_order_in_files(spark, tmp_path):
         return len(parts)
     assert in_order(ordered_hours(hourly), ["file_date", "file_time", "domain", "pagename"]) == 3000
     assert in_order(load_frame(calendar_keys(hourly)), ["date_id", "time_id"]) == 3000
+
+
+BAD_LINES = ["en Google x 0", "short Google", "short Google", "en Google 7 0"]
+
+
+def rejected(spark, house):
+    return sorted((r.file_name, r.reason, r.line, r.lines) for r in read_rejects(spark, house.rejects, house.tally).collect())
+
+
+@pytest.mark.parametrize("streamed", [False, True])
+@pytest.mark.parametrize("stop", ["write_rejects", "publish"])
+def test_rejects_survive_a_stop(spark, tmp_path, monkeypatch, stop, streamed):
+    folder = tmp_path / "dumps"
+    folder.mkdir()
+    write_day(folder, "20150901", hours=range(22))
+    write_dump(folder, "pageviews-20150901-220000.gz", BAD_LINES)
+    write_dump(folder, "pageviews-20150901-230000.gz", BAD_LINES[1:])
+
+    def run(house, batch):
+        if streamed:
+            ingest_stream(spark, stream_dumps(spark, str(folder)), house, batch)
+        else:
+            ingest_folder(spark, str(folder), house, batch)
+
+    whole, broken = Warehouse(str(tmp_path / "whole")), Warehouse(str(tmp_path / "broken"))
+    run(whole, "1")
+
+    def fail(*_, **__):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(f"tallyhouse.streaming.ingest.{stop}", fail)
+        with pytest.raises(Exception, match="stopped"):
+            run(broken, "1")
+    assert read_tally(spark, broken.tally).count() == 0 and rejected(spark, broken) == []
+    run(broken, "2")
+    assert rejected(spark, broken) == rejected(spark, whole) != []
+    assert read_tally(spark, broken.tally).agg(F.sum("lines")).first()[0] == read_tally(spark, whole.tally).agg(F.sum("lines")).first()[0]
+
+
+def test_readers_see_the_old_month_or_the_new_one(spark, dims, tmp_path, monkeypatch):
+    """A reload with other rows, stopped after each of its writes."""
+    house = Warehouse(str(tmp_path / "house"))
+    midnight = ("en", "Google", 1, "2015-08-31", "00:00:00", "2015-09")
+    bad = ("e" * 31, "Google", 5, "2015-09-01", "03:00:00", "2015-09")
+    other = ("de", "Apple", 2, "2015-09-05", "07:00:00", "2015-09")
+
+    def load(*rows):
+        load_fact(spark, month_rows(spark, *rows), house.fact, *dims, house.refused, rollups_path=house.rollups)
+
+    def seen():
+        fact = sorted((r.date_id, r.domain) for r in read_fact(spark, house.fact).collect())
+        views = report(spark, house, "year", dim_date=dims[0], dim_time=dims[1]).collect()
+        return fact, read_refused(spark, house.refused, house.fact).count(), [(r.year, r.views) for r in views]
+
+    load(midnight, GOOD, bad)
+    old = seen()
+    assert old == ([(20150831, "en"), (20150901, "en")], 1, [(2015, 6)])
+
+    def fail(*_, **__):
+        raise RuntimeError("stopped")
+
+    for stop in ("write_fact", "write_rollups", "publish"):
+        with monkeypatch.context() as patch:
+            patch.setattr(f"tallyhouse.plans.jobs.{stop}", fail)
+            with pytest.raises(RuntimeError, match="stopped"):
+                load(other)
+        assert seen() == old
+    load(other)
+    assert seen() == ([(20150905, "de")], 0, [(2015, 2)])
+
+
+@pytest.mark.parametrize("write, read, key", [(write_daily, read_daily, "file_date"), (write_monthly, read_monthly, "file_month")])
+def test_sets_are_replaced_in_one_step(spark, tmp_path, monkeypatch, write, read, key):
+    path = str(tmp_path / "sets")
+    rows = spark.createDataFrame(
+        [("en", "Google", n, "2015-09-01", f"{n:02d}:00:00", datetime.date(2015, 9, 1 + n % 2), f"{n:02d}0000") for n in range(24)],
+        "domain string, pagename string, sumpageviewcount long, date_collection string, time_collection string, file_date date, file_time string",
+    )
+    if write is write_monthly:
+        rows = calendar_keys(rows)
+    write(rows, path)
+    fewer = rows.where("sumpageviewcount < 3")
+    with monkeypatch.context() as patch:
+        patch.setattr("tallyhouse.sinks.tables.publish", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            write(fewer, path)
+    assert read(spark, path).count() == 24
+    write(fewer, path)
+    assert read(spark, path).count() == 3
+    owned = rows.select("file_date").distinct() if key == "file_date" else spark.createDataFrame([("2015-09",)], "file_month string")
+    write(rows.limit(0), path, None, owned)
+    assert read(spark, path).count() == 0
+
+
+def test_a_key_of_another_load_is_refused(spark, dims, tmp_path):
+    fact, refused = str(tmp_path / "fact"), str(tmp_path / "refused")
+    again = (*GOOD[:5], "2015-10")
+    fresh = ("en", "Google", 5, "2015-10-01", "03:00:00", "2015-10")
+    load_fact(spark, month_rows(spark, GOOD), fact, *dims)
+    with pytest.raises(ConstraintError, match="primary_key"):
+        load_fact(spark, month_rows(spark, again, fresh), fact, *dims)
+    load_fact(spark, month_rows(spark, again, fresh), fact, *dims, refused)
+    assert [r.load_month for r in read_refused(spark, refused, fact).collect()] == ["2015-10"]
+    assert sorted(r.date_id for r in read_fact(spark, fact).collect()) == [20150901, 20151001]
+    # The month that has the key is replaced: its own old row is no clash.
+    load_fact(spark, month_rows(spark, GOOD), fact, *dims)
+    assert read_fact(spark, fact).count() == 2
+
+
+def test_a_hot_day_of_a_stream_is_cut(spark, tmp_path, monkeypatch):
+    """Spark turns adaptive execution off for a stream; small days still share a file."""
+    folder, tallies = tmp_path / "dumps", str(tmp_path / "tally")
+    folder.mkdir()
+    for hour in range(4):
+        write_dump(folder, f"pageviews-20150901-{hour:02d}0000.gz", [f"site{n * 7919 % 100003}.{hour} Google {n} 0" for n in range(20_000)])
+    for day in range(2, 6):
+        write_day(folder, f"201509{day:02d}", hours=range(3))
+    monkeypatch.setattr("tallyhouse.sinks.tables.FILE_ROWS", 10_000)
+    ingest_available(stream_dumps(spark, str(folder)), tallies, str(tmp_path / "checkpoint"))
+    files = spark.read.parquet(f"{tallies}/batch_id=*/version=*/file_month=2015-09/outcome=kept").select(
+        F.input_file_name().alias("file"), "file_date"
+    )
+    sizes = {r.file: (r["rows"], r.days) for r in files.groupBy("file").agg(F.count("*").alias("rows"), F.countDistinct("file_date").alias("days")).collect()}
+    assert len(sizes) >= 4 and max(rows for rows, _ in sizes.values()) < 40_000
+    assert max(days for _, days in sizes.values()) >= 4
+    assert stream_hourly(spark, tallies).count() == 80_012
+
+
+def test_a_condition_on_a_dimension_prunes_the_fact(spark, house):
+    """The condition is on an attribute that the fact's folders do not have."""
+    dates, times = (spark.read.parquet(path) for path in (house.dim_date, house.dim_time))
+    march = views_by(read_fact(spark, house.fact), dates.where("month_name = 'March'"), times, "day_name")
+    plan = march._jdf.queryExecution().executedPlan().toString()
+    assert "SubqueryAdaptiveBroadcast dynamicpruning" in plan
+    assert march.count() == 0
+
+
+def test_reports_from_kept_sums_equal_those_of_the_fact(spark, house):
+    dates, times = (spark.read.parquet(path) for path in (house.dim_date, house.dim_time))
+    fact = read_fact(spark, house.fact)
+    for attributes in (["day_name"], ["time_creation", "month"], ["domain", "year"], ["pagename"], ["date_id", "domain", "pagename"]):
+        want = sorted(map(tuple, views_by(fact, dates, times, *attributes).collect()))
+        assert sorted(map(tuple, report(spark, house, *attributes).collect())) == want != []
+    assert read_rollups(spark, house.rollups, house.fact).where("grain = 'hours'").count() == 28 * 24
+
+
+def test_jobs_leave_no_scratch(spark, dims, tmp_path, monkeypatch):
+    shared, made = tmp_path / "shared", []
+
+    def folder(spark, purpose):
+        made.append(f"{shared}/{purpose}-{len(made)}")
+        return made[-1]
+
+    monkeypatch.setattr("tallyhouse.session.scratch_folder", folder)
+    (tmp_path / "dumps").mkdir()
+    write_day(tmp_path / "dumps", "20150901")
+    ingest_folder(spark, str(tmp_path / "dumps"), Warehouse(str(tmp_path / "house")), "1")
+    load_fact(spark, month_rows(spark, GOOD), str(tmp_path / "fact"), *dims)
+    assert len(made) == 5 and not any(shared.iterdir())
