@@ -1,7 +1,13 @@
 import hashlib
 import re
+import time
+from html.parser import HTMLParser
+
+import pyarrow.parquet as pq
+import pytest
 
 from tallyhouse.llm import warc
+from tallyhouse.llm.queries import QUERIES
 
 PAGE = """<!DOCTYPE html><HTML lang="en"><head><title>A &amp; B</title><style>p{x}</style><script>var t="</p>";</script></head>
 <body><!-- no --><h1>Head &lt;1&gt;</h1><p>One <b>two</b>
@@ -17,10 +23,73 @@ def fields(row):
 
 
 def test_text_and_fields_of_a_page():
-    assert warc.plain_text(PAGE) == "Head <1>\nOne two three\nfour five\nlink\ntwo"
-    assert warc.page_fields(PAGE) == [("title", "A & B"), ("language", "en"), ("outlink", "/x?a=1&b=2"), ("outlink", "y")]
-    assert warc.plain_text("") == "" and warc.plain_text("<p") == "" and warc.plain_text("a < b") == "a < b"
-    assert warc.plain_text("<script>never closed") == "" and warc.plain_text("x<!-- never closed") == "x"
+    assert warc.read_page(PAGE) == (
+        "Head <1>\nOne two three\nfour five\nlink\ntwo",
+        [("title", "A & B"), ("language", "en"), ("outlink", "/x?a=1&b=2"), ("outlink", "y")],
+    )
+    texts = {
+        "": "", "<p": "", "a < b": "a < b", "<script>never closed": "", "x<!-- never closed": "x", "<head>no end<p>x": "no end\nx",
+        "<head>a</head>b<head>c</head>d": "bcd", "a<svg/>b<svg>c</svg>d": "ab d", "<p-x>y</p-x>z": "yz", "1<2<br>3": "1<2\n3",
+    }
+    assert {page: warc.read_page(page)[0] for page in texts} == texts
+    assert warc.read_page("<title>a<title>b</title>c")[1] == [("title", "a<title>b")]
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<title>", "<script ", "</title", "<p", "<", "<!--", "<head>", "<svg>", "<a href='", "<a href=x ", "</head", "&amp", " \n"])
+def test_malformed_pages_take_time_in_proportion(piece):
+    began = time.process_time()
+    warc.read_page(piece * (1_000_000 // len(piece)))
+    warc.read_page((piece + ">") * (1_000_000 // len(piece)))
+    assert time.process_time() - began < 8
+
+
+class Reader(HTMLParser):
+    """The same reading of well-formed pages, by the library's parser."""
+
+    def __init__(self):
+        super().__init__()
+        self.text, self.links, self.title, self.hidden, self.within = [], [], None, 0, None
+
+    def handle_starttag(self, tag, attrs):
+        self.hidden += tag in (*warc.HIDDEN, "head")
+        self.within = tag
+        self.text.append("\n" if tag in warc.BLOCKS else "")
+        self.links += [" ".join(v.split()) for k, v in attrs if tag == "a" and k == "href" and v and v.split()][:1]
+
+    def handle_endtag(self, tag):
+        self.hidden -= tag in (*warc.HIDDEN, "head")
+        self.within = None
+        self.text.append("\n" if tag in warc.BLOCKS else "")
+
+    def handle_data(self, data):
+        if self.within == "title" and self.title is None:
+            self.title = " ".join(data.split())
+        if not self.hidden:
+            self.text.append(data.replace("\n", " "))
+
+
+def test_whole_table_reads_as_the_librarys_parser_does(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    pages = pq.read_table(f"{sf_dir}/pages.parquet").to_pylist()
+    rows = QUERIES["op9_warc_derivatives"](spark, sf_dir).collect()
+    found = {(r["page_id"], r["warc_type"]): r for r in rows}
+    assert len(rows) == len(found) == 2 * len(pages) and len({r["record_id"] for r in rows}) == len(rows)
+    for page in pages:
+        reader = Reader()
+        reader.feed(page["html"])
+        reader.close()
+        lines = [" ".join(line.split()) for line in "".join(reader.text).split("\n")]
+        assert [" ".join(line.split()) for line in found[page["page_id"], "conversion"]["block"].split("\n") if line.strip()] == [x for x in lines if x]
+        told = [line.split(": ", 1) for line in found[page["page_id"], "metadata"]["block"].split("\r\n") if line]
+        assert [v for k, v in told if k == "outlink"] == reader.links
+        assert [v for k, v in told if k == "title"] == ([reader.title] if reader.title is not None else [])
+
+
+def test_pages_under_one_key_have_records_of_their_own(spark):
+    rows = warc.derivatives(pages(spark, [(1, "http://a/", "<p>x"), (1, "http://a/", "<p>y")])).collect()
+    assert len({r["record_id"] for r in rows}) == 4 and len({r["refers_to"] for r in rows}) == 2
+    given = pages(spark, [(1, "http://a/", "<p>x"), (1, "http://a/", "<p>y")]).selectExpr("*", "'<urn:uuid:1>' as id")
+    assert len({r["record_id"] for r in warc.derivatives(given, record_id="id").collect()}) == 4
 
 
 def test_records_refer_to_their_response(spark):
@@ -28,13 +97,15 @@ def test_records_refer_to_their_response(spark):
     assert len(rows) == 6 and len({r["record_id"] for r in rows}) == 4
     for row in rows:
         head = fields(row)
-        assert head["WARC-Refers-To"] == row["refers_to"] == warc.response_id(row["page_id"], head["WARC-Target-URI"])
+        assert head["WARC-Refers-To"] == row["refers_to"] == warc.response_id(
+            row["page_id"], head["WARC-Target-URI"], head["WARC-Source-Payload-Digest"]
+        )
         assert head["WARC-Record-ID"] == row["record_id"] and re.fullmatch(r"<urn:uuid:[0-9a-f-]{36}>", row["record_id"])
         block = row["block"].encode()
         assert head["Content-Length"] == str(len(block))
         assert head["WARC-Block-Digest"] == "sha256:" + hashlib.sha256(block).hexdigest()
     one = {r["warc_type"]: r for r in rows if r["page_id"] == 1}
-    assert one["conversion"]["block"] == warc.plain_text(PAGE)
+    assert one["conversion"]["block"] == warc.read_page(PAGE)[0]
     assert fields(one["conversion"])["WARC-Source-Payload-Digest"] == "sha256:" + hashlib.sha256(PAGE.encode()).hexdigest()
     told = one["metadata"]["block"]
     assert f"text-record: {one['conversion']['record_id']}\r\n" in told and "title: A & B\r\n" in told
