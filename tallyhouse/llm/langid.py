@@ -26,10 +26,6 @@ UNKNOWN = "und"
 #: all but LOW of its language's labelled documents reach.
 LOW = 0.01
 LEAST_SHARE = 0.6
-#: Fewer labelled documents do not tell how low scores go; without more in any
-#: language the least score is this.
-FEWEST = 50
-LEAST_SCORE = 0.1
 SPACE = 32
 #: Code points that are counted at a time; longer texts are counted in pieces.
 PIECE = 1 << 20
@@ -167,21 +163,19 @@ def guess_language(text: Column, profiles: Profiles) -> Column:
     return guess.asNondeterministic()(text)
 
 
-def least_scores(docs: DataFrame, profiles: Profiles, text: str = "text", lang: str = "lang") -> dict[str, float]:
+def least_scores(guessed: DataFrame, profiles: Profiles, guess: str = "guess", lang: str = "lang") -> dict[str, float]:
     """For each fitted language the score that a text in it has at least.
 
-    Taken from all the labelled documents whose guess is their label; a language with
-    under FEWEST of them gets the smallest of the others' scores, or LEAST_SCORE.
+    Taken from all the labelled documents whose guess is their label, however few; a
+    language without any gets the smallest of the others' scores.
     """
-    scored = docs.select(F.col(lang).alias("lang"), guess_language(F.col(text), profiles).alias("guess"))
-    right = scored.where(F.col("guess")["lang"] == F.col("lang"))
-    low = right.groupBy("lang").agg(
-        F.count("*").alias("n"), F.percentile_approx("guess.score", LOW).alias("low")
-    ).where(F.col("n") >= FEWEST).collect()
-    found = {row["lang"]: LEAST_SHARE * row["low"] for row in low}
-    return {name: found.get(name, min(found.values(), default=LEAST_SCORE)) for name in profiles.langs}
+    right = guessed.where(F.col(guess)["lang"] == F.col(lang))
+    low = right.groupBy(F.col(lang).alias("known")).agg(F.percentile_approx(F.col(guess)["score"], LOW).alias("low"))
+    found = {row["known"]: LEAST_SHARE * row["low"] for row in low.collect()}
+    return {name: found.get(name, min(found.values(), default=0.0)) for name in profiles.langs}
 
 
 def trained_rows(docs: DataFrame, doc_id: str = "doc_id") -> Column:
-    """Whether a document is for learning: crc32 of its id, as text, mod 3 is not 1."""
-    return F.crc32(F.col(doc_id).cast("string")) % 3 != 1
+    """Whether a document is for learning: crc32 of its id, as text, mod 3 is not 1. A null
+    id reads as an empty text, whose remainder is 0, so such a document is."""
+    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 3 != 1

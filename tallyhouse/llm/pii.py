@@ -15,14 +15,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 ROUNDS = 10
 
-EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.){1,20}[A-Za-z]{2,}"
+#: A host's name has 127 labels at most, as its 253 characters allow no more.
+EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.){1,126}[A-Za-z]{2,}"
 IBAN = r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 IPV4 = r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9])(?!\.[0-9])"
 DATE = "|".join([r"[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9])", *(
     rf"[0-9]{{2}}{mark}[0-9]{{2}}{mark}[0-9]{{4}}(?![0-9])" for mark in (r"\.", "/", "-")
 )])
 SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
-PHONE = r"\+?[0-9]{0,3}[\x20.-]?\([0-9]{2,4}\)[\x20.-]?[0-9]{3,4}[\x20.-]?[0-9]{3,4}(?![0-9])|\+[0-9]{1,3}(?:[\x20.-]?[0-9]{2,4}){2,5}(?![0-9])|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9])"
+PHONE = r"\+?[0-9]{0,3}[\x20.-]?\([0-9]{2,4}\)[\x20.-]?[0-9]{3,4}[\x20.-]?[0-9]{3,4}(?![0-9])|\+[0-9]{1,3}(?:[\x20.-]?[0-9]{2,4}){2,5}(?![0-9])|[0-9]{3}[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])"
 CARD = r"[0-9]{13,19}(?![0-9])|(?:[0-9]{4}[\x20-]){3}[0-9]{4}(?![0-9])|[0-9]{4}[\x20-][0-9]{6}[\x20-][0-9]{5}(?![0-9])"
 
 #: In the order in which they are tried at a place of the text.
@@ -69,6 +70,22 @@ def feistel_number(value: Column, side: int, key: Column, kind: str) -> Column:
     return F.aggregate(_rounds(), begin, turn, lambda at: at["left"] * side + at["right"])
 
 
+def feistel_pair(left: Column, right: Column, lefts: int, rights: int, key: Column, kind: str) -> Column:
+    """A permutation of the pairs (0 .. lefts - 1, 0 .. rights - 1), as a struct: the sides
+    take turns in being moved on by a digest of the other."""
+    begin = F.struct(left.cast("long").alias("left"), right.cast("long").alias("right"))
+
+    def turn(at: Column, k: Column) -> Column:
+        by = lambda side: _number(_digest(key, F.lit(kind), k.cast("string"), at[side].cast("string")))
+        odd = F.pmod(k, F.lit(2)) == 1
+        return F.struct(
+            F.when(odd, F.pmod(at["left"] + by("right"), F.lit(lefts))).otherwise(at["left"]).cast("long").alias("left"),
+            F.when(odd, at["right"]).otherwise(F.pmod(at["right"] + by("left"), F.lit(rights))).cast("long").alias("right"),
+        )
+
+    return F.aggregate(_rounds(), begin, turn)
+
+
 def _rounds() -> Column:
     return F.sequence(F.lit(1), F.lit(ROUNDS))
 
@@ -225,8 +242,27 @@ def _phone(value: Column, key: Column) -> Column:
     return F.transform(F.array(whole), lambda w: _filled(value, w, "[0-9]"))[0]
 
 
+#: Areas of social security numbers are 001 to 899 without 666, groups 01 to 99, serials
+#: 0001 to 9999; others were never given out.
+AREAS, NO_AREA, GROUPS, SERIALS = 898, 666, 99, 9999
+
+
+def _ssn_valid(value: Column) -> Column:
+    return ~value.rlike("^(?:000|666|9)|-00-|-0000$")
+
+
 def _ssn(value: Column, key: Column) -> Column:
-    return F.transform(F.array(feistel_text(_digits(value), key, "ssn")), lambda w: _filled(value, w, "[0-9]"))[0]
+    """The numbers that may be given out are permuted among themselves."""
+    area, group, serial = (F.substring(value, at, size).cast("long") for at, size in ((1, 3), (5, 2), (8, 4)))
+    left = (area - 1 - (area > NO_AREA).cast("long")) * GROUPS + (group - 1)
+    moved = feistel_pair(left, serial - 1, AREAS * GROUPS, SERIALS, key, "ssn")
+
+    def shown(at: Column) -> Column:
+        place = F.floor(at["left"] / GROUPS).cast("long") + 1
+        parts = ((place + (place >= NO_AREA).cast("long"), 3), (F.pmod(at["left"], F.lit(GROUPS)) + 1, 2), (at["right"] + 1, 4))
+        return F.concat_ws("-", *[F.lpad(part.cast("string"), size, "0") for part, size in parts])
+
+    return F.transform(F.array(moved), shown)[0]
 
 
 def _date_parts(value: Column) -> tuple[Column, Column, Column]:
@@ -266,7 +302,7 @@ def _date(value: Column, key: Column) -> Column:
 
 
 _TRUE: Callable[[Column], Column] = lambda value: F.lit(True)
-_CHECK = {"email": _TRUE, "iban": _iban_valid, "ip": _ip_valid, "date": _date_valid, "ssn": _TRUE, "card": _card_valid, "phone": _TRUE}
+_CHECK = {"email": _TRUE, "iban": _iban_valid, "ip": _ip_valid, "date": _date_valid, "ssn": _ssn_valid, "card": _card_valid, "phone": _TRUE}
 _PERMUTE = {"email": _email, "iban": _iban, "ip": _ip, "date": _date, "ssn": _ssn, "card": _card, "phone": _phone}
 
 

@@ -2,10 +2,10 @@
 
 Base kinds are reported wherever they match. Weak kinds are reported only with
 their complement: a credential is an access identifier, a secret and, often, an
-endpoint, near each other in one scope (a part of the text between blank lines).
-Matches are intervals, put in order in their scope; a running end of the parts
-before and a running start of the parts after say, for each interval, how far the
-nearest part of each role is. So intervals are joined without making pairs.
+endpoint, in one scope (a part of the text between blank lines). Matches are
+intervals, joined to the scope's interval in which they begin; which roles a scope
+holds says of each part whether its complement is there. So intervals are joined
+without making pairs, however many a scope has and however far apart they are.
 """
 
 from __future__ import annotations
@@ -26,14 +26,12 @@ CLIENT = r"""(?i:client_?id|access_?id|account|user_?name|username|login|user)["
 BLOB = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]*[0-9])(?=[A-Za-z0-9+/_-]*[A-Z])(?=[A-Za-z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{32,}={0,2}"
 ENDPOINT = r"""(?i:https?|ftp|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[^\s"'<>]+|(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}:[0-9]{2,5}(?![0-9])"""
 SCOPE_END = r"\n[\x20\t]*\n"
-#: Code points between parts of one credential, at most.
-REACH = 200
 
 BASE_KINDS = ["assign", "access", "hex"]
 WEAK_KINDS = ["client", "blob", "endpoint"]
 #: What a kind is part of a credential as. Base hex runs are secrets too.
 ROLES = {"access": "identifier", "client": "identifier", "assign": "secret", "hex": "secret", "blob": "secret", "endpoint": "endpoint"}
-#: For a weak kind, the sets of roles of which one must be near as a whole.
+#: For a weak kind, the sets of roles of which one must be in its scope as a whole.
 COMPLEMENTS = {"client": [["secret"]], "blob": [["identifier"], ["endpoint"]], "endpoint": [["identifier", "secret"]]}
 
 
@@ -102,25 +100,21 @@ def secret_parts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     return scopes.where("kind <> 'scope_end'")
 
 
-def linked_parts(parts: DataFrame, reach: int = REACH) -> DataFrame:
+def linked_parts(parts: DataFrame) -> DataFrame:
     """The parts to report: all base ones, and weak ones with their complement.
 
     A weak part that overlaps a base one is left out, as that one tells of it.
     """
     role = F.coalesce(*[F.when(F.col("kind") == kind, role) for kind, role in ROLES.items()])
-    order = Window.partitionBy("doc_id", "version", "scope").orderBy("start", "end", "kind")
+    scope = Window.partitionBy("doc_id", "version", "scope")
+    order = scope.orderBy("start", "end", "kind")
     before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(1, Window.unboundedFollowing)
-    rows = parts.withColumn("role", role)
     is_base = F.col("kind").isin(BASE_KINDS)
-
-    def near(condition: Column, within: int) -> Column:
-        last = F.max(F.when(condition, F.col("end"))).over(before)
-        following = F.min(F.when(condition, F.col("start"))).over(after)
-        return F.coalesce(F.col("start") - last <= within, F.lit(False)) | F.coalesce(following - F.col("end") <= within, F.lit(False))
-
-    rows = rows.withColumns({
-        **{f"near_{name}": near(F.col("role") == name, reach) for name in ("identifier", "secret", "endpoint")},
-        "told": near(is_base, -1),
+    last = F.max(F.when(is_base, F.col("end"))).over(before)
+    following = F.min(F.when(is_base, F.col("start"))).over(after)
+    rows = parts.withColumn("role", role).withColumns({
+        **{f"has_{name}": F.max(F.col("role") == name).over(scope) for name in ("identifier", "secret", "endpoint")},
+        "told": F.coalesce(last > F.col("start"), F.lit(False)) | F.coalesce(following < F.col("end"), F.lit(False)),
     })
     report = is_base
     for kind, sets in COMPLEMENTS.items():
@@ -128,13 +122,13 @@ def linked_parts(parts: DataFrame, reach: int = REACH) -> DataFrame:
         for names in sets:
             together = F.lit(True)
             for name in names:
-                together = together & F.col(f"near_{name}")
+                together = together & F.col(f"has_{name}")
             complete = complete | together
         report = report | ((F.col("kind") == kind) & ~F.col("told") & complete)
     return rows.where(report).select("doc_id", "version", "kind", "start", "end")
 
 
-def secret_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", reach: int = REACH) -> DataFrame:
+def secret_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, spans), a row for each document: array of (start, rank, kind, end).
 
     Spans are sorted by start, then by kind as listed in BASE_KINDS and WEAK_KINDS;
@@ -142,11 +136,11 @@ def secret_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", re
     empty text has none. Rows with the same id and text get the same spans each.
 
     Base spans are leftmost and do not overlap others of their kind; a match that
-    is too short is passed over. Weak spans need their complement within `reach`
-    code points in the same scope: an account name a secret; a mixed token an
-    identifier or an endpoint; an endpoint both an identifier and a secret.
+    is too short is passed over. Weak spans need their complement in the same scope,
+    at any distance: an account name a secret; a mixed token an identifier or an
+    endpoint; an endpoint both an identifier and a secret.
     """
-    found = linked_parts(secret_parts(docs, doc_id, text), reach)
+    found = linked_parts(secret_parts(docs, doc_id, text))
     rank = F.coalesce(*[F.when(F.col("kind") == kind, n) for n, kind in enumerate([*BASE_KINDS, *WEAK_KINDS])])
     spans = found.groupBy("doc_id", "version").agg(
         F.array_sort(F.collect_list(F.struct("start", rank.alias("rank"), "kind", "end"))).alias("spans")

@@ -22,12 +22,11 @@ PIECE_MODEL = "piece_bpe_32k.model"
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages that the labelled ones teach. Those without
     a letter go, so do null and empty texts, and those less like their nearest
-    language than its labelled documents are, by far."""
-    trained = docs.where(trained_rows(docs))
-    profiles = fit_profiles(trained)
-    least = least_scores(trained, profiles)
+    language than its labelled documents are, by far. Each text is scored once."""
+    profiles = fit_profiles(docs.where(trained_rows(docs)))
     guess = free_name(docs, "guess")
-    marked = docs.withColumn(guess, guess_language(F.col("text"), profiles))
+    marked = written(docs.withColumn(guess, guess_language(F.col("text"), profiles)), "language-guesses")
+    least = least_scores(marked.where(trained_rows(marked)), profiles, guess)
     known = F.lit(False)
     for lang, score in least.items():
         known = known | ((F.col(guess)["lang"] == lang) & (F.col(guess)["score"] >= score))

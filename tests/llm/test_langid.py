@@ -83,3 +83,16 @@ def test_long_texts_are_counted_in_pieces(monkeypatch):
     monkeypatch.setattr(langid, "PIECE", 7)
     pieces = langid.gram_counts(words)
     assert all((a == b).all() for a, b in zip(whole, pieces))
+
+
+@pytest.mark.parametrize("count", [2, 30, 80])
+def test_the_cut_is_there_at_any_number_of_labelled_documents(spark, count):
+    """Random letters go and texts of the language stay, however few are labelled."""
+    rng = random.Random(count)
+    words = ["the", "then", "that", "other", "there", "with", "thing", "and", "hand", "stand"]
+    text = lambda: " ".join(rng.choice(words) for _ in range(60))
+    noise = " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(60))
+    rows = [(n, text(), "en") for n in range(count)] + [(1000, text(), None), (1001, noise, None), (1002, "1 2 3", None), (None, text(), None)]
+    kept = known_language(spark, documents(spark, rows), "")
+    assert sorted(r.doc_id for r in kept.where("doc_id >= 1000").collect()) == [1000]
+    assert kept.where("doc_id is null").count() == 1 and kept.where("doc_id < 1000").count() == count

@@ -26,11 +26,11 @@ CARD, OTHER = with_check("453201511283036"), with_check("37828224631000")
 VALUES = {
     "card": [CARD, " ".join(CARD[k:k + 4] for k in range(0, 16, 4)), "-".join(CARD[k:k + 4] for k in range(0, 16, 4)), OTHER],
     "iban": ["DE89370400440532013000", "GB29 NWBK 6016 1331 9268 19"], "ip": ["10.1.200.7", "255.255.255.255"],
-    "date": ["1984-02-29", "29.02.1984", "02/29/1984", "2001-12-31"], "ssn": ["123-45-6789"],
-    "phone": ["+1 (456) 555-2186", "(456) 555-2186", "+49 30 901820"], "email": ["jo.doe-7@mail3.example.com", "JO.doe-7@Mail3.example.com"],
+    "date": ["1984-02-29", "29.02.1984", "02/29/1984", "2001-12-31"], "ssn": ["123-45-6789", "899-99-9999", "001-01-0001", "667-01-0001", "665-99-9999"],
+    "phone": ["+1 (456) 555-2186", "(456) 555-2186", "+49 30 901820", "555 123 4567"], "email": ["jo.doe-7@mail3.example.com", "JO.doe-7@Mail3.example.com"],
 }
 FORMS = {
-    "card": luhn, "ip": lambda v: all(int(x) <= 255 and str(int(x)) == x for x in v.split(".")), "ssn": lambda v: True,
+    "card": luhn, "ip": lambda v: all(int(x) <= 255 and str(int(x)) == x for x in v.split(".")), "ssn": lambda v: not re.search("^(000|666|9)|-00-|-0000$", v),
     "iban": lambda v: int("".join(str(int(c, 36)) for c in (lambda b: b[4:] + b[:4])(v.replace(" ", "")))) % 97 == 1,
     "phone": lambda v: True, "email": lambda v: v.lower().endswith("@mail3.example.com"), "date": lambda v: True,
 }
@@ -125,3 +125,22 @@ def test_long_text_with_many_values(spark):
     new = text.split("; ")
     assert counts == {"card": 1200} and new[:400] == new[400:800] and len(set(new)) == len(set(cards))
     assert all(map(luhn, new)) and not set(new) & set(cards)
+
+
+def test_numbers_never_given_out_stay(spark):
+    kept = ["000-00-0000", "666-12-3456", "900-12-3456", "123-00-4567", "123-45-0000"]
+    assert private(spark, kept) == [(text, {}) for text in kept]
+
+
+def test_hosts_of_many_labels(spark):
+    for labels in (1, 20, 25, 126):
+        host = "a." * labels + "com"
+        [(text, counts)] = private(spark, [f"write jo.doe@{host}."])
+        assert counts == {"email": 1} and text.endswith(f"@{host}.") and "jo.doe@" not in text
+
+
+def test_pairs_are_permuted(spark):
+    rows = spark.range(7 * 11).select(pii.feistel_pair(F.floor(F.col("id") / 11), F.col("id") % 11, 7, 11, F.lit("k"), "x").alias("p"))
+    found = {(r.p.left, r.p.right) for r in rows.collect()}
+    assert found == {(a, b) for a in range(7) for b in range(11)}
+    assert [(r.p.left, r.p.right) for r in rows.orderBy("p").limit(3).collect()] == [(0, 0), (0, 1), (0, 2)]

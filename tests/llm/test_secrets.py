@@ -33,15 +33,18 @@ def test_matches_that_fail_still_hide_what_they_cover(spark):
     ]
 
 
-def test_weak_parts_need_their_complement_in_reach_and_scope(spark):
-    near, far = " at ", " at " + "so on and on " * 30
+def test_weak_parts_need_their_complement_in_their_scope(spark):
+    far = " at " + "so on and on\n" * 2000
     assert spans(spark, [
-        f"{KEY}{near}{BLOB}", f"{KEY}{far}{BLOB}", f"{KEY}\n \n{BLOB}", BLOB, f"https://h.example/x {BLOB}",
+        f"{KEY} at {BLOB}", f"{KEY}{far}{BLOB}", f"{KEY}\n \n{BLOB}", BLOB, f"https://h.example/x {BLOB}",
         "client_id=abc https://h.example/x", f"client_id=abc {BLOB} https://h.example/x", f"secret={BLOB} user=bob",
+        f"client_id=abc{far}{BLOB}{far}https://h.example/x", f"{KEY}\n\nclient_id=abc{far}{BLOB}",
     ]) == [
-        [("access", KEY), ("blob", BLOB)], [("access", KEY)], [("access", KEY)], [], [("blob", BLOB)], [],
+        [("access", KEY), ("blob", BLOB)], [("access", KEY), ("blob", BLOB)], [("access", KEY)], [], [("blob", BLOB)], [],
         [("client", "client_id=abc"), ("blob", BLOB), ("endpoint", "https://h.example/x")],
         [("assign", f"secret={BLOB}"), ("client", "user=bob")],
+        [("client", "client_id=abc"), ("blob", BLOB), ("endpoint", "https://h.example/x")],
+        [("access", KEY), ("client", "client_id=abc"), ("blob", BLOB)],
     ]
 
 
