@@ -21,15 +21,14 @@ from tallyhouse.llm.common import written
 #: The model is fitted on about so many documents with and without the label, chosen
 #: by a hash of their ids. A word is a feature if at least MIN_DOCS of these have it
 #: and its share of the documents with the label is APART standard errors or more
-#: from its share of the others; at most FEATURES, the ones furthest apart.
+#: from its share of the others.
 LABEL_DOCS = 3000
 MIN_DOCS = 4
 APART = 4.0
-FEATURES = 20_000
 #: Beginnings of words that are features, by length.
 STEMS = (4, 6)
-#: Features that tell of the label are so many times likelier with it than without.
-TELLING = 10
+#: What a toxic document that is missed weighs, with a false alarm as 1.
+MISSED = 2.0
 #: Of the fit: rounds at most, weight of the squared weights, rounds remembered.
 ROUNDS = 60
 #: Parts of the sample, each summed by a task in every round.
@@ -79,56 +78,47 @@ def _documents_with(batches):
 
 
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str = "doc_id", text: str = "text",
-    label_docs: int = LABEL_DOCS,
+    docs: DataFrame, labels: DataFrame, label: str = "toxic", quality: str = "quality", doc_id: str = "doc_id",
+    text: str = "text", label_docs: int = LABEL_DOCS,
 ) -> DataFrame:
-    """(label, text): about label_docs documents with the label (1) and without (0).
+    """(label, grade, text): about label_docs documents with the label (1) and without (0).
 
-    Rows of labels without id or label, or whose id no document has, do not count.
-    The chosen ids, a bounded number, are broadcast; texts are not shuffled.
+    Grades come from the labels alone: 0 without the label, 1 with it, 2 with it in a
+    document that is labelled as of no quality. Rows of labels without id or label, or
+    whose id no document has, do not count, and repeated ones count once; of an id that
+    several rows of documents have one text is taken, that of the smallest hash. The
+    chosen ids, a bounded number, are broadcast, and their texts alone are shuffled.
     """
-    marks = labels.select(F.col(doc_id).alias("doc_id"), (F.col(label) > 0).cast("int").alias("label")).where(
-        "doc_id is not null and label is not null"
-    ).distinct()
+    has, bad = F.col(label) > 0, F.coalesce(F.col(quality) == 0, F.lit(False))
+    marks = labels.select(
+        F.col(doc_id).alias("doc_id"), has.cast("int").alias("label"), (has.cast("int") + (has & bad).cast("int")).alias("grade")
+    ).where("doc_id is not null and label is not null").distinct()
     counts = {row["label"]: row["n"] for row in marks.groupBy("label").agg(F.count("*").alias("n")).collect()}
     share = F.lit(0.0)
     for value, n in counts.items():
         share = F.when(F.col("label") == value, min(1.0, label_docs / n)).otherwise(share)
     chosen = marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20))
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where("text is not null")
-    return texts.join(F.broadcast(chosen), "doc_id").select("label", "text")
-
+    of = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label", "grade").agg(
+        F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("of")
+    )
+    return of.select("label", "grade", "of.text")
 
-def graded(sample: DataFrame, min_docs: int = MIN_DOCS, features: int = FEATURES) -> tuple[DataFrame, list[str]]:
-    """(grade, text) of a labelled sample, and the features to fit on.
 
-    Grade 0 is without the label. Labelled texts have grade 1, or 2 where they have
-    more different telling features than half of the labelled texts. A feature tells
-    of the label if it is TELLING times likelier in texts that have it.
-    """
+def graded(sample: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, list[str]]:
+    """(grade, text) of a labelled sample, and the features to fit on: all that are
+    APART or further in documents with the label and without."""
     sizes = {row["label"]: row["n"] for row in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n0, n1 = max(1, sizes.get(0, 0)), max(1, sizes.get(1, 0))
     all_of = (F.col("without") + F.col("having")) / (n0 + n1)
     error = F.sqrt(F.greatest(all_of * (1 - all_of), F.lit(1e-12)) * (1 / n0 + 1 / n1))
     counts = (
-        sample.mapInArrow(_documents_with, "feature string, without long, having long").groupBy("feature")
-        .agg(F.sum("without").alias("without"), F.sum("having").alias("having"))
+        sample.select("label", "text").mapInArrow(_documents_with, "feature string, without long, having long")
+        .groupBy("feature").agg(F.sum("without").alias("without"), F.sum("having").alias("having"))
         .where(F.col("without") + F.col("having") >= min_docs)
-        .withColumn("apart", F.abs(F.col("having") / n1 - F.col("without") / n0) / error)
-        .where(F.col("apart") >= APART).orderBy(F.desc("apart"), "feature").limit(features)
+        .where(F.abs(F.col("having") / n1 - F.col("without") / n0) / error >= APART).select("feature")
     ).collect()
-    telling = frozenset(
-        row["feature"] for row in counts
-        if row["having"] / n1 >= TELLING * (row["without"] + 0.5) / n0
-    )
-
-    def told(texts: pa.Array) -> pa.Array:
-        return pa.array([len(features_of(text.as_py()) & telling) for text in texts], pa.int64())
-
-    rows = sample.withColumn("told", F.arrow_udf(told, "long").asNondeterministic()("text"))
-    middle = rows.where("label = 1").agg(F.median("told")).first()[0] or 0.0
-    grade = F.col("label") + ((F.col("label") == 1) & (F.col("told") > middle)).cast("int")
-    return rows.select(grade.alias("grade"), "text"), [row["feature"] for row in counts]
+    return sample.select("grade", "text"), sorted(row["feature"] for row in counts)
 
 
 def _indexed(places: dict[str, int]):
@@ -224,7 +214,7 @@ def fit_severity(
 ) -> Severity:
     """The model, from a bounded sample of rows with a text and a grade 0, 1, ...
 
-    Each grade weighs the same. In each round tasks sum slopes over their rows, and
+    The grades above 0 together weigh MISSED times as much as grade 0. In each round tasks sum slopes over their rows, and
     the driver, which holds one number for each feature, adds these up. Without two
     grades the model finds everything clean.
     """
@@ -237,9 +227,8 @@ def fit_severity(
     top = max(counts, default=0)
     if len(counts) < 2:
         return Severity({}, np.zeros(0), np.array([500.0]))
-    share = F.lit(0.0)
-    for value, n in counts.items():
-        share = F.when(F.col("grade") == value, 1.0 / (n * len(counts))).otherwise(share)
+    graver = sum(n for value, n in counts.items() if value)
+    share = F.when(F.col("grade") == 0, 1 / counts.get(0, 1)).otherwise(MISSED / graver) / (1 + MISSED)
     weighted = points.withColumn("share", share)
 
     def loss(x: np.ndarray) -> tuple[float, np.ndarray]:

@@ -1,3 +1,5 @@
+import random
+
 import duckdb
 import numpy as np
 import pytest
@@ -6,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.llm import langid
 from tallyhouse.llm.queries import QUERIES
+from tallyhouse.llm.stages import known_language
 
 DOCUMENTS = "/root/testdata/sf0.01/documents.parquet"
 

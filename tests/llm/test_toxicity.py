@@ -78,8 +78,25 @@ def test_without_labels_everything_is_clean(spark):
 
 
 def test_repeated_labels_count_once(spark):
-    sample = toxicity.labelled_sample(documents(spark), labels(spark, [(8, 1, 0)] * 3 + [(6, 0, 1)] * 2))
-    assert sorted(r["label"] for r in sample.collect()) == [0, 1]
+    sample = toxicity.labelled_sample(documents(spark), labels(spark, [(8, 1, 0)] * 3 + [(6, 0, 1)] * 2 + [(10, 1, 1), (11, None, 1)]))
+    assert sorted((r["label"], r["grade"]) for r in sample.collect()) == [(0, 0), (1, 1), (1, 1), (1, 2)]
+
+
+def test_the_sample_is_bounded_whatever_the_rows_of_an_id(spark):
+    docs = spark.range(20_000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id") % 500).alias("text"))
+    docs = docs.union(spark.range(400).select(F.col("id") + 100, F.concat(F.lit("other "), "id")))
+    rows = [(7, 1, 1)] + [(n + 100, 1, n % 2) for n in range(400)]
+    sample = toxicity.labelled_sample(docs, labels(spark, rows), label_docs=50).groupBy("label").count().collect()
+    assert {r["label"]: 25 <= r["count"] <= 90 for r in sample} == {0: True, 1: True}
+
+
+def test_no_feature_that_tells_is_left_out(spark):
+    """25,000 words, each in a fifth of the documents with the label and in no other."""
+    spell = lambda n: "".join(chr(97 + n // 26 ** k % 26) for k in range(4))
+    texts = [" ".join(f"x{spell(5000 * n + k)}" for k in range(5000)) for n in range(5)]
+    rows = [(1, 1, text) for text in texts for _ in range(20)] + [(0, 0, f"good {n}") for n in range(100)]
+    found = toxicity.graded(spark.createDataFrame(rows, "label int, grade int, text string"))[1]
+    assert {f"x{spell(n)}" for n in range(25_000)} <= set(found)
 
 
 def test_held_out_documents(spark):
