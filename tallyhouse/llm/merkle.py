@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tallyhouse.llm.common import written
+
 SECTION_END = r"(?<=\n\n)(?=[^\n])"
 PARAGRAPH_END = r"(?s)(?<=\n)(?=.)"
 SENTENCE_END = r"(?s)(?<=[.!?] )(?=.)"
@@ -20,9 +22,8 @@ RUN_WORDS = 4
 RUN = rf"(?:[^ ]+ *){{1,{RUN_WORDS}}}| +|^$"
 #: Hex digits of a run's digest in a printed fingerprint.
 LEAF_DIGITS = 8
-#: Documents that are put in order together, on average.
-BIN_ROWS = 256
-WIDE = 4096
+#: Repeated rows that travel as one.
+LOT = 1000
 
 
 def leaves(text: Column) -> Column:
@@ -58,9 +59,10 @@ def printed(tree: Column) -> Column:
 
 
 def likeness(one: Column, other: Column) -> Column:
-    """How much two trees share, from 0 to 1: twice the number of different runs that
-    both have, over the sum of each one's."""
-    a, b = (F.array_distinct(F.flatten(F.flatten(tree))) for tree in (one, other))
+    """How much two fingerprints share, from 0 to 1: twice the number of different runs
+    that both have, over the sum of each one's, by the digits that are printed."""
+    short = lambda tree: F.transform(F.flatten(F.flatten(tree)), lambda s: F.substring(s, 1, LEAF_DIGITS))
+    a, b = (F.array_distinct(short(tree)) for tree in (one, other))
     return 2 * F.size(F.array_intersect(a, b)) / (F.size(a) + F.size(b))
 
 
@@ -117,55 +119,57 @@ def edits(one: Column, other: Column) -> Column:
     return differing(one, other, lambda s, x, y: F.when(x.isNull() | y.isNull(), F.array(place(s, None, None))).otherwise(in_section(s, x, y)))
 
 
-def _next_bins(bins: DataFrame) -> DataFrame:
-    """(bin, next_bin): the next lower bin, the highest one after the lowest.
-
-    Bins are put in order within wide bins, and these, one in WIDE, by themselves.
-    """
-    wide = bins.select("bin", F.floor(F.col("bin") / WIDE).alias("wide"))
-    inner = wide.withColumn("inner", F.lead("bin").over(Window.partitionBy("wide").orderBy(F.desc("bin"))))
-    tops = wide.groupBy("wide").agg(F.max("bin").alias("top"))
-    down = Window.orderBy(F.desc("wide"))
-    whole = down.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    after = tops.select("wide", F.coalesce(F.lead("top").over(down), F.max("top").over(whole)).alias("after"))
-    return inner.join(after, "wide").select("bin", F.coalesce("inner", "after").alias("next_bin"))
+def _text_key(doc_id: Column, version: Column) -> Column:
+    """One value for an id, which may be null, and a text's hash."""
+    return F.concat_ws("/", version.cast("string"), doc_id.cast("string"))
+
+
+def _in_order(keys: DataFrame) -> DataFrame:
+    """(key, doc_id, n, next_key) of different (key, doc_id, version, n), in the order of
+    with_next. Keys are dealt to ranges of about equal size, whatever values they have;
+    the last of a range is followed by the first of the next one."""
+    down = [F.desc_nulls_last("doc_id"), F.desc("version")]
+    ranged = keys.repartitionByRange(*down).withColumn("part", F.spark_partition_id())
+    placed = written(ranged, "documents-in-order")
+    order = Window.partitionBy("part").orderBy(*down)
+    inner = placed.withColumns({"inner": F.lead("key").over(order), "nth": F.row_number().over(order)})
+    # A row for each range.
+    parts = Window.orderBy("part")
+    whole = parts.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    firsts = inner.where("nth = 1").select("part", "key")
+    after = firsts.select(
+        F.col("part").alias("last_part"), F.coalesce(F.lead("key").over(parts), F.first("key").over(whole)).alias("after")
+    )
+    joined = inner.join(after, (F.col("part") == F.col("last_part")) & F.col("inner").isNull(), "left")
+    return joined.select("key", "doc_id", "n", F.coalesce("inner", "after").alias("next_key"))
 
 
 def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", result: str = "next_text") -> DataFrame:
     """(doc_id, text, result): each document's text and that of the next document.
 
-    The order is by doc_id, descending, ties by a hash of the text; rows without
-    doc_id come last, in the order of that hash. After the last comes the first.
-    Null texts are read as empty. Documents go to bins of about BIN_ROWS by their
-    place in the range of ids, so each text is shuffled once; the first document of
-    a bin follows the last one of the bin before.
+    The order is by doc_id, of any type that has one, descending, ties by a hash of the
+    text; rows without doc_id come last, in the order of that hash. After the last comes
+    the first. Repeated rows follow one another. Null texts are read as empty.
+
+    Ids and hashes are put in order without the texts. Each different text is then
+    brought to its own place and, by a second join, to the place before; repeated rows
+    travel as a number, in lots of LOT.
     """
-    low, high, count, missing = docs.agg(
-        F.min(doc_id).cast("double"), F.max(doc_id).cast("double"), F.count(doc_id), F.count("*") - F.count(doc_id)
-    ).first()
-    bins = max(1, -(-count // BIN_ROWS))
-    step = ((high - low) / bins if count else 0) or 1.0
-    place = F.floor((F.col("doc_id").cast("double") - F.lit(low or 0.0)) / F.lit(step)).cast("long")
-    # The hash is asked for a bin only where there are rows without id. A bin is never
-    # null; without the last value Spark would think so and filter one of the two
-    # reads of the texts' shuffle, which could then not share it.
-    unnamed = F.lit(-1) - F.floor(
-        (F.lit(0.5) - F.col("version") / F.lit(2.0 ** 64)) * F.lit(max(1, -(-missing // BIN_ROWS)))
-    ).cast("long")
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"),
-    ).withColumn("version", F.xxhash64("text")).withColumn(
-        "bin", F.coalesce(place, *([unnamed] if missing else []), F.lit(0))
-    )
-    placed = rows.repartition("bin")
-    order = Window.partitionBy("bin").orderBy(F.desc_nulls_last("doc_id"), F.desc("version"))
-    following = placed.withColumn("inner", F.lead("text").over(order)).withColumn("nth", F.row_number().over(order))
-    firsts = following.where("nth = 1").select(F.col("bin").alias("next_bin"), F.col("text").alias("first_text"))
-    after = _next_bins(rows.select("bin").distinct()).join(firsts, "next_bin").select(
-        F.col("bin").alias("last_bin"), "first_text"
-    )
-    joined = following.join(after, (F.col("bin") == F.col("last_bin")) & F.col("inner").isNull(), "left")
-    return joined.select("doc_id", "text", F.coalesce("inner", "first_text").alias(result))
+    ).withColumn("version", F.xxhash64("text")).withColumn("key", _text_key(F.col("doc_id"), F.col("version")))
+    keys = rows.groupBy("key", "doc_id", "version").agg(F.count("*").alias("n"))
+    places = written(_in_order(keys).withColumn(
+        "lot", F.explode(F.sequence(F.lit(1), F.ceil(F.col("n") / LOT).cast("int")))
+    ), "next-documents")
+    # One exchange of the texts serves both joins, as both take the same columns of it.
+    texts = rows.groupBy("key").agg(F.first("text").alias("text"))
+    own = places.join(texts, "key")
+    following = texts.select(F.col("key").alias("next_key"), F.col("text").alias("following"))
+    copies = F.least(F.lit(LOT), F.col("n") - (F.col("lot") - 1) * LOT).cast("int")
+    each = own.join(following, "next_key").withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
+    last = (F.col("lot") - 1) * LOT + F.col("copy") == F.col("n")
+    return each.select("doc_id", "text", F.when(last, F.col("following")).otherwise(F.col("text")).alias(result))
 
 
 def edited(text: Column, following: Column) -> Column:

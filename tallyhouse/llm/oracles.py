@@ -84,7 +84,7 @@ def _printed(tree: str) -> str:
 
 
 def _likeness(one: str, other: str) -> str:
-    a, b = (f"list_distinct(flatten(flatten({tree})))" for tree in (one, other))
+    a, b = (f"list_distinct(list_transform(flatten(flatten({tree})), lambda s: left(s, 8)))" for tree in (one, other))
     return f"cast(2 * len(list_intersect({a}, {b})) as double) / (len({a}) + len({b}))"
 
 

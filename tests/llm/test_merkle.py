@@ -16,17 +16,55 @@ def following(rows):
     return [(*row, order[(k + 1) % len(order)][1]) for k, row in enumerate(order)]
 
 
-@pytest.mark.parametrize("bin_rows", [1, 3, 256])
+@pytest.mark.parametrize("lot", [1, 3, 1000])
 @pytest.mark.parametrize("ids", [range(40), [n ** 3 - 900 for n in range(40)], [5] * 10 + [None] * 12 + [-(2 ** 62), 2 ** 62]])
-def test_next_document(spark, bin_rows, ids, monkeypatch):
-    monkeypatch.setattr(merkle, "BIN_ROWS", bin_rows)
-    monkeypatch.setattr(merkle, "WIDE", 4)
-    rng = random.Random(bin_rows)
-    rows = [(i, f"text {rng.randint(0, 30)}") for i in ids]
+def test_next_document(spark, lot, ids, monkeypatch):
+    monkeypatch.setattr(merkle, "LOT", lot)
+    rng = random.Random(lot)
+    rows = [(i, f"text {rng.randint(0, 4 if lot == 3 else 30)}") for i in ids]
     got = merkle.with_next(documents(spark, [(i, t, "en") for i, t in rows])).collect()
     assert sorted(map(tuple, got), key=repr) == sorted(following(rows), key=repr)
 
 
+def test_ids_of_text(spark):
+    rows = [(i, f"text of {i}") for i in ["b", "a", "", "ab", "10", "9", "é", "a"]] + [(None, "none"), ("a", "more")]
+    table = spark.createDataFrame(rows, "doc_id string, text string")
+    signed = lambda text: (lambda h: h - (1 << 64) if h >> 63 else h)(xxhash.xxh64_intdigest(text.encode(), 42))
+    order = sorted(rows, key=lambda r: signed(r[1]), reverse=True)
+    order.sort(key=lambda r: (r[0] is not None, (r[0] or "").encode()), reverse=True)
+    want = [(*row, order[(k + 1) % len(order)][1]) for k, row in enumerate(order)]
+    assert sorted(map(tuple, merkle.with_next(table).collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_one_far_id_does_not_gather_the_others(spark):
+    """Ranges are of equal size, whatever the ids are; so are those of one repeated id."""
+    for first in (F.lit(0), F.col("id")):
+        docs = spark.range(20_000).select(first.alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+        docs = docs.union(spark.createDataFrame([(10 ** 15, "far")], "doc_id long, text string"))
+        keys = docs.select("doc_id", F.xxhash64("text").alias("version"), F.lit(1).cast("long").alias("n")).withColumn(
+            "key", merkle._text_key(F.col("doc_id"), F.col("version"))
+        )
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            sizes = [r["count"] for r in keys.repartitionByRange(F.desc_nulls_last("doc_id"), F.desc("version")).groupBy(F.spark_partition_id()).count().collect()]
+            assert len(sizes) == 8 and max(sizes) < 5000
+            found = merkle._in_order(keys)
+            assert found.count() == found.select("next_key").distinct().count() == 20_001
+        finally:
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_both_joins_share_one_exchange_of_the_texts(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = merkle.with_next(documents(spark))
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ReusedExchange" in plan
+
+
 def test_edges(spark):
     rows = [(i, t) for i, t, _ in EDGES]
     docs = merkle.with_next(documents(spark))
