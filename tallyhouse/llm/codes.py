@@ -29,7 +29,8 @@ SCALE = 1024
 #: Components are held to this many bits, so that no sum of squares leaves a long. As
 #: a component of a vector it is 131,072.
 LARGEST = 1 << 27
-#: Entries that are evaluated before the bound is asked again.
+#: Entries of the least bounds, which are evaluated first; the others follow, as long as
+#: their bound is no more than the best distance so far.
 FIRST_TRIED = 6
 #: Rows that are worked on at once.
 BLOCK = 1024
@@ -80,27 +81,33 @@ def nearest_entries(
 
     `to_pivots` and `entries_to_pivots` are distances, not squared.
     """
-    bound = np.zeros((len(points), len(entries)))
+    bound = np.zeros((len(entries), len(points)))
     for p in range(to_pivots.shape[1]):
-        np.maximum(bound, np.abs(to_pivots[:, p, None] - entries_to_pivots[None, :, p]), out=bound)
+        np.maximum(bound, np.abs(entries_to_pivots[:, p, None] - to_pivots[None, :, p]), out=bound)
     # Square roots are rounded; what they are off by must not lift a bound.
     bound = np.maximum(bound * (1 - 1e-9) - 1e-6, 0)
     bound *= bound
+    # Sums of squares up to 2 ** 53 are whole numbers in floating point too, and quicker there.
+    largest = max(np.abs(points).max(initial=0), np.abs(entries).max(initial=0))
+    kind = float if 4 * largest ** 2 * max(1, points.shape[1]) < 1 << 53 else np.int64
+    points, entries = points.astype(kind), entries.astype(kind)
     tried = min(FIRST_TRIED, len(entries))
-    order = np.argpartition(bound, tried - 1, axis=1)[:, :tried] if tried < len(entries) else np.tile(np.arange(tried), (len(points), 1))
-    gap = points[:, None, :].astype(np.int64) - entries[order]
+    order = np.argpartition(bound, tried - 1, axis=0)[:tried].T
+    gap = points[:, None, :] - entries[order]
     found = (gap * gap).sum(axis=2)
     best = found.min(axis=1)
     index = np.where(found == best[:, None], order, len(entries)).min(axis=1)
-    left = bound <= best[:, None]
-    np.put_along_axis(left, order, False, axis=1)
-    row, entry = np.nonzero(left)
-    gap = points[row].astype(np.int64) - entries[entry]
-    found, nearer = (gap * gap).sum(axis=1), best.copy()
-    np.minimum.at(nearer, row, found)
-    index, ties = np.where(nearer < best, len(entries), index), found == nearer[row]
-    np.minimum.at(index, row[ties], entry[ties])
-    return index, nearer, len(points) * tried + len(row)
+    np.put_along_axis(bound, order.T, np.inf, axis=0)
+    evaluated = order.size
+    for k, entry in enumerate(entries):
+        row = np.flatnonzero(bound[k] <= best)
+        gap = points[row] - entry
+        found, nearest = np.einsum("ij,ij->i", gap, gap), best[row]
+        better = (found < nearest) | ((found == nearest) & (k < index[row]))
+        row, found = row[better], found[better]
+        best[row], index[row] = found, k
+        evaluated += len(gap)
+    return index, best.astype(np.int64), evaluated
 
 
 @dataclass(frozen=True)
