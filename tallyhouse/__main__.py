@@ -9,6 +9,7 @@
     audit   verdict for every dump file of a folder
     rejects malformed lines by dump, and how often each occurs
     report  views by any attributes of fact and dimensions
+    sweep   delete what reloads have replaced and stopped runs have left
 
 audit, rejects and report print all their rows, tab-separated, or write them with
 --out; --limit prints only so many.
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyhouse.plans import (
     RunAudit, Warehouse, append_months, build_dimensions, ingest_folder, ingest_stream,
-    load_months, report, write_hours,
+    load_months, report, sweep_warehouse, write_hours,
 )
 from tallyhouse.schemas import COMPANY_PAGES, DIM_DATE_END, DIM_DATE_START
 from tallyhouse.session import local_session
@@ -33,7 +34,7 @@ def arguments() -> argparse.Namespace:
         prog="tallyhouse", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter
     )
     parser.add_argument("command", choices=[
-        "dims", "ingest", "stream", "hours", "load", "append", "audit", "rejects", "report",
+        "dims", "ingest", "stream", "hours", "load", "append", "audit", "rejects", "report", "sweep",
     ])
     parser.add_argument("--warehouse", required=True, help="folder of the warehouse tables")
     parser.add_argument("--dumps", help="folder of pageviews-….gz files")
@@ -48,6 +49,7 @@ def arguments() -> argparse.Namespace:
     parser.add_argument("--table", default="fact_pageviews")
     parser.add_argument("--out", help="folder to write a result to, as tab-separated text")
     parser.add_argument("--limit", type=int, help="print only so many rows")
+    parser.add_argument("--hours", type=float, default=24.0, help="sweep only what is older")
     parser.add_argument("--local", action="store_true", help="run on this machine")
     return parser.parse_args()
 
@@ -84,6 +86,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         print(f"{len(months)} months appended")
     elif args.command == "audit":
         show(audit_dumps(spark, args.dumps, deep=args.check).orderBy("file_name", "path"), args.out, args.limit)
+    elif args.command == "sweep":
+        print("\n".join(f"{name}: {count} versions deleted" for name, count in sweep_warehouse(spark, house, args.hours).items()))
     elif args.command == "rejects":
         found = read_rejects(spark, house.rejects, house.tally).groupBy("file_name", "reason", "line").agg(F.sum("lines").alias("lines"))
         show(found.orderBy("file_name", "reason", "line"), args.out, args.limit)

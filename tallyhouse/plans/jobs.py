@@ -33,7 +33,7 @@ from tallyhouse.sources import (
     read_ledger, read_monthly, read_rollups, read_tally,
 )
 from tallyhouse.streaming import ingest_available, stream_hourly, tally_new
-from tallyhouse.versions import key_text, new_version, publish
+from tallyhouse.versions import key_text, new_version, publish, sweep
 
 
 class ConstraintError(ValueError):
@@ -334,6 +334,18 @@ def load_months(
     append_ledger(ledger_rows(loaded, "fact", batch_id), warehouse.ledger)
 
 
+def sweep_warehouse(spark: SparkSession, warehouse: Warehouse, hours: float = 24.0) -> dict[str, int]:
+    """Delete versions that were replaced, or never published, and are older than `hours`;
+    how many of each table went. Rejects go by the list of the tally, refused rows and
+    kept sums by that of the fact."""
+    tables = {
+        "tally": (warehouse.tally, None), "rejects": (warehouse.rejects, warehouse.tally), "daily": (warehouse.daily, None),
+        "monthly": (warehouse.monthly, None), "fact": (warehouse.fact, None), "refused": (warehouse.refused, warehouse.fact),
+        "rollups": (warehouse.rollups, warehouse.fact),
+    }
+    return {name: sweep(spark, path, listed, hours) for name, (path, listed) in tables.items()}
+
+
 def load_jdbc(
     fact: DataFrame, url: str, table: str = "fact_pageviews", *,
     writers: int | None = None, properties: Mapping[str, str] | None = None,

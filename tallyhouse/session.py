@@ -53,6 +53,16 @@ def folder_exists(spark: SparkSession, folder: str) -> bool:
     return store.exists(path)
 
 
+def folders_in(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
+    """Partition folders right below a folder, each with the time it was last changed in
+    milliseconds; none if the folder is not there."""
+    store, path = _in_store(spark, folder)
+    if not store.exists(path):
+        return []
+    found = [(status.getPath(), status) for status in store.listStatus(path) if status.isDirectory()]
+    return [(f"{folder}/{path.getName()}", status.getModificationTime()) for path, status in found if "=" in path.getName()]
+
+
 def remove_folder(spark: SparkSession, folder: str) -> None:
     """Delete a folder; one that is not there is no error."""
     store, path = _in_store(spark, folder)

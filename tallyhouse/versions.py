@@ -10,13 +10,15 @@ have no rows any more. Several tables written under one version are published by
 Keys are days, months or batches: as many as the calendar or the runs have.
 """
 
+import time
 import uuid
 from collections.abc import Iterable
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.session import folder_exists
+from tallyhouse.session import folder_exists, folders_in, remove_folder
 
 # Spark passes over names that begin with an underscore when it lists a table.
 LIST = "_versions"
@@ -72,3 +74,25 @@ def published(rows: DataFrame, path: str, key: str) -> DataFrame:
     versions = published_versions(rows.sparkSession, path)
     live = F.concat(key_text(key), F.lit("/"), F.col("version")).isin([f"{k}/{v}" for k, v in versions.items()])
     return rows.where(live if versions else F.col("version").isNull()).drop("version")
+
+
+def sweep(spark: SparkSession, path: str, listed: str | None = None, hours: float = 24.0) -> int:
+    """Delete the versions of a table that nobody reads: replaced ones, and what stopped
+    writes have left. `listed` is the path whose list counts, if not the table's own.
+
+    Only folders that were last written to more than `hours` ago go, as a newer one may
+    be about to be published, and one just replaced may still be read. Returns how many
+    went. A table without a list is left alone.
+    """
+    live = published_versions(spark, listed or path)
+    if not live:
+        return 0
+    before, removed = (time.time() - hours * 3600) * 1000, 0
+    for folder, _ in folders_in(spark, path):
+        key = unquote(folder.rsplit("/", 1)[1].partition("=")[2]).replace("__HIVE_DEFAULT_PARTITION__", "")
+        for version, written in folders_in(spark, folder):
+            name = version.rsplit("/version=", 1)
+            if len(name) == 2 and live.get(key) != name[1] and written < before:
+                remove_folder(spark, version)
+                removed += 1
+    return removed

@@ -10,7 +10,7 @@ from tallyhouse.operators import (
 )
 from tallyhouse.plans import (
     ConstraintError, RunAudit, Warehouse, append_months, build_dimensions, convert,
-    ingest_folder, ingest_stream, load_fact, load_jdbc, load_months, log_lines, report, write_hours,
+    ingest_folder, ingest_stream, load_fact, load_jdbc, load_months, log_lines, report, sweep_warehouse, write_hours,
 )
 from tallyhouse.schemas import FACT_COLUMNS, LOAD_COLUMNS
 from tallyhouse.sinks import land_dumps, write_daily, write_monthly
@@ -597,3 +597,32 @@ def test_jobs_leave_no_scratch(spark, dims, tmp_path, monkeypatch):
     ingest_folder(spark, str(tmp_path / "dumps"), Warehouse(str(tmp_path / "house")), "1")
     load_fact(spark, month_rows(spark, GOOD), str(tmp_path / "fact"), *dims)
     assert len(made) == 5 and not any(shared.iterdir())
+
+
+def test_sweeping_deletes_what_nobody_reads(spark, dims, tmp_path, monkeypatch):
+    house = Warehouse(str(tmp_path / "house"))
+    bad = ("e" * 31, "Google", 5, "2015-09-01", "03:00:00", "2015-09")
+    other = ("de", "Apple", 2, "2015-10-05", "07:00:00", "2015-10")
+
+    def load(*rows):
+        load_fact(spark, month_rows(spark, *rows), house.fact, *dims, house.refused, rollups_path=house.rollups)
+
+    load(GOOD, bad, other)
+    load(GOOD, bad)
+    with monkeypatch.context() as patch:
+        patch.setattr("tallyhouse.plans.jobs.publish", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            load(other)
+
+    def seen():
+        return [sorted(map(tuple, rows.collect()), key=repr) for rows in (
+            read_fact(spark, house.fact), read_refused(spark, house.refused, house.fact), read_rollups(spark, house.rollups, house.fact)
+        )]
+
+    before = seen()
+    assert set(sweep_warehouse(spark, house).values()) == {0}
+    # September's first version in three tables; October's that was not published in two.
+    assert sweep_warehouse(spark, house, hours=0) == {
+        "tally": 0, "rejects": 0, "daily": 0, "monthly": 0, "fact": 2, "refused": 1, "rollups": 2,
+    }
+    assert seen() == before and set(sweep_warehouse(spark, house, hours=0).values()) == {0}
