@@ -24,8 +24,12 @@ TRAIN_DOCS = 2000
 UNKNOWN = "und"
 #: A text is in none of the languages if its score is under LEAST_SHARE of the one that
 #: all but LOW of its language's labelled documents reach.
+#: Labelled documents count with PRIOR others whose least score is LEAST_SCORE, so a few
+#: labels reject little, and each more tells as much as the one before.
 LOW = 0.01
 LEAST_SHARE = 0.6
+PRIOR = 50
+LEAST_SCORE = 0.1
 SPACE = 32
 #: Code points that are counted at a time; longer texts are counted in pieces.
 PIECE = 1 << 20
@@ -166,13 +170,16 @@ def guess_language(text: Column, profiles: Profiles) -> Column:
 def least_scores(guessed: DataFrame, profiles: Profiles, guess: str = "guess", lang: str = "lang") -> dict[str, float]:
     """For each fitted language the score that a text in it has at least.
 
-    Taken from all the labelled documents whose guess is their label, however few; a
-    language without any gets the smallest of the others' scores.
+    Taken from all the labelled documents that this language is the guess of (a label may
+    be wrong, its text is one that was meant to be learnt), mixed with PRIOR others.
     """
-    right = guessed.where(F.col(guess)["lang"] == F.col(lang))
-    low = right.groupBy(F.col(lang).alias("known")).agg(F.percentile_approx(F.col(guess)["score"], LOW).alias("low"))
-    found = {row["known"]: LEAST_SHARE * row["low"] for row in low.collect()}
-    return {name: found.get(name, min(found.values(), default=0.0)) for name in profiles.langs}
+    labelled = guessed.where(F.col(lang).isNotNull())
+    low = labelled.groupBy(F.col(guess)["lang"].alias("known")).agg(
+        F.count("*").alias("n"), F.percentile_approx(F.col(guess)["score"], LOW).alias("low")
+    )
+    found = {row["known"]: (row["n"], row["low"]) for row in low.where(F.col("known") != UNKNOWN).collect()}
+    counts = {name: found.get(name, (0, 0.0)) for name in profiles.langs}
+    return {name: (n * LEAST_SHARE * score + PRIOR * LEAST_SCORE) / (n + PRIOR) for name, (n, score) in counts.items()}
 
 
 def trained_rows(docs: DataFrame, doc_id: str = "doc_id") -> Column:

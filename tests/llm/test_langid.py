@@ -88,9 +88,10 @@ def test_long_texts_are_counted_in_pieces(monkeypatch):
     assert all((a == b).all() for a, b in zip(whole, pieces))
 
 
-@pytest.mark.parametrize("count", [2, 30, 80])
-def test_the_cut_is_there_at_any_number_of_labelled_documents(spark, count):
-    """Random letters go and texts of the language stay, however few are labelled."""
+@pytest.mark.parametrize("count", [2, 40, 49, 51, 80])
+def test_the_cut_moves_on_evenly_with_the_number_of_labelled_documents(spark, count):
+    """Texts of the language stay and random letters go, however few are labelled, on both
+    sides of PRIOR."""
     rng = random.Random(count)
     words = ["the", "then", "that", "other", "there", "with", "thing", "and", "hand", "stand"]
     text = lambda: " ".join(rng.choice(words) for _ in range(60))
